@@ -6,12 +6,13 @@ bitmap, whose XOR population count between two texts estimates their similarity.
 
 1. Texts with equal sets collapse into one class, named by its smallest doc_id.
 2. Classes that share a band key are candidates. A bucket never emits all its pairs:
-   first each member is paired with the bucket's smallest member only.
+   first each class is paired with the smallest first member of its buckets, then, in
+   buckets that hold several components, with the first member of each.
 3. Pairs whose sketches agree well enough are confirmed on full shingle sets, and the
    links are closed to components.
-4. Only buckets that still hold several components compare members across components,
-   in blocks of bounded size: first the best few pairs of each two components, then,
-   where those gave no link, all that are left.
+4. Buckets that still hold several components compare members across components by
+   their sketches, in blocks of bounded size that carry the full sets. A block tests the
+   likeliest pairs first, joins components as it finds links, and emits only those.
 5. Components come from large-star / small-star rounds over written edge tables.
 """
 
@@ -20,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,10 +32,10 @@ SHINGLE = 5
 #: A pair at similarity 0.75 shares none of the bands with probability 2.5e-7.
 BANDS, ROWS = 40, 4
 SKETCH_BITS = 1024
-#: Sketch estimates below this end a candidate; a true 0.75 lies seven deviations above.
-LEAST_ESTIMATE = 0.5
-#: Members of one block in the comparison across components, and pairs of two components it tries first.
-BLOCK, FIRST_PAIRS = 2048, 8
+#: Sketch estimates below this end a candidate; a true 0.75 lies five deviations above.
+LEAST_ESTIMATE = 0.57
+#: Members of one block in the comparison across components, and bytes of their sets.
+BLOCK, BLOCK_BYTES = 2048, 8 << 20
 #: Ids (8 bytes each) up to which a set of them is broadcast; more are shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -150,9 +150,7 @@ def _differing(x: str, y: str):
 def _confirm(docs: DataFrame, pairs: DataFrame, scratch: Scratch, label: str, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) with 100 * intersection >= percent * union of full shingle sets."""
     pairs = scratch.write(pairs, f"{label}-pairs")
-    ids = scratch.write(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), f"{label}-ids")
-    wanted = _only(docs, ids, ids.count(), "doc_id")
-    sets = scratch.write(wanted.mapInArrow(_sets, "id long, shingles array<long>"), f"{label}-sets")
+    sets = _texts_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), scratch, label)
     left = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     both = left.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
     n, size = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb")
@@ -161,35 +159,90 @@ def _confirm(docs: DataFrame, pairs: DataFrame, scratch: Scratch, label: str, pe
     return links
 
 
-def _across(best: int):
-    """Pairs of two blocks of a bucket, or within one, whose components differ and whose sketches agree."""
-
-    def pairs(group: pd.DataFrame) -> pd.DataFrame:
-        left = group[group.side == 0]
-        right = group[group.side == 1] if (group.side == 1).any() else left
-        one = right is left
-        a, ca, la = (left[c].to_numpy() for c in ("rep", "component", "lead"))
-        b, cb = right.rep.to_numpy(), right.component.to_numpy()
-        sa = np.stack(left.sketch.to_numpy()).view(np.uint64)
-        sb = sa if one else np.stack(right.sketch.to_numpy()).view(np.uint64)
-        found = []
-        for i in range(len(a)):
-            js = np.flatnonzero(cb != ca[i])
-            js = js[(b[js] > a[i]) if one else (b[js] != a[i])]
-            js = js[(b[js] != la[i]) & (a[i] != la[0])]
-            if len(js):
-                d = np.bitwise_count(sb[js] ^ sa[i]).sum(1)
-                ok = d <= MOST_BITS
-                if ok.any():
-                    js, d = js[ok], d[ok]
-                    lo, hi = np.minimum(ca[i], cb[js]), np.maximum(ca[i], cb[js])
-                    found.append(pd.DataFrame({"a": np.minimum(a[i], b[js]), "b": np.maximum(a[i], b[js]), "d": d.astype(np.int64), "lo": lo, "hi": hi}))
-        out = pd.concat(found) if found else pd.DataFrame({"a": [], "b": [], "d": [], "lo": [], "hi": []}, dtype="int64")
-        if best and len(out):
-            out = out.sort_values(["lo", "hi", "d", "a", "b"]).groupby(["lo", "hi"]).head(best)
-        return out[["a", "b"]]
-
-    return pairs
+def _texts_sets(docs: DataFrame, ids: DataFrame, scratch: Scratch, label: str) -> DataFrame:
+    """Full shingle sets (id, shingles) of the documents whose ids are given."""
+    ids = scratch.write(ids, f"{label}-ids")
+    return scratch.write(_only(docs, ids, ids.count(), "doc_id").mapInArrow(_sets, "id long, shingles array<long>"), f"{label}-sets")
+
+
+def _rows_of(col: pa.Array) -> list[np.ndarray]:
+    """Rows of a list column as unsigned arrays."""
+    flat, at = col.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.asarray(col.offsets)
+    at = at - at[0]
+    return [flat[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+def _links_of(group: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Links between components of a block pair, enough to join what the pair can join."""
+    side = group.column("side").to_numpy()
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    one = not len(right)
+    right = left if one else right
+    ids, comp = group.column("rep").to_numpy(), group.column("component").to_numpy()
+    sketch, sets, bands = (_rows_of(group.column(c).combine_chunks()) for c in ("sketch", "shingles", "bands"))
+    sketch, bands, key = np.stack(sketch), np.stack(bands), group.column("key")[0].as_py() & 0xFFFFFFFFFFFFFFFF
+    size = np.array([len(x) for x in sets])
+    found: list[tuple[int, int, int]] = []
+    for i in left.tolist():
+        js = right[comp[right] != comp[i]]
+        js = js[js > i] if one else js
+        lo, hi = np.minimum(size[js], size[i]), np.maximum(size[js], size[i])
+        js = js[100 * lo >= percent * hi]
+        if len(js):
+            differ = np.bitwise_count(sketch[js] ^ sketch[i]).sum(1)
+            js, differ = js[differ <= MOST_BITS], differ[differ <= MOST_BITS]
+            if len(js):  # pairs that share several bands are looked at in the first of these
+                same = bands[js] == bands[i]
+                first = bands[i][same.argmax(1)] == np.uint64(key)
+                found += zip(differ[first].tolist(), [i] * int(first.sum()), js[first].tolist())
+    root: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while root.get(c, c) != c:
+            c = root[c]
+        return c
+
+    out = []
+    for _, i, j in sorted(found):
+        p, q = top(int(comp[i])), top(int(comp[j]))
+        if p != q:
+            x, y = sets[i], sets[j]
+            n = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            if 100 * n >= percent * (len(x) + len(y) - n):
+                root[max(p, q)] = min(p, q)
+                out.append((int(ids[i]), int(ids[j])))
+    return out
+
+
+def _across(percent: int):
+    """Over rows sorted by key, i, j: the links found in each such group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        now = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            marks = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], 1)
+            cuts = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(1)) + 1).tolist(), len(marks)]
+            out: list[tuple[int, int]] = []
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if tuple(marks[a]) != now and held:
+                    out += _links_of(pa.concat_tables(held), percent)
+                    held = []
+                now = tuple(marks[a])
+                held.append(table.slice(a, b - a))
+            yield _pairs(out)
+        if held:
+            yield _pairs(_links_of(pa.concat_tables(held), percent))
+
+    return run
+
+
+def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    a = np.array(links, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(a.min(1) if len(a) else a[:, 0]), pa.array(a.max(1) if len(a) else a[:, 0])], names=["a", "b"])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -222,26 +275,38 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 75) ->
         pairs = pairs.join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("x")), "a")
         return pairs.where(_differing("x", "y") <= MOST_BITS).select("a", "b").distinct()
 
-    star = buckets.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-    links = _confirm(docs, agree(star), scratch, "star", percent)
-    found = components(links, scratch, "star-components")
-
-    for label, best in (("best", FIRST_PAIRS), ("rest", 0)):
-        labelled = buckets.join(found, buckets["rep"] == found["node"], "left").select("key", "rep", "lead", F.coalesce("component", "rep").alias("component"))
-        mixed = labelled.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("n")).where("p <> q and n > 2")
-        mixed = scratch.write(mixed.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), f"{label}-mixed")
-        if mixed.isEmpty():
-            break
-        members = labelled.join(mixed, "key").join(sketches, "rep")
+    def labelled(rows: DataFrame, found: DataFrame, of: str, name: str) -> DataFrame:
+        return rows.join(found.select(F.col("node").alias(of), F.col("component").alias(name)), of, "left").withColumn(name, F.coalesce(name, of))
+
+    # each class with one other: the smallest first member of its buckets
+    star = buckets.where("rep <> lead").groupBy("rep").agg(F.min("lead").alias("a")).select("a", F.col("rep").alias("b"))
+    links = _confirm(docs, agree(star), scratch, "first", percent)
+    found = components(links, scratch, "first-components")
+    # with the first member of each of its buckets that lies in another component
+    star = buckets.where("rep <> lead").select("lead", "rep").distinct()
+    star = labelled(labelled(star, found, "rep", "p"), found, "lead", "q").where("p <> q").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
+    more = _confirm(docs, agree(star), scratch, "star", percent)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        found = components(links, scratch, "star-components")
+    # all others across components
+    sized = labelled(buckets, found, "rep", "component").join(with_set.select(F.col("doc_id").alias("rep"), "n_shingles"), "rep")
+    mixed = sized.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("n"), F.sum("n_shingles").alias("m")).where("p <> q and n > 2")
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("m") * 8 / BLOCK_BYTES)).cast("int")
+    mixed = scratch.write(mixed.select("key", blocks.alias("blocks")), "mixed")
+    if not mixed.isEmpty():
+        members = scratch.write(sized.select("key", "rep", "component").join(mixed, "key"), "members")
+        sets = _texts_sets(docs, members.select(F.col("rep").alias("id")).distinct(), scratch, "rest")
         members = members.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         # a block meets itself and every later one; each meeting is a group of at most two blocks
         meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j"), (F.col("block") > o).cast("int").alias("side")))
-        members = members.withColumn("m", F.explode(meets)).select("key", "rep", "lead", "component", "sketch", "m.*")
-        pairs = members.groupBy("key", "i", "j").applyInPandas(_across(best), "a long, b long").distinct()
-        more = _confirm(docs, pairs, scratch, label, percent)
+        members = members.withColumn("m", F.explode(meets)).select("key", "rep", "component", "m.*")
+        members = members.join(sets.select(F.col("id").alias("rep"), "shingles"), "rep").join(reps, "rep")
+        dealt = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        more = scratch.write(dealt.mapInArrow(_across(percent), "a long, b long").distinct(), "rest-links")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            found = components(links, scratch, f"{label}-components")
+            found = components(links.unionByName(more), scratch, "rest-components")
+        scratch.drop("rest-sets", "members")
 
     scratch.drop("buckets")
     members = sigs.select("doc_id", "n_shingles", "set_a", "set_b").alias("s")

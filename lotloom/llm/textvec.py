@@ -69,7 +69,7 @@ def raw(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, offs.astype(np.int64) - int(offs[0])
 
 
-def slices(col: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def slices(col: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes of text each (or of one longer row)."""
     _, offs = raw(col)
     a = 0
