@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: What a stand-alone session starts with; a cluster's own settings win.
 DEFAULTS = {
@@ -47,6 +49,15 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of few rows known to the driver, handed over as Arrow so that no Python worker is started."""
+    kind = spark.createDataFrame([], schema).schema
+    columns = list(zip(*rows)) if rows else [()] * len(kind)
+    fields = to_arrow_schema(kind)
+    table = pa.table([pa.array(list(c), f.type) for c, f in zip(columns, fields)], schema=fields)
+    return spark.createDataFrame(table, kind)
+
+
 class Scratch:
     """Intermediate tables as Parquet in the shared folder.
 
