@@ -58,6 +58,13 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     return spark.createDataFrame(table, kind)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """At most ``rows`` rows in a batch for Python from now on: texts are long, and a batch is held on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 class Scratch:
     """Intermediate tables as Parquet in the shared folder.
 
