@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lotloom.session import small_table
+
 
 def gapless(df: DataFrame, group: str, counts: dict[int, int], order: list[str], name: str) -> DataFrame:
     """``df`` with ``name``: 0, 1, ... within each value of ``group`` (long).
@@ -16,7 +18,7 @@ def gapless(df: DataFrame, group: str, counts: dict[int, int], order: list[str],
     different numbers in any order.
     """
     cell = min(max(sum(counts.values()) // 1000, 64), 1_000_000)
-    split = df.sparkSession.createDataFrame([(n, -(-c // cell)) for n, c in counts.items()], f"{group} long, cells int")
+    split = small_table(df.sparkSession, [(n, -(-c // cell)) for n, c in counts.items()], f"{group} long, cells int")
     celled = df.join(F.broadcast(split), group).withColumn("cell", F.pmod(F.xxhash64(*order), F.col("cells"))).drop("cells")
     sizes = celled.groupBy(group, "cell").agg(F.count("*").alias("n"))
     before = Window.partitionBy(group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotloom.session import Scratch
+from lotloom.session import Scratch, small_table
 
 #: Rows up to which the smaller of what to scan and what to leave is broadcast; beyond, both are shuffled.
 BROADCAST_ROWS = 200_000
@@ -95,7 +95,7 @@ def _ledger(spark: SparkSession, ledger: str, name: str, schema: str) -> DataFra
     """A table of the ledger; empty before the first scan."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ledger}/{name}")
     if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], schema)
+        return small_table(spark, [], schema)
     return spark.read.schema(schema).parquet(f"{ledger}/{name}")
 
 

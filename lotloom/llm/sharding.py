@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotloom.llm.numbering import gapless
-from lotloom.session import Scratch
+from lotloom.session import Scratch, small_table
 
 BINS_LOG = 12
 #: Bits of a coordinate, and of the content hash and the chunk below it in a key.
@@ -74,7 +74,7 @@ def grow(spark: SparkSession, units: DataFrame, shards: int, tolerance: float) -
         while live:
             steps = {first: max(0, (hi - lo - 1).bit_length() - BINS_LOG) for first, (_, lo, hi, _, _) in live.items()}
             rows = [(first, n.dimension, lo, hi, steps[first]) for first, (n, lo, hi, _, _) in live.items()]
-            looked = F.broadcast(spark.createDataFrame(rows, "node int, d int, lo long, hi long, shift int"))  # at most ``shards`` rows
+            looked = F.broadcast(small_table(spark, rows, "node int, d int, lo long, hi long, shift int"))  # at most ``shards`` rows
             inside = units.join(looked, "node").where(f"{KEY} >= lo and {KEY} < hi")
             sums: dict[int, dict[int, int]] = {}
             for r in inside.groupBy("node", F.expr(f"shiftright({KEY} - lo, shift)").alias("bin")).agg(F.sum("bytes").alias("bytes")).collect():
@@ -92,7 +92,7 @@ def grow(spark: SparkSession, units: DataFrame, shards: int, tolerance: float) -
                     del live[first]
                 else:
                     live[first] = (n, start, end, below, target)
-        splits = F.broadcast(spark.createDataFrame([(n.first, n.dimension, n.cut, n.first + n.shards // 2) for n in nodes], "node int, d int, cut long, above int"))
+        splits = F.broadcast(small_table(spark, [(n.first, n.dimension, n.cut, n.first + n.shards // 2) for n in nodes], "node int, d int, cut long, above int"))
         units = units.join(splits, "node", "left").withColumn("node", F.expr(f"case when {KEY} >= cut then above else node end")).drop("d", "cut", "above")
         level = [part for n in level for part in ([_Node(n.first, n.shards // 2), _Node(n.first + n.shards // 2, n.shards - n.shards // 2)] if n.shards > 1 else [n])]
     return units
