@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotloom.session import small_batches
+
 Turn = tuple[str, str]
 STRETCH = 32
 
@@ -156,6 +158,7 @@ def format_conversations(spark: SparkSession, conversations: DataFrame, keep_tex
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    small_batches(spark)
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"), F.col("turn").cast("long").alias("turn"))
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     schema = to_arrow_schema(spark.createDataFrame([], FORMATTED).schema)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotloom.llm.textvec import ALNUM, Words, slices
+from lotloom.session import small_batches
 
 WINDOW, GRAM = 10, 5
 #: Grams among which one is kept.
@@ -167,6 +168,7 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, bl
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    small_batches(spark)
     docs = docs.drop("n_words", "hits", "items").withColumn("text", F.col("text").cast("string"))
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     names = docs.columns

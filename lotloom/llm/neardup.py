@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotloom.llm.textvec import BLANK, Words, mix, slices
-from lotloom.session import Scratch
+from lotloom.session import Scratch, small_batches
 
 SHINGLE = 5
 #: A pair at similarity 0.75 shares none of the bands with probability 2.5e-7.
@@ -257,6 +257,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 75) ->
     share a doc_id count as one document; a null doc_id has a null component of its own
     and is kept. Further columns are ignored. An empty table gives an empty result.
     """
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scratch = Scratch(spark, "neardup")
     sigs = scratch.write(docs.mapInArrow(_signatures, SIGNATURE), "signatures")

@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotloom.llm.textvec import BLANK, Words, mix, slices
+from lotloom.session import small_batches, small_table
 
-SAMPLE_ROWS, SAMPLE_BYTES = 5000, 8 << 20
+SAMPLE_ROWS, SAMPLE_BYTES = 5000, 4 << 20
 BUCKETS = 1 << 18
 ROUNDS = 60
 
@@ -140,13 +141,17 @@ def hashed(words: Words) -> tuple[np.ndarray, np.ndarray]:
 def train(texts: list[str], target: np.ndarray) -> Model:
     """A logistic scorer of mean hashed features, fitted to soft targets. No rows: score one half."""
     model = Model(np.zeros(BUCKETS), 0.0)
-    words = Words(pa.array(texts, pa.string()), BLANK)
-    if not len(words.hash):
+    rows_, ats, values, col = [], [], [], pa.array(texts, pa.string())
+    for a, b in slices(col):
+        words = Words(col.slice(a, b - a), BLANK)
+        row, at = hashed(words)
+        key, n = np.unique(row * BUCKETS + at, return_counts=True)
+        rows_.append(key // BUCKETS + a)
+        ats.append(key % BUCKETS)
+        values.append(n / words.count[key // BUCKETS])
+    if not sum(map(len, ats)):
         return model
-    row, at = hashed(words)
-    key, n = np.unique(row * BUCKETS + at, return_counts=True)
-    row, at = key // BUCKETS, key % BUCKETS
-    value = n / words.count[row]
+    row, at, value = np.concatenate(rows_), np.concatenate(ats), np.concatenate(values)
     uniq, inv = np.unique(at, return_inverse=True)
     rows = len(texts)
     theta = np.zeros(len(uniq) + 1)
@@ -195,6 +200,7 @@ def score_quality(spark: SparkSession, docs: DataFrame, rows: int = SAMPLE_ROWS,
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    small_batches(spark)
     docs = docs.drop("score").withColumn("text", F.col("text").cast("string"))
     narrow = docs.select("text")
     voted = narrow.mapInArrow(_with(0, pa.schema([("votes", pa.string())]), _votes), "votes string")
@@ -221,6 +227,6 @@ def _sample(docs: DataFrame, rows: int, most_bytes: int) -> list[str]:
             used += r["size"]
     if not chosen:
         return []
-    keys = F.broadcast(docs.sparkSession.createDataFrame(chosen, "h long"))  # at most ``rows`` rows
+    keys = F.broadcast(small_table(docs.sparkSession, chosen, "h long"))  # at most ``rows`` rows
     first = docs.where("octet_length(text) > 0").select("text", F.xxhash64("text").alias("h")).join(keys, "h").groupBy("h").agg(F.min("text").alias("text"))
     return [r["text"] for r in first.orderBy("h").collect()]

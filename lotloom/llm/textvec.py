@@ -69,7 +69,7 @@ def raw(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, offs.astype(np.int64) - int(offs[0])
 
 
-def slices(col: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(col: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes of text each (or of one longer row)."""
     _, offs = raw(col)
     a = 0
@@ -149,3 +149,22 @@ class Words:
         total = np.zeros(len(values) + 1, np.int64)
         np.cumsum(fresh, out=total[1:])
         return values[fresh], total[at]
+
+
+class Hashes:
+    """The word hashes of many texts without their bytes: what stays of ``Words`` over slices."""
+
+    def __init__(self, texts: list[str], separators: np.ndarray) -> None:
+        col = pa.array(texts, pa.string())
+        hashes, counts = [], []
+        for a, b in slices(col):
+            w = Words(col.slice(a, b - a), separators)
+            hashes.append(w.hash)
+            counts.append(w.count)
+        self.hash = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        self.count = np.concatenate(counts) if counts else np.zeros(0, np.int64)
+        self.row = np.repeat(np.arange(len(self.count)), self.count)
+        self.first = np.zeros(len(self.count) + 1, np.int64)
+        np.cumsum(self.count, out=self.first[1:])
+
+    grams, whole = Words.grams, Words.whole

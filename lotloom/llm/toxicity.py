@@ -23,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotloom.llm.textvec import ALNUM, Words, slices
+from lotloom.llm.textvec import ALNUM, Hashes, Words, slices
+from lotloom.session import small_batches, small_table
 
 #: Bounds of the labelled sample that is brought to the driver.
-SAMPLE_ROWS, SAMPLE_BYTES = 6000, 10 << 20
+SAMPLE_ROWS, SAMPLE_BYTES = 6000, 5 << 20
 #: Hashed features of each of the three places (word, previous, next).
 BUCKETS = 1 << 17
 ROUNDS = 60
@@ -44,7 +45,7 @@ class Model:
     curve: np.ndarray  # of the score: constant, log1p(expected toxic tokens), highest marginal
 
 
-def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
+def features(words: Words | Hashes) -> tuple[np.ndarray, np.ndarray]:
     """Feature ids (3 x tokens) and which tokens are a text's first."""
     h = (words.hash % np.uint64(BUCKETS)).astype(np.int64)
     n = len(h)
@@ -95,7 +96,7 @@ def marginals(score: np.ndarray, first: np.ndarray, start: float, trans: np.ndar
     return odds / (1 + odds), fwd, beta
 
 
-def _lexicon(words: Words, toxic: np.ndarray) -> np.ndarray:
+def _lexicon(words: Hashes, toxic: np.ndarray) -> np.ndarray:
     """Hashes of the words found almost only in toxic texts.
 
     Texts that share their least five-word gram count once, so that copies of one toxic
@@ -122,7 +123,7 @@ def train(texts: list[str], labels: list[int]) -> Model:
     toxic = np.array(labels, bool)
     prior = float(np.clip(toxic.mean() if len(toxic) else 0, 1e-4, 1 - 1e-4))
     model = Model(np.zeros((3, BUCKETS + 1)), 0.0, -3.0, np.array([[0.0, -3.0], [0.0, 0.0]]), np.array([np.log(prior / (1 - prior)), 0.0, 0.0]))
-    words = Words(pa.array(texts, pa.string()), ALNUM)
+    words = Hashes(texts, ALNUM)
     if not len(words.hash) or toxic.all() or not toxic.any():
         return model
     lexicon = _lexicon(words, toxic)
@@ -179,7 +180,7 @@ def train(texts: list[str], labels: list[int]) -> Model:
     return model
 
 
-def _gathered(words: Words, p: np.ndarray) -> np.ndarray:
+def _gathered(words: Words | Hashes, p: np.ndarray) -> np.ndarray:
     """For each text: 1, log1p of the expected toxic tokens among likely ones, its highest marginal."""
     rows = len(words.count)
     out = np.zeros((rows, 3))
@@ -246,7 +247,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_RO
             used += r["size"]
     if not chosen:
         return []
-    ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, label int")  # at most ``rows`` rows
+    ids = small_table(docs.sparkSession, chosen, "doc_id long, label int")  # at most ``rows`` rows
     got = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label").collect()
     return [(t, y) for _, t, y in sorted({(r["doc_id"], r["text"], r["label"]) for r in got})]
 
@@ -261,6 +262,7 @@ def score_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> D
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    small_batches(spark)
     docs = docs.drop("score", "spans").withColumn("text", F.col("text").cast("string"))
     got = sample(docs, labels, "toxic")
     model = train([t for t, _ in got], [y for _, y in got])
