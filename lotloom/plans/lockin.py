@@ -312,17 +312,18 @@ CASCADE: tuple[tuple[str, Callable[[Inputs], Column], bool], ...] = (
 )
 
 
-def cascade(x: Inputs, results: list[Column]) -> Column:
-    """The first acceptable of the strategies' results, in the order of CASCADE."""
-    hints = F.filter(F.array(x.known, x.declared, x.computed), lambda h: (h > 0) & F.array_contains(x.on_page, h))
-    out = None
-    for (_, _, anchored), result in zip(CASCADE, results):
-        ok = result.isNotNull() & (F.size(result["lots"]) > 0)
+def tried(x: Inputs, before: Column, step: int) -> Column:
+    """What earlier strategies found or, where they found nothing, this one's result if it is acceptable."""
+    _, strategy, anchored = CASCADE[step]
+
+    def of(result: Column) -> Column:
+        ok = F.size(result["lots"]) > 0
         if anchored:
-            ok = ok & ((F.size(hints) == 0) | F.array_contains(hints, result["computed_total"]))
-        ok = F.coalesce(ok, F.lit(False))
-        out = F.when(ok, result) if out is None else out.when(ok, result)
-    return out.otherwise(_result(_no_lots(), lambda _: (F.lit(None), F.lit(False), F.lit("all_failed"))))
+            hints = F.filter(F.array(x.known, x.declared, x.computed), lambda h: (h > 0) & F.array_contains(x.on_page, h))
+            ok = ok & let(hints, lambda hints: (F.size(hints) == 0) | F.array_contains(hints, result["computed_total"]))
+        return F.when(F.coalesce(ok, F.lit(False)), result)
+
+    return F.when(before.isNotNull(), before).otherwise(let(strategy(x), of))
 
 
 def extract(filings: DataFrame, compat: bool = False) -> DataFrame:
@@ -340,11 +341,12 @@ def extract(filings: DataFrame, compat: bool = False) -> DataFrame:
     mended = F.transform("_lines", lambda l: numbers.repair_numbers(l))
     out = out.withColumns({"_rows": body(F.col("_lines")), "_mended": body(mended), "_page": F.flatten(F.transform("_lines", numbers.line_numbers))})
     x = Inputs(*map(F.col, ("_lines", "_every", "_rows", "_mended", "_page", "known_total", "declared_hint", "computed_hint")))
-    out = out.withColumns({f"_s{i}": F.when(F.col("exchange") != "NSE", strategy(x)) for i, (_, strategy, _) in enumerate(CASCADE)})
-    out = out.withColumn("_general", general(x, compat))
-    chosen = cascade(x, [F.col(f"_s{i}") for i in range(len(CASCADE))])
-    out = out.withColumn("_picked", F.when(F.col("exchange") != "NSE", chosen))
-    out = out.withColumn("_picked", F.when(F.size("_picked.lots") > 0, F.col("_picked")).otherwise(F.col("_general")))
+    bse, failed = F.col("exchange") != "NSE", _result(_no_lots(), lambda _: (F.lit(None), F.lit(False), F.lit("all_failed")))
+    out = out.withColumn("_picked", F.when(~bse, general(x, compat)))
+    for step in range(len(CASCADE)):
+        out = out.withColumn("_picked", tried(x, F.col("_picked"), step))
+    rest = let(general(x, compat), lambda r: F.when(F.size(r["lots"]) > 0, r).otherwise(failed))
+    out = out.withColumn("_picked", F.when(F.col("_picked").isNotNull(), F.col("_picked")).otherwise(rest))
 
     def finished(r: Column) -> Column:
         start, to = dates.date_value(r["from_date"], F.col("_order")), dates.date_value(r["to_date"], F.col("_order"))
