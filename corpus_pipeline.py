@@ -43,9 +43,11 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     few = found.limit(secrets.BROADCAST_ROWS + 1).count() <= secrets.BROADCAST_ROWS
     found = F.broadcast(found) if few else found.hint("shuffle_hash")
     joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (blob == F.col("blob")), "left")
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col("spans")))
-    new = {"text": text} | ({"n_chars": F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType))} if "n_chars" in docs.columns else {})
-    return joined.select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns))
+    masked = F.when(F.col("spans").isNotNull(), secrets.redact(F.col("text"), F.col("spans")))
+    new = {"text": F.coalesce("_masked", "text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.coalesce(F.length("_masked").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return joined.withColumn("_masked", masked).select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
