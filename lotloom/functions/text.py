@@ -113,6 +113,12 @@ def slugs(company: Column) -> Column:
     return F.array_distinct(F.array(*(F.concat(F.replace(v, F.lit(" "), F.lit(sep)), F.lit(f"{sep}ipo")) for v in both for sep in "-_")))
 
 
+def plain_path(path: Column, root: str = "") -> Column:
+    """A path with forward slashes, single ones, and without the leading root."""
+    out = F.regexp_replace(F.replace(path, F.lit("\\"), F.lit("/")), "/{2,}", "/")
+    return F.when(out.startswith(root), F.substring(out, F.lit(len(root) + 1), F.length(out))).otherwise(out) if root else out
+
+
 def symbol_token(text: Column) -> Column:
     """Capitals, digits and hyphens only."""
     return F.regexp_replace(F.upper(F.trim(text)), "[^A-Z0-9-]", "")

@@ -74,6 +74,11 @@ def failed(log: DataFrame, symbol: str, exchange: str, message: str, now: Column
     return row.join(old, ["exchange", "file_name"], "left").withColumn("version", F.coalesce(F.col("_v") + 1, F.lit(1))).drop("_v")
 
 
+def with_error(log: DataFrame, errors: DataFrame, now: Column) -> DataFrame:
+    """New versions of records that bear an error (id, error_message)."""
+    return log.drop("error_message").join(errors.select("id", "error_message"), "id").withColumns({"updated_at": now, "version": F.col("version") + 1})
+
+
 def with_verdicts(log: DataFrame, verdicts: DataFrame, now: Column) -> DataFrame:
     """New versions that carry their verdicts as JSON, whether all passed, and the failed rules."""
     packed = verdicts.groupBy("id").agg(

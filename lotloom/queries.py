@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lotloom.functions import classify, dates, numbers, text
-from lotloom.operators import adapter, calendar, ledger, rules
+from lotloom.operators import adapter, calendar, ledger, reports, rules
 from lotloom.operators import master as issuers
 from lotloom.operators.adapter import LOG_SQL, LOTS_SQL, MASTER_SQL
 from lotloom.plans import lockin, shp
@@ -494,6 +494,52 @@ def residual_other(spark: SparkSession, d: str) -> DataFrame:
     return log.withColumn("r", r).select("id", shp.reconciled(F.col("r"))["other_shares"].alias("other_shares"))
 
 
+# Reports
+
+
+@query(f"{LOG} SELECT status = 'FINALIZED' AS finalized, count(*) AS n, list_sort(list_distinct(list(unique_symbol))) AS symbols FROM log GROUP BY 1")
+def run_summary(spark: SparkSession, d: str) -> DataFrame:
+    return reports.run_summary(adapter.log(spark, d))
+
+
+@query(f"""{_RENDERED_SQL}, f AS (SELECT processing_log_id, count(*) AS n FROM x GROUP BY 1) SELECT 'NSE' AS exchange, count(*) AS files, count(*) AS passed, 0::BIGINT AS mismatches, 0::BIGINT AS range_errors FROM f""")
+def outcome_summary(spark: SparkSession, d: str) -> DataFrame:
+    read = lockin.extract(_filings(spark, d, "NSE")).withColumn("name", F.col("processing_log_id"))
+    return reports.outcome_summary(reports.outcomes(read))
+
+
+@query(f"{LOTS} SELECT processing_log_id, count(*) FILTER (distinctive_to - distinctive_from + 1 <> shares) AS range_errors FROM lots GROUP BY 1")
+def range_mismatches(spark: SparkSession, d: str) -> DataFrame:
+    return rules.facts(adapter.lots(spark, d)).select("processing_log_id", "range_errors")
+
+
+@query(f"{RULES_SQL} SELECT id, declared_total = computed_total AS passed, declared_total::BIGINT AS expected FROM r")
+def strict_rule2(spark: SparkSession, d: str) -> DataFrame:
+    return rules.verdicts(_rule_records(spark, d), strict=True).where("rule_id = 'RULE2'").select("id", "passed", "expected")
+
+
+@query(f"""{LOG} SELECT id, list_filter([CASE WHEN computed_total <> computed_total + id % 2 THEN 'totals differ' END, CASE WHEN locked_total + id % 3 <> locked_total THEN 'shareholding locked differs' END, CASE WHEN status = 'FINALIZED' THEN 'already finalized' END],
+    lambda x: x IS NOT NULL) AS reasons FROM log WHERE computed_total IS NOT NULL""")
+def promotable_candidates(spark: SparkSession, d: str) -> DataFrame:
+    log = adapter.log(spark, d).where("computed_total is not null")
+    snapshot = F.struct(
+        F.lit(1).alias("rows_count"), "computed_total", (F.col("computed_total") + F.col("id") % 2).alias("declared_total"), "locked_total", "free_total", "shp_total_shares", (F.col("locked_total") + F.col("id") % 3).alias("shp_locked_shares"),
+        "shp_promoter_shares", "shp_public_shares", "shp_others_shares", (F.col("status") == "FINALIZED").alias("finalized"),
+    )
+    return log.select("id", snapshot.alias("candidate")).select("id", rules.promotable().alias("reasons"))
+
+
+@query(f"""{LOG} SELECT p.id, p.unique_symbol, locked_total * 100.0 / nullif(computed_total, 0) > 50 AS mostly_locked FROM log p WHERE computed_total IS NOT NULL""")
+def locked_share(spark: SparkSession, d: str) -> DataFrame:
+    return adapter.log(spark, d).where("computed_total is not null").select("id", "unique_symbol", (reports.percent(F.col("locked_total"), F.col("computed_total")) > 50).alias("mostly_locked"))
+
+
+@query(f"SELECT processing_id, count(*) AS n, sum(shares_unlocked)::BIGINT AS shares FROM ({_events_sql()}) GROUP BY 1")
+def feed_records(spark: SparkSession, d: str) -> DataFrame:
+    events = calendar.nested_events(_events(spark, d))
+    return events.select("processing_id", F.size("unlock_events").cast("long").alias("n"), F.aggregate("unlock_events", F.lit(0).cast("long"), lambda s, e: s + e["shares_unlocked"]).alias("shares"))
+
+
 # Our own extension: windows over the stream table, in batch
 
 
