@@ -23,51 +23,141 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotloom.llm.numbering import gapless
-from lotloom.session import Scratch
+from lotloom.llm.textvec import BLANK, Words, slices
+from lotloom.session import Scratch, small_batches
 
 CAPACITY = 4096
 #: The id that ends each document.
 END = 1
-#: Words whose ids a worker keeps; beyond that it starts over.
-CACHED_WORDS = 500_000
+#: Words whose ids a worker keeps, words encoded as one text, bytes of text looked at at once.
+CACHED_WORDS, TOGETHER, LEARN_BYTES = 1_000_000, 1024, 2 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class _Ids(dict):
-    """Little-endian 32-bit ids of each word, made on demand."""
+#: Bytes by kind: white space, letter or beyond ASCII, digit, mark, and those that ask for a closer look.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[65:91], _KIND[97:123], _KIND[128:], _KIND[48:58] = 1, 1, 1, 2
+_KIND[[*range(32), 127, ord("'"), ord("<")]] = 4
+_KIND[32] = 0
+
+
+class _Ids:
+    """Ids of the words met before: sorted hashes, and where each word's ids lie in one flat array.
+
+    A word takes some 35 bytes. When there are too many, words that repeat within the latest slice stay.
+    """
 
     def __init__(self, tokenizer) -> None:
-        super().__init__()
         self.tokenizer = tokenizer
+        self.hash, self.begin, self.size, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+        vocabulary = tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def encoded(self, data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words joined by single spaces, and how many each has; ``starts`` are the words' first bytes.
+
+        The vocabulary drops white space, so words encode as they would on their own. Runs
+        of letters, single digits and runs of marks are pieces, and the last token of a
+        piece says that it ends; so the pieces of each word tell its tokens. Where letters
+        can't be told from bytes, every token's offset tells its word, which takes longer.
+        """
+        text = data.decode("utf-8", "replace")
+        kind = _KIND[np.frombuffer(data, np.uint8)]
+        if not (kind == 4).any() and all(c.isalpha() and c.lower().isalpha() for c in set(text) if c > "\x7f"):
+            got = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            piece = kind == 2
+            piece[0] |= kind[0] != 0
+            piece[1:] |= (kind[1:] != kind[:-1]) & (kind[1:] != 0)
+            pieces, ends = np.add.reduceat(piece, starts, dtype=np.int64), np.flatnonzero(self.ends[got]) + 1
+            if pieces.sum() == len(ends):
+                return got, np.diff(ends[np.cumsum(pieces) - 1], prepend=0)
+        points = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80) - 1
+        found = self.tokenizer.encode_batch([text], add_special_tokens=False)[0]
+        word = np.searchsorted(points[starts], np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0], "right") - 1
+        return np.array(found.ids, "<u4"), np.bincount(word, minlength=len(starts))
+
+    def learn(self, words: Words, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of the words at places ``fresh``, in order."""
+        begin, length = words.start[fresh], words.end[fresh] - words.start[fresh]
+        at = np.cumsum(length + 1) - length - 1  # where each goes, a space after each
+        text = np.full(at[-1] + length[-1] + 1 if len(at) else 0, 32, np.uint8)
+        inside = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        text[np.repeat(at, length) + inside] = words.buf[np.repeat(begin, length) + inside]
+        ids, sizes, data = [], [], text.tobytes()
+        for a in range(0, len(fresh), TOGETHER):
+            b = min(a + TOGETHER, len(fresh))
+            got, size = self.encoded(data[at[a] : at[b - 1] + length[b - 1]], at[a:b] - at[a])
+            ids.append(got)
+            sizes.append(size)
+        return (np.concatenate(ids), np.concatenate(sizes)) if ids else (np.zeros(0, "<u4"), np.zeros(0, np.int64))
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        out = self[word] = np.array(ids, "<u4").tobytes()
-        return out
+    def keep(self, hashes: np.ndarray, begin: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
+        if len(self.hash) + len(hashes) > CACHED_WORDS:
+            self.hash, self.begin, self.size, self.flat = self.hash[:0], self.begin[:0], self.size[:0], self.flat[:0]
+        at = np.cumsum(size) - size
+        own = flat[np.repeat(begin - at, size) + np.arange(size.sum())]
+        place = np.searchsorted(self.hash, hashes)
+        self.hash, self.size = np.insert(self.hash, place, hashes), np.insert(self.size, place, size)
+        self.begin, self.flat = np.insert(self.begin, place, at + len(self.flat)), np.concatenate([self.flat, own])
 
 
-def tokens(ids: _Ids, text: str) -> bytes:
-    """A document's ids and its end. The vocabulary drops white space, so words encode on their own."""
-    return b"".join(map(ids.__getitem__, text.encode("utf-8", "replace").split())) + END.to_bytes(4, "little")
+#: By path; a worker serves many tasks.
+_KEPT: dict[str, _Ids] = {}
+
+
+def ids_of(path: str) -> _Ids:
+    from tokenizers import Tokenizer
+
+    if path not in _KEPT:
+        _KEPT[path] = _Ids(Tokenizer.from_file(path))
+    return _KEPT[path]
+
+
+def tokens(ids: _Ids, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts of a column and where each text's begin (n + 1 places). Each different word is encoded once."""
+    words = Words(col, BLANK, exact=True)
+    if not len(words.hash):
+        return np.zeros(0, "<u4"), np.zeros(len(col) + 1, np.int64)
+    uniq, first, which, count = np.unique(words.hash, return_index=True, return_inverse=True, return_counts=True)
+    place = np.searchsorted(ids.hash, uniq)
+    known = np.zeros(len(uniq), bool)
+    if len(ids.hash):
+        known = ids.hash[np.minimum(place, len(ids.hash) - 1)] == uniq
+    begin, size = np.zeros(len(uniq), np.int64), np.zeros(len(uniq), np.int64)
+    begin[known], size[known] = ids.begin[place[known]], ids.size[place[known]]
+    fresh = ~known
+    # words that ask for a closer look come last, so that they don't slow down the others
+    odd = np.add.reduceat(np.append(_KIND[words.buf] == 4, False), np.stack([words.start, words.end], 1).ravel())[::2]
+    order = np.flatnonzero(fresh)
+    order = order[np.argsort(odd[first[order]] > 0, kind="stable")]
+    got, sizes = ids.learn(words, first[order])
+    begin[order], size[order] = len(ids.flat) + np.cumsum(sizes) - sizes, sizes
+    flat = np.concatenate([ids.flat, got])
+    stay = fresh & (count > 1) if len(ids.hash) + fresh.sum() > CACHED_WORDS else fresh
+    ids.keep(uniq[stay], begin[stay], size[stay], flat)
+    per = size[which]
+    at = np.zeros(len(per) + 1, np.int64)
+    np.cumsum(per, out=at[1:])
+    return flat[np.repeat(begin[which] - at[:-1], per) + np.arange(at[-1])], at[words.first]
 
 
 def _cut(path: str, capacity: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
+    last = END.to_bytes(4, "little")
 
-        ids = _Ids(Tokenizer.from_file(path))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = ids_of(path)
         names = [f.split()[0] for f in PIECES.split(", ")]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
-            rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                got = tokens(ids, text.as_py() or "")
-                for k, at in enumerate(range(0, len(got), 4 * capacity)):
-                    part = got[at : at + 4 * capacity]
-                    rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            if rows:
+            for a, b in slices(batch.column(1), LEARN_BYTES):
+                flat, at = tokens(ids, batch.column(1).slice(a, b - a))
+                rows: list[tuple] = []
+                for doc, i, j in zip(batch.column(0).slice(a, b - a).to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                    got = flat[i:j].tobytes() + last
+                    for k, start in enumerate(range(0, len(got), 4 * capacity)):
+                        part = got[start : start + 4 * capacity]
+                        rows.append((doc, k, start // 4, len(part) // 4, zlib.crc32(part)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
     return run
@@ -158,6 +248,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int = C
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    small_batches(spark)
     scratch = Scratch(spark, "packing")
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pieces = scratch.write(narrow.mapInArrow(_cut(tokenizer, capacity), PIECES), "pieces")

@@ -19,8 +19,9 @@ _PINV = pow(_P, -1, 1 << 64)
 _RNG = np.random.default_rng(20240607)
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
-#: A random value for each byte, after A-Z are lower-cased.
-_BYTE = _RNG.integers(0, 2**64, 256, dtype=np.uint64)[_LOW]
+#: A random value for each byte, as it is and after A-Z are lower-cased.
+_EXACT = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
+_BYTE = _EXACT[_LOW]
 #: One odd multiplier for each place in a shingle.
 _PLACE = _RNG.integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
 _POW: dict[str, np.ndarray] = {"p": np.ones(1, np.uint64), "i": np.ones(1, np.uint64)}
@@ -80,9 +81,9 @@ def slices(col: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
 
 
 class Words:
-    """Words of a text column: row, start and end byte, hash; all in order."""
+    """Words of a text column: row, start and end byte, hash; all in order. Hashes ignore the case of A-Z, unless ``exact``."""
 
-    def __init__(self, col: pa.Array, separators: np.ndarray) -> None:
+    def __init__(self, col: pa.Array, separators: np.ndarray, exact: bool = False) -> None:
         self.buf, self.offs = raw(col)
         n, rows = len(self.buf), len(self.offs) - 1
         word = ~separators[_LOW[self.buf]]
@@ -100,7 +101,7 @@ class Words:
         self.first = np.zeros(rows + 1, np.int64)
         np.cumsum(self.count, out=self.first[1:])
         prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[self.buf] * _powers("p", n), out=prefix[1:])
+        np.cumsum((_EXACT if exact else _BYTE)[self.buf] * _powers("p", n), out=prefix[1:])
         self.hash = mix((prefix[self.end] - prefix[self.start]) * _powers("i", n + 1)[self.start])
 
     def grams(self, k: int) -> np.ndarray:
