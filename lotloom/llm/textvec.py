@@ -1,12 +1,16 @@
 """Words, word hashes and shingles of many texts at once, on their UTF-8 bytes.
 
 All separators of the word rules used here are ASCII, so bytes decide where words
-begin and end. A word's hash is a polynomial over its bytes taken from prefix sums
-modulo 2**64, finished by a mixer.
+begin and end. A word's hash is a chain of mixing steps over its bytes, eight at a time; each
+step is a bijection of 64 bits, so words of one length up to eight bytes never
+collide and others do with the chance of a 64-bit hash (about n * n / 3.7e19 for n
+different words). Where a collision would change a result beyond that, callers compare bytes
+(``Words.same``).
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,17 +18,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _M64 = (1 << 64) - 1
-_P = 0x9E3779B97F4A7C15
-_PINV = pow(_P, -1, 1 << 64)
+_P = np.uint64(0x9E3779B97F4A7C15)
 _RNG = np.random.default_rng(20240607)
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
-#: A random value for each byte, as it is and after A-Z are lower-cased.
-_EXACT = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
-_BYTE = _EXACT[_LOW]
 #: One odd multiplier for each place in a shingle.
 _PLACE = _RNG.integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
-_POW: dict[str, np.ndarray] = {"p": np.ones(1, np.uint64), "i": np.ones(1, np.uint64)}
+#: Masks that keep the first 0..8 bytes of a little-endian 64-bit value.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Words of more bytes are hashed one by one, so that the number of steps stays small.
+_LONG_WORD = 256
 
 
 def _separators(*ranges: tuple[int, int]) -> np.ndarray:
@@ -48,15 +51,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _powers(kind: str, n: int) -> np.ndarray:
-    have = _POW[kind]
-    if len(have) < n:
-        full = np.full(max(n, 1 << 16), _P if kind == "p" else _PINV, np.uint64)
-        full[0] = 1
-        have = _POW[kind] = np.cumprod(full, dtype=np.uint64)
-    return have[:n]
-
-
 def raw(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and where each row begins (n + 1 offsets); null is empty."""
     if isinstance(col, pa.ChunkedArray):
@@ -80,6 +74,30 @@ def slices(col: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
         a = b
 
 
+def same_bytes(x: np.ndarray, x_at: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_at: np.ndarray, y_size: np.ndarray) -> np.ndarray:
+    """Whether stretches of x equal those of y, pairwise; eight bytes must follow the last stretch of each."""
+    out = x_size == y_size
+    for i in np.flatnonzero(out & (x_size > _LONG_WORD)).tolist():
+        out[i] = np.array_equal(x[x_at[i] : x_at[i] + x_size[i]], y[y_at[i] : y_at[i] + y_size[i]])
+    eights = [np.ndarray((max(len(v) - 7, 0),), "<u8", v.data, 0, (1,)) for v in (x, y)]
+    live, step = np.flatnonzero(out & (x_size <= _LONG_WORD) & (x_size > 0)), 0
+    while len(live):
+        equal = ((eights[0][x_at[live] + step] ^ eights[1][y_at[live] + step]) & _FIRST[np.minimum(x_size[live] - step, 8)]) == 0
+        out[live[~equal]] = False
+        step += 8
+        live = live[equal & (x_size[live] > step)]
+    return out
+
+
+def gathered(buf: np.ndarray, begin: np.ndarray, size: np.ndarray, gap: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of a byte array one after another, ``gap`` spaces after each, and where each begins."""
+    at = np.cumsum(size + gap) - size - gap
+    out = np.full(int(at[-1] + size[-1]) + gap if len(at) else 0, 32, np.uint8)
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(at, size) + inside] = buf[np.repeat(begin, size) + inside]
+    return out, at
+
+
 class Words:
     """Words of a text column: row, start and end byte, hash; all in order. Hashes ignore the case of A-Z, unless ``exact``."""
 
@@ -100,9 +118,33 @@ class Words:
         self.count = np.bincount(self.row, minlength=rows).astype(np.int64)
         self.first = np.zeros(rows + 1, np.int64)
         np.cumsum(self.count, out=self.first[1:])
-        prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum((_EXACT if exact else _BYTE)[self.buf] * _powers("p", n), out=prefix[1:])
-        self.hash = mix((prefix[self.end] - prefix[self.start]) * _powers("i", n + 1)[self.start])
+        self.bytes = np.zeros(n + 8, np.uint8)  # what counts of the texts, with room to read past the end
+        self.bytes[:n] = self.buf if exact else _LOW[self.buf]
+        self._eight = np.ndarray((n + 1,), "<u8", self.bytes.data, 0, (1,))
+        self.hash = self._hashes()
+
+    def _hashes(self) -> np.ndarray:
+        length = self.end - self.start
+        out = mix(length.astype(np.uint64) * _P + np.uint64(1))
+        live = np.flatnonzero(length <= _LONG_WORD)
+        for step in range(-(-_LONG_WORD // 8)):
+            if not len(live):
+                break
+            part = self._eight[self.start[live] + 8 * step] & _FIRST[np.minimum(length[live] - 8 * step, 8)]
+            out[live] = mix((out[live] ^ part) * _P + np.uint64(step))
+            live = live[length[live] > 8 * (step + 1)]
+        for i in np.flatnonzero(length > _LONG_WORD).tolist():
+            out[i] = int.from_bytes(hashlib.blake2b(self.bytes[self.start[i] : self.end[i]].tobytes(), digest_size=8).digest(), "little")
+        return out
+
+    def head(self, k: int, at: np.ndarray | None = None) -> np.ndarray:
+        """The first k bytes (at most 8) of the words as one number, shorter words as a whole; of the words at places ``at``, else of all."""
+        start, end = (self.start, self.end) if at is None else (self.start[at], self.end[at])
+        return self._eight[start] & _FIRST[np.minimum(end - start, k)]
+
+    def same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the words at places ``a`` have the bytes of those at places ``b``."""
+        return same_bytes(self.bytes, self.start[a], self.end[a] - self.start[a], self.bytes, self.start[b], self.end[b] - self.start[b])
 
     def grams(self, k: int) -> np.ndarray:
         """Hash of the k words from each place on; only where a row has k words from there."""

@@ -1,12 +1,15 @@
 """Toxic spans by a linear-chain conditional random field (operator 3).
 
-Training runs on the driver over a bounded sample of labelled documents (at most
-SAMPLE_ROWS rows and SAMPLE_BYTES of text). Document labels become token labels:
-words found almost only in toxic documents (copies counted once) are the toxic tokens of
-these. A two-state chain over hashed words, previous and
-next words is fitted to the token labels by maximum likelihood. Forward-backward
-marginals of every token give the spans and, summed up, the score of a document, which
-a logistic curve fitted on the same sample maps to 0..1.
+Training runs on the driver over a bounded sample of labelled documents (SAMPLE_ROWS rows,
+SAMPLE_BYTES of text of each class). A document's label says what its tokens can be: in a
+clean one every token has state 0, in a toxic one at least one has state 1. A two-state
+chain over hashed words, their beginnings and neighbours is fitted to that by maximum
+likelihood. With the weight of the path of zeros set to 1, both cases need nothing but
+the chain's total weight Z, for P(no toxic token) = 1 / Z. Texts that share their least
+five-word gram count once together, so that copies don't make the words of one toxic text look toxic.
+
+The score of a document is 1 - 1 / Z, so a token whose marginal passes one half always
+takes its document past one half. Marginals of at least one half are the spans.
 
 Both recursions are chains of Moebius maps on the odds of the toxic state. They run
 exactly and vectorised: products within chunks, one step per chunk, then all chunks
@@ -23,40 +26,48 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotloom.llm.textvec import ALNUM, Hashes, Words, slices
-from lotloom.session import small_batches, small_table
-
-#: Bounds of the labelled sample that is brought to the driver.
-SAMPLE_ROWS, SAMPLE_BYTES = 6000, 5 << 20
-#: Hashed features of each of the three places (word, previous, next).
-BUCKETS = 1 << 17
-ROUNDS = 60
-_EDGE = BUCKETS  # the place before a text's first word and after its last
-
+from lotloom.llm.textvec import ALNUM, Words, mix, slices
+from lotloom.session import Scratch, small_batches, small_table
+
+#: Bounds of the labelled sample that is brought to the driver, for each of the two labels.
+SAMPLE_ROWS, SAMPLE_BYTES = 4000, 3 << 20
+#: Hashed features of each place; the places: the word, its beginnings of these lengths in bytes, the words before and after.
+BUCKETS, HEADS = 1 << 17, (4, 5, 6, 7, 8)
+PLACES = 3 + len(HEADS)
+_NONE = BUCKETS  # no word there, or a word too short for such a beginning
+#: Steps of the fit and the penalties of a word's weight and of a neighbour's (chosen by folds of training rows).
+ROUNDS, PENALTY, NEIGHBOUR = 60, 0.05, 1.0
+#: Penalty of the weights of leaving and of keeping the toxic state.
+SETTLED = 10.0
+#: A feature has a weight of its own if so many toxic texts that aren't copies hold it.
+LEAST_TEXTS = 2
 SPANS = "array<struct<first:int,last:int>>"
 
 
 @dataclass
 class Model:
-    weights: np.ndarray  # 3 x (BUCKETS + 1)
+    weights: np.ndarray  # PLACES x (BUCKETS + 1)
     bias: float
     start: float  # log odds of the toxic state at a text's start
     trans: np.ndarray  # log weights from state i to state j
-    curve: np.ndarray  # of the score: constant, log1p(expected toxic tokens), highest marginal
+    prior: float | None = None  # the score of every text, where nothing could be learnt
 
 
-def features(words: Words | Hashes) -> tuple[np.ndarray, np.ndarray]:
-    """Feature ids (3 x tokens) and which tokens are a text's first."""
-    h = (words.hash % np.uint64(BUCKETS)).astype(np.int64)
-    n = len(h)
+def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Feature ids (PLACES x tokens) and which tokens are a text's first."""
+    n = len(words.hash)
+    out = np.full((PLACES, n), _NONE, np.int32)
     first, last = np.zeros(n, bool), np.zeros(n, bool)
     full = np.flatnonzero(words.count)
     first[words.first[full]] = True
     last[words.first[full + 1] - 1] = True
-    before, after = np.full(n, _EDGE), np.full(n, _EDGE)
-    before[1:], after[:-1] = h[:-1], h[1:]
-    before[first], after[last] = _EDGE, _EDGE
-    return np.stack([h, before, after]), first
+    out[0] = words.hash % np.uint64(BUCKETS)
+    for place, k in enumerate(HEADS, 1):
+        at = np.flatnonzero(words.end - words.start >= k)
+        out[place, at] = mix(words.head(k, at)) % np.uint64(BUCKETS)
+    out[-2, 1:], out[-1, :-1] = out[0, :-1], out[0, 1:]
+    out[-2, first], out[-1, last] = _NONE, _NONE
+    return out, first
 
 
 def _scan(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -96,100 +107,114 @@ def marginals(score: np.ndarray, first: np.ndarray, start: float, trans: np.ndar
     return odds / (1 + odds), fwd, beta
 
 
-def _lexicon(words: Hashes, toxic: np.ndarray) -> np.ndarray:
-    """Hashes of the words found almost only in toxic texts.
+def log_weights(fwd: np.ndarray, first: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """What each token adds to the logarithm of the weight of its text's path of zeros and of its total Z: two rows."""
+    before = np.zeros(len(fwd))
+    before[1:] = np.where(first[1:], 0, fwd[:-1])
+    return np.stack([np.log1p(before * np.exp(trans[1, 0])), np.log1p(fwd)])
 
-    Texts that share their least five-word gram count once, so that copies of one toxic
-    text don't make all its words look toxic. A word is taken if the lower bound of a 95 %
-    interval of its share of toxic texts reaches 0.6.
-    """
-    kin = np.arange(len(words.count), dtype=np.uint64)
-    whole = words.whole(5)
-    if len(whole):
-        rows, first = np.unique(words.row[whole], return_index=True)
-        kin[rows] = np.minimum.reduceat(words.grams(5)[whole], first)
-    _, kin = np.unique(kin, return_inverse=True)
-    vocab, word = np.unique(words.hash, return_inverse=True)
-    toxic_kin = np.bincount(kin, toxic) > 0
-    group, word = np.divmod(np.unique(kin[words.row] * len(vocab) + word), len(vocab))
-    bad, n = np.bincount(word, toxic_kin[group], len(vocab)), np.bincount(word, minlength=len(vocab))
-    share, z2 = bad / n, 1.96**2
-    low = (share + z2 / 2 / n - 1.96 * np.sqrt((share * (1 - share) + z2 / 4 / n) / n)) / (1 + z2 / n)
-    return vocab[low >= 0.6]
-
-
-def train(texts: list[str], labels: list[int]) -> Model:
-    """Fit the chain and the score's curve. One class only, or no rows: the prior is the score."""
+
+def log_totals(words, fwd: np.ndarray, first: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """log Z of each text; 0 for one without words."""
+    out = np.zeros(len(words.count))
+    full = np.flatnonzero(words.count)
+    if len(full):
+        steps, ends = log_weights(fwd, first, trans)
+        out[full] = np.add.reduceat(steps, words.first[full]) + ends[words.first[full + 1] - 1]
+    return out
+
+
+class _Sample:
+    """What training needs of many texts: features of all tokens, and which texts are kin."""
+
+    def __init__(self, texts: list[str]) -> None:
+        col = pa.array(texts, pa.string())
+        ids, firsts, counts, kin = [], [], [], [np.zeros(0, np.uint64)]
+        for a, b in slices(col):
+            w = Words(col.slice(a, b - a), ALNUM)
+            i, f = features(w)
+            own = mix(np.arange(a, b, dtype=np.uint64))  # texts of fewer than five words are kin to none
+            whole = w.whole(5)
+            if len(whole):
+                rows, at = np.unique(w.row[whole], return_index=True)
+                own[rows] = np.minimum.reduceat(w.grams(5)[whole], at)
+            ids.append(i), firsts.append(f), counts.append(w.count), kin.append(own)
+        self.ids = np.concatenate(ids, 1) if ids else np.zeros((PLACES, 0), np.int32)
+        self.begin = np.concatenate(firsts) if firsts else np.zeros(0, bool)
+        self.count = np.concatenate(counts) if counts else np.zeros(0, np.int64)
+        self.first = np.zeros(len(self.count) + 1, np.int64)
+        np.cumsum(self.count, out=self.first[1:])
+        self.row = np.repeat(np.arange(len(self.count)), self.count)
+        _, self.kin = np.unique(np.concatenate(kin), return_inverse=True)
+
+
+def train(texts: list[str], labels: list[int], shares: tuple[float, float] = (1.0, 1.0), penalty: float = PENALTY, neighbour: float = NEIGHBOUR, rounds: int = ROUNDS) -> Model:
+    """Fit the chain. ``shares``: how much a clean and a toxic text count. One class only, or no words: the prior is the score."""
     toxic = np.array(labels, bool)
-    prior = float(np.clip(toxic.mean() if len(toxic) else 0, 1e-4, 1 - 1e-4))
-    model = Model(np.zeros((3, BUCKETS + 1)), 0.0, -3.0, np.array([[0.0, -3.0], [0.0, 0.0]]), np.array([np.log(prior / (1 - prior)), 0.0, 0.0]))
-    words = Hashes(texts, ALNUM)
-    if not len(words.hash) or toxic.all() or not toxic.any():
+    prior = float(np.clip(np.average(toxic, weights=np.where(toxic, shares[1], shares[0])), 1e-4, 1 - 1e-4)) if len(toxic) else 1e-4
+    model = Model(np.zeros((PLACES, BUCKETS + 1)), -4.0, -4.0, np.array([[0.0, -4.0], [0.0, 0.0]]))
+    s = _Sample(texts)
+    # features that several toxic texts hold, copies counted once
+    at = np.flatnonzero(toxic[s.row])
+    flat = np.arange(PLACES)[:, None] * (BUCKETS + 1)
+    held, n = np.unique((np.unique(np.stack([(s.ids[:, at] + flat).ravel(), np.tile(s.kin[s.row[at]], PLACES)]), axis=1))[0], return_counts=True) if len(at) else (np.zeros(0, int), np.zeros(0, int))
+    held = held[(n >= LEAST_TEXTS) & (held % (BUCKETS + 1) != _NONE)]
+    if not len(held) or toxic.all():
+        model.prior = prior
         return model
-    lexicon = _lexicon(words, toxic)
-    if not len(lexicon):
-        return model
-    # the chain learns from all toxic texts and as many clean ones
-    used = np.zeros(len(toxic), bool)
-    used[np.flatnonzero(toxic)] = True
-    used[np.flatnonzero(~toxic)[: int(toxic.sum())]] = True
-    ids, first = features(words)
-    at = used[words.row]
-    y = (toxic[words.row] & (lexicon[np.minimum(np.searchsorted(lexicon, words.hash), len(lexicon) - 1)] == words.hash))[at].astype(float)
-    ids_t, first_t = ids[:, at], first[at]
-    uniq, inv = np.unique(ids_t + np.arange(3)[:, None] * (BUCKETS + 1), return_inverse=True)
-    inv = inv.reshape(ids_t.shape)
-    # parameters: one weight per feature seen, then bias, start, and the log weights 0->1, 1->0, 1->1
-    theta = np.concatenate([np.zeros(len(uniq)), [model.bias, model.start, -3.0, 0.0, 0.0]])
+    # tokens by feature: only entries that have a weight
+    place = np.full(PLACES * (BUCKETS + 1), -1, np.int32)
+    place[held] = np.arange(len(held))
+    entry = place[s.ids + flat]
+    _, token = np.nonzero(entry >= 0)
+    entry = entry[entry >= 0]
+    near = held // (BUCKETS + 1) >= PLACES - 2
+    n_tokens, full = len(s.row), np.flatnonzero(s.count)
+    weight = np.where(toxic, shares[1], shares[0]) / np.bincount(s.kin * 2 + toxic)[s.kin * 2 + toxic]
+    weight /= weight.mean()
+    theta = np.concatenate([np.zeros(len(held)), [model.bias, model.start, *model.trans[(0, 1, 1), (1, 0, 1)]]])
     m1, m2 = np.zeros_like(theta), np.zeros_like(theta)
-    # neighbours may only refine what the word itself says, else each rare one is learnt by heart
-    near = np.append(uniq > BUCKETS, np.zeros(5, bool))
-    l2, rate = np.where(near, 0.5, 0.02), np.where(near, 0.02, 0.4)
-    l2[-5:] = 0
-    follows = np.flatnonzero(~first_t)
-    for step in range(1, ROUNDS + 1):
-        w, (bias, start, t01, t10, t11) = theta[:-5], theta[-5:]
+    l2 = np.concatenate([np.where(near, neighbour, penalty), [0, 0, 0, SETTLED, SETTLED]])
+    rate = np.concatenate([np.where(near, 0.1, 0.4), np.full(5, 0.15)])
+    follows = np.flatnonzero(~s.begin)
+    for step in range(1, rounds + 1):
+        bias, start, t01, t10, t11 = theta[-5:]
         trans = np.array([[0.0, t01], [t10, t11]])
-        score = w[inv].sum(0) + bias
-        p, fwd, beta = marginals(score, first_t, start, trans)
+        score = np.bincount(token, theta[entry], n_tokens) + bias
+        p, fwd, beta = marginals(score, s.begin, start, trans)
+        z = log_totals(s, fwd, s.begin, trans)
+        # the slope of the loss in log Z: 1 for a clean text, -1 / (Z - 1) for a toxic one
+        slope = weight * np.where(toxic, -1 / np.maximum(np.expm1(np.minimum(z, 500)), 1e-12), 1.0)
+        slope[s.count == 0] = 0
+        pull = slope[s.row] * p
         grad = np.zeros_like(theta)
-        grad[:-5] = sum(np.bincount(inv[j], p - y, len(uniq)) for j in range(3))
-        grad[-5], grad[-4] = (p - y).sum(), (p - y)[first_t].sum()
+        grad[:-5] = np.bincount(entry, pull[token], len(held))
+        grad[-5], grad[-4] = pull.sum(), pull[s.begin].sum()
         # pair marginals from the odds at both sides
         e, r, b = np.exp(np.clip(score[follows], -30, 30)), fwd[follows - 1], beta[follows]
-        cell = [np.ones(len(r)), np.exp(t01) * e * b, r * np.exp(t10), r * np.exp(t11) * e * b]
-        total = sum(cell)
-        yp, yn = y[follows - 1], y[follows]
-        for k, (i, j) in ((-3, (0, 1)), (-2, (1, 0)), (-1, (1, 1))):
-            grad[k] = (cell[2 * i + j] / total).sum() - ((yp == i) & (yn == j)).sum()
+        cell = (np.exp(t01) * e * b, r * np.exp(t10), r * np.exp(t11) * e * b)
+        by = slope[s.row[follows]] / (1 + sum(cell))
+        grad[-3:] = [(by * c).sum() for c in cell]
         grad += l2 * theta
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad**2
         theta -= rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
-    model.weights.ravel()[uniq] = theta[:-5]
+        theta[-5:] = np.clip(theta[-5:], -12, 12)
+    model.weights.ravel()[held] = theta[:-5]
     model.bias, model.start = float(theta[-5]), float(theta[-4])
     model.trans = np.array([[0.0, theta[-3]], [theta[-2], theta[-1]]])
-    p, *_ = marginals(model.weights[np.arange(3)[:, None], ids].sum(0) + model.bias, first, model.start, model.trans)
-    x, t = _gathered(words, p), toxic.astype(float)
-    beta = model.curve.copy()
-    for _ in range(50):  # damped Newton steps of a ridge logistic regression
-        q = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        ridge = np.diag([0.01, 1.0, 1.0])
-        step = np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + ridge, x.T @ (q - t) + ridge @ beta)
-        beta = beta - step * min(1, 1 / np.abs(step).max(initial=1e-9))
-    model.curve = beta
     return model
 
 
-def _gathered(words: Words | Hashes, p: np.ndarray) -> np.ndarray:
-    """For each text: 1, log1p of the expected toxic tokens among likely ones, its highest marginal."""
-    rows = len(words.count)
-    out = np.zeros((rows, 3))
-    out[:, 0] = 1
-    full = np.flatnonzero(words.count)
-    if len(full):
-        out[full, 1] = np.log1p(np.add.reduceat(np.where(p >= 0.5, p, 0), words.first[full]))
-        out[full, 2] = np.maximum.reduceat(p, words.first[full])
-    return out
+def judged(model: Model, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The score of each text and the toxic-state marginal of each token."""
+    if model.prior is not None or not len(words.hash):
+        return np.full(len(words.count), model.prior or 0.0), np.zeros(len(words.hash))
+    ids, first = features(words)
+    score = np.full(len(first), model.bias)
+    for place in range(PLACES):
+        score += model.weights[place][ids[place]]
+    p, fwd, _ = marginals(score, first, model.start, model.trans)
+    return -np.expm1(-log_totals(words, fwd, first, model.trans)), p
 
 
 def _spans(words: Words, row: int, marked: np.ndarray) -> list[dict[str, int]]:
@@ -203,25 +228,19 @@ def _spans(words: Words, row: int, marked: np.ndarray) -> list[dict[str, int]]:
     return [{"first": int(a), "last": int(b)} for a, b in zip(points[s], points[e])]
 
 
-def _scored(model: Model, text_at: int, schema: pa.Schema):
+def _scored(model: Model, text_at: int, schema: pa.Schema, names: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in slices(batch.column(text_at)):
                 part = batch.slice(a, b - a)
                 words = Words(part.column(text_at), ALNUM)
                 spans: list[list] = [[] for _ in range(b - a)]
-                x = np.zeros((b - a, 3))
-                x[:, 0] = 1
-                if len(words.hash):
-                    ids, first = features(words)
-                    score = model.weights[0][ids[0]] + model.weights[1][ids[1]] + model.weights[2][ids[2]] + model.bias
-                    p, *_ = marginals(score, first, model.start, model.trans)
-                    x, marked = _gathered(words, p), p >= 0.5
-                    for row in np.unique(words.row[marked]).tolist():
-                        spans[row] = _spans(words, row, marked)
-                value = 1 / (1 + np.exp(-np.clip(x @ model.curve, -30, 30)))
-                new = {"score": pa.array(value), "spans": pa.array(spans, schema.field("spans").type)}
-                yield pa.RecordBatch.from_arrays([new.get(f.name) if f.name in new else part.column(f.name) for f in schema], schema=schema)
+                score, p = judged(model, words)
+                marked = p >= 0.5
+                for row in np.unique(words.row[marked]).tolist():
+                    spans[row] = _spans(words, row, marked)
+                new = [pa.array(score), pa.array(spans, schema.field(names[1]).type)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], schema=schema)
 
     return run
 
@@ -231,40 +250,49 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, int]]:
-    """A bounded sample (text, label) of the labelled rows that are not held out.
+def sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> tuple[list[tuple[str, int]], tuple[float, float]]:
+    """A bounded sample (text, label) of the labelled rows that are not held out, and how many rows one of each label stands for.
 
-    Rows are taken in the order of a hash of their id, up to ``rows`` and ``most_bytes``
-    of text. Ids and sizes are looked at first, so only chosen texts reach the driver.
+    Of each label, rows are taken in the order of a hash of their id, up to ``rows`` and
+    ``most_bytes`` of text; a row that doesn't fit is passed over. Ids and sizes are looked
+    at first, so only chosen texts reach the driver. Ids that are labelled twice count by the larger label.
     """
     known = labels.where(F.col(label).isin(0, 1) & ~held_out()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     sized = docs.where(F.col("text").isNotNull()).select("doc_id", F.octet_length("text").alias("size"))
-    order = F.xxhash64("doc_id").alias("h")
-    chosen, used = [], 0
-    for r in sized.join(known, "doc_id").select("doc_id", "size", "label", order).orderBy("h", "doc_id").limit(rows).collect():
-        if used + r["size"] <= most_bytes:
-            chosen.append((r["doc_id"], r["label"]))
-            used += r["size"]
+    scratch = Scratch(spark, "sample")
+    sized = scratch.write(sized.join(known, "doc_id").select("doc_id", "size", "label", F.xxhash64("doc_id").alias("h")), "sized")
+    there = {r["label"]: r["n"] for r in sized.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    chosen, shares = [], [1.0, 1.0]
+    for value in (0, 1):
+        used, before = 0, len(chosen)
+        for r in sized.where(F.col("label") == value).orderBy("h", "doc_id").limit(rows).collect():
+            if used + r["size"] <= most_bytes:
+                chosen.append((r["doc_id"], value))
+                used += r["size"]
+        if len(chosen) > before:
+            shares[value] = there[value] / (len(chosen) - before)
+    scratch.drop("sized")
     if not chosen:
-        return []
-    ids = small_table(docs.sparkSession, chosen, "doc_id long, label int")  # at most ``rows`` rows
+        return [], (1.0, 1.0)
+    ids = small_table(spark, sorted(set(chosen)), "doc_id long, label int")  # at most 2 * ``rows`` rows
     got = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label").collect()
-    return [(t, y) for _, t, y in sorted({(r["doc_id"], r["text"], r["label"]) for r in got})]
+    return [(t, y) for _, t, y in sorted({(r["doc_id"], r["text"], r["label"]) for r in got})], (shares[0], shares[1])
 
 
-def score_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with score (0..1, higher: toxic likelier) and spans (toxic runs in code points).
+def score_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, score: str = "score", spans: str = "spans") -> DataFrame:
+    """``docs`` with the columns ``score`` (0..1, higher: toxic likelier) and ``spans`` (toxic runs in code points).
 
     Learns from ``labels`` (doc_id, toxic) of rows that are not held out; nothing but the
-    text enters a score. A null text counts as empty; a text without words gets the score
-    of no toxic token. Without usable labels every score is the prior. Repeated rows stay
-    and score alike; columns of ``docs`` named score or spans are replaced, others stay.
+    text enters a score. A null text counts as empty; a text without words scores 0.
+    Without usable labels every score is the prior. Repeated rows stay and score alike. All
+    columns of ``docs`` stay but those that bear the two new names, which are replaced.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     small_batches(spark)
-    docs = docs.drop("score", "spans").withColumn("text", F.col("text").cast("string"))
-    got = sample(docs, labels, "toxic")
-    model = train([t for t, _ in got], [y for _, y in got])
-    schema = type(docs.schema)([*docs.schema.fields, *spark.createDataFrame([], f"score double, spans {SPANS}").schema.fields])
-    return docs.mapInArrow(_scored(model, docs.columns.index("text"), to_arrow_schema(schema)), schema)
+    docs = docs.drop(score, spans).withColumn("text", F.col("text").cast("string"))
+    got, shares = sample(spark, docs, labels, "toxic")
+    model = train([t for t, _ in got], [y for _, y in got], shares)
+    model.weights = model.weights.astype(np.float32)
+    schema = type(docs.schema)([*docs.schema.fields, *spark.createDataFrame([], f"`{score}` double, `{spans}` {SPANS}").schema.fields])
+    return docs.mapInArrow(_scored(model, docs.columns.index("text"), to_arrow_schema(schema), (score, spans)), schema)
