@@ -14,7 +14,6 @@ cells of bounded size, and number ranges map to combinations.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotloom.llm.numbering import gapless
-from lotloom.llm.textvec import BLANK, Words, slices
+from lotloom.llm.textvec import BLANK, Words, gathered, same_bytes, slices
 from lotloom.session import Scratch, small_batches
 
 CAPACITY = 4096
@@ -42,14 +41,16 @@ _KIND[32] = 0
 
 
 class _Ids:
-    """Ids of the words met before: sorted hashes, and where each word's ids lie in one flat array.
+    """Ids of the words met before: sorted hashes, the words' bytes, and where each word's ids lie in one flat array.
 
-    A word takes some 35 bytes. When there are too many, words that repeat within the latest slice stay.
+    A word takes some 60 bytes. When there are too many, words that repeat within the latest slice stay.
+    Of words with one hash the first one met is kept.
     """
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
         self.hash, self.begin, self.size, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+        self.text, self.at, self.length = np.zeros(8, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
         vocabulary = tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -79,11 +80,8 @@ class _Ids:
 
     def learn(self, words: Words, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and sizes of the words at places ``fresh``, in order."""
-        begin, length = words.start[fresh], words.end[fresh] - words.start[fresh]
-        at = np.cumsum(length + 1) - length - 1  # where each goes, a space after each
-        text = np.full(at[-1] + length[-1] + 1 if len(at) else 0, 32, np.uint8)
-        inside = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-        text[np.repeat(at, length) + inside] = words.buf[np.repeat(begin, length) + inside]
+        length = words.end[fresh] - words.start[fresh]
+        text, at = gathered(words.buf, words.start[fresh], length, gap=1)
         ids, sizes, data = [], [], text.tobytes()
         for a in range(0, len(fresh), TOGETHER):
             b = min(a + TOGETHER, len(fresh))
@@ -92,14 +90,34 @@ class _Ids:
             sizes.append(size)
         return (np.concatenate(ids), np.concatenate(sizes)) if ids else (np.zeros(0, "<u4"), np.zeros(0, np.int64))
 
-    def keep(self, hashes: np.ndarray, begin: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
-        if len(self.hash) + len(hashes) > CACHED_WORDS:
+    def known(self, words: Words, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the words at these places: where each would be, and whether it is there, byte by byte."""
+        at = np.searchsorted(self.hash, words.hash[places])
+        found = np.zeros(len(places), bool)
+        if len(self.hash):
+            at = np.minimum(at, len(self.hash) - 1)
+            hit = np.flatnonzero(self.hash[at] == words.hash[places])
+            w, own = places[hit], at[hit]
+            found[hit] = same_bytes(words.bytes, words.start[w], words.end[w] - words.start[w], self.text, self.at[own], self.length[own])
+        return at, found
+
+    def keep(self, words: Words, places: np.ndarray, begin: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
+        """Add the words at these places, ordered by hash, whose ids begin in ``flat`` as told."""
+        if len(self.hash) + len(places) > CACHED_WORDS:
             self.hash, self.begin, self.size, self.flat = self.hash[:0], self.begin[:0], self.size[:0], self.flat[:0]
+            self.text, self.at, self.length = np.zeros(8, np.uint8), self.at[:0], self.length[:0]
+        hashes, length = words.hash[places], words.end[places] - words.start[places]
+        place = np.searchsorted(self.hash, hashes)
+        if len(self.hash):
+            free = self.hash[np.minimum(place, len(self.hash) - 1)] != hashes
+            places, begin, size, hashes, length, place = (v[free] for v in (places, begin, size, hashes, length, place))
+        text, text_at = gathered(words.buf, words.start[places], length)
         at = np.cumsum(size) - size
         own = flat[np.repeat(begin - at, size) + np.arange(size.sum())]
-        place = np.searchsorted(self.hash, hashes)
-        self.hash, self.size = np.insert(self.hash, place, hashes), np.insert(self.size, place, size)
-        self.begin, self.flat = np.insert(self.begin, place, at + len(self.flat)), np.concatenate([self.flat, own])
+        insert = lambda old, new: np.insert(old, place, new)
+        self.hash, self.size, self.length = insert(self.hash, hashes), insert(self.size, size), insert(self.length, length)
+        self.begin, self.at = insert(self.begin, at + len(self.flat)), insert(self.at, text_at + len(self.text) - 8)
+        self.flat, self.text = np.concatenate([self.flat, own]), np.concatenate([self.text[:-8], text, np.zeros(8, np.uint8)])
 
 
 #: By path; a worker serves many tasks.
@@ -120,10 +138,7 @@ def tokens(ids: _Ids, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if not len(words.hash):
         return np.zeros(0, "<u4"), np.zeros(len(col) + 1, np.int64)
     uniq, first, which, count = np.unique(words.hash, return_index=True, return_inverse=True, return_counts=True)
-    place = np.searchsorted(ids.hash, uniq)
-    known = np.zeros(len(uniq), bool)
-    if len(ids.hash):
-        known = ids.hash[np.minimum(place, len(ids.hash) - 1)] == uniq
+    place, known = ids.known(words, first)
     begin, size = np.zeros(len(uniq), np.int64), np.zeros(len(uniq), np.int64)
     begin[known], size[known] = ids.begin[place[known]], ids.size[place[known]]
     fresh = ~known
@@ -131,34 +146,39 @@ def tokens(ids: _Ids, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     odd = np.add.reduceat(np.append(_KIND[words.buf] == 4, False), np.stack([words.start, words.end], 1).ravel())[::2]
     order = np.flatnonzero(fresh)
     order = order[np.argsort(odd[first[order]] > 0, kind="stable")]
-    got, sizes = ids.learn(words, first[order])
-    begin[order], size[order] = len(ids.flat) + np.cumsum(sizes) - sizes, sizes
+    # words that share a hash with another one are encoded one by one
+    clash = np.flatnonzero(~words.same(np.arange(len(which)), first[which]))
+    got, sizes = ids.learn(words, np.concatenate([first[order], clash]))
+    new_begin = len(ids.flat) + np.cumsum(sizes) - sizes
+    begin[order], size[order] = new_begin[: len(order)], sizes[: len(order)]
     flat = np.concatenate([ids.flat, got])
     stay = fresh & (count > 1) if len(ids.hash) + fresh.sum() > CACHED_WORDS else fresh
-    ids.keep(uniq[stay], begin[stay], size[stay], flat)
-    per = size[which]
+    ids.keep(words, first[stay], begin[stay], size[stay], flat)
+    per, begins = size[which], begin[which]
+    per[clash], begins[clash] = sizes[len(order) :], new_begin[len(order) :]
     at = np.zeros(len(per) + 1, np.int64)
     np.cumsum(per, out=at[1:])
-    return flat[np.repeat(begin[which] - at[:-1], per) + np.arange(at[-1])], at[words.first]
+    return flat[np.repeat(begins - at[:-1], per) + np.arange(at[-1])], at[words.first]
 
 
 def _cut(path: str, capacity: int):
     last = END.to_bytes(4, "little")
+    names = [f.split()[0] for f in PIECES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = ids_of(path)
-        names = [f.split()[0] for f in PIECES.split(", ")]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
             for a, b in slices(batch.column(1), LEARN_BYTES):
                 flat, at = tokens(ids, batch.column(1).slice(a, b - a))
-                rows: list[tuple] = []
-                for doc, i, j in zip(batch.column(0).slice(a, b - a).to_pylist(), at[:-1].tolist(), at[1:].tolist()):
-                    got = flat[i:j].tobytes() + last
-                    for k, start in enumerate(range(0, len(got), 4 * capacity)):
-                        part = got[start : start + 4 * capacity]
-                        rows.append((doc, k, start // 4, len(part) // 4, zlib.crc32(part)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                size = np.diff(at) + 1
+                pieces = -(-size // capacity)
+                doc = np.repeat(np.arange(b - a), pieces)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(capacity, size[doc] - start)
+                low, ends = at[doc] + start, piece == pieces[doc] - 1
+                crc = [zlib.crc32(last, c) if e else c for c, e in zip((zlib.crc32(flat[i:j]) for i, j in zip(low.tolist(), (low + length - ends).tolist())), ends.tolist())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], names=names)
 
     return run
 
@@ -221,17 +241,17 @@ def places(bins: list[tuple[int, dict[int, int]]]) -> dict[int, tuple[list[int],
 
 
 def _placed(where: dict[int, tuple[list[int], list[tuple[int, int, int]]]], schema: pa.Schema):
+    span = 1 << 48  # above any number of pieces
+    key = np.array([n * span + low for n in sorted(where) for low in where[n][0]], np.int64)
+    facts = np.array([f for n in sorted(where) for f in where[n][1]], np.int64).reshape(-1, 3)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sequence, offset = [], []
-            for n, r in zip(batch.column("length").to_pylist(), batch.column("number").to_pylist()):
-                lows, facts = where[n]
-                i = bisect_right(lows, r) - 1
-                copies, first, at = facts[i]
-                k, j = divmod(r - lows[i], copies)
-                sequence.append(first + k)
-                offset.append(at + j * n)
-            new = {"sequence_id": pa.array(sequence, pa.int64()), "offset": pa.array(offset, pa.int64())}
+            length, number = (batch.column(c).to_numpy() for c in ("length", "number"))
+            at = np.searchsorted(key, length * span + number, "right") - 1
+            copies, first, offset = facts[at].T
+            k, j = np.divmod(number - key[at] % span, copies)
+            new = {"sequence_id": pa.array(first + k), "offset": pa.array(offset + j * length)}
             yield pa.RecordBatch.from_arrays([new.get(f.name) if f.name in new else batch.column(f.name) for f in schema], schema=schema)
 
     return run
