@@ -5,19 +5,24 @@ holds the (blob, rule version) pairs scanned so far and their findings. A scan t
 blobs that the ledger lacks, each once however many documents hold it, appends to the
 ledger, and joins the findings of all blobs back to the documents.
 
-Regular expressions give matches but no places, so places are summed up from the
-lengths of the matches and of the pieces between them (``split`` by the same pattern).
+Regular expressions give matches but no places. So matches and the pieces between them
+(``split`` by the same pattern) become rows, and places are running sums over the rows of a
+blob: work grows in proportion to the text, whatever the number of matches.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from lotloom.llm.joins import BROADCAST_BYTES, attach, unused
 from lotloom.session import Scratch, small_table
 
-#: Rows up to which the smaller of what to scan and what to leave is broadcast; beyond, both are shuffled.
-BROADCAST_ROWS = 200_000
+#: Bytes of a digest, an id and what a hash table adds to them.
+ROW_BYTES = 96
+#: Code points of a block in which secrets are masked.
+BLOCK = 4096
 RULE_VERSION = "1"
 #: Fixed patterns: kind, pattern, group whose length counts, least length.
 RULES = (
@@ -29,27 +34,28 @@ RULES = (
 LONG = {"access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
 
 
-def _spans(text: Column, kind: str, order: int) -> Column:
-    """Kept matches of a rule as an array of (start, order, kind, last), in code points."""
-    _, pattern, group, least = RULES[order]
-    pattern = LONG.get(kind, pattern)
-    all_of = lambda g: F.regexp_extract_all(text, F.lit(pattern), F.lit(g))
-    parts = F.arrays_zip(F.transform(all_of(0), F.length).alias("size"), F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(all_of(0))), F.length).alias("gap"), F.transform(all_of(group), F.length).alias("counts"))
-    kind_of = "array<struct<start:int,rank:int,kind:string,last:int>>"
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind_of).alias("found"))
+SPANS = "array<struct<start:int,rank:int,kind:string,last:int>>"
 
-    def step(acc: Column, m: Column) -> Column:
-        start = acc["at"] + m["gap"]
-        span = F.struct(start.alias("start"), F.lit(order).alias("rank"), F.lit(kind).alias("kind"), (start + m["size"]).alias("last"))
-        return F.struct((start + m["size"]).alias("at"), F.when(m["counts"] >= least, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"))
 
-    none = F.array().cast(kind_of)
-    return F.when(text.rlike(pattern), F.aggregate(parts, zero, step, lambda acc: acc["found"])).otherwise(none)
+def _parts(text: Column, rank: int) -> Column:
+    """Matches of a rule in order: code points before the match (from the last one's end), of the match, whether it counts."""
+    kind, pattern, group, least = RULES[rank]
+    pattern = LONG.get(kind, pattern)
+    size = lambda g: F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(g)), F.length)
+    gaps = F.transform(F.split(text, pattern, -1), F.length)  # one more than matches: what follows the last has no size
+    parts = F.arrays_zip(gaps.alias("gap"), size(0).alias("size"), (size(group) if group else size(0)).alias("counts"))
+    return F.struct(F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), F.lit(least).alias("least"), F.when(text.rlike(pattern), parts).alias("parts"))
 
 
-def spans_of(text: Column) -> Column:
-    """All spans of a text by start, then rule."""
-    return F.sort_array(F.concat(*(_spans(text, kind, i) for i, (kind, *_) in enumerate(RULES))))
+def find(texts: DataFrame) -> DataFrame:
+    """Spans of each blob of ``texts`` (blob, text), by start, then rule; blobs without any are left out. Rows that repeat count once."""
+    rules = texts.select("blob", F.explode(F.array(*(_parts(F.col("text"), i) for i in range(len(RULES))))).alias("r")).where("r.parts is not null")
+    rows = rules.select("blob", "r.rank", "r.kind", "r.least", F.posexplode("r.parts").alias("at", "m")).where("m.size is not null")
+    rows = rows.dropDuplicates(["blob", "rank", "at"])
+    end = F.sum(F.col("m.gap") + F.col("m.size")).over(Window.partitionBy("blob", "rank").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)).cast("int")
+    kept = rows.withColumn("last", end).where("m.counts >= least")
+    span = F.struct((F.col("last") - F.col("m.size")).alias("start"), "rank", "kind", "last")
+    return kept.groupBy("blob").agg(F.sort_array(F.collect_list(span)).alias("spans"))
 
 
 def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, rule_version: str = RULE_VERSION) -> DataFrame:
@@ -68,27 +74,32 @@ def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, rule_v
     owners = paths.groupBy("blob").agg(F.min("doc_id").alias("owner"))
     known = _ledger(spark, ledger, "scanned", "blob binary, rule_version string").where(F.col("rule_version") == rule_version).select("blob").distinct()
     unseen = scratch.write(owners.join(known, "blob", "left_anti"), "unseen")
-    key = ["doc_id", "blob"]
-    wanted = unseen.select(F.col("owner").alias("doc_id"), "blob")
     n, total = unseen.count(), paths.count()
+    if n:
+        texts = _of_owners(docs.withColumn("blob", blob), paths, unseen, n, total)
+        find(texts).withColumn("rule_version", F.lit(rule_version)).write.mode("append").parquet(f"{ledger}/findings")
+        unseen.select("blob", F.lit(rule_version).alias("rule_version")).write.mode("append").parquet(f"{ledger}/scanned")
+    findings = _ledger(spark, ledger, "findings", f"blob binary, spans {SPANS}, rule_version string")
+    # two scans at once may both have found a blob
+    findings = scratch.write(findings.where(F.col("rule_version") == rule_version).groupBy("blob").agg(F.min("spans").alias("spans")), "found")
+    spans = findings.agg(F.coalesce(F.max(F.size("spans")), F.lit(0))).first()[0]
+    found = attach(paths, findings, ["blob"], ["doc_id"], "left", ROW_BYTES + 48 * spans)
+    return found.select("doc_id", "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
+
+
+def _of_owners(texts: DataFrame, paths: DataFrame, unseen: DataFrame, n: int, total: int) -> DataFrame:
+    """(blob, text) of the owners of the n unseen blobs, of ``total`` rows in all."""
     same = lambda a, b: (a["blob"] == b["blob"]) & a["doc_id"].eqNullSafe(b["doc_id"])
-    texts = docs.withColumn("blob", blob)
+    few = BROADCAST_BYTES // ROW_BYTES
+    wanted = unseen.select(F.col("owner").alias("doc_id"), "blob")
     if n == total:
         chosen = texts
-    elif total - n <= BROADCAST_ROWS and n > BROADCAST_ROWS // 10:
-        others = paths.distinct().alias("p").join(unseen.alias("u"), (F.col("p.blob") == F.col("u.blob")) & F.col("p.doc_id").eqNullSafe(F.col("u.owner")), "left_anti").select(*key)
+    elif total - n <= few < n:  # what to leave is less than what to take
+        others = paths.distinct().alias("p").join(unseen.alias("u"), (F.col("p.blob") == F.col("u.blob")) & F.col("p.doc_id").eqNullSafe(F.col("u.owner")), "left_anti").select("doc_id", "blob")
         chosen = texts.join(F.broadcast(others), same(texts, others), "left_anti")
     else:
-        side = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted.hint("shuffle_hash")
-        chosen = texts.join(side, same(texts, wanted), "left_semi")
-    found = chosen.select("blob", spans_of(F.col("text")).alias("spans")).where(F.size("spans") > 0)
-    found.dropDuplicates(["blob"]).select("blob", "spans", F.lit(rule_version).alias("rule_version")).write.mode("append").parquet(f"{ledger}/findings")
-    unseen.select("blob", F.lit(rule_version).alias("rule_version")).write.mode("append").parquet(f"{ledger}/scanned")
-    findings = _ledger(spark, ledger, "findings", "blob binary, spans array<struct<start:int,rank:int,kind:string,last:int>>, rule_version string")
-    # two scans at once may both have found a blob
-    findings = findings.where(F.col("rule_version") == rule_version).groupBy("blob").agg(F.min("spans").alias("spans"))
-    none = F.array().cast("array<struct<start:int,rank:int,kind:string,last:int>>")
-    return paths.join(findings, "blob", "left").select("doc_id", "blob", F.coalesce("spans", none).alias("spans"))
+        chosen = texts.join(F.broadcast(wanted) if n <= few else wanted.hint("shuffle_hash"), same(texts, wanted), "left_semi")
+    return chosen.select("blob", "text")
 
 
 def _ledger(spark: SparkSession, ledger: str, name: str, schema: str) -> DataFrame:
@@ -106,14 +117,52 @@ def summary(found: DataFrame) -> DataFrame:
     return found.select("doc_id", *(count(kind) for kind, *_ in RULES), F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
 
 
-def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with each run of overlapping spans replaced by ``mark``."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        fresh = s["start"] >= acc["at"]
-        return F.struct(F.greatest(acc["at"], s["last"]).alias("at"), F.when(fresh, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"))
+def redact(texts: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """``texts`` (blob, text, spans; one row a blob) as (blob, text), each run of overlapping spans replaced by ``mark``.
 
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, zero, step, rest)).otherwise(text)
+    Texts are cut into blocks of BLOCK code points and spans into their parts in each, so
+    the work is in proportion to the text and its spans. A null text is the empty one; without spans a text stays.
+    """
+    whole = F.coalesce("text", F.lit(""))
+    blocks = texts.select("blob", F.posexplode_outer(F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))).alias("k", "block"))
+    by_start = Window.partitionBy("blob").orderBy("s.start", "s.last").rowsBetween(Window.unboundedPreceding, -1)
+    runs = texts.select("blob", F.explode("spans").alias("s")).select("blob", "s.start", "s.last", F.coalesce(F.max("s.last").over(by_start), F.lit(0)).alias("done"))
+    runs = runs.select("blob", (F.col("start") >= F.col("done")).alias("fresh"), F.greatest("start", "done").alias("start"), "last").where("start < last")
+    block_of = lambda c: F.floor(c / BLOCK).cast("int")
+    cuts = runs.withColumn("k", F.explode(F.sequence(block_of(F.col("start")), block_of(F.col("last") - 1))))
+    low = F.col("k") * BLOCK
+    cut = F.struct((F.greatest("start", low) - low).alias("a"), (F.least("last", low + BLOCK) - low).alias("b"), (F.col("fresh") & (F.col("start") >= low)).alias("marks"))
+    cuts = cuts.groupBy("blob", "k").agg(F.sort_array(F.collect_list(cut)).alias("cuts"))  # at most BLOCK of them
+
+    def step(acc: Column, c: Column) -> Column:
+        gap = F.substring(F.col("block"), acc["at"] + 1, c["a"] - acc["at"])
+        return F.struct(c["b"].alias("at"), F.concat(acc["out"], gap, F.when(c["marks"], mark).otherwise("")).alias("out"))
+
+    rest = lambda acc: F.concat(acc["out"], F.substring(F.col("block"), acc["at"] + 1, F.lit(BLOCK)))
+    masked = F.when(F.col("cuts").isNull(), F.col("block")).otherwise(F.aggregate("cuts", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest))
+    done = blocks.join(cuts, ["blob", "k"], "left").select("blob", "k", masked.alias("block"))
+    return done.groupBy("blob").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "block"))), lambda b: b["block"]), "").alias("text"))
+
+
+def mask(spark: SparkSession, docs: DataFrame, ledger: str | None = None) -> DataFrame:
+    """``docs`` (doc_id, text) with all secrets in ``text`` masked; n_chars, if there, follows the text.
+
+    Columns keep their names and order. Null and empty texts, repeated rows and rows without
+    secrets stay as they are; an empty table stays empty.
+    """
+    scratch = Scratch(spark, "mask")
+    hits = scan(spark, docs, ledger).where(F.size("spans") > 0).select("blob", "spans").dropDuplicates(["blob"])
+    key, new = unused(docs.columns, "blob", "masked")
+    hits = scratch.write(hits.withColumnRenamed("blob", key), "hits")
+    marked = docs.withColumn(key, F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)))
+    names = hits.select(key)
+    dirty = scratch.write(attach(marked, names, [key], ["doc_id"], "left_semi", ROW_BYTES), "dirty")
+    texts = dirty.select(F.col(key), F.col("text").cast("string").alias("text")).dropDuplicates([key]).join(hits, key).withColumnRenamed(key, "blob")
+    masked = scratch.write(redact(texts).select(F.col("blob").alias(key), F.col("text").alias(new)), "masked")
+    longest = masked.agg(F.coalesce(F.max(F.octet_length(new)), F.lit(0))).first()[0]
+    values = {"text": F.col(new).cast(docs.schema["text"].dataType)}
+    if "n_chars" in docs.columns:
+        values["n_chars"] = F.length(new).cast(docs.schema["n_chars"].dataType)
+    joined = attach(dirty, masked, [key], ["doc_id"], "inner", ROW_BYTES + longest)
+    done = joined.select(*(values.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
+    return attach(marked, names, [key], ["doc_id"], "left_anti", ROW_BYTES).select(*(f"`{c}`" for c in docs.columns)).unionAll(done)

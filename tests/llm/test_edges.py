@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lotloom.llm import chat, decontaminate, neardup, packing, quality, secrets, sharding, textvec, topk, toxicity, warc
+from lotloom.llm import chat, decontaminate, joins, neardup, packing, quality, secrets, sharding, textvec, topk, toxicity, warc
 from lotloom.llm.queries import vocabulary
 
 DOCS = "doc_id long, text string, lang string, source string"
@@ -124,7 +125,11 @@ def test_marginals_brute_force():
     score, first = r.normal(size=11) * 3, np.zeros(11, bool)
     first[[0, 4, 5]] = True
     trans, start = r.normal(size=(2, 2)), 0.3
-    got, *_ = toxicity.marginals(score, first, start, trans)
+    trans[0, 0] = 0
+    got, fwd, _ = toxicity.marginals(score, first, start, trans)
+    texts = type("Texts", (), {"count": np.array([4, 1, 0, 6]), "first": np.array([0, 4, 5, 5, 11])})
+    totals = toxicity.log_totals(texts, fwd, first, trans)
+    assert totals[2] == 0
     for a, b in ((0, 4), (4, 5), (5, 11)):
         n, total, part = b - a, 0.0, np.zeros(b - a)
         for k in range(2**n):
@@ -133,6 +138,33 @@ def test_marginals_brute_force():
             total += w
             part += w * np.array(s)
         assert np.allclose(got[a:b], part / total)
+        # the path of zeros weighs 1, so a text has no toxic token with probability 1 / Z
+        assert np.isclose(totals[{0: 0, 4: 1, 5: 3}[a]], np.log(total))
+
+
+def test_training_lowers_the_bag_loss():
+    """The fitted chain's loss, by enumeration of all paths, is below that of the chain it starts from."""
+    texts = ["a b c", "b c vile", "c a", "vile a", "a vile b", "b b", "c vile c", "a c b a"]
+    labels = [int("vile" in t) for t in texts]
+    fitted = toxicity.train(texts, labels)
+    begun = toxicity.train(texts, labels, rounds=0)
+
+    def loss(m):
+        out = 0.0
+        for t, y in zip(texts, labels):
+            words = textvec.Words(pa.array([t]), textvec.ALNUM)
+            ids, _ = toxicity.features(words)
+            score = sum(m.weights[k][ids[k]] for k in range(toxicity.PLACES)) + m.bias
+            n, total = len(score), 0.0
+            for k in range(2**n):
+                s = [(k >> i) & 1 for i in range(n)]
+                total += np.exp(m.start * s[0] + sum(score[i] * s[i] for i in range(n)) + sum(m.trans[s[i], s[i + 1]] for i in range(n - 1)))
+            assert np.isclose(toxicity.judged(m, words)[0][0], 1 - 1 / total)
+            out -= np.log(1 - 1 / total if y else 1 / total)
+        return out
+
+    assert loss(fitted) < 0.2 * loss(begun)
+    assert toxicity.train(texts, [0] * 8).prior is not None and toxicity.train([], []).prior is not None
 
 
 def test_toxicity(spark):
@@ -255,6 +287,8 @@ def test_near_duplicates_brute_force(spark, monkeypatch, block):
                 copy[r.randrange(len(copy))] = f"n{r.randrange(10**6)}"
             rows.append((1000 + len(rows), " ".join(copy)))
         rows.append((1000 + len(rows), "\n".join(base).upper()))
+    for n in (8, 10):
+        rows += [(2000 + 2 * n + k, t) for k, t in enumerate(thue_morse(n))]
     rows += [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A  B"), (6, "a b c"), (7, " ".join(words_of(20000, 77, 9000)))]
     frame = clashing(spark.createDataFrame([(*x, "en", "s") for x in rows], DOCS).drop("component_id"))
     got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in neardup.near_duplicates(spark, frame.repartition(5)).collect()}
@@ -332,7 +366,7 @@ def test_packing(spark):
 
     t = Tokenizer.from_file(vocabulary())
     special = "<|ENDOFTEXT|> <|endoftext|>x İstanbul ﬁne don't WE'RE 12ab naïve ΑΣ \x1c\x85x a\u0301b …—“q” nb\xa0sp hello, World!? 가"
-    frame = clashing(odd_docs(spark, (30, special, "en", "a"), *((100 + i, " ".join(words_of(random.Random(i).randrange(1, 900), i)), "en", "a") for i in range(150))))
+    frame = clashing(odd_docs(spark, (30, special, "en", "a"), *((40 + i, t, "en", "a") for i, t in enumerate(thue_morse(10))), *((100 + i, " ".join(words_of(random.Random(i).randrange(1, 900), i)), "en", "a") for i in range(150))))
     got = packing.pack(spark, frame, vocabulary()).collect()
     by = collections.defaultdict(list)
     for r in got:
@@ -357,6 +391,18 @@ def test_packing(spark):
     assert packing.pack(spark, empty(spark), vocabulary()).count() == 0
 
 
+def test_ids_of_colliding_words(monkeypatch):
+    """Words that share a hash keep their own ids, within a slice and across slices."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(textvec.Words, "_hashes", lambda self: (self.end - self.start).astype(np.uint64) % np.uint64(3))
+    t = Tokenizer.from_file(vocabulary())
+    ids = packing._Ids(t)
+    for texts in (["one two three six", "a bc one"], ["two one", None, "seven eight two a"], ["nine ten " * 3]):
+        flat, at = packing.tokens(ids, pa.array(texts, pa.string()))
+        assert [flat[a:b].tolist() for a, b in zip(at, at[1:])] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
 def test_fullest_brute_force():
     r = random.Random(11)
     for _ in range(60):
@@ -403,8 +449,56 @@ def test_secrets(spark, tmp_path):
     secrets.scan(spark, frame, ledger, rule_version="2").count()
     assert spark.read.parquet(f"{ledger}/scanned").count() == 2 * len(texts)
     assert secrets.scan(spark, empty(spark)).count() == 0
-    one = spark.createDataFrame([("ab token=abcdefghijkl cd deadbeefdeadbeef",)], "text string").select(secrets.redact(F.col("text"), secrets.spans_of(F.col("text"))).alias("t"))
-    assert one.first()["t"] == "ab [SECRET] cd [SECRET]"
+
+
+def brute_mask(text):
+    """Runs of overlapping spans become one mark each."""
+    spans = sorted((int(a), int(b)) for a, b in (s.split(":")[1:] for s in brute_secrets(text)))
+    out, at = "", 0
+    for a, b in spans:
+        if a >= at:
+            out += text[at:a] + "[SECRET]"
+        at = max(at, b)
+    return out + text[at:]
+
+
+def test_masking(spark, monkeypatch):
+    r = random.Random(13)
+    parts = ["password=", "deadbeefdeadbeefapi_key=", "abcdef0123456789", "AKIA" + "A1" * 9, "é😀", " ", "x\n", "Zz/+_.-" * 3, "token: secretsecretsecret"]
+    rows = [(i, "".join(r.choice(parts) for _ in range(r.randrange(1, 30))), "en", "a") for i in range(100, 300)]
+    frame = clashing(odd_docs(spark, *rows, (100, rows[0][1], "en", "b"))).withColumn("n_chars", F.lit(-1))
+    want = collections.Counter((x["doc_id"], None if x["text"] is None else brute_mask(x["text"])) for x in frame.collect())
+    for block in (4096, 7):
+        monkeypatch.setattr(secrets, "BLOCK", block)
+        got = secrets.mask(spark, frame)
+        assert got.columns == frame.columns
+        rows = got.collect()
+        assert collections.Counter((x["doc_id"], x["text"]) for x in rows) == want and all(x["blob"] == "x" for x in rows)
+        assert all(x["n_chars"] == len(x["text"]) for x in rows if "[SECRET]" in (x["text"] or ""))
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(joins, "HOT_ROWS", 1)
+    assert collections.Counter((x["doc_id"], x["text"]) for x in secrets.mask(spark, frame).collect()) == want
+    assert secrets.mask(spark, frame.limit(0)).count() == 0
+
+
+def test_many_secrets_in_one_text(spark):
+    text = "token=abcdefghijkl " * 60000
+    began = time.monotonic()
+    docs = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
+    assert [len(r["spans"]) for r in secrets.scan(spark, docs).collect()] == [60000] * 2
+    assert {r["text"] for r in secrets.mask(spark, docs).collect()} == {"[SECRET] " * 60000}
+    assert time.monotonic() - began < 60
+
+
+def test_attach(spark, monkeypatch):
+    left = spark.createDataFrame([(i % 3 if i % 7 else None, i, 9) for i in range(200)], "k long, v long, salt long")
+    right = spark.createDataFrame([(0, "a"), (2, "b"), (None, "c")], "k long, w string")
+    for limit in (1 << 20, 0):
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(joins, "HOT_ROWS", 20)
+        for how in ("left", "inner", "left_semi", "left_anti"):
+            got, want = joins.attach(left, right, ["k"], ["v"], how), left.join(right, ["k"], how)
+            assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
 # 10
@@ -433,6 +527,17 @@ def test_votes_recover_classes():
 # Words
 
 
+def thue_morse(n):
+    """Two texts of 2 ** n letters that polynomial hashes modulo 2 ** 64 can't tell apart."""
+    bits = "".join("ab"[i.bit_count() % 2] for i in range(2**n))
+    return bits, bits.translate(str.maketrans("ab", "ba"))
+
+
+def test_regular_words_differ():
+    words = textvec.Words(pa.array([" ".join(x for n in range(5, 14) for x in thue_morse(n))]), textvec.BLANK)
+    assert len(set(words.hash.tolist())) == 18
+
+
 def test_words_and_shingles_brute_force():
     texts = ["", "a", "A b  c\n\td é", " x", "The the THE", None, "\U0001f600 y", "q" * 3000, " ".join(words_of(300, 1))]
     words = textvec.Words(pa.array(texts, pa.string()), textvec.BLANK)
@@ -443,6 +548,10 @@ def test_words_and_shingles_brute_force():
     for w, h in zip(flat, words.hash.tolist()):
         names[h].add(w)
     assert len(names) == len(set(flat)) and all(len(s) == 1 for s in names.values())
+    places = np.arange(len(flat))
+    for shift in (0, 1, 7):
+        assert words.same(places, np.roll(places, shift)).tolist() == [a == flat[b] for a, b in zip(flat, np.roll(places, shift))]
+    assert [int(h).to_bytes(8, "little") for h in words.head(4)] == [w.encode()[:4].ljust(8, b"\0") for w in flat]
     values, at = words.shingles(5)
     sizes = [len({tuple(w[i : i + 5]) for i in range(len(w) - 4)}) if len(w) >= 5 else int(bool(w)) for w in want]
     assert np.diff(at).tolist() == sizes
