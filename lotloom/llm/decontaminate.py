@@ -2,35 +2,39 @@
 
 Of every six consecutive five-word grams the one with the least hash is a fingerprint,
 so each span of ten words that a document shares with a benchmark item holds a
-fingerprint of both. Fingerprints of documents and items are joined on their hash, a
-hit is extended to the ten-word windows around it, and windows count only if all their
-words are equal. Items of fewer than ten words are one window; for these, grams of
+fingerprint of both. Items of fewer than ten words are one window; for these, grams of
 their own length are fingerprints.
 
-The benchmark goes to the executors in blocks of at most BLOCK_BYTES of text, one pass
-over the documents each (one block for usual benchmarks), so what is sent has a bound
-that does not depend on the input.
+1. Fingerprints of the benchmark are a table of hashes, those of the documents rows (text's
+   digest, hash, place). They are joined on the hash.
+2. A hit is extended: the document's ten-word windows that hold the fingerprint, word by
+   word, are joined with the benchmark's windows, so a window counts only if all its words are equal.
+3. Overlapping windows become runs of hit words, and the results go back to the documents by digest.
+
+All steps are joins of tables: nothing of the benchmark or the documents reaches the driver
+but counts. Equal texts have one digest and are extended once.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lotloom.llm.textvec import ALNUM, Words, slices
-from lotloom.session import small_batches
+from lotloom.llm import joins
+from lotloom.llm.joins import attach, unused
+from lotloom.llm.textvec import ALNUM, Words, mix, slices
+from lotloom.session import Scratch, small_batches
 
 WINDOW, GRAM = 10, 5
 #: Grams among which one is kept.
 SPAN = WINDOW - GRAM + 1
-#: Text of the benchmark sent to the executors at once.
-BLOCK_BYTES = 32 << 20
+#: Bytes of a hash and what a hash table adds.
+PRINT_BYTES = 32
 
 
 def winnow(words: Words) -> np.ndarray:
@@ -48,116 +52,137 @@ def winnow(words: Words) -> np.ndarray:
     return np.flatnonzero(kept)
 
 
-@dataclass
-class Index:
-    """Fingerprints and windows of one block of items."""
-
-    #: length of a window -> sorted hashes of its fingerprints
-    prints: dict[int, np.ndarray] = field(default_factory=dict)
-    #: words of a window -> the items that hold it
-    windows: dict[tuple[bytes, ...], tuple[str, ...]] = field(default_factory=dict)
-
-
-def texts_of(words: Words, a: int, b: int) -> tuple[bytes, ...]:
-    low = bytes.lower  # bytes beyond ASCII stay
-    return tuple(low(words.buf[s:e].tobytes()) for s, e in zip(words.start[a:b].tolist(), words.end[a:b].tolist()))
-
-
-def build(items: list[tuple[str, str]]) -> Index:
-    words = Words(pa.array([t for _, t in items], pa.string()), ALNUM)
-    index = Index({WINDOW: np.unique(words.grams(GRAM)[winnow(words)])})
-    holders: dict[tuple[bytes, ...], set[str]] = {}
-    for (item, _), a, n in zip(items, words.first.tolist(), words.count.tolist()):
-        for i in range(a, a + max(n - WINDOW, 0) + 1 if n else a):
-            holders.setdefault(texts_of(words, i, min(i + WINDOW, a + n)), set()).add(item)
-    for n in sorted({len(w) for w in holders} - {WINDOW}):
-        grams = words.grams(n)
-        firsts = [a for a, c in zip(words.first.tolist(), words.count.tolist()) if c == n]
-        index.prints[n] = np.unique(grams[firsts])
-    index.windows = {w: tuple(sorted(s)) for w, s in holders.items()}
-    return index
-
-
-def _member(values: np.ndarray, table: np.ndarray) -> np.ndarray:
-    if not len(table):
-        return np.zeros(len(values), bool)
-    return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
-
-
-def hits(words: Words, index: Index) -> tuple[np.ndarray, dict[int, set[str]]]:
-    """Which words are hit, and the items found in each row."""
-    hit = np.zeros(len(words.hash), bool)
-    items: dict[int, set[str]] = {}
-    for n, prints in index.prints.items():
-        if n == WINDOW:
-            at = winnow(words)
-            at = at[_member(words.grams(GRAM)[at], prints)] if len(at) else at
-            starts = np.unique((at[:, None] - np.arange(SPAN)).ravel())
-            starts = starts[(starts >= 0) & (starts + n <= len(words.row))]
-            starts = starts[words.row[starts] == words.row[starts + n - 1]]
-        else:
-            starts = words.whole(n)
-            starts = starts[_member(words.grams(n)[starts], prints)] if len(starts) else starts
-        for i, row in zip(starts.tolist(), words.row[starts].tolist()):
-            holders = index.windows.get(texts_of(words, i, i + n))
-            if holders:
-                hit[i : i + n] = True
-                items.setdefault(row, set()).update(holders)
-    return hit, items
-
-
-def _runs(hit: np.ndarray) -> list[dict[str, int]]:
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
-    return [{"first": int(a), "last": int(b) - 1} for a, b in zip(edge[::2], edge[1::2])]
+def prints(words: Words, short: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprints of texts: hash, place, and words of the window they stand for (WINDOW or one of ``short``)."""
+    at = winnow(words)
+    parts = [(words.grams(GRAM)[at] if len(at) else np.zeros(0, np.uint64), at, WINDOW)]
+    for n in short:
+        whole = words.whole(n)
+        parts.append((mix(words.grams(n)[whole] + np.uint64(n)) if len(whole) else np.zeros(0, np.uint64), whole, n))
+    sizes = np.concatenate([np.full(len(a), n, np.int32) for _, a, n in parts])
+    return np.concatenate([h for h, *_ in parts]), np.concatenate([a for _, a, _ in parts]), sizes
 
 
-#: hits: runs of hit words, as places of the first and last word.
-RESULT = "n_words long, hits array<struct<first:long,last:long>>, items array<string>"
+PRINTS = "key binary, found array<struct<hash:long,place:int,n:int>>"
 
 
-def _pass(index: Index, text_at: int, out: pa.Schema):
-    """One pass over documents against one block; adds to what earlier passes found."""
+def _prints(short: tuple[int, ...]):
+    """Over (key, text): the fingerprints of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            col = batch.column(text_at)
-            for a, b in slices(col):
-                part = batch.slice(a, b - a)
-                words = Words(part.column(text_at), ALNUM)
-                hit, items = hits(words, index)
-                n = words.count.copy()
-                runs, found = [None] * (b - a), [None] * (b - a)
-                earlier = part.column("hits") if "hits" in part.schema.names else None
-                for r in range(b - a):
-                    own = hit[words.first[r] : words.first[r + 1]]
-                    names = items.get(r, set())
-                    if earlier is not None:
-                        for run_ in earlier[r].as_py():
-                            own[run_["first"] : run_["last"] + 1] = True
-                        names = names | set(part.column("items")[r].as_py())
-                    runs[r], found[r] = (_runs(own) if names else []), sorted(names)
-                new = {"n_words": pa.array(n, pa.int64()), "hits": pa.array(runs, out.field("hits").type), "items": pa.array(found, pa.list_(pa.string()))}
-                yield pa.RecordBatch.from_arrays([new.get(f.name) if f.name in new else part.column(f.name) for f in out], schema=out)
+            for a, b in slices(batch.column(1)):
+                words = Words(batch.column(1).slice(a, b - a), ALNUM)
+                hashes, at, n = prints(words, short)
+                order = np.argsort(words.row[at], kind="stable")
+                hashes, at, n = hashes[order], at[order], n[order]
+                offsets = np.searchsorted(words.row[at], np.arange(b - a + 1))
+                rows = pa.StructArray.from_arrays([pa.array(hashes.view(np.int64)), pa.array((at - words.first[words.row[at]]).astype(np.int32)), pa.array(n)], names=["hash", "place", "n"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rows)], names=["key", "found"])
 
     return run
 
 
-def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, str]]]:
-    """Items as blocks of bounded size, read to the driver one partition at a time."""
-    block, held = [], 0
-    for row in benchmark.toLocalIterator():
-        if row.text is None or row.item_id is None:
-            continue
-        if block and held + len(row.text) > limit:
-            yield block
-            block, held = [], 0
-        block.append((row.item_id, row.text))
-        held += len(row.text.encode())
-    if block:
-        yield block
+def _window(words: Words, place: int, n: int) -> str:
+    return b" ".join(words.bytes[s:e].tobytes() for s, e in zip(words.start[place : place + n].tolist(), words.end[place : place + n].tolist())).decode("utf-8", "replace")
+
+
+def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over (item_id, text): every window of each item, with the hash of its fingerprints."""
+    for batch in batches:
+        for a, b in slices(batch.column(1)):
+            words = Words(batch.column(1).slice(a, b - a), ALNUM)
+            ids, sizes, texts = [], [], []
+            for item, first, n in zip(batch.column(0).slice(a, b - a).to_pylist(), words.first.tolist(), words.count.tolist()):
+                for i in range(first, first + max(n - WINDOW, 0) + 1 if n else first):
+                    ids.append(item)
+                    sizes.append(min(n, WINDOW))
+                    texts.append(_window(words, i, min(n, WINDOW)))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(sizes, pa.int32()), pa.array(texts, pa.string())], names=["item_id", "n", "words"])
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over (key, text, hits): the windows of each text that hold a hit."""
+    for batch in batches:
+        for a, b in slices(batch.column(1)):
+            words = Words(batch.column(1).slice(a, b - a), ALNUM)
+            keys, starts, sizes, texts = [], [], [], []
+            for r, (key, hits) in enumerate(zip(batch.column(0).slice(a, b - a).to_pylist(), batch.column(2).slice(a, b - a).to_pylist())):
+                first, count = int(words.first[r]), int(words.count[r])
+                wanted = {(h["place"] - j, h["n"]) for h in hits for j in range(SPAN if h["n"] == WINDOW else 1)}
+                for i, n in sorted(w for w in wanted if 0 <= w[0] <= count - w[1]):
+                    keys.append(key)
+                    starts.append(i)
+                    sizes.append(n)
+                    texts.append(_window(words, first + i, n))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array(texts, pa.string())], names=["key", "start", "n", "words"])
 
 
-def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def digest(text: Column) -> Column:
+    """What names a text: 16 bytes; null is empty."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
+def _mean_bytes(df: DataFrame, size: Column) -> int:
+    """Mean of ``size`` over the rows, rounded up, and what a hash table adds."""
+    return int(df.agg(F.coalesce(F.avg(size), F.lit(0.0))).first()[0]) + 65
+
+
+def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """For each text of ``docs`` (text) that shares a window: key (its ``digest``), hits (runs of hit words), items.
+
+    Null and empty texts share nothing; items without text, words or id take no part.
+    """
+    small_batches(spark)
+    scratch = Scratch(spark, "decontaminate")
+    texts = docs.select(digest(F.col("text")).alias("key"), F.col("text").cast("string").alias("text"))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+    windows = scratch.write(items.mapInArrow(_item_windows, "item_id string, n int, words string"), "windows")
+    short = tuple(sorted(r["n"] for r in windows.where(F.col("n") < WINDOW).select("n").distinct().collect()))  # fewer than WINDOW rows
+    named = items.select(F.lit(b"").alias("key"), "text")
+    theirs = scratch.write(named.mapInArrow(_prints(short), PRINTS).select(F.explode("found.hash").alias("hash")).distinct(), "their-prints")
+    # 1: fingerprints of both sides meet
+    ours = texts.mapInArrow(_prints(short), PRINTS).select("key", F.explode("found").alias("p")).select("key", "p.*")
+    if theirs.count() * PRINT_BYTES > joins.BROADCAST_BYTES:
+        ours = scratch.write(ours, "our-prints")  # it is counted before it is joined
+    met = attach(ours, theirs, ["hash"], ["key", "place"], "left_semi", PRINT_BYTES)
+    hits = met.groupBy("key").agg(F.collect_set(F.struct("place", "n")).alias("found"))
+    hits = scratch.write(hits, "hits")
+    # 2: the windows around each hit, word by word
+    near = attach(texts.withColumn("spread", F.monotonically_increasing_id()), hits, ["key"], ["spread"], "inner", _mean_bytes(hits, F.size("found") * 16))
+    near = near.groupBy("key").agg(F.first("text").alias("text"), F.first("found").alias("found"))
+    near = scratch.write(near.mapInArrow(_near, "key binary, start int, n int, words string"), "near")
+    held = scratch.write(windows.groupBy("words").agg(F.collect_set("item_id").alias("items")), "held")
+    size = F.octet_length("words") + F.aggregate("items", F.lit(0), lambda n, i: n + F.octet_length(i) + 16)
+    equal = scratch.write(attach(near, held, ["words"], ["key", "start"], "inner", _mean_bytes(held, size)), "equal")
+    # 3: runs of hit words, and the items found
+    before = Window.partitionBy("key").orderBy("start", "n").rowsBetween(Window.unboundedPreceding, -1)
+    ends = equal.select("key", "start", (F.col("start") + F.col("n")).alias("end"), "n").distinct()
+    fresh = ends.withColumn("fresh", (F.col("start") > F.coalesce(F.max("end").over(before), F.lit(-1))).cast("int"))
+    numbered = fresh.withColumn("run", F.sum("fresh").over(Window.partitionBy("key").orderBy("start", "n").rowsBetween(Window.unboundedPreceding, 0)))
+    runs = numbered.groupBy("key", "run").agg(F.struct(F.min("start").cast("long").alias("first"), (F.max("end") - 1).cast("long").alias("last")).alias("hit"))
+    runs = runs.groupBy("key").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
+    names = equal.select("key", F.explode("items").alias("item")).distinct().groupBy("key").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    found = scratch.write(runs.join(names, "key"), "overlaps")
+    scratch.drop("their-prints", "our-prints", "hits", "near", "equal", "held", "windows")
+    return found
+
+
+#: hits: runs of hit words, as places of the first and last word.
+RESULT = "n_words long, hits array<struct<first:long,last:long>>, items array<string>"
+
+
+def _counted(text_at: int, schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in slices(batch.column(text_at)):
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(Words(part.column(text_at), ALNUM).count)], schema=schema)
+
+    return run
+
+
+def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with n_words, hits (runs of hit words) and items (ids as strings, sorted).
 
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. A null or empty
@@ -168,19 +193,24 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, bl
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    small_batches(spark)
+    found = overlaps(spark, docs, benchmark)
     docs = docs.drop("n_words", "hits", "items").withColumn("text", F.col("text").cast("string"))
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    names = docs.columns
-    added = spark.createDataFrame([], RESULT).schema
-    wanted = type(added)([*docs.schema.fields, *added.fields])
-    for block in [*_blocks(items, block_bytes)] or [[]]:
-        docs = docs.mapInArrow(_pass(build(block), names.index("text"), to_arrow_schema(wanted)), wanted)
-    return docs
-
-
-def digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
+    (key,) = unused([*docs.columns, "n_words", "hits", "items"], "key")
+    wanted = type(docs.schema)([*docs.schema.fields, *spark.createDataFrame([], "n_words long").schema.fields])
+    counted = docs.mapInArrow(_counted(docs.columns.index("text"), to_arrow_schema(wanted)), wanted).withColumn(key, digest(F.col("text")))
+    size = F.size("hits") * 24 + F.aggregate("items", F.lit(0), lambda n, i: n + F.octet_length(i) + 16)
+    joined = attach(counted, found.withColumnRenamed("key", key), [key], ["doc_id"], "left", _mean_bytes(found, size))
+    kinds = dict(zip(("n_words", "hits", "items"), (f.dataType for f in spark.createDataFrame([], RESULT).schema)))
+    none = {c: F.coalesce(F.col(c), F.array().cast(kinds[c])).alias(c) for c in ("hits", "items")}
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), "n_words", none["hits"], none["items"])
+
+
+def without_overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text) that share no window with a benchmark item; columns as they are."""
+    found = overlaps(spark, docs, benchmark)
+    (key,) = unused(docs.columns, "key")
+    kept = attach(docs.withColumn(key, digest(F.col("text"))), found.select(F.col("key").alias(key)), [key], ["doc_id"], "left_anti")
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def summary(found: DataFrame) -> DataFrame:

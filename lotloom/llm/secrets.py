@@ -82,8 +82,8 @@ def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, rule_v
     findings = _ledger(spark, ledger, "findings", f"blob binary, spans {SPANS}, rule_version string")
     # two scans at once may both have found a blob
     findings = scratch.write(findings.where(F.col("rule_version") == rule_version).groupBy("blob").agg(F.min("spans").alias("spans")), "found")
-    spans = findings.agg(F.coalesce(F.max(F.size("spans")), F.lit(0))).first()[0]
-    found = attach(paths, findings, ["blob"], ["doc_id"], "left", ROW_BYTES + 48 * spans)
+    spans = findings.agg(F.coalesce(F.avg(F.size("spans")), F.lit(0.0))).first()[0]
+    found = attach(paths, findings, ["blob"], ["doc_id"], "left", ROW_BYTES + int(48 * spans))
     return found.select("doc_id", "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
 
 
@@ -159,10 +159,10 @@ def mask(spark: SparkSession, docs: DataFrame, ledger: str | None = None) -> Dat
     dirty = scratch.write(attach(marked, names, [key], ["doc_id"], "left_semi", ROW_BYTES), "dirty")
     texts = dirty.select(F.col(key), F.col("text").cast("string").alias("text")).dropDuplicates([key]).join(hits, key).withColumnRenamed(key, "blob")
     masked = scratch.write(redact(texts).select(F.col("blob").alias(key), F.col("text").alias(new)), "masked")
-    longest = masked.agg(F.coalesce(F.max(F.octet_length(new)), F.lit(0))).first()[0]
+    mean = masked.agg(F.coalesce(F.avg(F.octet_length(new)), F.lit(0.0))).first()[0]
     values = {"text": F.col(new).cast(docs.schema["text"].dataType)}
     if "n_chars" in docs.columns:
         values["n_chars"] = F.length(new).cast(docs.schema["n_chars"].dataType)
-    joined = attach(dirty, masked, [key], ["doc_id"], "inner", ROW_BYTES + longest)
+    joined = attach(dirty, masked, [key], ["doc_id"], "inner", ROW_BYTES + int(mean))
     done = joined.select(*(values.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
     return attach(marked, names, [key], ["doc_id"], "left_anti", ROW_BYTES).select(*(f"`{c}`" for c in docs.columns)).unionAll(done)

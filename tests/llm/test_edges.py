@@ -100,7 +100,7 @@ def brute_hits(text, items):
     return len(words), len(hit), sorted(names)
 
 
-def test_decontamination_brute_force(spark):
+def test_decontamination_brute_force(spark, monkeypatch):
     items = [(1, " ".join(words_of(30, 1))), (2, "Short ITEM, here"), (10, " ".join(words_of(12, 2))), (3, None), (4, ""), (5, "same same same same same same same same same same same"), (2, "Short ITEM, here")]
     a, b = words_of(30, 1), words_of(12, 2)
     docs = [
@@ -108,11 +108,16 @@ def test_decontamination_brute_force(spark):
     ]
     frame = odd_docs(spark, *((i, t, "en", "a") for i, t in docs))
     bench = spark.createDataFrame(items, "item_id long, text string")
-    for block in (decontaminate.BLOCK_BYTES, 60):  # one pass, or several
-        found = decontaminate.contamination(spark, clashing(frame), bench, block)
+    for limit in (joins.BROADCAST_BYTES, 0):  # small sides are broadcast, or nothing is and hot keys are dealt
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(joins, "HOT_ROWS", 3)
+        found = decontaminate.contamination(spark, clashing(frame), bench)
         got = sorted((r["doc_id"] or -1, r["n_words"], r["n_hit"], r["items_sha256"]) for r in decontaminate.summary(found).collect())
         want = [(r["doc_id"] or -1, *brute_hits(r["text"], items)) for r in frame.collect()]
         assert got == sorted((i, n, h, hashlib.sha256(",".join(names).encode()).hexdigest()) for i, n, h, names in want)
+        clean = decontaminate.without_overlaps(spark, clashing(frame), bench)
+        assert clean.columns == clashing(frame).columns
+        assert sorted(r["doc_id"] or -1 for r in clean.collect()) == sorted(i for i, _, h, _ in want if not h)
     assert decontaminate.contamination(spark, frame, bench.limit(0)).where("size(items) > 0").count() == 0
     assert decontaminate.contamination(spark, empty(spark), bench).count() == 0
 
