@@ -2,7 +2,6 @@
 
 import collections
 import hashlib
-import json
 import random
 import re
 import time
@@ -592,4 +591,26 @@ def test_pipeline(spark, tmp_path):
     assert (kept["secrets"][1003]["text"], kept["secrets"][1003]["n_chars"]) == ("plain words [SECRET] end", 24)
     assert kept["secrets"][1004]["text"] is None
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(kept["secrets"])
-    assert json.dumps([n for n, _ in corpus_pipeline.STAGES])
+
+
+def test_stages_keep_any_columns(spark, tmp_path):
+    """Clashing names, nulls, repeated rows and empty tables in every stage."""
+    import corpus_pipeline
+
+    bench = " ".join(words_of(20, 500))
+    write = lambda rows, kind, name: spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / f"{name}.parquet"))
+    write([(i, i % 2) for i in range(10)], "doc_id long, toxic int", "labels")
+    write([(1, bench)], "item_id long, text string", "benchmark")
+    text = " ".join(words_of(50, 1))
+    frame = clashing(odd_docs(spark, (20, text, "en", "a"), (20, text, "en", "a"), (21, text + " more", "en", "a"), (22, bench, "en", "a"), (23, "token=abcdefghijkl", "en", "a")))
+    for name in ("key", "salt", "masked", "kept", "N_chars", "Score", "_key", "text_"):
+        frame = frame.withColumn(name, F.lit("x")) if name.lower() not in [c.lower() for c in frame.columns] else frame
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, frame, str(tmp_path))
+        assert got.columns == frame.columns
+        assert all(r[c] == "x" for r in got.collect() for c in frame.columns[4:] if c != "N_chars")
+        assert stage(spark, frame.limit(0), str(tmp_path)).count() == 0
+    ids = lambda df: collections.Counter(r["doc_id"] for r in df.collect())
+    copies = ids(corpus_pipeline.drop_copies(spark, frame, str(tmp_path)))
+    assert copies[20] == 2 and copies[21] == 0 and copies[None] == 1 and copies[1] == copies[2] == 1
+    assert ids(corpus_pipeline.pack(spark, frame, str(tmp_path)))[20] == 2
