@@ -14,44 +14,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotloom.llm import decontaminate, neardup, packing, secrets, toxicity
+from lotloom.llm.joins import attach, unused
 from lotloom.llm.queries import vocabulary
 from lotloom.session import Scratch, table
 
+# All stages but the last: columns keep their names, types and order, whatever they are called; further
+# columns than doc_id and text are carried along. An empty table stays empty.
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half."""
-    columns = docs.columns
-    return toxicity.score_toxicity(spark, docs, table(spark, sf_dir, "labels")).where("score < 0.5").select(*columns)
+    """Documents that score below one half.
+
+    A null or empty text has no toxic token and stays. Repeated rows score alike, so all of them go or stay.
+    """
+    score, spans = unused(docs.columns, "score", "spans")
+    scored = toxicity.score_toxicity(spark, docs, table(spark, sf_dir, "labels"), score, spans)
+    return scored.where(F.col(score) < 0.5).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document that names its group, of each group of near duplicates."""
-    kept = neardup.near_duplicates(spark, docs).where("kept").select(F.col("doc_id").alias("id")).distinct()
-    return docs.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    """The document that names its group, of each group of near duplicates.
+
+    Null and empty texts have no group and stay, as does a null doc_id. Rows that share a doc_id are one
+    document: if their texts have several groups, the document stays if it names one of them.
+    """
+    judged = neardup.near_duplicates(spark, docs.select("doc_id", "text"))
+    gone = judged.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept").select("doc_id")
+    gone = Scratch(spark, "copies").write(gone, "gone")
+    kept = attach(docs, gone, ["doc_id"], ["doc_id"], "left_anti", 32)
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no window of words with a benchmark item."""
-    columns = docs.columns
-    return decontaminate.contamination(spark, docs, table(spark, sf_dir, "benchmark")).where(F.size("items") == 0).select(*columns)
+    """Documents that share no window of words with a benchmark item. Null and empty texts stay; repeated rows share their fate."""
+    return decontaminate.without_overlaps(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by a mark; n_chars follows the text."""
-    found = secrets.scan(spark, docs).where(F.size("spans") > 0).select(F.col("doc_id").alias("id"), "blob", "spans").dropDuplicates(["id", "blob"])
-    blob = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    few = found.limit(secrets.BROADCAST_ROWS + 1).count() <= secrets.BROADCAST_ROWS
-    found = F.broadcast(found) if few else found.hint("shuffle_hash")
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (blob == F.col("blob")), "left")
-    masked = F.when(F.col("spans").isNotNull(), secrets.redact(F.col("text"), F.col("spans")))
-    new = {"text": F.coalesce("_masked", "text")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.coalesce(F.length("_masked").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
-    return joined.withColumn("_masked", masked).select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns))
+    """All documents, secrets replaced by a mark; n_chars follows the text. Null and empty texts and repeated rows stay as they are."""
+    return secrets.mask(spark, docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All pieces of all documents with their sequences."""
+    """All pieces of all documents with their sequences. A null or empty text is one piece, the end mark; repeated rows are packed once each."""
     return packing.pack(spark, docs, vocabulary())
 
 
