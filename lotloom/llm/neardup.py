@@ -10,10 +10,18 @@ bitmap, whose XOR population count between two texts estimates their similarity.
    buckets that hold several components, with the first member of each.
 3. Pairs whose sketches agree well enough are confirmed on full shingle sets, and the
    links are closed to components.
-4. Buckets that still hold several components compare members across components by
-   their sketches, in blocks of bounded size that carry the full sets. A block tests the
-   likeliest pairs first, joins components as it finds links, and emits only those.
+4. Buckets that still hold several components compare members across components in blocks
+   of bounded size: first by their sketches, which leaves the members with a likely partner, then
+   these with their full sets. A block tests the likeliest pairs first, joins
+   components as it finds links, and emits only those.
 5. Components come from large-star / small-star rounds over written edge tables.
+
+Shingles are hashes of 64 bits: that two different ones of n in the corpus share a hash has
+a chance of about n * n / 3.7e19, and a link changes only if such a pair meets in two texts at the threshold.
+
+Bands and sketches may lose a link (see BANDS, LEAST_ESTIMATE). With ``exact`` they give way to
+prefixes: sets are sorted by hash, and two sets at the threshold share a value
+among the first size - ceil(percent * size / 100) + 1 of each, so no link is lost.
 """
 
 from __future__ import annotations
@@ -25,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotloom.llm.joins import attach
 from lotloom.llm.textvec import BLANK, Words, mix, slices
 from lotloom.session import Scratch, small_batches
 
@@ -37,7 +46,7 @@ LEAST_ESTIMATE = 0.57
 #: Members of one block in the comparison across components, and bytes of their sets.
 BLOCK, BLOCK_BYTES = 2048, 8 << 20
 #: Ids (8 bytes each) up to which a set of them is broadcast; more are shuffled.
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 500_000
 
 _RNG = np.random.default_rng(8128)
 _XOR = _RNG.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
@@ -80,28 +89,41 @@ def _lists(table: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), pa.array(table.ravel()))
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, col = batch.column(0), batch.column(1)
-        for a, b in slices(col):
-            values, at = Words(col.slice(a, b - a), BLANK).shingles(SHINGLE)
-            n = np.diff(at)
-            full = np.flatnonzero(n)
-            bands = np.zeros((b - a, BANDS), np.int64)
-            sketch = np.zeros((b - a, SKETCH_BITS // 64), np.int64)
-            sums = np.zeros((2, b - a), np.uint64)
-            if len(full):
-                starts = at[:-1][full]
-                samples = minhash(values, np.append(starts, len(values)))
-                key = (samples.astype(np.uint64) * _PLACE).reshape(len(full), BANDS, ROWS).sum(2, dtype=np.uint64)
-                bands[full] = mix(key + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
-                sketch[full] = odd_sketch(samples)
-                sums[0, full] = np.add.reduceat(values, starts)
-                sums[1, full] = np.add.reduceat(mix(values ^ np.uint64(0x5851F42D4C957F2D)), starts)
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(a, b - a).cast(pa.int64()), pa.array(n), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), _lists(bands), _lists(sketch)],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"],
-            )
+def _prefixes(values: np.ndarray, at: np.ndarray, percent: int) -> pa.Array:
+    """The least values of each sorted set among which two sets at the threshold must agree."""
+    n = np.diff(at)
+    take = np.where(n > 0, n + (-percent * n) // 100 + 1, 0)
+    flat = values[np.repeat(at[:-1] - (np.cumsum(take) - take), take) + np.arange(take.sum())]
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(take)).astype(np.int32)), pa.array(flat.view(np.int64)))
+
+
+def _signatures(percent: int, exact: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, col = batch.column(0), batch.column(1)
+            for a, b in slices(col):
+                values, at = Words(col.slice(a, b - a), BLANK).shingles(SHINGLE)
+                n = np.diff(at)
+                full = np.flatnonzero(n)
+                bands = np.zeros((b - a, BANDS), np.int64)
+                sketch = np.zeros((b - a, SKETCH_BITS // 64), np.int64)
+                sums = np.zeros((2, b - a), np.uint64)
+                if len(full):
+                    starts = at[:-1][full]
+                    if not exact:
+                        samples = minhash(values, np.append(starts, len(values)))
+                        key = (samples.astype(np.uint64) * _PLACE).reshape(len(full), BANDS, ROWS).sum(2, dtype=np.uint64)
+                        bands[full] = mix(key + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+                        sketch[full] = odd_sketch(samples)
+                    sums[0, full] = np.add.reduceat(values, starts)
+                    sums[1, full] = np.add.reduceat(mix(values ^ np.uint64(0x5851F42D4C957F2D)), starts)
+                keys = _prefixes(values, at, percent) if exact else _lists(bands)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(a, b - a).cast(pa.int64()), pa.array(n), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), keys, _lists(sketch)],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"],
+                )
+
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,29 +194,54 @@ def _rows_of(col: pa.Array) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
-def _links_of(group: pa.Table, percent: int) -> list[tuple[int, int]]:
-    """Links between components of a block pair, enough to join what the pair can join."""
-    side = group.column("side").to_numpy()
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    one = not len(right)
-    right = left if one else right
-    ids, comp = group.column("rep").to_numpy(), group.column("component").to_numpy()
-    sketch, sets, bands = (_rows_of(group.column(c).combine_chunks()) for c in ("sketch", "shingles", "bands"))
-    sketch, bands, key = np.stack(sketch), np.stack(bands), group.column("key")[0].as_py() & 0xFFFFFFFFFFFFFFFF
-    size = np.array([len(x) for x in sets])
+class _Block:
+    """A meeting of two blocks, or of one with itself, of a bucket's members."""
+
+    def __init__(self, group: pa.Table, percent: int) -> None:
+        side = group.column("side").to_numpy()
+        self.left, self.right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        self.one = not len(self.right)
+        if self.one:
+            self.right = self.left
+        self.ids, self.component, self.size = (group.column(c).to_numpy() for c in ("rep", "component", "n_shingles"))
+        self.sketch, self.percent = np.stack(_rows_of(group.column("sketch").combine_chunks())), percent
+
+    def likely(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Members of other components that may link with member i, and in how many sketch bits each differs."""
+        js = self.right[self.component[self.right] != self.component[i]]
+        js = js[js > i] if self.one else js
+        lo, hi = np.minimum(self.size[js], self.size[i]), np.maximum(self.size[js], self.size[i])
+        js = js[100 * lo >= self.percent * hi]
+        differ = np.bitwise_count(self.sketch[js] ^ self.sketch[i]).sum(1)
+        return js[differ <= MOST_BITS], differ[differ <= MOST_BITS]
+
+
+def _partnered(group: pa.Table, percent: int) -> pa.RecordBatch:
+    """Members of a meeting that have a likely partner in another component."""
+    block = _Block(group, percent)
+    hit = np.zeros(len(block.ids), bool)
+    for i in block.left.tolist():
+        js, _ = block.likely(i)
+        hit[js] = True
+        hit[i] |= len(js) > 0
+    return pa.RecordBatch.from_arrays([pa.array(block.ids[hit])], names=["id"])
+
+
+def _links(group: pa.Table, percent: int) -> pa.RecordBatch:
+    """Links between components of a meeting, enough to join what it can join."""
+    block = _Block(group, percent)
+    sets, bands = (_rows_of(group.column(c).combine_chunks()) for c in ("shingles", "bands"))
+    key, banded = group.column("key")[0].as_py() & 0xFFFFFFFFFFFFFFFF, len({len(b) for b in bands}) == 1
+    bands = np.stack(bands) if banded else bands
     found: list[tuple[int, int, int]] = []
-    for i in left.tolist():
-        js = right[comp[right] != comp[i]]
-        js = js[js > i] if one else js
-        lo, hi = np.minimum(size[js], size[i]), np.maximum(size[js], size[i])
-        js = js[100 * lo >= percent * hi]
+    for i in block.left.tolist():
+        js, differ = block.likely(i)
         if len(js):
-            differ = np.bitwise_count(sketch[js] ^ sketch[i]).sum(1)
-            js, differ = js[differ <= MOST_BITS], differ[differ <= MOST_BITS]
-            if len(js):  # pairs that share several bands are looked at in the first of these
+            first = np.ones(len(js), bool)
+            if banded:  # pairs that share several bands are looked at in the first of these
                 same = bands[js] == bands[i]
                 first = bands[i][same.argmax(1)] == np.uint64(key)
-                found += zip(differ[first].tolist(), [i] * int(first.sum()), js[first].tolist())
+            found += zip(differ[first].tolist(), [i] * int(first.sum()), js[first].tolist())
     root: dict[int, int] = {}
 
     def top(c: int) -> int:
@@ -204,18 +251,18 @@ def _links_of(group: pa.Table, percent: int) -> list[tuple[int, int]]:
 
     out = []
     for _, i, j in sorted(found):
-        p, q = top(int(comp[i])), top(int(comp[j]))
+        p, q = top(int(block.component[i])), top(int(block.component[j]))
         if p != q:
             x, y = sets[i], sets[j]
             n = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
             if 100 * n >= percent * (len(x) + len(y) - n):
                 root[max(p, q)] = min(p, q)
-                out.append((int(ids[i]), int(ids[j])))
-    return out
+                out.append((int(block.ids[i]), int(block.ids[j])))
+    return _pairs(out)
 
 
-def _across(percent: int):
-    """Over rows sorted by key, i, j: the links found in each such group."""
+def _meetings(judge, percent: int):
+    """``judge`` over each group of rows sorted by key, i, j."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -224,18 +271,16 @@ def _across(percent: int):
             table = pa.Table.from_batches([batch])
             marks = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], 1)
             cuts = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(1)) + 1).tolist(), len(marks)]
-            out: list[tuple[int, int]] = []
             for a, b in zip(cuts, cuts[1:]):
                 if a == b:
                     continue
                 if tuple(marks[a]) != now and held:
-                    out += _links_of(pa.concat_tables(held), percent)
+                    yield judge(pa.concat_tables(held), percent)
                     held = []
                 now = tuple(marks[a])
                 held.append(table.slice(a, b - a))
-            yield _pairs(out)
         if held:
-            yield _pairs(_links_of(pa.concat_tables(held), percent))
+            yield judge(pa.concat_tables(held), percent)
 
     return run
 
@@ -245,13 +290,14 @@ def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a.min(1) if len(a) else a[:, 0]), pa.array(a.max(1) if len(a) else a[:, 0])], names=["a", "b"])
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 75, exact: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Words are runs of anything but ASCII white space after lower-casing A-Z; a text's set
     holds its distinct five-word shingles, or the whole sequence if it has fewer words.
     Texts link if 100 * intersection >= percent * union. ``component_id`` is the smallest
-    doc_id reachable over links; ``kept`` marks the row that bears that id.
+    doc_id reachable over links; ``kept`` marks the row that bears that id. ``exact`` finds
+    candidates by prefixes of the sets, at a quarter of their size, instead of bands and sketches.
 
     Null and empty texts have no set: n_shingles 0, linked with nothing, kept. Rows that
     share a doc_id count as one document; a null doc_id has a null component of its own
@@ -260,58 +306,75 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 75) ->
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scratch = Scratch(spark, "neardup")
-    sigs = scratch.write(docs.mapInArrow(_signatures, SIGNATURE), "signatures")
+    sigs = scratch.write(docs.mapInArrow(_signatures(percent, exact), SIGNATURE), "signatures")
     with_set = sigs.where("n_shingles > 0 and doc_id is not null")
-    classes = with_set.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"))
+    classes = scratch.write(with_set.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "classes")
     reps = with_set.join(classes.select(F.col("rep").alias("id")).distinct().hint("shuffle_hash"), F.col("doc_id") == F.col("id"), "left_semi")
-    reps = scratch.write(reps.select(F.col("doc_id").alias("rep"), "bands", "sketch"), "representatives")
+    # rows that share a doc_id and have several texts stand for one document: one of its sets is enough to be found, all are linked
+    reps = scratch.write(reps.select(F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch"), "representatives")
 
     rows = reps.select("rep", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead < last").select("key", "lead")
-    buckets = scratch.write(rows.join(shared, "key"), "buckets")
+    shared = scratch.write(shared, "shared")
+    buckets = scratch.write(attach(rows, shared, ["key"], ["rep"], "inner", 32), "buckets")
     sketches = reps.select("rep", "sketch")
 
-    def agree(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("y")), "b")
-        pairs = pairs.join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("x")), "a")
-        return pairs.where(_differing("x", "y") <= MOST_BITS).select("a", "b").distinct()
+    def agree(pairs: DataFrame, label: str) -> DataFrame:
+        """Those of the pairs (a, b) whose sketches do; many may share one a."""
+        if exact:
+            return pairs.distinct()
+        pairs = scratch.write(pairs.join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("y")), "b"), f"{label}-agree")
+        firsts = scratch.write(sketches.join(pairs.select(F.col("a").alias("rep")).distinct(), "rep").select(F.col("rep").alias("a"), F.col("sketch").alias("x")).dropDuplicates(["a"]), f"{label}-firsts")
+        both = attach(pairs, firsts, ["a"], ["b"], "inner", SKETCH_BITS // 8 + 64)
+        return both.where(_differing("x", "y") <= MOST_BITS).select("a", "b").distinct()
 
-    def labelled(rows: DataFrame, found: DataFrame, of: str, name: str) -> DataFrame:
-        return rows.join(found.select(F.col("node").alias(of), F.col("component").alias(name)), of, "left").withColumn(name, F.coalesce(name, of))
+    def labelled(rows: DataFrame, found: DataFrame, of: str, name: str, spread: str) -> DataFrame:
+        side = found.select(F.col("node").alias(of), F.col("component").alias(name))
+        return attach(rows, side, [of], [spread], "left", 32).withColumn(name, F.coalesce(name, of))
 
     # each class with one other: the smallest first member of its buckets
     star = buckets.where("rep <> lead").groupBy("rep").agg(F.min("lead").alias("a")).select("a", F.col("rep").alias("b"))
-    links = _confirm(docs, agree(star), scratch, "first", percent)
+    links = _confirm(docs, agree(star, "first"), scratch, "first", percent)
     found = components(links, scratch, "first-components")
     # with the first member of each of its buckets that lies in another component
     star = buckets.where("rep <> lead").select("lead", "rep").distinct()
-    star = labelled(labelled(star, found, "rep", "p"), found, "lead", "q").where("p <> q").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
-    more = _confirm(docs, agree(star), scratch, "star", percent)
+    star = labelled(labelled(star, found, "rep", "p", "lead"), found, "lead", "q", "rep").where("p <> q").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
+    more = _confirm(docs, agree(star, "star"), scratch, "star", percent)
     if not more.isEmpty():
         links = links.unionByName(more)
         found = components(links, scratch, "star-components")
     # all others across components
-    sized = labelled(buckets, found, "rep", "component").join(with_set.select(F.col("doc_id").alias("rep"), "n_shingles"), "rep")
+    sized = labelled(buckets, found, "rep", "component", "key").join(reps.select("rep", "n_shingles").dropDuplicates(["rep"]), "rep")
     mixed = sized.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("n"), F.sum("n_shingles").alias("m")).where("p <> q and n > 2")
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("m") * 8 / BLOCK_BYTES)).cast("int")
-    mixed = scratch.write(mixed.select("key", blocks.alias("blocks")), "mixed")
+    mixed = scratch.write(mixed.select("key", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("m") * 8 / BLOCK_BYTES)).cast("int").alias("blocks")), "mixed")
     if not mixed.isEmpty():
-        members = scratch.write(sized.select("key", "rep", "component").join(mixed, "key"), "members")
-        sets = _texts_sets(docs, members.select(F.col("rep").alias("id")).distinct(), scratch, "rest")
-        members = members.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        # a block meets itself and every later one; each meeting is a group of at most two blocks
-        meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j"), (F.col("block") > o).cast("int").alias("side")))
-        members = members.withColumn("m", F.explode(meets)).select("key", "rep", "component", "m.*")
-        members = members.join(sets.select(F.col("id").alias("rep"), "shingles"), "rep").join(reps, "rep")
-        dealt = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        more = scratch.write(dealt.mapInArrow(_across(percent), "a long, b long").distinct(), "rest-links")
+        members = scratch.write(attach(sized.select("key", "rep", "component"), mixed, ["key"], ["rep"], "inner", 32), "members")
+
+        def meet(members: DataFrame, *carried: DataFrame) -> DataFrame:
+            """A block meets itself and every later one; each meeting is a group of at most two blocks."""
+            own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+            to = lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j"), (F.col("own") > o).cast("int").alias("side"))
+            met = members.withColumn("own", own).withColumn("m", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), to))).select("key", "rep", "component", "m.*")
+            for side in carried:
+                met = met.join(side, "rep")
+            return met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+        likely = members.select("rep").distinct().withColumnRenamed("rep", "id")
+        if not exact:
+            light = meet(members, reps.select("rep", "n_shingles", "sketch")).select("key", "i", "j", "side", "rep", "component", "n_shingles", "sketch")
+            likely = scratch.write(light.mapInArrow(_meetings(_partnered, percent), "id long").distinct(), "likely")
+        sets = _texts_sets(docs, likely, scratch, "rest").select(F.col("id").alias("rep"), "shingles")
+        members = members.join(likely.withColumnRenamed("id", "rep").distinct(), "rep", "left_semi")
+        more = scratch.write(meet(members, reps, sets).mapInArrow(_meetings(_links, percent), "a long, b long").distinct(), "rest-links")
         if not more.isEmpty():
             found = components(links.unionByName(more), scratch, "rest-components")
-        scratch.drop("rest-sets", "members")
-
-    scratch.drop("buckets")
-    members = sigs.select("doc_id", "n_shingles", "set_a", "set_b").alias("s")
-    out = members.join(classes.alias("c"), (F.col("s.n_shingles") > 0) & (F.col("s.set_a") == F.col("c.set_a")) & (F.col("s.set_b") == F.col("c.set_b")), "left")
-    out = out.select("s.doc_id", "s.n_shingles", "c.rep").join(found, F.col("rep") == F.col("node"), "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+        scratch.drop("rest-sets", "members", "likely")
+
+    scratch.drop("buckets", "shared", "first-agree", "star-agree")
+    # only classes of several rows, or linked ones, tell a row more than it knows itself
+    named = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").where("n > 1 or component is not null")
+    named = scratch.write(named.select("set_a", "set_b", F.coalesce("component", "rep").alias("component")), "named")
+    members = sigs.select("doc_id", "n_shingles", "set_a", "set_b", F.when(F.col("n_shingles") > 0, F.lit(1)).alias("full"))
+    out = attach(members, named.withColumn("full", F.lit(1)), ["set_a", "set_b", "full"], ["doc_id"], "left", 64)
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -279,9 +279,11 @@ def brute_components(rows):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("block", [2048, 7])
-def test_near_duplicates_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, exact, limit", [(2048, False, 1 << 24), (7, False, 1 << 24), (7, False, 0), (9, True, 1 << 24)])
+def test_near_duplicates_brute_force(spark, monkeypatch, block, exact, limit):
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(joins, "HOT_ROWS", 10)
     r, rows = random.Random(6), []
     for g in range(6):
         base = words_of(120, g, 100000)
@@ -295,7 +297,7 @@ def test_near_duplicates_brute_force(spark, monkeypatch, block):
         rows += [(2000 + 2 * n + k, t) for k, t in enumerate(thue_morse(n))]
     rows += [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A  B"), (6, "a b c"), (7, " ".join(words_of(20000, 77, 9000)))]
     frame = clashing(spark.createDataFrame([(*x, "en", "s") for x in rows], DOCS).drop("component_id"))
-    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in neardup.near_duplicates(spark, frame.repartition(5)).collect()}
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in neardup.near_duplicates(spark, frame.repartition(5), exact=exact).collect()}
     assert got == brute_components(rows)
 
 
