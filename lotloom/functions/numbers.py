@@ -36,22 +36,31 @@ def contains_number(text: Column, value: Column) -> Column:
 
 
 def best_effort_int(text: Column) -> Column:
-    """A whole number from a number or a string of one; else null."""
-    return F.coalesce(F.trim(text.cast("string")).try_cast("bigint"), F.trim(text.cast("string")).try_cast("double").try_cast("bigint"))
+    """A whole number from a text of digits, with or without commas; else null. (A number's own kind is a cast.)"""
+    bare = F.trim(F.replace(text.cast("string"), F.lit(","), F.lit("")))
+    return F.when(bare.rlike(r"^\d+$"), bare.try_cast("bigint"))
 
 
-#: One stray space inside a number, by what follows it. Order matters.
-_REPAIRS = ((r"(\d) (\d{1,2},)", "$1$2"), (r"(\d) (,)", "$1$2"), (r"(\d) (\d{1,2}\.)", "$1$2"), (r"(\d) (\.)", "$1$2"))
-_AFTER_COMMA = (r"(,\d{1,2}) (\d{1,2})(?=\s{2,}|$)", "$1$2")
-_AT_START = (r"(^\s*\d{1}) (\d{1,2})(?=\s{2,}|$)", "$1$2")
-_ANYWHERE = (r"(\d) (\d{1,2})(?=\s{2,}|$)", "$1$2")
+# A typist's gap is one space between two characters of a number. What may follow it tells a gap from the
+# space between two numbers: a comma or a point, at once or after at most two digits, belongs to the same number
+# anywhere; two digits at the end of a column do only where the number has just begun, or after a comma.
+_FEW, _COLUMN_END = r"\d{1,2}", r"(?=\s{2,}|$)"
+
+
+def _gap(before: str, after: str) -> str:
+    """A pattern of one space with what must stand before and after it."""
+    return f" (?<={before} )(?={after})"
+
+
+_INSIDE = tuple(_gap(r"\d", few + mark) for mark in (",", r"\.") for few in (_FEW, ""))
+_AT_ENDS = (_gap(r",\d{1,2}", _FEW + _COLUMN_END), _gap(r"^\s{0,99}\d", _FEW + _COLUMN_END))
+_SHORT_LAST = _gap(r"\d", _FEW + _COLUMN_END)
 
 
 def repair_numbers(line: Column, eager: bool = False) -> Column:
     """Close single spaces inside numbers. ``eager`` also joins any digit and a short last number."""
-    steps = (_ANYWHERE, *_REPAIRS) if eager else (*_REPAIRS, _AFTER_COMMA, _AT_START)
-    for pattern, to in steps:
-        line = F.regexp_replace(line, pattern, to)
+    for pattern in (_SHORT_LAST, *_INSIDE) if eager else (*_INSIDE, *_AT_ENDS):
+        line = F.regexp_replace(line, pattern, "")
     return line
 
 
@@ -66,8 +75,3 @@ def grouped_indian(number: Column) -> Column:
     head = F.regexp_replace(F.substring(digits, F.lit(1), F.greatest(F.length(digits) - 3, F.lit(0))), r"(?<=\d)(?=(\d\d)+$)", ",")
     tail = F.right(digits, F.lit(3))
     return F.concat(F.when(number < 0, "-").otherwise(""), F.when(F.length(digits) > 3, F.concat(head, F.lit(","), tail)).otherwise(tail))
-
-
-def range_ok(shares: Column, first: Column, last: Column) -> Column:
-    """Whether a lot's distinctive numbers hold as many shares as it says."""
-    return last - first + 1 == shares

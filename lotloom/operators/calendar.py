@@ -88,8 +88,10 @@ def bucket_counts(lots: DataFrame) -> DataFrame:
 def bucket_shares(lots: DataFrame) -> DataFrame:
     """Shares of each record by bucket and their permille of the record, rounded down."""
     by = lots.groupBy("processing_log_id", "bucket").agg(F.sum("shares").alias("shares"))
-    whole = lots.groupBy("processing_log_id").agg(F.sum("shares").alias("total"))
-    return by.join(whole, "processing_log_id").select("processing_log_id", "bucket", "shares", F.when(F.col("total") > 0, F.expr("shares * 1000 div total")).alias("permille"))
+    # at most one row a bucket is left of a record, so its total comes from these
+    parts = by.groupBy("processing_log_id").agg(F.sum("shares").alias("total"), F.collect_list(F.struct("bucket", "shares")).alias("parts"))
+    rows = parts.select("processing_log_id", "total", F.explode("parts").alias("p")).select("processing_log_id", "total", "p.*")
+    return rows.select("processing_log_id", "bucket", "shares", F.when(F.col("total") > 0, F.expr("shares * 1000 div total")).alias("permille"))
 
 
 def has_bucket(lots: Column, bucket: str) -> Column:

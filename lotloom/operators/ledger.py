@@ -6,12 +6,13 @@ write is one atomic Parquet append, and no row is updated in place.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lotloom.functions.classify import BUCKETS
 
+# Rules in the order in which they are judged and named.
+ORDER = ("RULE1", "RULE2", "RULE5", "RULE3", "RULE4", "RULE6", "RULE7", "RULE8", "RULE10")
 # States of a record, and what each may become.
 STATES = ("NEW", "PARSING", "VALIDATING", "FINALIZED", "FAILED")
 MOVES = {"FINALIZED": ("VALIDATING",), "VALIDATING": ("NEW", "PARSING", "VALIDATING", "FINALIZED", "FAILED")}
@@ -43,9 +44,14 @@ def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def upserted(current: DataFrame, incoming: DataFrame, now: Column) -> DataFrame:
-    """New versions for incoming records: kept paths and symbol of an existing one, cleared error and finalization."""
+def upserted(current: DataFrame, incoming: DataFrame, now: Column, order: str | None = None) -> DataFrame:
+    """New versions for incoming records: kept paths and symbol of an existing one, cleared error and finalization.
+
+    Of incoming rows with one key the last by ``order`` counts (by all columns where none is given),
+    so a key gets one new version.
+    """
     keys = ["exchange", "file_name"]
+    incoming = latest(incoming, keys, *([order] if order else []))
     kept = [c for c in current.columns if c.endswith("_path") or c == "unique_symbol"]
     old = current.select(*keys, F.col("version").alias("_v"), *(F.col(c).alias(f"_{c}") for c in kept))
     out = incoming.join(old, keys, "left").withColumn("version", F.coalesce(F.col("_v") + 1, F.lit(1)))
@@ -67,6 +73,34 @@ def moved(log: DataFrame, to: str, now: Column, chosen: Column | None = None) ->
     return rows.withColumns({"status": F.lit(to), "finalized_at": done, "updated_at": now, "version": F.col("version") + 1})
 
 
+def replaced_lots(extracted: DataFrame, version: Column) -> DataFrame:
+    """Lots of newly read records (processing_log_id, lockin), numbered from 0 in the text's order, under the version that replaces all older lots of the record."""
+    rows = extracted.select("processing_log_id", version.alias("version"), F.posexplode("lockin.lots").alias("row_order", "lot"))
+    names = {"from_no": "distinctive_from", "to_no": "distinctive_to"}
+    fields = [f.name for f in extracted.schema["lockin"].dataType["lots"].dataType.elementType]
+    return rows.select("processing_log_id", "version", "row_order", *(F.col("lot")[f].alias(names.get(f, f)) for f in fields))
+
+
+def blocked(log: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Of the wanted symbols (unique_symbol) those whose latest record by time is finalized, with the time it was: they must be rolled back first."""
+    newest = latest(log.select("unique_symbol", "processed_at", "id", "status", "finalized_at"), ["unique_symbol"], "processed_at", "id")
+    return wanted.select("unique_symbol").distinct().join(newest.where("status = 'FINALIZED'"), "unique_symbol").select("unique_symbol", "finalized_at")
+
+
+def revalidated(log: DataFrame, verdicts: DataFrame, now: Column) -> DataFrame:
+    """New versions of records from the verdicts over their stored values: finalized where all rules pass, else open with the reasons.
+
+    Records that are finalized already stay out.
+    """
+    reasons = F.array_sort(F.collect_list(F.when(~F.col("passed"), F.struct(F.array_position(F.array(*map(F.lit, ORDER)), F.col("rule_id")).alias("place"), F.concat_ws(": ", "rule_id", "message").alias("say")))))
+    said = verdicts.groupBy("id").agg(F.transform(reasons, lambda r: r["say"]).alias("_say"))
+    out = with_verdicts(log.where(F.col("status") != "FINALIZED"), verdicts, now).join(said, "id")
+    error = F.when(~F.col("all_rules_passed"), F.concat_ws(" | ", F.lit("Finalization skipped: Not all validation rules passed"), F.col("_say")))
+    return out.withColumns({
+        "status": F.when("all_rules_passed", "FINALIZED").otherwise("VALIDATING"), "finalized_at": F.when("all_rules_passed", now), "error_message": error, "processed_at": now,
+    }).drop("_say")
+
+
 def failed(log: DataFrame, symbol: str, exchange: str, message: str, now: Column) -> DataFrame:
     """A FAILED version of a symbol's record that has no file."""
     row = log.sparkSession.range(1).select(F.lit(symbol).alias("unique_symbol"), F.lit(exchange).alias("exchange"), F.lit("").alias("file_name"), F.lit("FAILED").alias("status"), F.lit(message).alias("error_message"), now.alias("processed_at"), now.alias("updated_at"))
@@ -79,12 +113,21 @@ def with_error(log: DataFrame, errors: DataFrame, now: Column) -> DataFrame:
     return log.drop("error_message").join(errors.select("id", "error_message"), "id").withColumns({"updated_at": now, "version": F.col("version") + 1})
 
 
-def with_verdicts(log: DataFrame, verdicts: DataFrame, now: Column) -> DataFrame:
-    """New versions that carry their verdicts as JSON, whether all passed, and the failed rules."""
-    packed = verdicts.groupBy("id").agg(
-        F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("rule_id", F.struct("passed", "message", "expected", "actual")))))).alias("validation_results"),
-        F.min("passed").alias("all_rules_passed"), F.array_join(F.sort_array(F.collect_list(F.when(~F.col("passed"), F.col("rule_id")))), ",").alias("failed_rules"),
-    )
+def with_verdicts(log: DataFrame, verdicts: DataFrame, now: Column, strategies: DataFrame | None = None) -> DataFrame:
+    """New versions that carry their verdicts as JSON, whether all passed, and the failed rules (null if none), both in the order of the rules.
+
+    ``strategies`` (id, lockin_strategy, shp_strategy) go into the JSON as ``_strategies``.
+    """
+    place = F.array_position(F.array(*map(F.lit, ORDER)), F.col("rule_id"))
+    own = F.struct("passed", "message", "expected", "actual")
+    of_rules = F.sort_array(F.collect_list(F.struct(place.alias("place"), "rule_id", F.to_json(own).alias("json"), "passed")))
+    packed = verdicts.groupBy("id").agg(of_rules.alias("v"), F.min("passed").alias("all_rules_passed"))
+    parts = F.transform("v", lambda v: F.concat(F.lit('"'), v["rule_id"], F.lit('":'), v["json"]))
+    if strategies is not None:
+        packed = packed.join(strategies.select("id", F.struct("lockin_strategy", "shp_strategy").alias("s")), "id", "left")
+        parts = F.concat(parts, F.array(F.concat(F.lit('"_strategies":'), F.coalesce(F.to_json("s"), F.lit("{}")))))
+    failed = F.array_join(F.transform(F.filter("v", lambda v: ~v["passed"]), lambda v: v["rule_id"]), ",")
+    packed = packed.select("id", F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}")).alias("validation_results"), "all_rules_passed", F.nullif(failed, F.lit("")).alias("failed_rules"))
     return log.drop("validation_results", "all_rules_passed", "failed_rules").join(packed, "id").withColumns({"updated_at": now, "version": F.col("version") + 1})
 
 
@@ -98,8 +141,9 @@ def overlaid(lots: DataFrame, edits: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def reviewed(meta: Column, on: Column) -> Column:
-    """JSON metadata with ``manual_reviewed`` set to 1 or 0."""
-    return F.to_json(F.map_concat(F.map_filter(F.coalesce(F.from_json(meta, "map<string,string>"), F.create_map().cast("map<string,string>")), lambda k, v: k != "manual_reviewed"), F.create_map(F.lit("manual_reviewed"), on.cast("int").cast("string"))))
+    """JSON metadata with the number 1 or 0 as ``manual_reviewed``; all other values keep their kind. What is no JSON object counts as an empty one."""
+    known = F.coalesce(F.from_json(meta, "map<string,variant>"), F.create_map().cast("map<string,variant>"))
+    return F.to_json(F.map_concat(F.map_filter(known, lambda k, v: k != "manual_reviewed"), F.create_map(F.lit("manual_reviewed"), F.parse_json(on.cast("int").cast("string")))))
 
 
 def is_reviewed(meta: Column) -> Column:
@@ -112,7 +156,7 @@ def renamed(log: DataFrame, master: DataFrame, id_: int, symbol: str, now: Colum
     row = log.where((F.col("id") == id_) & (F.col("exchange") == "NSE"))
     old = F.regexp_extract("file_name", r"^(.+)-CML\d+\.pdf$", 1)
     name = F.concat(F.lit(symbol), F.substring(F.col("file_name"), F.length(old) + 1, F.length("file_name")))
-    paths = {c: F.expr(f"replace({c}, regexp_extract(file_name, '^(.+)-CML', 1), '{symbol}')") for c in log.columns if c.endswith("_path")}
+    paths = {c: F.replace(F.col(c), old, F.lit(symbol)) for c in log.columns if c.endswith("_path")}
     out = row.where(old != "").withColumns({**paths, "_name": name, "unique_symbol": F.lit(f"NSE:{symbol}"), "updated_at": now, "version": F.col("version") + 1, "_sym": F.lit(symbol.upper())})
     out = out.join(master.select(F.upper("nse_symbol").alias("_sym")), "_sym", "left_semi")
     taken = log.where(F.col("id") != id_).select("exchange", F.col("file_name").alias("_name"))
@@ -135,16 +179,6 @@ def differences(parsed: DataFrame, stored: DataFrame, key: str, fields: list[str
     return joined.select(F.coalesce(f"p.{key}", f"s.{key}").alias(key), names.alias("differs"))
 
 
-def create_tables(spark: SparkSession, tables: dict[str, str], database: str = "default") -> None:
-    for name, columns in tables.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
-
-
 def not_done(found: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key isn't among what was done already."""
     return found.join(done.select(key).distinct(), key, "left_anti")
-
-
-def running_total(rows: DataFrame, by: str, order: str, value: str, name: str) -> DataFrame:
-    frame = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn(name, F.sum(value).over(frame))

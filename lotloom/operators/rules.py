@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotloom.functions.classify import BUCKETS, RENAMED
+from lotloom.operators.ledger import ORDER
 
-ORDER = ("RULE1", "RULE2", "RULE5", "RULE3", "RULE4", "RULE6", "RULE7", "RULE8", "RULE10")
 #: Allotments up to this day may lack what the anchor rule asks for.
 ANCHOR_CUTOFF = "2024-12-02"
 FACTS = ("anchor_30_rows", "anchor_90_rows", "locked_free_bucket", "negative_periods", "locked_without_end", "range_errors")
@@ -109,11 +109,21 @@ def rule10() -> Column:
     return _none_of("RULE10", "locked_without_end", "locked rows without an end")
 
 
+def one(rule: str, strict: bool = False) -> Column:
+    """The verdict of one rule, as a struct."""
+    makers = {"RULE1": rule1, "RULE2": lambda: rule2(strict), "RULE3": rule3, "RULE4": rule4, "RULE5": rule5, "RULE6": rule6, "RULE7": rule7, "RULE8": rule8, "RULE10": rule10}
+    return makers[rule]()
+
+
+def judged(records: DataFrame, strict: bool = False) -> DataFrame:
+    """Records with all verdicts as the array ``verdicts``, in order; blank documents have none and stay out."""
+    rows = records.where(~F.coalesce("is_blank", F.lit(False))) if "is_blank" in records.columns else records
+    return rows.withColumn("verdicts", F.array(*(one(r, strict) for r in ORDER)))
+
+
 def verdicts(records: DataFrame, strict: bool = False) -> DataFrame:
     """Long form: one row per record and rule. ``records`` has id, totals, shareholding, facts and reference_date; blank documents have none."""
-    rules = {"RULE1": rule1(), "RULE2": rule2(strict), "RULE5": rule5(), "RULE3": rule3(), "RULE4": rule4(), "RULE6": rule6(), "RULE7": rule7(), "RULE8": rule8(), "RULE10": rule10()}
-    rows = records.where(~F.coalesce("is_blank", F.lit(False))) if "is_blank" in records.columns else records
-    return rows.select("id", F.posexplode(F.array(*(rules[r] for r in ORDER))).alias("place", "v")).select("id", "place", "v.*")
+    return judged(records, strict).select("id", F.posexplode("verdicts").alias("place", "v")).select("id", "place", "v.*")
 
 
 def overridden(long: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -124,8 +134,17 @@ def overridden(long: DataFrame, overrides: DataFrame) -> DataFrame:
     return out.withColumns({"override_reason": F.when(use, F.col("_reason")).otherwise(F.col("override_reason")), "overridden": F.col("overridden") | use, "passed": F.col("passed") | use}).select(*long.columns)
 
 
+def counted(records: DataFrame, strict: bool = False) -> DataFrame:
+    """Passed and failed rules of each record, the failed by name in the order of the rules. Counts within the row, without a shuffle."""
+    tests = [(r, one(r, strict)["passed"]) for r in ORDER]
+    rows = records.where(~F.coalesce("is_blank", F.lit(False))) if "is_blank" in records.columns else records
+    names = F.array_compact(F.array(*(F.when(~F.col("p")[r], F.lit(r)) for r, _ in tests)))
+    rows = rows.select("id", F.struct(*(t.alias(r) for r, t in tests)).alias("p")).select("id", names.alias("f"))
+    return rows.select("id", (F.lit(len(ORDER)) - F.size("f")).cast("long").alias("passed"), F.size("f").cast("long").alias("failed"), F.array_join("f", ",").alias("failed_rules"))
+
+
 def summary(long: DataFrame) -> DataFrame:
-    """Passed and failed rules of each record, the failed by name in the order of the rules."""
+    """As ``counted``, of verdicts in long form, which may have been overridden."""
     failed = F.array_sort(F.collect_list(F.when(~F.col("passed"), F.struct("place", "rule_id"))))
     return long.groupBy("id").agg(F.count_if("passed").alias("passed"), F.count_if(~F.col("passed")).alias("failed"), F.array_join(F.transform(failed, lambda f: f["rule_id"]), ",").alias("failed_rules"))
 

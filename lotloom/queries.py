@@ -281,7 +281,7 @@ def rule_verdicts(spark: SparkSession, d: str) -> DataFrame:
 
 def _one_rule(rule: str) -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return _verdicts(spark, d).where(F.col("rule_id") == rule).select("id", "passed", "expected", "actual")
+        return _rule_records(spark, d).select("id", rules.one(rule).alias("v")).select("id", "v.passed", "v.expected", "v.actual")
 
     run.__name__ = rule.lower()
     query(f"{RULES_SQL} SELECT id, passed, expected::BIGINT AS expected, actual::BIGINT AS actual FROM v WHERE rule_id = '{rule}'")(run)
@@ -293,7 +293,7 @@ for _rule in rules.ORDER:
 
 @query(f"{RULES_SQL} SELECT id, count(*) FILTER (passed) AS passed, count(*) FILTER (NOT passed) AS failed, coalesce(string_agg(rule_id, ',' ORDER BY place) FILTER (NOT passed), '') AS failed_rules FROM v GROUP BY id")
 def rule_summary(spark: SparkSession, d: str) -> DataFrame:
-    return rules.summary(_verdicts(spark, d))
+    return rules.counted(_rule_records(spark, d))
 
 
 @query(f"""{RULES_SQL} SELECT id, rule_id, passed OR (rule_id = 'RULE8' AND id % 4 = 0) AS passed FROM v""")
@@ -354,9 +354,15 @@ def strategy_freq(spark: SparkSession, d: str) -> DataFrame:
     return by.join(F.broadcast(total)).select("strategy", "n", F.expr("n * 1000 div total").alias("permille"))  # one row of totals
 
 
-@query("SELECT event_id, 1 AS reviewed FROM events")
+_NESTED = """CASE event_id % 3 WHEN 0 THEN props WHEN 1 THEN json_merge_patch(props, '{"o":{"x":[1,"a",null]},"manual_reviewed":7}') END"""
+
+
+@query(f"""SELECT event_id, meta, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS reviewed FROM (SELECT event_id, json_merge_patch(json_merge_patch(coalesce({_NESTED}, '{{}}'), '{{"manual_reviewed":null}}'), CASE WHEN event_id % 2 = 0 THEN '{{"manual_reviewed":1}}' ELSE '{{"manual_reviewed":0}}' END)::VARCHAR AS meta FROM events)""")
 def json_set(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").select("event_id", ledger.is_reviewed(ledger.reviewed(F.col("props"), F.lit(True))).alias("reviewed"))
+    k = F.col("event_id") % 3
+    richer = F.concat(F.regexp_replace("props", r"\}\s*$", ""), F.lit(', "o": {"x": [1, "a", null]}, "manual_reviewed": 7}'))
+    meta = ledger.reviewed(F.when(k == 0, F.col("props")).when(k == 1, richer), F.col("event_id") % 2 == 0)
+    return table(spark, d, "events").select("event_id", meta.alias("meta"), ledger.is_reviewed(meta).alias("reviewed"))
 
 
 # Text
@@ -382,9 +388,7 @@ def line_explode(spark: SparkSession, d: str) -> DataFrame:
 
 @query(r"SELECT doc_id, list_transform(regexp_extract_all(text, '[0-9][0-9,]*'), lambda x: try_cast(replace(x, ',', '') AS BIGINT)) AS nums FROM documents WHERE regexp_matches(text, '[0-9]')")
 def number_tokens(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").where(F.col("text").rlike("[0-9]"))
-    tokens = F.transform(F.regexp_extract_all("text", F.lit(r"([0-9][0-9,]*)"), F.lit(1)), lambda t: F.replace(t, F.lit(","), F.lit("")).try_cast("bigint"))
-    return docs.select("doc_id", tokens.alias("nums"))
+    return table(spark, d, "documents").where(F.col("text").rlike("[0-9]")).select("doc_id", numbers.line_numbers(F.col("text")).alias("nums"))
 
 
 @query("SELECT doc_id, replace(replace(lower(text), ' ', ''), '-', '') AS bare FROM documents")
@@ -515,7 +519,7 @@ def range_mismatches(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"{RULES_SQL} SELECT id, declared_total = computed_total AS passed, declared_total::BIGINT AS expected FROM r")
 def strict_rule2(spark: SparkSession, d: str) -> DataFrame:
-    return rules.verdicts(_rule_records(spark, d), strict=True).where("rule_id = 'RULE2'").select("id", "passed", "expected")
+    return _rule_records(spark, d).select("id", rules.one("RULE2", strict=True).alias("v")).select("id", "v.passed", "v.expected")
 
 
 @query(f"""{LOG} SELECT id, list_filter([CASE WHEN computed_total <> computed_total + id % 2 THEN 'totals differ' END, CASE WHEN locked_total + id % 3 <> locked_total THEN 'shareholding locked differs' END, CASE WHEN status = 'FINALIZED' THEN 'already finalized' END],

@@ -51,6 +51,7 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -
     return rows.groupBy(F.session_window("ts", gap).alias("w"), "user_id").agg(F.count("*").alias("n")).select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-def newest_by_symbol(log: DataFrame, late: str = "1 day") -> DataFrame:
-    """The record with the largest id of each symbol seen so far (update mode)."""
-    return log.withWatermark("processed_at", late).groupBy("unique_symbol").agg(F.max("id").alias("id"), F.max_by("status", "id").alias("status"))
+def newest_by_symbol(log: DataFrame, late: str = "1 day", width: str = "1 day") -> DataFrame:
+    """The record with the largest id of each symbol within each window of processing time; windows that the watermark has passed are forgotten."""
+    rows = log.withWatermark("processed_at", late).groupBy(F.window("processed_at", width).alias("w"), "unique_symbol")
+    return rows.agg(F.max("id").alias("id"), F.max_by("status", "id").alias("status")).select(F.col("w.start").alias("start"), "unique_symbol", "id", "status")

@@ -27,7 +27,8 @@ def test_number_lists(value):
     assert value(numbers.guarded_numbers(F.lit("a12,3b 45"))) == [123, 45]
     assert value(numbers.contains_number(F.lit("a 1,000 b"), F.lit(1000))) is True
     assert value(numbers.contains_number(F.lit("a 1,000 b"), F.lit(None).cast("bigint"))) is False
-    assert value(numbers.best_effort_int(F.lit(" 12.9 "))) == 12
+    assert value(numbers.best_effort_int(F.lit(" 12.9 "))) is None
+    assert [value(numbers.best_effort_int(F.lit(t))) for t in (" 1,234 ", "-5", "", "12a")] == [1234, None, None, None]
 
 
 @pytest.mark.parametrize("raw, want", [("9 7,84,937", "97,84,937"), ("3 ,03,091", "3,03,091"), ("1 9.00", "19.00"), ("7 .00", "7.00"), ("4 47  x", "447  x"), ("27,15,072 1", "27,15,072 1")])
