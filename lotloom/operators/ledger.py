@@ -75,7 +75,7 @@ def moved(log: DataFrame, to: str, now: Column, chosen: Column | None = None) ->
 
 def replaced_lots(extracted: DataFrame, version: Column) -> DataFrame:
     """Lots of newly read records (processing_log_id, lockin), numbered from 0 in the text's order, under the version that replaces all older lots of the record."""
-    rows = extracted.select("processing_log_id", version.alias("version"), F.posexplode("lockin.lots").alias("row_order", "lot"))
+    rows = extracted.select("processing_log_id", version.alias("version"), F.posexplode_outer("lockin.lots").alias("row_order", "lot")).where("row_order is not null")
     names = {"from_no": "distinctive_from", "to_no": "distinctive_to"}
     fields = [f.name for f in extracted.schema["lockin"].dataType["lots"].dataType.elementType]
     return rows.select("processing_log_id", "version", "row_order", *(F.col("lot")[f].alias(names.get(f, f)) for f in fields))

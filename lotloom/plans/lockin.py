@@ -1,8 +1,9 @@
 """From the text of a lock-in annexure to its share lots.
 
 A filing is one row; its lines are an array, and every strategy is a column expression
-over these lines that gives one struct (null where it fails). The cascade is a ``CASE`` over
-their results, so nothing is shuffled and no Python runs.
+over these lines that gives one struct (null where it fails). The cascade's first strategy
+settles most filings; what it leaves goes to a plan of its own, where a ``CASE`` over the
+others' results picks one. Nothing is shuffled and no Python runs.
 """
 
 from __future__ import annotations
@@ -312,39 +313,78 @@ CASCADE: tuple[tuple[str, Callable[[Inputs], Column], bool], ...] = (
 )
 
 
-def cascade(x: Inputs, results: list[Column]) -> Column:
-    """The first acceptable of the strategies' results, in the order of CASCADE."""
-    hints = F.filter(F.array(x.known, x.declared, x.computed), lambda h: (h > 0) & F.array_contains(x.on_page, h))
-    out = None
-    for (_, _, anchored), result in zip(CASCADE, results):
-        ok = result.isNotNull() & (F.size(result["lots"]) > 0)
-        if anchored:
-            ok = ok & ((F.size(hints) == 0) | F.array_contains(hints, result["computed_total"]))
-        ok = F.coalesce(ok, F.lit(False))
-        out = F.when(ok, result) if out is None else out.when(ok, result)
-    return out.otherwise(_result(_no_lots(), lambda _: (F.lit(None), F.lit(False), F.lit("all_failed"))))
+def _acceptable(x: Inputs, result: Column, anchored: bool) -> Column:
+    """Whether a strategy's result has lots and, where it must be, a total that is one of the hints on the page."""
+    ok = result.isNotNull() & (F.size(result["lots"]) > 0)
+    if anchored:
+        hints = F.filter(F.array(x.known, x.declared, x.computed), lambda h: (h > 0) & F.array_contains(x.on_page, h))
+        ok = ok & let(hints, lambda h: (F.size(h) == 0) | F.array_contains(h, result["computed_total"]))
+    return F.coalesce(ok, F.lit(False))
 
 
-def extract(filings: DataFrame, compat: bool = False) -> DataFrame:
+def cascade(x: Inputs, results: list[tuple[Column, bool]]) -> Column:
+    """The first acceptable of (result, whether it is anchored), else a result without lots."""
+    out = _result(_no_lots(), lambda _: (F.lit(None), F.lit(False), F.lit("all_failed")))
+    for result, anchored in reversed(results):
+        out = F.when(_acceptable(x, result, anchored), result).otherwise(out)
+    return out
+
+
+def _inputs() -> Inputs:
+    return Inputs(*map(F.col, ("_lines", "_every", "_rows", "_mended", "_page", "known_total", "declared_hint", "computed_hint")))
+
+
+def _prepared(filings: DataFrame) -> DataFrame:
+    whole = F.coalesce("text", F.lit(""))
+    return filings.withColumns({"_lines": text.lines(whole), "_every": text.lines(whole, every_break=True), "_page": F.flatten(F.transform(text.lines(whole), numbers.line_numbers))})
+
+
+def _by_first(filings: DataFrame) -> DataFrame:
+    """Filings with the result of the cascade's first strategy as _picked, null where it isn't acceptable."""
+    _, strategy, anchored = CASCADE[0]
+    out = _prepared(filings).withColumns({"_rows": F.lit(None), "_mended": F.lit(None)})
+    # a filter on the result isn't pushed below a column that isn't deterministic; it would evaluate the strategy again, for each mention
+    out = out.withColumns({"_first": strategy(_inputs()), "_kept": F.monotonically_increasing_id() >= 0})
+    return out.withColumn("_picked", F.when(_acceptable(_inputs(), F.col("_first"), anchored), F.col("_first")))
+
+
+def _by_others(filings: DataFrame, compat: bool) -> DataFrame:
+    """Filings with the first acceptable result of the cascade's other strategies as _picked, else the general parser's."""
+    out = _prepared(filings)
+    out = out.withColumns({"_rows": body(F.col("_lines")), "_mended": body(F.transform("_lines", lambda l: numbers.repair_numbers(l)))})
+    out = out.withColumns({f"_s{i}": strategy(_inputs()) for i, (_, strategy, _) in enumerate(CASCADE[1:])})
+    found = cascade(_inputs(), [(F.col(f"_s{i}"), anchored) for i, (*_, anchored) in enumerate(CASCADE[1:])])
+    out = out.withColumn("_found", found)
+    return out.withColumn("_picked", F.when(F.size("_found.lots") > 0, F.col("_found")).otherwise(general(_inputs(), compat)))
+
+
+def extract(filings: DataFrame, compat: bool = False, skip_blank: bool = False) -> DataFrame:
     """``filings`` (exchange, text; optional known_total, declared_hint, computed_hint, reference_date) with the column lockin.
 
     NSE filings go to the general parser, others to the cascade and, if that finds nothing, to
-    the general parser. A null text is empty. Lots carry dates, status and bucket.
+    the general parser. A null text is empty. Lots carry dates, status and bucket. With
+    ``skip_blank`` documents of next to no content aren't parsed and have a null lockin.
+
+    The plan is a union of three: general parser, cascade by its first strategy, and the
+    other strategies for what the first left. A filing runs only the strategies it needs, at the price
+    of the first one's test in two of the plans.
     """
     for name, kind in (("known_total", "bigint"), ("declared_hint", "bigint"), ("computed_hint", "bigint"), ("reference_date", "date")):
         if name not in filings.columns:
             filings = filings.withColumn(name, F.lit(None).cast(kind))
-    whole = F.coalesce("text", F.lit(""))
     kept = filings.columns
-    out = filings.withColumns({"_lines": text.lines(whole), "_every": text.lines(whole, every_break=True), "_order": dates.date_order(whole)})
-    mended = F.transform("_lines", lambda l: numbers.repair_numbers(l))
-    out = out.withColumns({"_rows": body(F.col("_lines")), "_mended": body(mended), "_page": F.flatten(F.transform("_lines", numbers.line_numbers))})
-    x = Inputs(*map(F.col, ("_lines", "_every", "_rows", "_mended", "_page", "known_total", "declared_hint", "computed_hint")))
-    out = out.withColumns({f"_s{i}": F.when(F.col("exchange") != "NSE", strategy(x)) for i, (_, strategy, _) in enumerate(CASCADE)})
-    out = out.withColumn("_general", general(x, compat))
-    chosen = cascade(x, [F.col(f"_s{i}") for i in range(len(CASCADE))])
-    out = out.withColumn("_picked", F.when(F.col("exchange") != "NSE", chosen))
-    out = out.withColumn("_picked", F.when(F.size("_picked.lots") > 0, F.col("_picked")).otherwise(F.col("_general")))
+    blank = text.is_blank(F.col("text")) if skip_blank else F.lit(False)
+    cascaded = F.coalesce(F.col("exchange") != "NSE", F.lit(False))
+    plain = _prepared(filings.where(~blank & ~cascaded)).withColumns({c: F.lit(None) for c in ("_rows", "_mended")}).withColumn("_picked", general(_inputs(), compat))
+    first = _by_first(filings.where(~blank & cascaded))
+    others = _by_others(first.where("_kept and _picked is null").select(*kept), compat)
+    parts = [p.select(*kept, "_picked") for p in (plain, first.where("_kept and _picked is not null"), others)]
+    if skip_blank:
+        parts.append(filings.where(blank).select(*kept, F.lit(None).cast(plain.schema["_picked"].dataType).alias("_picked")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    out = out.withColumn("_order", dates.date_order(F.coalesce("text", F.lit(""))))
 
     def finished(r: Column) -> Column:
         start, to = dates.date_value(r["from_date"], F.col("_order")), dates.date_value(r["to_date"], F.col("_order"))
@@ -352,9 +392,19 @@ def extract(filings: DataFrame, compat: bool = False) -> DataFrame:
         return F.struct(*(r[n].alias(n) for n in _NAMES), *extra)
 
     lockin = F.col("_picked").withField("lots", F.transform("_picked.lots", finished))
-    return out.select(*kept, lockin.alias("lockin"))
+    return out.select(*kept, F.when(F.col("_picked").isNotNull(), lockin).alias("lockin"))
+
+
+def scheduled(extracted: DataFrame) -> DataFrame:
+    """Extracted filings with what their schedule says becomes tradable when, and the share of free shares in percent (0 without a total)."""
+    of = F.try_divide(F.col("lockin.free_shares") * F.lit(100.0), F.nullif("lockin.computed_total", F.lit(0)))
+    return extracted.withColumns({"unlock_schedule": unlock_schedule(text.lines(F.coalesce("text", F.lit("")), every_break=True)), "free_percent": F.coalesce(F.round(of, 2), F.lit(0.0))})
 
 
 def lots(extracted: DataFrame, *keys: str) -> DataFrame:
-    """One row per lot, in the document's order (row_order from 0)."""
-    return extracted.select(*keys, F.posexplode("lockin.lots").alias("row_order", "lot")).select(*keys, "row_order", "lot.*")
+    """One row per lot, in the document's order (row_order from 0).
+
+    An inner explode would be given a filter on the array's size, which is pushed below the extraction and repeats it.
+    """
+    rows = extracted.select(*keys, F.posexplode_outer("lockin.lots").alias("row_order", "lot"))
+    return rows.where("row_order is not null").select(*keys, "row_order", "lot.*")

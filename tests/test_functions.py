@@ -119,3 +119,21 @@ def test_notice(value):
     assert tuple(bse) == (datetime.date(2026, 4, 2), 5163600, "Fine Things Limited")
     nse = value(text.notice_hints(F.lit("effective from April 07, 2026"), F.lit("NSE")))
     assert tuple(nse) == (datetime.date(2026, 4, 7), None, None)
+
+
+@pytest.mark.parametrize("line, found", [
+    *((f"100 1 100 L {e} Demat", [e]) for _, e in dates.WRITTEN), ("5 1 5 L 1.2.24 3/4/2025 (Anchor 30) x", ["1.2.24", "3/4/2025 (Anchor 30)"]), ("x Free IPO Shares", ["Free IPO Shares"]), ("x N.A. y n/a", ["N.A.", "n/a"]), ("no date", []),
+    ("Jan 5th 2024", ["Jan 5th 2024"]),
+])
+def test_date_tokens(value, line, found):
+    assert value(F.regexp_extract_all(F.lit(line), F.lit(dates.WITH_IPO), F.lit(1))) == found
+
+
+@pytest.mark.parametrize("ipo, want", [(True, ["IPO Shares"]), (False, [])])
+def test_ipo_is_a_date_token_only_where_asked(value, ipo, want):
+    assert value(F.regexp_extract_all(F.lit("5 1 5 ipo IPO Shares"), F.lit(dates.date_token(ipo)), F.lit(1))) == want
+
+
+@pytest.mark.parametrize("name, want", [("A & B (India) Pvt. Ltd.", {"a-and-b-india-ipo", "a_and_b_india_ipo", "a-b-india-ipo", "a_b_india_ipo"}), ("X Corp. Limited", {"x-corp-ipo", "x_corp_ipo"}), ("", {"-ipo", "_ipo"})])
+def test_slugs_from_rules(value, name, want):
+    assert set(value(text.slugs(F.lit(name)))) == want
