@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes up to which the right side of a join is broadcast.
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 4 << 20
 #: Rows of one key that go to one task.
 HOT_ROWS = 50_000
 

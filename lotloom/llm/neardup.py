@@ -46,7 +46,7 @@ LEAST_ESTIMATE = 0.57
 #: Members of one block in the comparison across components, and bytes of their sets.
 BLOCK, BLOCK_BYTES = 2048, 8 << 20
 #: Ids (8 bytes each) up to which a set of them is broadcast; more are shuffled.
-BROADCAST_IDS = 500_000
+BROADCAST_IDS = 100_000
 
 _RNG = np.random.default_rng(8128)
 _XOR = _RNG.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)

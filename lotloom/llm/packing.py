@@ -29,7 +29,7 @@ CAPACITY = 4096
 #: The id that ends each document.
 END = 1
 #: Words whose ids a worker keeps, words encoded as one text, bytes of text looked at at once.
-CACHED_WORDS, TOGETHER, LEARN_BYTES = 1_000_000, 1024, 2 << 20
+CACHED_WORDS, TOGETHER, LEARN_BYTES = 500_000, 1024, 1 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 

@@ -30,11 +30,13 @@ from lotloom.llm.textvec import ALNUM, Words, mix, slices
 from lotloom.session import Scratch, small_batches, small_table
 
 #: Bounds of the labelled sample that is brought to the driver, for each of the two labels.
-SAMPLE_ROWS, SAMPLE_BYTES = 4000, 3 << 20
+SAMPLE_ROWS, SAMPLE_BYTES = 4000, 2 << 20
 #: Hashed features of each place; the places: the word, its beginnings of these lengths in bytes, the words before and after.
 BUCKETS, HEADS = 1 << 17, (4, 5, 6, 7, 8)
 PLACES = 3 + len(HEADS)
 _NONE = BUCKETS  # no word there, or a word too short for such a beginning
+#: Bytes of text that training looks at together.
+PART_BYTES = 1 << 19
 #: Steps of the fit and the penalties of a word's weight and of a neighbour's (chosen by folds of training rows).
 ROUNDS, PENALTY, NEIGHBOUR = 60, 0.05, 1.0
 #: Penalty of the weights of leaving and of keeping the toxic state.
@@ -124,78 +126,93 @@ def log_totals(words, fwd: np.ndarray, first: np.ndarray, trans: np.ndarray) ->
     return out
 
 
-class _Sample:
-    """What training needs of many texts: features of all tokens, and which texts are kin."""
-
-    def __init__(self, texts: list[str]) -> None:
-        col = pa.array(texts, pa.string())
-        ids, firsts, counts, kin = [], [], [], [np.zeros(0, np.uint64)]
-        for a, b in slices(col):
-            w = Words(col.slice(a, b - a), ALNUM)
-            i, f = features(w)
-            own = mix(np.arange(a, b, dtype=np.uint64))  # texts of fewer than five words are kin to none
-            whole = w.whole(5)
-            if len(whole):
-                rows, at = np.unique(w.row[whole], return_index=True)
-                own[rows] = np.minimum.reduceat(w.grams(5)[whole], at)
-            ids.append(i), firsts.append(f), counts.append(w.count), kin.append(own)
-        self.ids = np.concatenate(ids, 1) if ids else np.zeros((PLACES, 0), np.int32)
-        self.begin = np.concatenate(firsts) if firsts else np.zeros(0, bool)
-        self.count = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-        self.first = np.zeros(len(self.count) + 1, np.int64)
-        np.cumsum(self.count, out=self.first[1:])
-        self.row = np.repeat(np.arange(len(self.count)), self.count)
-        _, self.kin = np.unique(np.concatenate(kin), return_inverse=True)
+class _Part:
+    """Some texts of the sample: features of their tokens, and which texts are kin."""
+
+    def __init__(self, col: pa.Array, offset: int) -> None:
+        w = Words(col, ALNUM)
+        self.ids, self.begin = features(w)
+        self.count, self.first, self.row = w.count, w.first, w.row
+        self.texts = slice(offset, offset + len(col))
+        self.kin = mix(np.arange(offset, offset + len(col), dtype=np.uint64))  # texts of fewer than five words are kin to none
+        whole = w.whole(5)
+        if len(whole):
+            rows, at = np.unique(w.row[whole], return_index=True)
+            self.kin[rows] = np.minimum.reduceat(w.grams(5)[whole], at)
+
+    def number(self, numbers: np.ndarray) -> None:
+        """Replace features by (token, number) of those that have a weight."""
+        token, entry = [], []
+        for place in range(PLACES):
+            found = numbers[place][self.ids[place]]
+            token.append(np.flatnonzero(found >= 0).astype(np.int32))
+            entry.append(found[token[-1]])
+        self.token, self.entry = np.concatenate(token), np.concatenate(entry)
+        del self.ids
+
+
+def _slope(part: _Part, theta: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Gradient of the weighted loss over the texts of a part."""
+    bias, start, t01, t10, t11 = theta[-5:]
+    trans = np.array([[0.0, t01], [t10, t11]])
+    score = np.bincount(part.token, theta[part.entry], len(part.row)) + bias
+    p, fwd, beta = marginals(score, part.begin, start, trans)
+    z = log_totals(part, fwd, part.begin, trans)
+    # the slope of the loss in log Z: 1 for a clean text, -1 / (Z - 1) for a toxic one
+    slope = weight * np.where(toxic, -1 / np.maximum(np.expm1(np.minimum(z, 500)), 1e-12), 1.0)
+    slope[part.count == 0] = 0
+    pull = slope[part.row] * p
+    grad = np.zeros_like(theta)
+    grad[:-5] = np.bincount(part.entry, pull[part.token], len(theta) - 5)
+    grad[-5], grad[-4] = pull.sum(), pull[part.begin].sum()
+    # pair marginals from the odds at both sides
+    follows = np.flatnonzero(~part.begin)
+    e, r, b = np.exp(np.clip(score[follows], -30, 30)), fwd[follows - 1], beta[follows]
+    cell = (np.exp(t01) * e * b, r * np.exp(t10), r * np.exp(t11) * e * b)
+    by = slope[part.row[follows]] / (1 + sum(cell))
+    grad[-3:] = [(by * c).sum() for c in cell]
+    return grad
 
 
 def train(texts: list[str], labels: list[int], shares: tuple[float, float] = (1.0, 1.0), penalty: float = PENALTY, neighbour: float = NEIGHBOUR, rounds: int = ROUNDS) -> Model:
-    """Fit the chain. ``shares``: how much a clean and a toxic text count. One class only, or no words: the prior is the score."""
+    """Fit the chain. ``shares``: how much a clean and a toxic text count. One class only, or no words: the prior is the score.
+
+    Texts are looked at in parts of PART_BYTES, so only their features are held at once.
+    """
     toxic = np.array(labels, bool)
     prior = float(np.clip(np.average(toxic, weights=np.where(toxic, shares[1], shares[0])), 1e-4, 1 - 1e-4)) if len(toxic) else 1e-4
-    model = Model(np.zeros((PLACES, BUCKETS + 1)), -4.0, -4.0, np.array([[0.0, -4.0], [0.0, 0.0]]))
-    s = _Sample(texts)
+    model = Model(np.zeros((PLACES, BUCKETS + 1), np.float32), -4.0, -4.0, np.array([[0.0, -4.0], [0.0, 0.0]]))
+    col = pa.array(texts, pa.string())
+    parts = [_Part(col.slice(a, b - a), a) for a, b in slices(col, PART_BYTES)]
+    kins, kin = np.unique(np.concatenate([p.kin for p in parts]) if parts else np.zeros(0, np.uint64), return_inverse=True)
     # features that several toxic texts hold, copies counted once
-    at = np.flatnonzero(toxic[s.row])
-    flat = np.arange(PLACES)[:, None] * (BUCKETS + 1)
-    held, n = np.unique((np.unique(np.stack([(s.ids[:, at] + flat).ravel(), np.tile(s.kin[s.row[at]], PLACES)]), axis=1))[0], return_counts=True) if len(at) else (np.zeros(0, int), np.zeros(0, int))
-    held = held[(n >= LEAST_TEXTS) & (held % (BUCKETS + 1) != _NONE)]
+    held = [np.zeros(0, np.int64)]
+    for place in range(PLACES):
+        pairs = []
+        for p in parts:
+            at = np.flatnonzero(toxic[p.texts][p.row])
+            pairs.append(np.unique(p.ids[place, at].astype(np.int64) * len(kins) + kin[p.texts][p.row[at]]))
+        one, n = np.unique(np.unique(np.concatenate(pairs)) // len(kins), return_counts=True) if len(kins) else (np.zeros(0, np.int64), np.zeros(0))
+        held.append(one[(n >= LEAST_TEXTS) & (one != _NONE)] + place * (BUCKETS + 1))
+    held = np.concatenate(held)
     if not len(held) or toxic.all():
         model.prior = prior
         return model
-    # tokens by feature: only entries that have a weight
-    place = np.full(PLACES * (BUCKETS + 1), -1, np.int32)
-    place[held] = np.arange(len(held))
-    entry = place[s.ids + flat]
-    _, token = np.nonzero(entry >= 0)
-    entry = entry[entry >= 0]
+    numbers = np.full((PLACES, BUCKETS + 1), -1, np.int32)
+    numbers.ravel()[held] = np.arange(len(held))
+    for p in parts:
+        p.number(numbers)
     near = held // (BUCKETS + 1) >= PLACES - 2
-    n_tokens, full = len(s.row), np.flatnonzero(s.count)
-    weight = np.where(toxic, shares[1], shares[0]) / np.bincount(s.kin * 2 + toxic)[s.kin * 2 + toxic]
+    weight = np.where(toxic, shares[1], shares[0]) / np.bincount(kin * 2 + toxic)[kin * 2 + toxic]
     weight /= weight.mean()
     theta = np.concatenate([np.zeros(len(held)), [model.bias, model.start, *model.trans[(0, 1, 1), (1, 0, 1)]]])
     m1, m2 = np.zeros_like(theta), np.zeros_like(theta)
     l2 = np.concatenate([np.where(near, neighbour, penalty), [0, 0, 0, SETTLED, SETTLED]])
     rate = np.concatenate([np.where(near, 0.1, 0.4), np.full(5, 0.15)])
-    follows = np.flatnonzero(~s.begin)
     for step in range(1, rounds + 1):
-        bias, start, t01, t10, t11 = theta[-5:]
-        trans = np.array([[0.0, t01], [t10, t11]])
-        score = np.bincount(token, theta[entry], n_tokens) + bias
-        p, fwd, beta = marginals(score, s.begin, start, trans)
-        z = log_totals(s, fwd, s.begin, trans)
-        # the slope of the loss in log Z: 1 for a clean text, -1 / (Z - 1) for a toxic one
-        slope = weight * np.where(toxic, -1 / np.maximum(np.expm1(np.minimum(z, 500)), 1e-12), 1.0)
-        slope[s.count == 0] = 0
-        pull = slope[s.row] * p
-        grad = np.zeros_like(theta)
-        grad[:-5] = np.bincount(entry, pull[token], len(held))
-        grad[-5], grad[-4] = pull.sum(), pull[s.begin].sum()
-        # pair marginals from the odds at both sides
-        e, r, b = np.exp(np.clip(score[follows], -30, 30)), fwd[follows - 1], beta[follows]
-        cell = (np.exp(t01) * e * b, r * np.exp(t10), r * np.exp(t11) * e * b)
-        by = slope[s.row[follows]] / (1 + sum(cell))
-        grad[-3:] = [(by * c).sum() for c in cell]
-        grad += l2 * theta
+        grad = l2 * theta
+        for p in parts:
+            grad += _slope(p, theta, toxic[p.texts], weight[p.texts])
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad**2
         theta -= rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
         theta[-5:] = np.clip(theta[-5:], -12, 12)
@@ -293,6 +310,6 @@ def score_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, scor
     docs = docs.drop(score, spans).withColumn("text", F.col("text").cast("string"))
     got, shares = sample(spark, docs, labels, "toxic")
     model = train([t for t, _ in got], [y for _, y in got], shares)
-    model.weights = model.weights.astype(np.float32)
+    del got
     schema = type(docs.schema)([*docs.schema.fields, *spark.createDataFrame([], f"`{score}` double, `{spans}` {SPANS}").schema.fields])
     return docs.mapInArrow(_scored(model, docs.columns.index("text"), to_arrow_schema(schema), (score, spans)), schema)
