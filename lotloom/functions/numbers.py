@@ -35,6 +35,12 @@ def contains_number(text: Column, value: Column) -> Column:
     return F.coalesce(F.array_contains(guarded_numbers(text), value), F.lit(False))
 
 
+def number_between(line: Column, first: Column, last: Column, most: Column | None = None) -> Column:
+    """The largest number among the characters [first, last) of a line, of those up to ``most`` where it is given; else null."""
+    found = line_numbers(F.substring(line, first + 1, last - first))
+    return F.array_max(F.filter(found, lambda n: n <= most) if most is not None else found)
+
+
 def best_effort_int(text: Column) -> Column:
     """A whole number from a text of digits, with or without commas; else null. (A number's own kind is a cast.)"""
     bare = F.trim(F.replace(text.cast("string"), F.lit(","), F.lit("")))

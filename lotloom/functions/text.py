@@ -72,6 +72,27 @@ def blank_stats(text: Column) -> Column:
     return F.struct(F.length(text).alias("total_chars"), page_count(text).alias("page_count"), F.length(content(text)).alias("content_chars"), is_blank(text).alias("is_blank"))
 
 
+def blank_error(text: Column, what: str) -> Column:
+    """What is said of a document that isn't parsed because it is blank; null for others."""
+    stats = blank_stats(text)
+    say = F.format_string(f"Blank {what} file detected (%d pages, %d chars of actual content)", stats["page_count"], stats["content_chars"])
+    return F.when(stats["is_blank"], say)
+
+
+def column_ranges(line: Column) -> Column:
+    """Columns of a line as an array of (first, last) in characters, the last one exclusive: what gaps of two or more spaces part. Null with fewer than two columns."""
+    parts, gaps = F.split(line, " {2,}", -1), F.regexp_extract_all(line, F.lit("( {2,})"), F.lit(1))
+
+    def step(acc: Column, p: Column) -> Column:
+        last = acc["at"] + F.length(p["part"])
+        own = F.when(p["part"] != "", F.array(F.struct(acc["at"].alias("first"), last.alias("last")))).otherwise(F.array().cast("array<struct<first:int,last:int>>"))
+        return F.struct((last + F.coalesce(F.length(p["gap"]), F.lit(0))).alias("at"), F.concat(acc["found"], own).alias("found"))
+
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,last:int>>").alias("found"))
+    found = F.aggregate(F.arrays_zip(parts.alias("part"), gaps.alias("gap")), zero, step, lambda acc: acc["found"])
+    return F.when(F.size(found) >= 2, found)
+
+
 def security_type(line: Column, between: bool = True) -> Column:
     """The first known type in a line; else, with ``between``, the text after the third number, at most 30 characters."""
     known = F.coalesce(*(F.nullif(squeeze(F.regexp_extract(line, f"(?i)({p})", 1)), F.lit("")) for p in TYPES))
@@ -117,6 +138,11 @@ def slugs(company: Column) -> Column:
     return F.array_distinct(F.array(*(F.concat(F.array_join(w, sep), F.lit(f"{sep}ipo")) for w in words for sep in "-_")))
 
 
+def json_array(value: Column, kind: str, default: Column | None = None) -> Column:
+    """The array that a JSON text holds; where it holds none, ``default`` or an empty one."""
+    return F.coalesce(F.from_json(value, f"array<{kind}>"), default if default is not None else F.array().cast(f"array<{kind}>"))
+
+
 def plain_path(path: Column, root: str = "") -> Column:
     """A path with forward slashes, single ones, and without the leading root."""
     out = F.regexp_replace(F.replace(path, F.lit("\\"), F.lit("/")), "/{2,}", "/")

@@ -69,6 +69,12 @@ def grouped_lots(lots: DataFrame) -> DataFrame:
     return out.select("processing_log_id", F.col("lockin_date_to").alias("lock_upto"), F.lower("status").alias("row_class"), F.lower("bucket").alias("lock_bucket"), "lock_from", F.date_diff("lockin_date_to", "lock_from").alias("days_locked"), "type_raw", "shares", "n")
 
 
+def grouped_totals(grouped: DataFrame) -> DataFrame:
+    """Locked and free shares of each record from its grouped lots; anchor lots count as locked."""
+    part = lambda *kinds: F.coalesce(F.sum(F.when(F.col("row_class").isin(*kinds), F.col("shares"))), F.lit(0))
+    return grouped.groupBy("processing_log_id").agg(part("locked", "anchor").alias("locked_shares"), part("free").alias("free_shares"))
+
+
 def single_lots(lots: DataFrame) -> DataFrame:
     return lots.select("processing_log_id", "row_order", F.col("lockin_date_from").alias("lock_from"), F.col("lockin_date_to").alias("lock_upto"), F.lower("status").alias("row_class"), F.lower("bucket").alias("lock_bucket"), F.date_diff("lockin_date_to", "lockin_date_from").alias("days_locked"), F.col("security_type").alias("type_raw"), "shares", F.lit(1).alias("n"))
 
@@ -99,11 +105,15 @@ def has_bucket(lots: Column, bucket: str) -> Column:
     return F.exists(lots, lambda r: r["bucket"] == bucket)
 
 
-def shown(records: DataFrame, text: str = "", exchange: str = "", finalized: bool | None = None, reviewed: bool | None = None, bucket: str = "", hide_blank: bool = False) -> DataFrame:
-    """The dashboard's filters over records with nested lots."""
+def shown(records: DataFrame, text: str = "", exchange: str = "", finalized: bool | None = None, reviewed: bool | None = None, bucket: str = "", hide_blank: bool = False, status: str = "", within: tuple[str, ...] = ("symbol", "company_name")) -> DataFrame:
+    """The dashboard's filters over records with nested lots; ``text`` is looked for in the columns ``within``, whatever its case."""
     if text:
-        low = text.lower()
-        records = records.where(F.lower(F.coalesce("symbol", F.lit(""))).contains(low) | F.lower(F.coalesce("company_name", F.lit(""))).contains(low))
+        found = F.lit(False)
+        for name in within:
+            found = found | F.lower(F.coalesce(F.col(name).cast("string"), F.lit(""))).contains(text.lower())
+        records = records.where(found)
+    if status:
+        records = records.where(F.col("status") == status)
     if exchange:
         records = records.where(F.col("exchange") == exchange)
     if finalized is not None:

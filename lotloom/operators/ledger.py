@@ -6,10 +6,10 @@ write is one atomic Parquet append, and no row is updated in place.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotloom.functions.classify import BUCKETS
+from lotloom.functions.classify import BUCKETS, legacy_band
 
 # Rules in the order in which they are judged and named.
 ORDER = ("RULE1", "RULE2", "RULE5", "RULE3", "RULE4", "RULE6", "RULE7", "RULE8", "RULE10")
@@ -81,6 +81,23 @@ def replaced_lots(extracted: DataFrame, version: Column) -> DataFrame:
     return rows.select("processing_log_id", "version", "row_order", *(F.col("lot")[f].alias(names.get(f, f)) for f in fields))
 
 
+def legacy_saved(details: DataFrame, rows: DataFrame, allotments: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
+    """A save by hand as the old dashboard did it: (details, rows).
+
+    ``details`` (scrip_id, version) get a new version whose computed total is the sum of their rows,
+    locked by hand; ``rows`` (scrip_id, shares, lock_from, lock_upto, row_class, type_raw) replace older ones,
+    with the days from their start (else the allotment) and the bucket by tolerance bands.
+    """
+    out = rows.join(allotments.select("scrip_id", "allotment_date"), "scrip_id", "left")
+    start, ends = F.coalesce("lock_from", "allotment_date"), F.col("lock_upto").isNotNull() & (F.col("row_class") != "free")
+    days = F.when(ends, F.abs(F.date_diff("lock_upto", start)))
+    bucket = F.when(~ends, "free").when(days.isNull() | (days > 9999), "unknown").otherwise(legacy_band(days))
+    out = out.select("scrip_id", "shares", "lock_from", "lock_upto", days.alias("days_locked"), bucket.alias("lock_bucket"), F.substring("type_raw", 1, 100).alias("type_raw"), "row_class")
+    sums = rows.groupBy("scrip_id").agg(F.sum("shares").alias("computed_total"))
+    header = details.drop("computed_total").join(sums, "scrip_id").withColumns({"version": F.col("version") + 1, "status": F.lit("MANUAL_LOCKED"), "manual_lock": F.lit(1), "manual_locked_at": now, "processed_at": now})
+    return header, out
+
+
 def blocked(log: DataFrame, wanted: DataFrame) -> DataFrame:
     """Of the wanted symbols (unique_symbol) those whose latest record by time is finalized, with the time it was: they must be rolled back first."""
     newest = latest(log.select("unique_symbol", "processed_at", "id", "status", "finalized_at"), ["unique_symbol"], "processed_at", "id")
@@ -97,7 +114,7 @@ def revalidated(log: DataFrame, verdicts: DataFrame, now: Column) -> DataFrame:
     out = with_verdicts(log.where(F.col("status") != "FINALIZED"), verdicts, now).join(said, "id")
     error = F.when(~F.col("all_rules_passed"), F.concat_ws(" | ", F.lit("Finalization skipped: Not all validation rules passed"), F.col("_say")))
     return out.withColumns({
-        "status": F.when("all_rules_passed", "FINALIZED").otherwise("VALIDATING"), "finalized_at": F.when("all_rules_passed", now), "error_message": error, "processed_at": now,
+        "status": F.when(F.col("all_rules_passed"), "FINALIZED").otherwise("VALIDATING"), "finalized_at": F.when(F.col("all_rules_passed"), now), "error_message": error, "processed_at": now,
     }).drop("_say")
 
 
@@ -182,3 +199,11 @@ def differences(parsed: DataFrame, stored: DataFrame, key: str, fields: list[str
 def not_done(found: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key isn't among what was done already."""
     return found.join(done.select(key).distinct(), key, "left_anti")
+
+
+def create_tables(spark: SparkSession, statements: str) -> int:
+    """Create the tables of a script of ``CREATE TABLE IF NOT EXISTS`` statements, parted by semicolons; how many there are."""
+    parts = [p.strip() for p in statements.split(";") if p.strip()]
+    for part in parts:
+        spark.sql(part if " using " in part.lower() else f"{part} USING parquet")
+    return len(parts)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from lotloom.sources.filings import exchange_of
 
 
 def run_summary(records: DataFrame) -> DataFrame:
@@ -41,6 +44,38 @@ def outcome_summary(found: DataFrame) -> DataFrame:
     return found.groupBy("exchange").agg(F.count("*").alias("files"), F.count_if(ok).alias("passed"), F.count_if(~F.col("match")).alias("mismatches"), F.sum("range_errors").alias("range_errors"))
 
 
+def strategy_counts(records: DataFrame, key: str) -> DataFrame:
+    """How often each strategy won, by a key (lockin_strategy or shp_strategy) of the verdicts' JSON, with its permille; most frequent first."""
+    named = records.select(F.get_json_object("validation_results", f"$._strategies.{key}").alias("strategy")).where("strategy is not null")
+    by = named.groupBy("strategy").agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy())  # of one row a strategy
+    return by.withColumn("permille", F.expr("n * 1000") / total).withColumn("permille", F.floor("permille")).orderBy(F.desc("n"), "strategy")
+
+
+def preview(rows: DataFrame, key: str, order: list[Column], value: str, most: int) -> DataFrame:
+    """The first ``most`` values of each key in order, as the array ``shown``, and how many more there are. Only these reach one row, however many a key has."""
+    window = Window.partitionBy(key).orderBy(*order)
+    first = rows.withColumn("_place", F.row_number().over(window)).where(F.col("_place") <= most)
+    shown = first.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_place", value))).alias("_s"))
+    counts = rows.groupBy(key).agg(F.greatest(F.count("*") - most, F.lit(0)).alias("more"))
+    return shown.join(counts, key).select(key, F.transform("_s", lambda s: s[value]).alias("shown"), "more")
+
+
+def typed_order(shown: Column, kind: Column) -> list[Column]:
+    """What to sort texts by, by their kind (num, date or str): numbers and dates from large to small and missing ones last, words in any case from small to large."""
+    bare = F.when(F.trim(shown) != "-", F.trim(shown))
+    number = F.when(kind == "num", F.regexp_replace(bare, r"[^\d.-]", "").try_cast("double"))
+    moment = F.when(kind == "date", F.unix_seconds(bare.try_cast("timestamp")).cast("double"))
+    return [F.desc_nulls_last(F.coalesce(number, moment)), F.when(kind == "str", F.coalesce(F.lower(bare), F.lit("")))]
+
+
+def listing(files: DataFrame) -> DataFrame:
+    """Text files (path) of both exchanges as one list: exchange, name, and which list each comes from; to be sorted by list and name."""
+    rows = files.select(exchange_of(F.col("path")).alias("exchange"), F.substring_index("path", "/", -1).alias("name"))
+    one = lambda i, exchange: rows.where(F.col("exchange") == exchange).withColumn("list", F.lit(i))
+    return one(0, "NSE").unionByName(one(1, "BSE"))
+
+
 def percent(part: Column, whole: Column) -> Column:
     """Share in percent; null where there is no whole."""
     return F.try_divide(part * 100, F.nullif(whole, F.lit(0)))

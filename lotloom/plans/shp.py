@@ -287,7 +287,10 @@ def problems(r: Column) -> Column:
 
 def coverage(rows: Column, labels: tuple[str, ...]) -> Column:
     """How many lines bear each label."""
-    return F.map_from_arrays(F.array(*map(F.lit, labels)), F.array(*(F.size(F.filter(rows, lambda r, p=p: r["bare"].contains(p))) for p in labels)))
+    def bearing(label: str) -> Column:
+        return F.size(F.filter(rows, lambda r: r["bare"].contains(label)))
+
+    return F.map_from_arrays(F.array(*map(F.lit, labels)), F.array(*map(bearing, labels)))
 
 
 def extract(documents: DataFrame) -> DataFrame:

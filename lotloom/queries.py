@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -11,28 +9,13 @@ from pyspark.sql.window import Window
 from lotloom.functions import classify, dates, numbers, text
 from lotloom.operators import adapter, calendar, ledger, reports, rules
 from lotloom.operators import master as issuers
-from lotloom.operators.adapter import LOG_SQL, LOTS_SQL, MASTER_SQL
 from lotloom.plans import lockin, shp
+from lotloom.registry import ALL, LOG, LOTS, ORACLES, QUERIES, query
 from lotloom.session import table
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-LOTS, LOG, ALL = f"WITH {LOTS_SQL}", f"WITH {LOTS_SQL}, {LOG_SQL}", f"WITH {LOTS_SQL}, {LOG_SQL}, {MASTER_SQL}"
 FINALIZED = "CASE WHEN p.status = 'FINALIZED' THEN 1 ELSE 0 END"
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
-
 # Lots and the unlock calendar
 
 
@@ -550,3 +533,6 @@ def feed_records(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT event_type, date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1, 2")
 def events_by_hour(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").groupBy("event_type", F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n")).select("event_type", F.col("w.start").alias("hour"), "n")
+
+
+from lotloom import queries_layouts, queries_ledger, queries_values  # noqa: E402,F401  they register more
