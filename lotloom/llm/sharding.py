@@ -1,9 +1,10 @@
 """Sharding by a k-d tree of weighted medians (operator 4). DataFrame operations only.
 
-Every document has four coordinates of metadata: size (logarithm), source, language and a
-hash of the content. The tree starts with all documents and the number of shards; a node
-of m shards is split along its widest dimension where the bytes below reach floor(m / 2)
-parts of m, until a node is one shard. Its target is the mean of all shards' bytes.
+Every document has three coordinates of metadata: size (logarithm), source and language. The
+tree starts with all documents and the number of shards; a node of m shards is split along its
+widest dimension where the bytes below reach floor(m / 2) parts of m, until a node is one
+shard. Its target is the mean of all shards' bytes. Within equal coordinates a hash of the
+content decides; it is a dimension of its own only where no metadata has any width.
 
 Split points are found without sorting: bytes are summed by BINS intervals of the key
 (coordinate, then content hash), the interval that holds the point is divided again, and
@@ -29,7 +30,7 @@ COORDINATE, HASH, CHUNK = 20, 28, 14
 BELOW = HASH + CHUNK
 #: Share of a shard's mean bytes that a unit, and the error of a split point, may have.
 TOLERANCE = 0.0025
-DIMENSIONS = ("size", "source", "lang", "content")
+DIMENSIONS = ("size", "source", "lang", "content")  # the last only where the others have no width
 
 
 def _coordinates(units: DataFrame) -> DataFrame:
@@ -55,10 +56,10 @@ class _Node:
         self.dimension = self.cut = None
 
 
-def grow(spark: SparkSession, units: DataFrame, shards: int, tolerance: float) -> DataFrame:
-    """``units`` (coordinates, bytes) with the column node: their shard."""
-    units = units.withColumn("node", F.lit(0))
-    level = [_Node(0, shards)]
+def grow(spark: SparkSession, units: DataFrame, shards: int, tolerance: float, scratch: Scratch) -> DataFrame:
+    """``units`` (coordinates, bytes) with the column node: their shard. Each level is written, so plans stay short."""
+    units = scratch.write(units.withColumn("node", F.lit(0)), "level-0")
+    level, depth = [_Node(0, shards)], 0
     while nodes := [n for n in level if n.shards > 1]:
         spread = [f(F.col("at")[i]).alias(f"{f.__name__}_{i}") for i in range(len(DIMENSIONS)) for f in (F.min, F.max)]
         facts = {r["node"]: r for r in units.groupBy("node").agg(F.sum("bytes").alias("bytes"), *spread).collect()}
@@ -66,7 +67,10 @@ def grow(spark: SparkSession, units: DataFrame, shards: int, tolerance: float) -
         live = {}
         for n in nodes:
             if r := facts.get(n.first):
-                n.dimension = max(range(len(DIMENSIONS)), key=lambda i: r[f"max_{i}"] - r[f"min_{i}"])
+                width = [r[f"max_{i}"] - r[f"min_{i}"] for i in range(len(DIMENSIONS))]
+                n.dimension = max(range(len(DIMENSIONS) - 1), key=width.__getitem__)
+                if not width[n.dimension]:
+                    n.dimension = len(DIMENSIONS) - 1
                 ends = r[f"min_{n.dimension}"] << BELOW, (r[f"max_{n.dimension}"] + 1) << BELOW
                 live[n.first] = (n, *ends, 0, r["bytes"] * (n.shards // 2) / n.shards)
             else:
@@ -94,6 +98,9 @@ def grow(spark: SparkSession, units: DataFrame, shards: int, tolerance: float) -
                     live[first] = (n, start, end, below, target)
         splits = F.broadcast(small_table(spark, [(n.first, n.dimension, n.cut, n.first + n.shards // 2) for n in nodes], "node int, d int, cut long, above int"))
         units = units.join(splits, "node", "left").withColumn("node", F.expr(f"case when {KEY} >= cut then above else node end")).drop("d", "cut", "above")
+        depth += 1
+        units = scratch.write(units, f"level-{depth}")
+        scratch.drop(f"level-{depth - 1}")
         level = [part for n in level for part in ([_Node(n.first, n.shards // 2), _Node(n.first + n.shards // 2, n.shards - n.shards // 2)] if n.shards > 1 else [n])]
     return units
 
@@ -121,8 +128,8 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = 24, tolerance: flo
     chunk = F.coalesce(F.pmod(F.xxhash64("doc_id", "source", "lang"), F.col("chunks")), F.lit(0)).cast("int")
     dealt = rows.join(hot, "group", "left").withColumns({"chunk": chunk, "source": F.coalesce("s", "source"), "lang": F.coalesce("l", "lang")})
     facts = [F.sum("size").alias("bytes"), F.max("size").alias("size"), F.min("source").alias("source"), F.min("lang").alias("lang")]
-    units = scratch.write(_coordinates(dealt.groupBy("group", "chunk").agg(*facts)), "units")
-    placed = grow(spark, units, shards, most).select("group", "chunk", F.col("node").alias("shard"))
+    units = _coordinates(dealt.groupBy("group", "chunk").agg(*facts))
+    placed = grow(spark, units, shards, most, scratch).select("group", "chunk", F.col("node").alias("shard"))
     out = scratch.write(dealt.join(placed, ["group", "chunk"]).select("doc_id", "size", "text_crc32", "shard"), "sharded")
     counts = {r["shard"]: r["n"] for r in out.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     numbered = gapless(out.withColumn("place", F.col("shard").cast("long")), "place", counts, ["doc_id", "text_crc32", "size"], "slot")

@@ -2,8 +2,9 @@
 
 Writing: each page is one record. Of pages with equal payloads of at least LEAST_REPEATED
 bytes, the one with the smallest page_id is a response that holds the payload; the
-others are revisits that refer to it. Records go through Spark's text sink, so any file
-system that Spark writes to will do, and files are rolled at about ARCHIVE_BYTES.
+others are revisits that refer to it by its record id. Records go through Spark's text sink, so any
+file system that Spark writes to will do. Pages are written by classes of size, each with so many
+records a file that no archive passes ARCHIVE_BYTES, unless a single page does.
 
 Reading: every place of an archive that bears the magic and a parsable header is a
 candidate that names its successor (header end + Content-Length + 4). Pointer jumping
@@ -27,6 +28,8 @@ from lotloom.session import Scratch
 
 LEAST_REPEATED = 100
 ARCHIVE_BYTES = 8 << 20
+#: Upper ends of the classes of record sizes (without the last class, which has none), and bytes that a header takes at most besides the url.
+CLASSES, HEADER_BYTES = (4 << 10, 64 << 10, 1 << 20), 1 << 10
 #: Revisits up to which their originals are broadcast to the pages; more are shuffled.
 BROADCAST_ROWS = 200_000
 MAGIC = b"WARC/1.1\r\n"
@@ -129,18 +132,27 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 def _record(html: Column) -> Column:
     line = lambda name, value: F.concat(F.lit(name + ": "), value)  # noqa: E731  null, and left out, where value is
     revisit = F.col("original").isNotNull()
-    uuid = lambda c: F.concat(F.lit("<urn:x-page:"), c.cast("string"), F.lit(">"))
+    uuid = lambda c: F.concat(F.lit("<urn:x-record:"), c, F.lit(":"), F.col("digest"), F.lit(">"))  # noqa: E731  equal payloads have one digest
     head = F.concat_ws(
         "\r\n", F.lit(MAGIC.decode().strip()), line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:x-record:"), F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.lit(":"), F.col("digest"), F.lit(">"))),
+        line("WARC-Record-ID", uuid(F.coalesce(F.col("page_id").cast("string"), F.lit("none")))),
         line("WARC-Date", F.lit(DATE)), line("WARC-Target-URI", F.regexp_replace("url", "[\r\n]", " ")), line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
-        F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), line("WARC-Refers-To", uuid(F.col("original"))),
+        F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), line("WARC-Refers-To", uuid(F.col("original").cast("string"))),
         line("X-Page-Id", F.col("page_id").cast("string")), line("X-Refers-To-Page", F.col("original").cast("string")), line("X-Payload-Length", F.octet_length(html).cast("string")),
         F.lit("Content-Type: text/html"), line("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.octet_length(html)).cast("string")),
     )
     return F.concat(head, F.lit("\r\n\r\n"), F.when(revisit, F.lit("")).otherwise(html))
 
 
+def _size_class() -> Column:
+    """The class of a page's record by its size, from 0."""
+    size = F.octet_length("html") + F.coalesce(F.octet_length("url"), F.lit(0)) + HEADER_BYTES
+    out = F.lit(len(CLASSES))
+    for c in range(len(CLASSES) - 1, -1, -1):
+        out = F.when(size <= CLASSES[c], c).otherwise(out)
+    return out
+
+
 def write_archives(spark: SparkSession, pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write a record for each row of ``pages`` (page_id, url, html) below ``path``.
 
@@ -152,17 +164,19 @@ def write_archives(spark: SparkSession, pages: DataFrame, path: str, archive_byt
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
     digest = F.sha2(F.col("html").cast("binary"), 256)
-    sizes = scratch.write(pages.select("page_id", digest.alias("digest"), F.octet_length("html").alias("bytes")), "digests")
+    sizes = scratch.write(pages.select("page_id", digest.alias("digest"), F.octet_length("html").alias("bytes"), _size_class().alias("class")), "digests")
     long = sizes.where(F.col("bytes") >= LEAST_REPEATED)
     first = long.groupBy("digest").agg(F.min("page_id").alias("original"), F.count("*").alias("n")).where("n > 1 and original is not null")
     repeats = long.select("page_id", "digest").join(first.select("digest", "original"), "digest").where(~F.col("page_id").eqNullSafe(F.col("original"))).distinct()
     repeats = scratch.write(repeats.select(F.col("page_id").alias("copy"), F.col("digest").alias("same"), "original"), "repeats")
     if repeats.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         repeats = F.broadcast(repeats)
-    total = sizes.agg(F.sum(F.col("bytes") + 500).alias("bytes"), F.count("*").alias("n")).first()
-    each = max(1, int(archive_bytes * (total["n"] or 1) / (total["bytes"] or 1)))
-    records = pages.withColumn("digest", digest).join(repeats, F.col("page_id").eqNullSafe(F.col("copy")) & (F.col("digest") == F.col("same")), "left")
-    records.select(_record(F.col("html")).alias("value")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", each).mode("overwrite").text(path)
+    present = sorted(r["class"] for r in sizes.select("class").distinct().collect()) or [0]  # at most len(CLASSES) + 1
+    for i, c in enumerate(present):
+        own = pages.where(_size_class() == c).withColumn("digest", digest)
+        records = own.join(repeats, F.col("page_id").eqNullSafe(F.col("copy")) & (F.col("digest") == F.col("same")), "left")
+        each = max(1, archive_bytes // CLASSES[c]) if c < len(CLASSES) else 1
+        records.select(_record(F.col("html")).alias("value")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", each).mode("append" if i else "overwrite").text(path)
     scratch.drop("digests", "repeats")
 
 

@@ -197,6 +197,35 @@ def test_toxicity(spark):
 # 4
 
 
+def _check_tree(frame, got):
+    """The upper split parts sizes, sources or languages: along one of these, all of the first shards lie at or below the others."""
+    facts = {(r["doc_id"], zlib.crc32((r["text"] or "").encode())): (len((r["text"] or "").encode()) + 8, *(zlib.crc32((r[c] or "").encode()) for c in ("source", "lang"))) for r in frame.collect()}
+    sides = [[facts[r["doc_id"], r["text_crc32"]] for r in got if (r["shard"] < 12) == low and r["text_crc32"] != zlib.crc32(b"the same text again")] for low in (True, False)]
+    assert any(max(x[d] for x in sides[0]) <= min(x[d] for x in sides[1]) for d in range(3))
+
+
+def test_small_tree_brute_force(spark):
+    """Splits of a tiny table, found by sorting: bytes as near to half as a cut between units allows, along the widest dimension."""
+    from lotloom.session import Scratch
+
+    r = random.Random(14)
+    rows = [(i, 0, r.randrange(20, 400), [r.randrange(1 << 20), r.randrange(1 << 18), r.randrange(1 << 10), i], i) for i in range(300)]
+    units = spark.createDataFrame(rows, "group long, chunk int, bytes long, at array<long>, below long")
+    got = {x["group"]: x["node"] for x in sharding.grow(spark, units, 4, 0.5, Scratch(spark, "t")).collect()}
+
+    def split(rows, first, shards):
+        if shards == 1:
+            return {x[0]: first for x in rows}
+        width = [max(x[3][d] for x in rows) - min(x[3][d] for x in rows) for d in range(3)]
+        d = width.index(max(width))
+        rows = sorted(rows, key=lambda x: (x[3][d], x[4]))
+        target, sums = sum(x[2] for x in rows) * (shards // 2) / shards, np.cumsum([0, *(x[2] for x in rows)])
+        cut = int(np.abs(sums - target).argmin())
+        return split(rows[:cut], first, shards // 2) | split(rows[cut:], first + shards // 2, shards - shards // 2)
+
+    assert got == split(rows, 0, 4)
+
+
 def test_sharding(spark):
     r = random.Random(4)
     rows = [(i, " ".join(words_of(r.randrange(1, 60), i)), r.choice(["en", "de"]), f"s{min(r.randrange(12), 4)}") for i in range(100, 3000)] + [(i, "the same text again", "en", "s0") for i in range(5000, 6500)]
@@ -213,6 +242,7 @@ def test_sharding(spark):
     assert set(total) == set(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert max(total.values()) - min(total.values()) < 0.05 * sum(total.values()) / 24
     assert sum(len(s) > 1 for s in groups.values()) <= 23
+    _check_tree(frame, got)
     again = sorted((r["doc_id"] or -1, r["shard"]) for r in sharding.shard(spark, frame.repartition(5)).collect())
     assert again == sorted((r["doc_id"] or -1, r["shard"]) for r in got)
     assert sharding.shard(spark, empty(spark)).count() == 0
@@ -230,6 +260,10 @@ def test_warc_magic_in_payloads(spark, tmp_path):
     path = str(tmp_path / "w")
     warc.write_archives(spark, frame, path, archive_bytes=20000)
     got = warc.read_archives(spark, path).collect()
+    files = [f.read_bytes() for f in (tmp_path / "w").glob("part-*")]
+    assert all(len(f) <= 20000 or f.count(b"WARC-Record-ID") == 1 for f in files)
+    ids = {m for f in files for m in re.findall(rb"WARC-Record-ID: (<[^>]*>)", f)}
+    assert {m for f in files for m in re.findall(rb"WARC-Refers-To: (<[^>]*>)", f)} <= ids
     assert len(got) == len(rows) and all(r["sound"] for r in got)
     first = {}
     for i, _, h in sorted((r for r in rows if r[0] is not None and len((r[2] or "").encode()) >= 100), key=lambda r: r[0]):
