@@ -55,6 +55,8 @@ def brute_top(vectors, queries, k):
 def test_top_k_brute_force(spark, monkeypatch, scale):
     monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
     monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 40)
+    monkeypatch.setattr(topk, "STRIPE", 2)
+    monkeypatch.setattr(topk, "SEEDS", 50)
     r = np.random.default_rng(1)
     base = (r.normal(size=(150, 20)) * scale).tolist()
     base[40:90] = [base[0]] * 50  # ties
@@ -75,6 +77,13 @@ def test_top_k_few(spark):
     assert [(r["query_id"], r["vec_id"], r["score"]) for r in two] == [(0, 1, 4096), (1, 0, 4096)]
 
 
+def test_top_k_repeats_and_large_values(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.5, 2.0]), (0, [0.5, 2.0]), (1, [1.0, 1.0]), (2, [1e30, 0.0]), (3, [-1e30, 1e18]), (4, [1.0, 2.0]), (4, [1.0, 2.0])]
+    got = topk.top_k(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=3).collect()
+    # vector 0 is (32, 128) in steps of a 64th; 2 and 3 saturate
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(0, 1, 2, 2**63 - 1), (0, 2, 3, 2**63 - 1), (0, 3, 4, 18432)]
+
+
 def test_search_beyond_floating_point():
     q, x = np.array([[2**30, 1]]), np.array([[2**30, 1], [2**30, 2], [1, 1]])
     (ids, scores), = topk.search(q, np.array([9]), x, np.array([0, 1, 2]), 2)
