@@ -52,11 +52,11 @@ LABELLERS = (
     ("rising", "digits", 0.4, 0.1),
 )
 ABSTAIN, BAD, GOOD = 0, 1, 2
-#: Vote rates expected of any labeller on bad and on good documents, and their weight against the
-#: observed votes. A labeller knows one kind of bad text: it misses others but seldom accuses a good one.
-PRIOR, STRENGTH = np.array([[0.1, 0.2, 0.7], [0.1, 0.002, 0.898]]), 0.1
-#: No labeller is taken to accuse more than this share of the good documents, so that a kind of bad
-#: text which only one labeller knows isn't explained away.
+#: Vote rates expected of any labeller on bad and on good documents, counted as so many votes. A labeller
+#: knows one kind of bad text: it misses others but seldom accuses a good one.
+PRIOR, PRIOR_VOTES = np.array([[0.1, 0.2, 0.7], [0.1, 0.002, 0.898]]), 10
+#: An assumption that votes alone can't give: no labeller accuses more than this share of the good
+#: documents. Without it a kind of bad text that only one labeller knows is explained away as that labeller's error.
 MOST_FALSE = 0.002
 
 
@@ -106,21 +106,28 @@ def votes(x: np.ndarray) -> np.ndarray:
 
 
 def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior of good for each pattern, and each labeller's vote rates on (bad, good)."""
+    """Posterior of good for each pattern, and each labeller's vote rates (abstain, bad, good) on (bad, good) documents, by expectation-maximisation."""
     post = np.where((patterns == BAD).any(1), 0.2, 0.9)
     onehot = (patterns[:, :, None] == np.arange(3)).astype(float)
     rates = np.zeros((2, patterns.shape[1], 3))
     for _ in range(rounds):
         weight = np.stack([counts * (1 - post), counts * post])
-        rates = np.einsum("cp,plv->clv", weight, onehot) + PRIOR[:, None] * (1 + STRENGTH * counts.sum())
+        rates = np.einsum("cp,plv->clv", weight, onehot) + PRIOR[:, None] * PRIOR_VOTES
         rates /= rates.sum(2, keepdims=True)
-        rates[1, :, BAD] = np.minimum(rates[1, :, BAD], MOST_FALSE)
+        false = np.minimum(rates[1, :, BAD], MOST_FALSE)
+        rates[1] *= ((1 - false) / (1 - rates[1, :, BAD]))[:, None]
+        rates[1, :, BAD] = false
         prior = (weight.sum(1) + 1) / (weight.sum() + 2)
         log = np.log(prior)[:, None] + np.einsum("plv,clv->cp", onehot, np.log(rates))
         post = 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50)))
     return post, rates
 
 
+def accuracies(rates: np.ndarray) -> list[dict]:
+    """What was learnt of each labeller: how often it accuses bad and good documents, and how often it abstains from each."""
+    return [{"figure": LABELLERS[k][1], "bad_found": float(rates[0, k, BAD]), "good_accused": float(rates[1, k, BAD]), "bad_abstained": float(rates[0, k, ABSTAIN]), "good_abstained": float(rates[1, k, ABSTAIN])} for k in range(rates.shape[1])]
+
+
 def hashed(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Row and bucket of each feature: words, shapes of words, whether a word repeats the one before."""
     shape = np.zeros(len(words.hash), np.uint64)

@@ -573,6 +573,35 @@ def test_votes_recover_classes():
     assert ((post[which.ravel()] >= 0.5) == y).mean() > 0.95
 
 
+def test_votes_against_likelihood():
+    """The posterior is Bayes' rule over the rates, and no feasible change of rates raises the penalised likelihood."""
+    r = np.random.default_rng(6)
+    y = r.random(4000) < 0.7
+    true = np.array([[0.1, 0.5, 0.4], [0.1, 0.001, 0.899]])
+    votes = np.stack([[r.choice(3, p=true[int(v)]) for v in y] for _ in range(4)], 1)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    post, rates = quality.fit_votes(patterns, counts.astype(float), rounds=2000)
+    share = ((counts * post).sum() + 1) / (counts.sum() + 2)
+
+    def weights(rates, share):
+        return np.array([[s * np.prod([rates[c, k, v] for k, v in enumerate(p)]) for p in patterns] for c, s in ((0, 1 - share), (1, share))])
+
+    def loss(rates, share):
+        own = np.log(rates) * quality.PRIOR[:, None] * quality.PRIOR_VOTES
+        return -(counts * np.log(weights(rates, share).sum(0))).sum() - own.sum() - np.log(share) - np.log(1 - share)
+
+    w = weights(rates, share)
+    assert np.allclose(post, w[1] / w.sum(0), atol=1e-6)
+    assert np.allclose(rates.sum(2), 1) and rates[1, :, quality.BAD].max() <= quality.MOST_FALSE + 1e-12
+    for _ in range(50):
+        other = rates * np.exp(r.normal(size=rates.shape) * 0.02)
+        other /= other.sum(2, keepdims=True)
+        other[1] *= ((1 - rates[1, :, quality.BAD]) / (1 - other[1, :, quality.BAD]))[:, None]
+        other[1, :, quality.BAD] = rates[1, :, quality.BAD]
+        assert loss(other, share) > loss(rates, share) - 1e-6
+    assert [a["figure"] for a in quality.accuracies(rates)] == [n for _, n, *_ in quality.LABELLERS[:4]]
+
+
 # Words
 
 
