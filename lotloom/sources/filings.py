@@ -50,19 +50,26 @@ def read_texts(spark: SparkSession, path: str, glob: str = "*_java.txt", lenient
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import re
 
-    wanted = re.compile(MEMBER)
+    wanted, names = re.compile(MEMBER), ["archive", "member", "content", "error"]
+    row = lambda *values: pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, (pa.string(), pa.string(), pa.binary(), pa.string()))], names=names)
     for batch in batches:
-        for path, content in zip(batch.column(0), batch.column(1)):
-            with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
-                names = [n for n in sorted(z.namelist()) if wanted.search(n)]
-                for n in names:
-                    yield pa.RecordBatch.from_arrays([pa.array([path.as_py()]), pa.array([n]), pa.array([z.read(n)], pa.binary())], names=["archive", "member", "content"])
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            try:
+                with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
+                    for n in sorted(n for n in z.namelist() if wanted.search(n)):
+                        yield row(path, n, z.read(n), None)
+            except (zipfile.BadZipFile, NotImplementedError, RuntimeError) as e:  # no archive, an unknown method, a password
+                yield row(path, "", None, str(e))
 
 
 def read_zips(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """The lock-in and shareholding files inside archives: archive, member, content. One file of an archive is held at a time."""
+    """The lock-in and shareholding files inside archives: archive, member, content, error.
+
+    One member is held at a time, besides the archive itself, which must fit a task's memory. An archive
+    that can't be read gives one row with an empty member and its error.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path", "content")
-    return files.mapInArrow(_members, "archive string, member string, content binary")
+    return files.mapInArrow(_members, "archive string, member string, content binary, error string")
 
 
 def read_database(spark: SparkSession, url: str, name: str, column: str | None = None, bounds: tuple[int, int] | None = None, partitions: int = 8, **options: str) -> DataFrame:
