@@ -11,8 +11,8 @@ bitmap, whose XOR population count between two texts estimates their similarity.
 3. Pairs whose sketches agree well enough are confirmed on full shingle sets, and the
    links are closed to components.
 4. Buckets that still hold several components compare members across components in blocks
-   of bounded size: first by their sketches, which leaves the members with a likely partner, then
-   these with their full sets. A block tests the likeliest pairs first, joins
+   of bounded size: first by their sketches, which leaves the members with a likely partner whose
+   first common band is this one, then these with their full sets. A block tests the likeliest pairs first, joins
    components as it finds links, and emits only those.
 5. Components come from large-star / small-star rounds over written edge tables.
 
@@ -205,43 +205,44 @@ class _Block:
             self.right = self.left
         self.ids, self.component, self.size = (group.column(c).to_numpy() for c in ("rep", "component", "n_shingles"))
         self.sketch, self.percent = np.stack(_rows_of(group.column("sketch").combine_chunks())), percent
+        bands = _rows_of(group.column("bands").combine_chunks())
+        self.key = np.uint64(group.column("key")[0].as_py() & 0xFFFFFFFFFFFFFFFF)
+        self.bands = np.stack(bands) if len({len(b) for b in bands}) == 1 else None
 
     def likely(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Members of other components that may link with member i, and in how many sketch bits each differs."""
+        """Members of other components that may link with member i and are to be looked at here, and in how many sketch bits each differs."""
         js = self.right[self.component[self.right] != self.component[i]]
         js = js[js > i] if self.one else js
         lo, hi = np.minimum(self.size[js], self.size[i]), np.maximum(self.size[js], self.size[i])
         js = js[100 * lo >= self.percent * hi]
         differ = np.bitwise_count(self.sketch[js] ^ self.sketch[i]).sum(1)
-        return js[differ <= MOST_BITS], differ[differ <= MOST_BITS]
+        js, differ = js[differ <= MOST_BITS], differ[differ <= MOST_BITS]
+        if self.bands is not None and len(js):  # pairs that share several bands are looked at in the first of these
+            first = self.bands[i][(self.bands[js] == self.bands[i]).argmax(1)] == self.key
+            js, differ = js[first], differ[first]
+        return js, differ
 
 
 def _partnered(group: pa.Table, percent: int) -> pa.RecordBatch:
-    """Members of a meeting that have a likely partner in another component."""
+    """The rows of a meeting whose members have a likely partner there in another component."""
     block = _Block(group, percent)
     hit = np.zeros(len(block.ids), bool)
     for i in block.left.tolist():
         js, _ = block.likely(i)
         hit[js] = True
         hit[i] |= len(js) > 0
-    return pa.RecordBatch.from_arrays([pa.array(block.ids[hit])], names=["id"])
+    kept, names = np.flatnonzero(hit), ["key", "i", "j", "side", "rep"]
+    return pa.RecordBatch.from_arrays([pa.array(group.column(c).to_numpy()[kept]) for c in names], names=names)
 
 
 def _links(group: pa.Table, percent: int) -> pa.RecordBatch:
     """Links between components of a meeting, enough to join what it can join."""
     block = _Block(group, percent)
-    sets, bands = (_rows_of(group.column(c).combine_chunks()) for c in ("shingles", "bands"))
-    key, banded = group.column("key")[0].as_py() & 0xFFFFFFFFFFFFFFFF, len({len(b) for b in bands}) == 1
-    bands = np.stack(bands) if banded else bands
+    sets = _rows_of(group.column("shingles").combine_chunks())
     found: list[tuple[int, int, int]] = []
     for i in block.left.tolist():
         js, differ = block.likely(i)
-        if len(js):
-            first = np.ones(len(js), bool)
-            if banded:  # pairs that share several bands are looked at in the first of these
-                same = bands[js] == bands[i]
-                first = bands[i][same.argmax(1)] == np.uint64(key)
-            found += zip(differ[first].tolist(), [i] * int(first.sum()), js[first].tolist())
+        found += zip(differ.tolist(), [i] * len(js), js.tolist())
     root: dict[int, int] = {}
 
     def top(c: int) -> int:
@@ -350,22 +351,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 75, exa
     if not mixed.isEmpty():
         members = scratch.write(attach(sized.select("key", "rep", "component"), mixed, ["key"], ["rep"], "inner", 32), "members")
 
-        def meet(members: DataFrame, *carried: DataFrame) -> DataFrame:
-            """A block meets itself and every later one; each meeting is a group of at most two blocks."""
-            own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-            to = lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j"), (F.col("own") > o).cast("int").alias("side"))
-            met = members.withColumn("own", own).withColumn("m", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), to))).select("key", "rep", "component", "m.*")
-            for side in carried:
-                met = met.join(side, "rep")
-            return met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        # a block meets itself and every later one; each meeting is a group of at most two blocks
+        own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+        to = lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j"), (F.col("own") > o).cast("int").alias("side"))
+        met = members.withColumn("own", own).withColumn("m", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), to))).select("key", "m.*", "rep")
+        of_rep = members.select("rep", "component").distinct()
 
-        likely = members.select("rep").distinct().withColumnRenamed("rep", "id")
+        def dealt(rows: DataFrame, *sides: DataFrame) -> DataFrame:
+            for side in (of_rep, *sides):
+                rows = rows.join(side, "rep")
+            return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+        about = reps.select("rep", "n_shingles", "sketch", "bands").dropDuplicates(["rep"])
         if not exact:
-            light = meet(members, reps.select("rep", "n_shingles", "sketch")).select("key", "i", "j", "side", "rep", "component", "n_shingles", "sketch")
-            likely = scratch.write(light.mapInArrow(_meetings(_partnered, percent), "id long").distinct(), "likely")
-        sets = _texts_sets(docs, likely, scratch, "rest").select(F.col("id").alias("rep"), "shingles")
-        members = members.join(likely.withColumnRenamed("id", "rep").distinct(), "rep", "left_semi")
-        more = scratch.write(meet(members, reps, sets).mapInArrow(_meetings(_links, percent), "a long, b long").distinct(), "rest-links")
+            met = scratch.write(dealt(met, about).mapInArrow(_meetings(_partnered, percent), "key long, i int, j int, side int, rep long"), "likely")
+        sets = _texts_sets(docs, met.select(F.col("rep").alias("id")).distinct(), scratch, "rest").select(F.col("id").alias("rep"), "shingles")
+        more = scratch.write(dealt(met, about, sets).mapInArrow(_meetings(_links, percent), "a long, b long").distinct(), "rest-links")
         if not more.isEmpty():
             found = components(links.unionByName(more), scratch, "rest-components")
         scratch.drop("rest-sets", "members", "likely")
