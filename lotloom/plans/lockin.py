@@ -322,14 +322,6 @@ def _acceptable(x: Inputs, result: Column, anchored: bool) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def cascade(x: Inputs, results: list[tuple[Column, bool]]) -> Column:
-    """The first acceptable of (result, whether it is anchored), else a result without lots."""
-    out = _result(_no_lots(), lambda _: (F.lit(None), F.lit(False), F.lit("all_failed")))
-    for result, anchored in reversed(results):
-        out = F.when(_acceptable(x, result, anchored), result).otherwise(out)
-    return out
-
-
 def _inputs() -> Inputs:
     return Inputs(*map(F.col, ("_lines", "_every", "_rows", "_mended", "_page", "known_total", "declared_hint", "computed_hint")))
 
@@ -352,10 +344,17 @@ def _by_others(filings: DataFrame, compat: bool) -> DataFrame:
     """Filings with the first acceptable result of the cascade's other strategies as _picked, else the general parser's."""
     out = _prepared(filings)
     out = out.withColumns({"_rows": body(F.col("_lines")), "_mended": body(F.transform("_lines", lambda l: numbers.repair_numbers(l)))})
-    out = out.withColumns({f"_s{i}": strategy(_inputs()) for i, (_, strategy, _) in enumerate(CASCADE[1:])})
-    found = cascade(_inputs(), [(F.col(f"_s{i}"), anchored) for i, (*_, anchored) in enumerate(CASCADE[1:])])
-    out = out.withColumn("_found", found)
-    return out.withColumn("_picked", F.when(F.size("_found.lots") > 0, F.col("_found")).otherwise(general(_inputs(), compat)))
+    found = None  # one step a strategy, each evaluated only where those before it failed; nested in one expression they take too long to analyse
+    for i, (_, strategy, anchored) in enumerate(CASCADE[1:]):
+        result = strategy(_inputs())
+        out = out.withColumn(f"_s{i}", result if found is None else F.when(F.col(found).isNull(), result))
+        fits = F.when(_acceptable(_inputs(), F.col(f"_s{i}"), anchored), F.col(f"_s{i}"))
+        out = out.withColumn(f"_f{i}", fits if found is None else F.coalesce(F.col(found), fits))
+        found = f"_f{i}"
+    plain = general(_inputs(), compat)
+    out = out.withColumn("_general", F.when(F.col(found).isNull(), plain))
+    failed = _result(_no_lots(), lambda _: (F.lit(None), F.lit(False), F.lit("all_failed")))
+    return out.withColumn("_picked", F.coalesce(F.col(found), F.col("_general"), failed))
 
 
 def extract(filings: DataFrame, compat: bool = False, skip_blank: bool = False) -> DataFrame:
