@@ -40,10 +40,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a folder below /tmp is set.
+    Only in a local session that names none (tests) a folder below /tmp is set; on a cluster every machine
+    would have its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         path = f"/tmp/checkpoints/lotloom-{spark.sparkContext.applicationId}"
         spark.sparkContext.setCheckpointDir(path)
     return path
