@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotloom.llm import chat, decontaminate, packing, quality, secrets, sharding, topk, toxicity, warc
+from lotloom.llm import bpe, chat, decontaminate, packing, quality, repair, resample, secrets, sharding, topk, toxicity, warc
 from lotloom.llm.neardup import near_duplicates
 from lotloom.session import Scratch, small_table, table
 
@@ -72,8 +72,31 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), (F.col("score") >= 0.5).alias("keep"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged table's repair; conversations that lost all rows have figures of none."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    every = rows.select(F.col("conv_id").cast("long").alias("_conv")).distinct()
+    figures = repair.repair_figures(spark, repair.damaged(rows))
+    none = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit("").cast("binary"), 256)}
+    filled = [F.coalesce(F.col(c), none.get(c, F.lit(0))).alias(c) for c in figures.columns if c != "conv_id"]
+    return every.join(figures, F.col("_conv").eqNullSafe(F.col("conv_id")), "left").select(F.col("_conv").alias("conv_id"), *filled)
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("byte_bpe_50k.json")
+    return bpe.summary(bpe.decode(spark, bpe.encode(spark, table(spark, sf_dir, "documents"), path), path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_top_k, op2_decontamination, op3_toxicity, op4_sharding, op5_warc, op6_near_duplicates, op7_chat, op8_packing, op9_secrets, op10_quality)
+    f.__name__: f
+    for f in (
+        op1_top_k, op2_decontamination, op3_toxicity, op4_sharding, op5_warc, op6_near_duplicates, op7_chat, op8_packing, op9_secrets, op10_quality, op11_repair, op12_resample, op13_bpe,
+    )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -98,7 +121,70 @@ def _matches(kind: str, pattern: str, group: int, least: int) -> str:
     WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING)) WHERE len(v) >= {least}"""
 
 
+#: The unsigned CRC-32 of a text's UTF-8 bytes: ``h`` is its hexadecimal form, ``tab`` the table below.
+_CRC_TABLE = "tab AS (SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab FROM range(256) r(i))"
+_HEX = "(instr('0123456789ABCDEF', h[{i}]) - 1)"
+_CRC = f"xor(list_reduce([4294967295] || list_transform(range(1, len(h), 2), lambda i: 16 * {_HEX.format(i='i')} + {_HEX.format(i='i + 1')}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+_VISIBLE = r"[^\x20\x09-\x0D]"
+#: A way as (cost, edits, turns put out so far); this builds it from an earlier one where that exists.
+_WAY = "CASE WHEN {of} IS NOT NULL AND {on} THEN {{'c': {of}.c + {cost}, 'x': {of}.x || '{edits}', 't': {of}.t || {said}}} END"
+
+
+def _ways(state: str) -> str:
+    """The best way to a state after a row, from all ways before it."""
+    line, user, assistant = "role || ':' || text || chr(10)", "'user:' || chr(10)", "'assistant:' || chr(10)"
+    found = [_WAY.format(of=state, on="true", cost=3, edits="D", said="''")]
+    for before, put in (("h", [("s", 0)]), ("u", [("s", 0), ("h", 0), ("a", 0), ("u", 1)]), ("a", [("s", 1), ("h", 1), ("a", 1), ("u", 0)])):
+        for of, n in put if before == state else ():
+            initial, own = ("s", None) if state == "h" else ("u", "user") if state == "u" else ("a", "assistant")
+            other = assistant if state == "u" else user
+            said = (f"{other} || " if n else "") + line
+            found.append(_WAY.format(of=of, on=f"NOT lost AND role[1] = '{initial}'", cost=f"{2 * n} + extra", edits="I" * n + "K", said=said))
+            if own:
+                said = (f"{other} || " if n else "") + f"'{own}:' || text || chr(10)"
+                found.append(_WAY.format(of=of, on=f"NOT lost AND role[1] <> '{initial}'", cost=f"{2 * n + 2} + extra", edits="I" * n + "R", said=said))
+    return f"list_sort(list_filter([{', '.join(found)}], lambda w: w IS NOT NULL))[1]"
+
+
 ORACLES: dict[str, str] = {
+    "op11_repair": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, hex(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')) AS h FROM conversations),
+c AS (SELECT conv_id, turn, role, text, {_CRC} % 20 AS f FROM k, tab),
+d AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM c WHERE f <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM d),
+e AS (SELECT *, NOT regexp_matches(text, '{_VISIBLE}') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS cut,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+g AS (SELECT *, blank OR again AS lost, CASE WHEN cut AND NOT blank AND NOT again THEN 1 ELSE 0 END AS extra FROM e),
+n AS (SELECT conv_id, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate, sum(extra) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before[1] || role[1] NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY conv_id),
+v(conv_id, i, s, h, u, a) AS (
+    SELECT conv_id, 0::BIGINT, {{'c': 0::BIGINT, 'x': '', 't': ''}}, NULL::STRUCT(c BIGINT, x VARCHAR, t VARCHAR), NULL::STRUCT(c BIGINT, x VARCHAR, t VARCHAR), NULL::STRUCT(c BIGINT, x VARCHAR, t VARCHAR) FROM n
+    UNION ALL SELECT v.conv_id, v.i + 1, {_ways("s")}, {_ways("h")}, {_ways("u")}, {_ways("a")} FROM v JOIN g ON g.conv_id IS NOT DISTINCT FROM v.conv_id AND g.i = v.i + 1),
+b AS (SELECT conv_id, list_sort(list_filter([s, a, CASE WHEN u IS NOT NULL THEN {{'c': u.c + 2, 'x': u.x || 'I', 't': u.t || 'assistant:' || chr(10)}} END,
+    CASE WHEN h IS NOT NULL THEN {{'c': h.c + 4, 'x': h.x || 'II', 't': h.t || 'user:' || chr(10) || 'assistant:' || chr(10)}} END], lambda w: w IS NOT NULL))[1] AS w
+    FROM v JOIN n USING (conv_id) WHERE v.i = n.rows)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+    coalesce(w.c, 0)::BIGINT AS cost, coalesce(w.x, '') AS audit, sha256(coalesce(CASE WHEN w.t <> '' THEN w.t[:-2] END, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN n USING (conv_id) LEFT JOIN b USING (conv_id)
+""",
+    "op12_resample": rf"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS ws FROM documents), i AS (SELECT regexp_extract_all({_LOWER}, '{_ALNUM}') AS ws FROM benchmark),
+own AS (SELECT doc_id, unnest(ws) AS w FROM d), other AS (SELECT unnest(ws) AS w FROM i),
+words AS (SELECT w, {_CRC} % 10000 AS b FROM (SELECT w, hex(w) AS h FROM (SELECT w FROM own UNION SELECT w FROM other)), tab),
+s AS (SELECT b, count(*) AS n FROM own JOIN words USING (w) GROUP BY b), t AS (SELECT b, count(*) AS n FROM other JOIN words USING (w) GROUP BY b),
+total AS (SELECT (SELECT coalesce(sum(n), 0)::DOUBLE FROM s) AS s, (SELECT coalesce(sum(n), 0)::DOUBLE FROM t) AS t),
+gain AS (SELECT b, floor(1000 * ln((coalesce(t.n, 0)::DOUBLE + 1) * (total.s + 10000) / ((coalesce(s.n, 0)::DOUBLE + 1) * (total.t + 10000))))::BIGINT AS g FROM s FULL JOIN t USING (b), total),
+weighed AS (SELECT doc_id, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight FROM own JOIN words USING (w) JOIN gain USING (b) GROUP BY doc_id),
+scored AS (SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM d LEFT JOIN weighed USING (doc_id)),
+ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score::BIGINT AS score, CASE WHEN rank <= n * 10 // 100 THEN rank END AS rank FROM scored LEFT JOIN ranks USING (doc_id)
+""",
     "op1_top_k": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
