@@ -45,14 +45,14 @@ def append(rows: DataFrame, path: str) -> None:
 
 
 def upserted(current: DataFrame, incoming: DataFrame, now: Column, order: str | None = None) -> DataFrame:
-    """New versions for incoming records: kept paths and symbol of an existing one, cleared error and finalization.
+    """New versions for incoming records: kept id, paths and symbol of an existing one, cleared error and finalization.
 
     Of incoming rows with one key the last by ``order`` counts (by all columns where none is given),
     so a key gets one new version.
     """
     keys = ["exchange", "file_name"]
     incoming = latest(incoming, keys, *([order] if order else []))
-    kept = [c for c in current.columns if c.endswith("_path") or c == "unique_symbol"]
+    kept = [c for c in current.columns if c.endswith("_path") or c in ("unique_symbol", "id")]
     old = current.select(*keys, F.col("version").alias("_v"), *(F.col(c).alias(f"_{c}") for c in kept))
     out = incoming.join(old, keys, "left").withColumn("version", F.coalesce(F.col("_v") + 1, F.lit(1)))
     out = out.withColumns({c: F.coalesce(f"_{c}", c) for c in kept if c in incoming.columns})

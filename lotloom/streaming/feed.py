@@ -2,40 +2,61 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from lotloom.functions.text import plain_breaks
+from lotloom.operators.ledger import replaced_lots
+from lotloom.operators.store import Store, parts, records, saved
 from lotloom.plans import lockin
+from lotloom.session import Scratch
 from lotloom.sources.filings import exchange_of
 
 
 def filings(spark: SparkSession, path: str, glob: str = "*_java.txt", files_per_trigger: int = 1000) -> DataFrame:
-    """New text files below ``path``, each once, as path, exchange, text."""
-    files = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_trigger).load(path)
-    rows = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    """New text files below ``path``, each once, as path, exchange, text. Bytes that aren't UTF-8 give a mark. Files of no bytes at all are passed over by Spark's file sources."""
+    files = spark.readStream.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_trigger)
+    kind = "path string, modificationTime timestamp, length long, content binary"
+    rows = files.schema(kind).load(path).select("path", plain_breaks(F.make_valid_utf8(F.col("content").cast("string"))).alias("text"))
     return rows.withColumn("exchange", exchange_of(F.col("path")))
 
 
 def ingest(spark: SparkSession, path: str, ledger: str, checkpoint: str) -> StreamingQuery:
-    """Extract new filings and append their lots to ``ledger``, a version per batch.
+    """Extract new filings into the ledger, a commit per batch.
 
-    A batch writes its own folder (batch_id), so one that is repeated after a failure
-    replaces itself; readers take the latest version of a path.
+    A file is known by its exchange and name, wherever it is delivered. One whose text is the stored one adds
+    nothing; a changed one gets a new version with its own lots, and one that yields no lots any more, such as a
+    blank one, a version with none, so that its old lots are no longer current. Commits bear the batch's
+    number: a batch that is repeated after a failure finds its commit and adds nothing. The file source takes
+    each path once; files that are changed in place are for ``lotloom.run``, which goes by content.
     """
+    store = Store(spark, ledger)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        lots = lockin.lots(lockin.extract(batch), "path", "exchange").withColumn("version", F.lit(batch_id))
-        lots.write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
+        name = F.substring_index("path", "/", -1)
+        rows = batch.select(F.xxhash64("path").alias("id"), "exchange", name.alias("file_name"), F.col("path").alias("lockin_txt_java_path"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), "text")
+        base, now = store.head(), F.current_timestamp().cast("timestamp_ntz")
+        stored = records(store, base)
+        if stored is not None:
+            rows = rows.join(stored.select("exchange", "file_name", "text_sha256"), ["exchange", "file_name", "text_sha256"], "left_anti")
+        read = Scratch(spark, "ingest").write(lockin.extract(rows, skip_blank=True), "read")
+        lots = replaced_lots(read.select(F.col("id").alias("processing_log_id"), "lockin"), F.lit(1))
+        totals = {"computed_total": "computed_total", "locked_total": "locked_shares", "free_total": "free_shares"}
+        log = read.select("id", "exchange", "file_name", "lockin_txt_java_path", "text_sha256", F.lit("NEW").alias("status"), *(F.col(f"lockin.{c}").alias(n) for n, c in totals.items()))
+        if not read.isEmpty():
+            saved(store, log, lots, None, now, "ingest", f"{checkpoint}/{batch_id}", base)
 
     stream = filings(spark, path).writeStream.foreachBatch(write)
     return stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def current(spark: SparkSession, ledger: str) -> DataFrame:
-    """Lots of the newest version of each path."""
-    lots = spark.read.parquet(ledger)
-    newest = lots.groupBy("path").agg(F.max("version").alias("version"))
-    return lots.join(newest, ["path", "version"], "left_semi").drop("batch_id")
+def current(spark: SparkSession, ledger: str) -> DataFrame | None:
+    """Lots of the newest version of each file; None where nothing was ever ingested."""
+    return parts(Store(spark, ledger), "lots", "processing_log_id")
 
 
 def windowed(events: DataFrame, late: str = "1 hour", width: str = "1 hour", slide: str | None = None) -> DataFrame:
@@ -55,3 +76,58 @@ def newest_by_symbol(log: DataFrame, late: str = "1 day", width: str = "1 day")
     """The record with the largest id of each symbol within each window of processing time; windows that the watermark has passed are forgotten."""
     rows = log.withWatermark("processed_at", late).groupBy(F.window("processed_at", width).alias("w"), "unique_symbol")
     return rows.agg(F.max("id").alias("id"), F.max_by("status", "id").alias("status")).select(F.col("w.start").alias("start"), "unique_symbol", "id", "status")
+
+
+NEWEST = "unique_symbol string, id long, status string, processed_at timestamp, settled boolean"
+
+
+class _Newest(StatefulProcessor):
+    """The record with the largest id of one symbol, kept as state."""
+
+    def __init__(self, quiet_ms: int) -> None:
+        self.quiet_ms = quiet_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.kept = handle.getValueState("newest", "id long, status string, processed_at timestamp")
+
+    def _row(self, key: tuple, settled: bool) -> pd.DataFrame:
+        id_, status, at = self.kept.get()
+        return pd.DataFrame({"unique_symbol": [key[0]], "id": [id_], "status": [status], "processed_at": [at], "settled": [settled]})
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best = self.kept.get() if self.kept.exists() else None
+        before = best
+        for part in rows:
+            # of equal ids the later one counts, then the larger state, so that order doesn't matter
+            for row in part[["id", "processed_at", "status"]].sort_values(["id", "processed_at", "status"]).tail(1).itertuples(index=False):
+                if best is None or (row.id, row.processed_at, row.status or "") > (best[0], pd.Timestamp(best[2]), best[1] or ""):
+                    best = (int(row.id), row.status, row.processed_at)
+        if best is not before and best is not None:
+            self.kept.update(best)
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(int(pd.Timestamp(best[2]).tz_localize("UTC").timestamp() * 1000) + self.quiet_ms)
+            yield self._row(key, False)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """The symbol was quiet for so long that its record counts as settled. It stays in the state, for a late record may have a smaller id."""
+        if self.kept.exists():
+            yield self._row(key, True)
+
+    def close(self) -> None:
+        pass
+
+
+def newest_state(log: DataFrame, late: str = "1 day", quiet: str = "7 days") -> DataFrame:
+    """The record with the largest id of each symbol (unique_symbol, id, status, processed_at), as a stream of changes.
+
+    Each row replaces the one of its symbol before it. A row comes when a larger id does, and once more, ``settled``,
+    when the watermark (``late`` behind the newest time) is ``quiet`` past the record's time. State is one
+    record a symbol, in the state store, which must be RocksDB. The last row of each symbol is the same for any
+    order of arrival. Rows without symbol, id or time are left out.
+    """
+    quiet_ms = int(pd.Timedelta(quiet).total_seconds() * 1000)
+    rows = log.where("unique_symbol is not null and id is not null and processed_at is not null").select("unique_symbol", F.col("id").cast("long").alias("id"), "status", F.col("processed_at").cast("timestamp").alias("processed_at"))
+    keyed = rows.withWatermark("processed_at", late).groupBy("unique_symbol")
+    return keyed.transformWithStateInPandas(_Newest(quiet_ms), NEWEST, "update", "eventTime")
