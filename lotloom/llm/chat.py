@@ -5,10 +5,9 @@ turn lies, the turns are rendered as growing prefixes and consecutive outputs ar
 compared: what a longer prefix adds is the span of its last turn, and an output that
 doesn't begin with the one before it shows that the template rewrites its history.
 
-Prefixes of a conversation of n turns would cost n renderings of all turns. So a long
-conversation is rendered as a whole once and, in stretches of STRETCH turns, by prefixes; if
-the stretches' outputs make up the whole, the spans found in them are the spans in the
-whole. Otherwise the template depends on what went before, and full prefixes decide.
+Every prefix is rendered, whatever the length: a template may rewrite its history at any turn, and only the
+prefix that ends there shows it. The first one that doesn't go on from the output before it ends the
+search. So a conversation of n turns costs n renderings of half of them on average, as the method has it.
 
 Conversations are gathered by a sort within hash partitions and stream through Python
 one at a time.
@@ -27,7 +26,6 @@ from pyspark.sql import functions as F
 from lotloom.session import small_batches
 
 Turn = tuple[str, str]
-STRETCH = 32
 
 #: Control strings of the template.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE]", "[/ROLE]")
@@ -52,39 +50,20 @@ def template(turns: list[Turn]) -> str:
     return "".join(f"<s>{marks[r] if r in marks else f'[ROLE]{escape(r)}[/ROLE]'}{escape(t)}</s>" for r, t in turns)
 
 
-def _prefixes(render: Callable[[list[Turn]], str], turns: list[Turn]) -> tuple[str, list[int], bool]:
-    """The output, where each turn ends in it, and whether some prefix was rewritten."""
-    ends, before, rewritten = [], render([]), False
-    for i in range(1, len(turns) + 1):
-        out = render(turns[:i])
-        rewritten |= not out.startswith(before)
-        ends.append(len(out))
-        before = out
-    return before, ends, rewritten
-
-
-def locate(render: Callable[[list[Turn]], str], turns: list[Turn], stretch: int = STRETCH) -> tuple[str, list[tuple[int, int]], bool]:
+def locate(render: Callable[[list[Turn]], str], turns: list[Turn]) -> tuple[str, list[tuple[int, int]], bool]:
     """The output, each turn's span in it, and whether the template rewrites history.
 
     If it does, spans can't be told from outputs alone and come back empty.
     """
-    ends: list[int] = []
-    if len(turns) <= 2 * stretch:
-        out, ends, rewritten = _prefixes(render, turns)
-    else:
-        out, parts, rewritten = render(turns), [], False
-        for a in range(0, len(turns), stretch):
-            part, own, bad = _prefixes(render, turns[a : a + stretch])
-            base = ends[-1] if ends else 0
-            ends += [base + e for e in own]
-            parts.append(part)
-            rewritten |= bad
-        if rewritten or "".join(parts) != out:
-            out, ends, rewritten = _prefixes(render, turns)
-    if rewritten:
-        return out, [], True
-    starts = [len(render([])), *ends[:-1]] if ends else []
-    return out, list(zip(starts, ends)), False
+    before = render([])
+    ends = [len(before)]
+    for i in range(1, len(turns) + 1):
+        out = render(turns[:i])
+        if not out.startswith(before):
+            return render(turns), [], True
+        ends.append(len(out))
+        before = out
+    return before, list(zip(ends[:-1], ends[1:])), False
 
 
 def parse(span: str) -> Turn | None:

@@ -31,9 +31,13 @@ ARCHIVE_BYTES = 8 << 20
 #: Upper ends of the classes of record sizes (without the last class, which has none), and bytes that a header takes at most besides the url.
 CLASSES, HEADER_BYTES = (4 << 10, 64 << 10, 1 << 20), 1 << 10
 #: Revisits up to which their originals are broadcast to the pages; more are shuffled.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 32_768
 MAGIC = b"WARC/1.1\r\n"
-_LENGTH = re.compile(rb"(?:^|\r\n)Content-Length:[ \t]*(\d+)[ \t]*(?=\r\n|$)", re.IGNORECASE)
+#: Letter by letter, so that the search goes by the line break, which has no case.
+_LENGTH = re.compile(rb"\r\n[Cc][Oo][Nn][Tt][Ee][Nn][Tt]-[Ll][Ee][Nn][Gg][Tt][Hh]:[ \t]*(\d+)[ \t]*(?=\r\n)")
+_MAGICS = re.compile(re.escape(MAGIC))
+#: Lengths beyond this are no lengths.
+_MOST = 1 << 60
 #: Time of capture in records of pages that have none.
 DATE = "2000-01-01T00:00:00Z"
 
@@ -41,16 +45,24 @@ RECORDS = "archive string, offset long, record_type string, page_id long, url st
 
 
 def candidates(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the magic with a header, where the block begins, and where the successor would."""
-    found = []
-    for m in re.finditer(re.escape(MAGIC), data):
-        end = data.find(b"\r\n\r\n", m.start())
-        if end >= 0:
-            n = _LENGTH.search(data, m.end() - 2, end)
-            if n:
-                found.append((m.start(), end + 4, end + 4 + int(n[1]) + 4))
-    a = np.array(found, np.int64).reshape(-1, 3)
-    return a[:, 0], a[:, 1], a[:, 2]
+    """Places of the magic with a header, where the block begins, and where the successor would.
+
+    A header ends at the first blank line and has a length in it. Magics, blank lines and lengths are each looked
+    for once in all bytes and matched by place, so magics inside payloads cost no search of their own.
+    """
+    magic = np.array([m.start() for m in _MAGICS.finditer(data)], np.int64)
+    if not len(magic):
+        return (np.zeros(0, np.int64),) * 3
+    blank, first = [], data.find(b"\r\n\r\n")
+    while first >= 0:  # they may overlap
+        blank.append(first)
+        first = data.find(b"\r\n\r\n", first + 2)
+    lengths = [(m.start(), min(int(m[1]) if len(m[1]) < 19 else _MOST, _MOST)) for m in _LENGTH.finditer(data)]
+    end = np.append(np.array(blank, np.int64), -1)[np.searchsorted(np.array(blank, np.int64), magic)]
+    places, values = (np.array([x[i] for x in lengths] + [len(data)], np.int64) for i in range(2))
+    at = np.searchsorted(places, magic + len(MAGIC) - 2)
+    good = (end >= 0) & (places[at] < end)
+    return magic[good], end[good] + 4, end[good] + 8 + values[at][good]
 
 
 def reachable(start: np.ndarray, successor: np.ndarray) -> np.ndarray:

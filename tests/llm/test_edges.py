@@ -294,6 +294,16 @@ def test_chain_breaks():
     assert kept(good * 3) == [True] * 3
     assert kept(good + good[:-3]) == [True, False]
     assert kept(b"junk" + good) == [] and kept(b"") == []
+    assert kept(b"WARC/1.1\r\n" * 3) == [] and kept(b"WARC/1.1\r\ncontent-length: " + b"9" * 40 + b"\r\n\r\n") == [False]
+
+
+@pytest.mark.parametrize("filler", [b"WARC/1.1\r\n", b"WARC/1.1\r\nX: 1\r\n", b"WARC/1.1\r\n\r\n", b"WARC/1.1\r\nContent-Length: 3\r\n\r\n", b"\r\n", b"\r\nContent-Length: 1"])
+def test_hostile_payloads_take_linear_time(filler):
+    payload = filler * (1_000_000 // len(filler))
+    data = b"WARC/1.1\r\nContent-Length: %d\r\n\r\n" % len(payload) + payload + b"\r\n\r\n"
+    began = time.perf_counter()
+    rows = list(warc.parse("a", data, payloads=False))
+    assert [(r["payload_bytes"], r["sound"]) for r in rows] == [(len(payload), True)] and time.perf_counter() - began < 2
 
 
 # 6
@@ -402,6 +412,11 @@ def test_rewritten_history_is_found():
     turns = [("user", "a"), ("assistant", "b"), ("user", "c")]
     last_only = lambda ts: "".join(t.upper() if i == len(ts) - 1 else t for i, (_, t) in enumerate(ts))
     assert chat.locate(last_only, turns)[2] is True
+    # only some long prefixes are written otherwise; what came before and after agrees
+    between = lambda ts: ("*" if 40 <= len(ts) <= 50 else "") + "".join(t for _, t in ts)
+    assert chat.locate(between, turns * 13)[2] is True and chat.locate(between, turns * 33)[2] is True
+    at_the_end = lambda ts: ("*" if len(ts) == 299 else "") + "".join(t for _, t in ts)
+    assert chat.locate(at_the_end, turns * 100)[2] is True and chat.locate(at_the_end, turns * 99)[2] is False
     numbered = lambda ts: "^" + "".join(f"{i}{t}" for i, (_, t) in enumerate(ts))
     out, spans, bad = chat.locate(numbered, turns * 40)
     assert not bad and "".join(out[a:b] for a, b in spans) == out[1:]
