@@ -414,7 +414,7 @@ def test_rewritten_history_is_found():
     assert chat.locate(last_only, turns)[2] is True
     # only some long prefixes are written otherwise; what came before and after agrees
     between = lambda ts: ("*" if 40 <= len(ts) <= 50 else "") + "".join(t for _, t in ts)
-    assert chat.locate(between, turns * 13)[2] is True and chat.locate(between, turns * 33)[2] is True
+    assert chat.locate(between, turns * 14)[2] is True and chat.locate(between, turns * 33)[2] is True
     at_the_end = lambda ts: ("*" if len(ts) == 299 else "") + "".join(t for _, t in ts)
     assert chat.locate(at_the_end, turns * 100)[2] is True and chat.locate(at_the_end, turns * 99)[2] is False
     numbered = lambda ts: "^" + "".join(f"{i}{t}" for i, (_, t) in enumerate(ts))
