@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lotloom.functions.classify import BUCKETS, legacy_band
 
@@ -196,6 +197,31 @@ def differences(parsed: DataFrame, stored: DataFrame, key: str, fields: list[str
     return joined.select(F.coalesce(f"p.{key}", f"s.{key}").alias(key), names.alias("differs"))
 
 
+def lot_differences(parsed: DataFrame, stored: DataFrame, key: str, order: str, fields: list[str]) -> DataFrame:
+    """How the parsed lots of each record differ from its stored ones, as multisets: key, what, parsed, stored, parsed_rows, stored_rows.
+
+    Lots equal in all ``fields`` (null equals null) cancel out, copy by copy. Copies that only one side has more
+    of are ``repeated in parsed`` or ``repeated in stored``. What is left is matched in the order of its rows: a
+    pair is ``changed``, the rest ``added`` or ``lost``. Each row shows both lots (null where there is
+    none) and how many rows each side has. Windows are over the lots of one record.
+    """
+    side = lambda rows, n: rows.select(key, order, *fields, F.lit(n).alias("_side"))
+    both = side(parsed, 0).unionByName(side(stored, 1))
+    same, whole = Window.partitionBy(key, *fields), Window.partitionBy(key)
+    count = lambda n, over: F.count_if(F.col("_side") == n).over(over)
+    both = both.withColumns({
+        "_copy": F.row_number().over(Window.partitionBy(key, *fields, "_side").orderBy(order)), "_np": count(0, same), "_ns": count(1, same), "parsed_rows": count(0, whole), "stored_rows": count(1, whole),
+    })
+    left = both.where(F.col("_copy") > F.least("_np", "_ns")).withColumn("_again", (F.col("_np") > 0) & (F.col("_ns") > 0))
+    left = left.withColumn("_place", F.row_number().over(Window.partitionBy(key, "_side", "_again").orderBy(order, *fields)))
+    lot = lambda n: F.max(F.when(F.col("_side") == n, F.struct(order, *fields)))
+    # repeats stand alone: their side is part of what they are matched by
+    out = left.groupBy(key, "_place", "_again", F.when(F.col("_again"), F.col("_side")).alias("_own")).agg(lot(0).alias("parsed"), lot(1).alias("stored"), F.first("parsed_rows").alias("parsed_rows"), F.first("stored_rows").alias("stored_rows"))
+    p, s = F.col("parsed").isNotNull(), F.col("stored").isNotNull()
+    what = F.when(F.col("_again"), F.when(p, "repeated in parsed").otherwise("repeated in stored")).when(p & s, "changed").when(p, "added").otherwise("lost")
+    return out.select(key, what.alias("what"), "parsed", "stored", "parsed_rows", "stored_rows")
+
+
 def not_done(found: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key isn't among what was done already."""
     return found.join(done.select(key).distinct(), key, "left_anti")

@@ -535,4 +535,4 @@ def events_by_hour(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").groupBy("event_type", F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n")).select("event_type", F.col("w.start").alias("hour"), "n")
 
 
-from lotloom import queries_layouts, queries_ledger, queries_values  # noqa: E402,F401  they register more
+from lotloom import queries_layouts, queries_ledger, queries_store, queries_values  # noqa: E402,F401  they register more
