@@ -48,26 +48,16 @@ def best_effort_int(text: Column) -> Column:
 
 
 # A typist's gap is one space between two characters of a number. What may follow it tells a gap from the
-# space between two numbers: a comma or a point, at once or after at most two digits, belongs to the same number
-# anywhere; two digits at the end of a column do only where the number has just begun, or after a comma.
-_FEW, _COLUMN_END = r"\d{1,2}", r"(?=\s{2,}|$)"
-
-
-def _gap(before: str, after: str) -> str:
-    """A pattern of one space with what must stand before and after it."""
-    return f" (?<={before} )(?={after})"
-
-
-_INSIDE = tuple(_gap(r"\d", few + mark) for mark in (",", r"\.") for few in (_FEW, ""))
-_AT_ENDS = (_gap(r",\d{1,2}", _FEW + _COLUMN_END), _gap(r"^\s{0,99}\d", _FEW + _COLUMN_END))
-_SHORT_LAST = _gap(r"\d", _FEW + _COLUMN_END)
+# space between two numbers: a comma or a point, after at most two digits, belongs to the same number anywhere; two
+# digits at the end of a column do only where the number has just begun, or after a comma.
+_LAST = r"\d{1,2}(?=\s{2,}|$)"
+GAP = rf" (?<=\d )(?=\d{{0,2}}[,.])| (?<=(?:,\d{{1,2}}|^\s{{0,99}}\d) )(?={_LAST})"
+EAGER_GAP = rf" (?<=\d )(?=\d{{0,2}}[,.]|{_LAST})"
 
 
 def repair_numbers(line: Column, eager: bool = False) -> Column:
     """Close single spaces inside numbers. ``eager`` also joins any digit and a short last number."""
-    for pattern in (_SHORT_LAST, *_INSIDE) if eager else (*_INSIDE, *_AT_ENDS):
-        line = F.regexp_replace(line, pattern, "")
-    return line
+    return F.regexp_replace(line, EAGER_GAP if eager else GAP, "")
 
 
 def grouped(number: Column) -> Column:

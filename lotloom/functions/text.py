@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -116,16 +118,14 @@ def page_list(spec: Column) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.transform(F.split(spec, ","), one))))
 
 
-# Words for a company's form at the end of its name; the first two of either kind may come before another one.
-ABBREVIATED, WRITTEN_OUT = ("Ltd", "Pvt", "Inc", "Corp"), ("Limited", "Private", "Corporation", "LLP", "PLC")
+# Words for a company's form, and which of them another one may follow.
+FORMS = {"Limited": True, "Private": True, "Corporation": False, "LLP": False, "PLC": False, r"Ltd\.?": True, r"Pvt\.?": True, r"Inc\.?": False, r"Corp\.?": False}
 
 
 def without_form(company: Column) -> Column:
     """A company's name without the form it ends in, and without a second one before that."""
-    for short, long in ((ABBREVIATED, WRITTEN_OUT), (ABBREVIATED[:2], WRITTEN_OUT[:2])):
-        words = [*(rf"{w}\.?" for w in short), *long]
-        company = F.regexp_replace(company, rf"(?i)\s+(?:{'|'.join(words)})\s*$", "")
-    return company
+    last, before = "|".join(FORMS), "|".join(f for f, more in FORMS.items() if more)
+    return F.regexp_replace(company, rf"(?i)(?:\s+(?:{before}))?\s+(?:{last})\s*$", "")
 
 
 def slugs(company: Column) -> Column:
@@ -165,12 +165,16 @@ def file_identity(name: Column, exchange: Column) -> tuple[Column, Column]:
 
 
 def shown_identity(name: Column, key: Column, known_symbol: Column) -> tuple[Column, Column]:
-    """(code, symbol) to show: from the file name, else from the record's key."""
-    bse, nse = r"^([0-9]+)-([A-Z\-]+)-Annexure-I\.pdf$", r"(?i)^([A-Z0-9\-]+)-CML([0-9]+)\.pdf$"
-    rest = F.nullif(F.regexp_extract(key, "^[^:]*:([^:]*)", 1), F.lit(""))
-    code = F.when(name.rlike(bse), F.regexp_extract(name, bse, 1)).when(name.rlike(nse), F.concat(F.lit("CML"), F.regexp_extract(name, nse, 2))).otherwise(rest)
-    symbol = F.when(name.rlike(bse), F.regexp_extract(name, bse, 2)).when(name.rlike(nse), F.upper(F.regexp_extract(name, nse, 1))).otherwise(F.coalesce(known_symbol, rest))
-    return code, symbol
+    """(code, symbol) to show: from the file name, else from the record's key.
+
+    A file name counts only if its symbol has nothing but letters and hyphens (BSE: capitals) or also digits (NSE: in any case).
+    """
+    bse, nse = name.rlike(BSE_FILE) & F.regexp_extract(name, BSE_FILE, 2).rlike("^[A-Z-]+$"), F.lower(name).rlike(r"^[a-z0-9-]+-cml\d+\.pdf$")
+    circular = F.regexp_extract(F.lower(name), r"-cml(\d+)\.pdf$", 1)
+    rest = F.nullif(F.get(F.split(key, ":"), F.lit(1)), F.lit(""))
+    code = F.when(bse, F.regexp_extract(name, BSE_FILE, 1)).when(nse, F.concat(F.lit("CML"), circular)).otherwise(rest)
+    stem = F.substring(name, F.lit(1), F.length(name) - F.length(circular) - 8)
+    return code, F.when(bse, F.regexp_extract(name, BSE_FILE, 2)).when(nse, F.upper(stem)).otherwise(F.coalesce(known_symbol, rest))
 
 
 def shp_candidates(stem: Column) -> Column:
@@ -191,13 +195,23 @@ def after_colon(key: Column) -> Column:
     return F.substring_index(key, ":", -1)
 
 
+# What a listing notice writes before the figures, in any case and with any blanks between the words.
+LISTED, SECURITIES, COMPANY = "effective from", "No. of Securities", "Name of the company"
+
+
+def _after(text: Column, words: str, then: str) -> Column:
+    """What follows these words, as a pattern with one group says; empty if nothing does."""
+    said = r"\s+".join(re.escape(w) for w in words.split()).replace(r"No\.\s+of", r"No\.\s*of")
+    return F.regexp_extract(text, rf"(?i){said}{then}", 1)
+
+
 def notice_hints(text: Column, exchange: Column) -> Column:
     """Listing date, number of shares and company that a listing notice names.
 
     One exchange writes the day of the week before the date, the other doesn't.
     """
     day = r"([A-Za-z]+\s+\d{1,2},?\s+\d{4})"
-    raw = F.when(exchange == "BSE", F.regexp_extract(text, rf"(?i)effective\s+from\s+\w+,\s+{day}", 1)).otherwise(F.regexp_extract(text, rf"(?i)effective\s+from\s+{day}", 1))
-    shares = F.replace(F.regexp_extract(text, r"(?i)No\.\s*of\s*Securities\s+([\d,]+)", 1), F.lit(","), F.lit("")).try_cast("bigint")
-    company = F.nullif(F.trim(F.regexp_extract(text, r"(?i)Name\s+of\s+the\s+company\s+(.+)", 1)), F.lit(""))
+    raw = F.when(exchange == "BSE", _after(text, LISTED, rf"\s+\w+,\s+{day}")).otherwise(_after(text, LISTED, rf"\s+{day}"))
+    shares = F.translate(_after(text, SECURITIES, r"\s+([\d,]+)"), ",", "").try_cast("bigint")
+    company = F.nullif(F.trim(_after(text, COMPANY, r"\s+(.+)")), F.lit(""))
     return F.struct(by_formats(squeeze(raw), NOTICE_FORMATS).alias("listing_date"), shares.alias("shares"), company.alias("company"))

@@ -168,17 +168,18 @@ def is_reviewed(meta: Column) -> Column:
     return F.coalesce(F.try_variant_get(F.try_parse_json(meta), "$.manual_reviewed", "int"), F.lit(0))
 
 
-def renamed(log: DataFrame, master: DataFrame, id_: int, symbol: str, now: Column) -> DataFrame:
-    """A version of record ``id_`` under another NSE symbol: its key, file name and paths; none if the master lacks the
-    symbol or another record holds the file."""
-    row = log.where((F.col("id") == id_) & (F.col("exchange") == "NSE"))
+def renamed(log: DataFrame, master: DataFrame, chosen: DataFrame, symbol: str, now: Column) -> DataFrame:
+    """Versions of the ``chosen`` records (id) under another NSE symbol: key, file name and paths; none of a record if the master
+    lacks the symbol or another record holds the file."""
+    row = log.where(F.col("exchange") == "NSE").join(chosen.select("id"), "id", "left_semi")
     old = F.regexp_extract("file_name", r"^(.+)-CML\d+\.pdf$", 1)
     name = F.concat(F.lit(symbol), F.substring(F.col("file_name"), F.length(old) + 1, F.length("file_name")))
     paths = {c: F.replace(F.col(c), old, F.lit(symbol)) for c in log.columns if c.endswith("_path")}
     out = row.where(old != "").withColumns({**paths, "_name": name, "unique_symbol": F.lit(f"NSE:{symbol}"), "updated_at": now, "version": F.col("version") + 1, "_sym": F.lit(symbol.upper())})
     out = out.join(master.select(F.upper("nse_symbol").alias("_sym")), "_sym", "left_semi")
-    taken = log.where(F.col("id") != id_).select("exchange", F.col("file_name").alias("_name"))
-    return out.join(taken, ["exchange", "_name"], "left_anti").withColumn("file_name", F.col("_name")).drop("_name", "_sym")
+    taken = log.select("exchange", F.col("file_name").alias("_name"), F.col("id").alias("_holder"))
+    free = out.alias("o").join(taken.alias("t"), (F.col("o.exchange") == F.col("t.exchange")) & (F.col("o._name") == F.col("t._name")) & (F.col("o.id") != F.col("t._holder")), "left_anti")
+    return free.withColumn("file_name", F.col("_name")).drop("_name", "_sym")
 
 
 def nested(records: DataFrame, lots: DataFrame, key: str = "id") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotloom.functions import classify, dates, numbers, text
-from lotloom.functions.bind import let
+from lotloom.functions.bind import built_once, let
 
 LOT = (
     "shares bigint, from_no bigint, to_no bigint, security_type string, from_date string, to_date string, raw_lockin string, share_form string, is_free boolean, row_class string, range_diff bigint"
@@ -306,11 +306,40 @@ def two_dates(x: Inputs) -> Column:
     return let(_result(lots, facts), lambda out: F.when(both(out["lots"]) & (out["declared_total"] == out["computed_total"]), out))
 
 
-#: The cascade, most trusted first: name, expression, whether its total must be one of the hints on the page.
-CASCADE: tuple[tuple[str, Callable[[Inputs], Column], bool], ...] = (
-    ("reverse_from_total", reverse_from_total, True), ("line_by_line", line_by_line, True), ("no_malformed_cleanup", unrepaired, True),
-    ("range_calculation", range_only, True), ("sum_first_soft_labels", sum_first, True), ("two_dates_fallback", two_dates, False),
-)
+@dataclass(frozen=True)
+class Strategy:
+    """One way to read a filing that isn't NSE's: an expression that gives a result (null where it fails), and where it stands among others, lower first.
+
+    An anchored one must also arrive at one of the totals known beforehand that are on the page, if there are any.
+    """
+
+    name: str
+    priority: int
+    build: Callable[[Inputs], Column]
+    anchored: bool = True
+    #: Whether it looks at rows, which are then made for it.
+    rows: bool = True
+
+
+#: Strategies by name; those of the library stand at tens.
+STRATEGIES: dict[str, Strategy] = {}
+
+
+def register(strategy: Strategy) -> None:
+    """Add a strategy to the cascade, or put it in the place of the one of that name; plans built from now on have it."""
+    STRATEGIES[strategy.name] = strategy
+
+
+def cascade() -> list[Strategy]:
+    """The registered strategies in the order in which they are tried; equal priorities by name."""
+    return sorted(STRATEGIES.values(), key=lambda s: (s.priority, s.name))
+
+
+for _strategy in (
+    Strategy("reverse_from_total", 10, reverse_from_total, rows=False), Strategy("line_by_line", 20, line_by_line), Strategy("no_malformed_cleanup", 30, unrepaired),
+    Strategy("range_calculation", 40, range_only), Strategy("sum_first_soft_labels", 50, sum_first), Strategy("two_dates_fallback", 60, two_dates, anchored=False),
+):
+    register(_strategy)
 
 
 def _acceptable(x: Inputs, result: Column, anchored: bool) -> Column:
@@ -326,35 +355,41 @@ def _inputs() -> Inputs:
     return Inputs(*map(F.col, ("_lines", "_every", "_rows", "_mended", "_page", "known_total", "declared_hint", "computed_hint")))
 
 
-def _prepared(filings: DataFrame) -> DataFrame:
-    whole = F.coalesce("text", F.lit(""))
-    return filings.withColumns({"_lines": text.lines(whole), "_every": text.lines(whole, every_break=True), "_page": F.flatten(F.transform(text.lines(whole), numbers.line_numbers))})
+@built_once
+def _column(name: str) -> Column:
+    """What strategies look at, from the text: its lines by either kind of break, its numbers, its rows above the footer, mended ones."""
+    lines = text.lines(F.coalesce("text", F.lit("")))
+    return {
+        "_lines": lambda: lines, "_every": lambda: text.lines(F.coalesce("text", F.lit("")), every_break=True), "_page": lambda: F.flatten(F.transform("_lines", numbers.line_numbers)),
+        "_rows": lambda: body(F.col("_lines")), "_mended": lambda: body(F.transform("_lines", lambda l: numbers.repair_numbers(l))),
+    }[name]()
+
 
+@built_once
+def _result_of(strategy: Strategy) -> Column:
+    """The strategy's result where it is acceptable, else null."""
+    return let(strategy.build(_inputs()), lambda r: F.when(_acceptable(_inputs(), r, strategy.anchored), r))
 
-def _by_first(filings: DataFrame) -> DataFrame:
-    """Filings with the result of the cascade's first strategy as _picked, null where it isn't acceptable."""
-    _, strategy, anchored = CASCADE[0]
-    out = _prepared(filings).withColumns({"_rows": F.lit(None), "_mended": F.lit(None)})
-    # a filter on the result isn't pushed below a column that isn't deterministic; it would evaluate the strategy again, for each mention
-    out = out.withColumns({"_first": strategy(_inputs()), "_kept": F.monotonically_increasing_id() >= 0})
-    return out.withColumn("_picked", F.when(_acceptable(_inputs(), F.col("_first"), anchored), F.col("_first")))
 
+@built_once
+def _general(compat: bool) -> Column:
+    return general(_inputs(), compat)
 
-def _by_others(filings: DataFrame, compat: bool) -> DataFrame:
-    """Filings with the first acceptable result of the cascade's other strategies as _picked, else the general parser's."""
-    out = _prepared(filings)
-    out = out.withColumns({"_rows": body(F.col("_lines")), "_mended": body(F.transform("_lines", lambda l: numbers.repair_numbers(l)))})
-    found = None  # one step a strategy, each evaluated only where those before it failed; nested in one expression they take too long to analyse
-    for i, (_, strategy, anchored) in enumerate(CASCADE[1:]):
-        result = strategy(_inputs())
-        out = out.withColumn(f"_s{i}", result if found is None else F.when(F.col(found).isNull(), result))
-        fits = F.when(_acceptable(_inputs(), F.col(f"_s{i}"), anchored), F.col(f"_s{i}"))
-        out = out.withColumn(f"_f{i}", fits if found is None else F.coalesce(F.col(found), fits))
-        found = f"_f{i}"
-    plain = general(_inputs(), compat)
-    out = out.withColumn("_general", F.when(F.col(found).isNull(), plain))
-    failed = _result(_no_lots(), lambda _: (F.lit(None), F.lit(False), F.lit("all_failed")))
-    return out.withColumn("_picked", F.coalesce(F.col(found), F.col("_general"), failed))
+
+@built_once
+def _failed() -> Column:
+    return _result(_no_lots(), lambda _: (F.lit(None), F.lit(False), F.lit("all_failed")))
+
+
+@built_once
+def _finished() -> Column:
+    """The picked result with dates, status and bucket for each lot."""
+    def finished(r: Column) -> Column:
+        start, to = dates.date_value(r["from_date"], F.col("_order")), dates.date_value(r["to_date"], F.col("_order"))
+        extra = (start.alias("lockin_date_from"), to.alias("lockin_date_to"), classify.status(r["is_free"]).alias("status"), classify.bucket(F.coalesce(start, F.col("reference_date")), to).alias("bucket"))
+        return F.struct(*(r[n].alias(n) for n in _NAMES), *extra)
+
+    return F.when(F.col("_picked").isNotNull(), F.col("_picked").withField("lots", F.transform("_picked.lots", finished)))
 
 
 def extract(filings: DataFrame, compat: bool = False, skip_blank: bool = False) -> DataFrame:
@@ -364,34 +399,30 @@ def extract(filings: DataFrame, compat: bool = False, skip_blank: bool = False)
     the general parser. A null text is empty. Lots carry dates, status and bucket. With
     ``skip_blank`` documents of next to no content aren't parsed and have a null lockin.
 
-    The plan is a union of three: general parser, cascade by its first strategy, and the
-    other strategies for what the first left. A filing runs only the strategies it needs, at the price
-    of the first one's test in two of the plans.
+    The plan is one chain of columns. Each strategy is a step that is evaluated only where the steps before it
+    found nothing, and what only later ones look at is made only there, so a filing runs only the strategies it needs.
     """
     for name, kind in (("known_total", "bigint"), ("declared_hint", "bigint"), ("computed_hint", "bigint"), ("reference_date", "date")):
         if name not in filings.columns:
             filings = filings.withColumn(name, F.lit(None).cast(kind))
-    kept = filings.columns
-    blank = text.is_blank(F.col("text")) if skip_blank else F.lit(False)
-    cascaded = F.coalesce(F.col("exchange") != "NSE", F.lit(False))
-    plain = _prepared(filings.where(~blank & ~cascaded)).withColumns({c: F.lit(None) for c in ("_rows", "_mended")}).withColumn("_picked", general(_inputs(), compat))
-    first = _by_first(filings.where(~blank & cascaded))
-    others = _by_others(first.where("_kept and _picked is null").select(*kept), compat)
-    parts = [p.select(*kept, "_picked") for p in (plain, first.where("_kept and _picked is not null"), others)]
-    if skip_blank:
-        parts.append(filings.where(blank).select(*kept, F.lit(None).cast(plain.schema["_picked"].dataType).alias("_picked")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    out = out.withColumn("_order", dates.date_order(F.coalesce("text", F.lit(""))))
-
-    def finished(r: Column) -> Column:
-        start, to = dates.date_value(r["from_date"], F.col("_order")), dates.date_value(r["to_date"], F.col("_order"))
-        extra = (start.alias("lockin_date_from"), to.alias("lockin_date_to"), classify.status(r["is_free"]).alias("status"), classify.bucket(F.coalesce(start, F.col("reference_date")), to).alias("bucket"))
-        return F.struct(*(r[n].alias(n) for n in _NAMES), *extra)
-
-    lockin = F.col("_picked").withField("lots", F.transform("_picked.lots", finished))
-    return out.select(*kept, F.when(F.col("_picked").isNotNull(), lockin).alias("lockin"))
+    kept, tried = filings.columns, cascade()
+    live = ~text.is_blank(F.col("text")) if skip_blank else F.lit(True)
+    # a filter on the result isn't pushed below a column that isn't deterministic; it would evaluate the strategies again, for each mention
+    out = filings.withColumns({"_lines": _column("_lines"), "_every": _column("_every"), "_live": live, "_other": F.coalesce(F.col("exchange") != "NSE", F.lit(False)), "_barrier": F.monotonically_increasing_id() >= 0})
+    out = out.withColumns({"_page": _column("_page"), "_rows": F.lit(None), "_mended": F.lit(None)})
+    found: Column | None = None
+    made = False
+    for i, strategy in enumerate(tried):
+        waits = F.col("_live") & F.col("_other") & (found.isNull() if found is not None else F.lit(True))
+        if strategy.rows and not made:
+            out, made = out.withColumns({c: F.when(waits, _column(c)) for c in ("_rows", "_mended")}), True
+        result = F.when(waits, _result_of(strategy))
+        out = out.withColumn(f"_f{i}", result if found is None else F.coalesce(found, result))
+        found = F.col(f"_f{i}")
+    plain = F.when(F.col("_live") & (F.lit(True) if found is None else found.isNull()), _general(compat))
+    picked = F.coalesce(plain if found is None else F.coalesce(found, plain), F.when(F.col("_live") & F.col("_other"), _failed()))
+    out = out.withColumns({"_picked": picked, "_order": dates.date_order(F.coalesce("text", F.lit("")))})
+    return out.where("_barrier").select(*kept, _finished().alias("lockin"))
 
 
 def scheduled(extracted: DataFrame) -> DataFrame:

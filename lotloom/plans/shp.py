@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotloom.functions import numbers, text
-from lotloom.functions.bind import let
+from lotloom.functions.bind import built_once, let
 
 # Labels of the three categories, lower case without spaces and hyphens.
 PROMOTER = ("totalshareholdingofpromoters", "totalshareholdingofpromoter", "totalshareholding", "(a)promoter&promotergroup", "(a)promotergroup")
@@ -277,12 +277,18 @@ def locked_from_hint(r: Column, whole: Column, hint: Column) -> Column:
     return F.when(fix, r.withField("locked_shares", hint)).otherwise(r)
 
 
-def problems(r: Column) -> Column:
-    """Why a result isn't valid, as an array of reasons; empty if it is."""
-    missing = [F.when(r[n].isNull(), f"missing {n}") for n in ("promoter_shares", "public_shares", "total_shares")]
-    negative = [F.when(r[n] < 0, f"negative {n}") for n in ("promoter_shares", "public_shares", "other_shares")]
-    total = F.when(~adds_up(r.withField("other_shares", F.coalesce(r["other_shares"], F.lit(0)))) & r["total_shares"].isNotNull(), "sum differs from total")
-    return F.array_compact(F.array(*missing, *negative, total, F.when(r["locked_shares"] > r["total_shares"], "locked above total")))
+def problems(r: Column, lockin_locked: Column | None = None) -> Column:
+    """Why a result isn't valid, as an array of reasons; empty if it is.
+
+    Values that are missing are named and end the check. Then parts must make up the total (unless it is zero; no
+    other shares count as none), and only where they do, locked shares must be those of the lock-in, if both are known.
+    """
+    none = F.array().cast("array<string>")
+    missing = F.array_compact(F.array(*(F.when(r[n].isNull(), f"missing {n}") for n in ("promoter_shares", "public_shares", "total_shares"))))
+    parts = r["promoter_shares"] + r["public_shares"] + F.coalesce(r["other_shares"], F.lit(0))
+    out = F.when(r.isNull(), F.array(F.lit("no data"))).when(F.size(missing) > 0, missing)
+    out = out.when((r["total_shares"] != 0) & (parts != r["total_shares"]), F.array(F.lit("sum differs from total")))
+    return (out if lockin_locked is None else out.when(r["locked_shares"] != lockin_locked, F.array(F.lit("locked differs from lock-in")))).otherwise(none)
 
 
 def coverage(rows: Column, labels: tuple[str, ...]) -> Column:
@@ -293,6 +299,44 @@ def coverage(rows: Column, labels: tuple[str, ...]) -> Column:
     return F.map_from_arrays(F.array(*map(F.lit, labels)), F.array(*map(bearing, labels)))
 
 
+@built_once
+def _read(swapped: bool) -> Column:
+    """The cascade's result by the known total, or, swapped, by the computed one."""
+    first, second = ("computed_total", "known_total") if swapped else ("known_total", "computed_total")
+    return cascade(Inputs(*map(F.col, ("_rows", "_a", "_b", "_c", "_t", first, "known_locked", second))))
+
+
+@built_once
+def _lines() -> Column:
+    line = lambda l: F.struct(l.alias("line"), F.lower(l).alias("low"), text.pattern_text(l).alias("bare"), numbers.line_numbers(l).alias("nums"))
+    return F.transform(text.lines(F.coalesce("text", F.lit("")), every_break=True), line)
+
+
+@built_once
+def _rows_of(labels: tuple[str, ...] | None) -> Column:
+    return grand_total(F.col("_rows")) if labels is None else labelled(F.col("_rows"), labels)["nums"]
+
+
+@built_once
+def _reread() -> Column:
+    return let(_read(True), reconciled)
+
+
+@built_once
+def _checked() -> Column:
+    """The result of the total that adds up."""
+    switch = (F.col("_two.total_shares") == F.col("computed_total")) & adds_up(F.col("_two"))
+    return reconciled(F.when(F.coalesce(switch, F.lit(False)), F.col("_two")).otherwise(F.col("_one")))
+
+
+@built_once
+def _rescued() -> Column:
+    """What the hints recover where a result contradicts them, else null."""
+    whole, known, locked = F.coalesce("text", F.lit("")), F.col("known_total"), F.col("known_locked")
+    gate = numbers.contains_number(whole, known) & numbers.contains_number(whole, locked) & implausible(F.col("_r"), known, locked)
+    return F.when(known.isNotNull() & locked.isNotNull() & gate, recovered(F.col("_r"), F.col("_rows"), whole, known, locked))
+
+
 def extract(documents: DataFrame) -> DataFrame:
     """``documents`` (exchange, text; optional known_total, computed_total, known_locked) with the column shp.
 
@@ -301,22 +345,14 @@ def extract(documents: DataFrame) -> DataFrame:
     for name in ("known_total", "computed_total", "known_locked"):
         if name not in documents.columns:
             documents = documents.withColumn(name, F.lit(None).cast("bigint"))
-    whole = F.coalesce("text", F.lit(""))
-    kept = documents.columns
-    line = lambda l: F.struct(l.alias("line"), F.lower(l).alias("low"), text.pattern_text(l).alias("bare"), numbers.line_numbers(l).alias("nums"))
-    out = documents.withColumn("_rows", F.transform(text.lines(whole, every_break=True), line))
-    out = out.withColumns({"_a": labelled(F.col("_rows"), PROMOTER)["nums"], "_b": labelled(F.col("_rows"), PUBLIC)["nums"], "_c": labelled(F.col("_rows"), OTHER)["nums"], "_t": grand_total(F.col("_rows"))})
-    c, known, computed, locked = F.col, F.col("known_total"), F.col("computed_total"), F.col("known_locked")
-    inputs = lambda total, second: Inputs(c("_rows"), c("_a"), c("_b"), c("_c"), c("_t"), total, locked, second)
-    out = out.withColumn("_one", cascade(inputs(known, computed)))
-    conflict = (c("exchange") == "BSE") & (known != computed) & (c("_one.total_shares") == known)
-    out = out.withColumn("_two", F.when(conflict, let(cascade(inputs(computed, known)), reconciled)))
-    switch = (c("_two.total_shares") == computed) & adds_up(c("_two"))
-    out = out.withColumn("_r", reconciled(F.when(F.coalesce(switch, F.lit(False)), c("_two")).otherwise(c("_one"))))
-    gate = numbers.contains_number(whole, known) & numbers.contains_number(whole, locked) & implausible(c("_r"), known, locked)
-    out = out.withColumn("_saved", F.when(known.isNotNull() & locked.isNotNull() & gate, recovered(c("_r"), c("_rows"), whole, known, locked)))
+    kept, c = documents.columns, F.col
+    out = documents.withColumn("_rows", _lines())
+    out = out.withColumns({"_a": _rows_of(PROMOTER), "_b": _rows_of(PUBLIC), "_c": _rows_of(OTHER), "_t": _rows_of(None)})
+    out = out.withColumn("_one", _read(False))
+    conflict = (c("exchange") == "BSE") & (c("known_total") != c("computed_total")) & (c("_one.total_shares") == c("known_total"))
+    out = out.withColumn("_two", F.when(conflict, _reread())).withColumn("_r", _checked()).withColumn("_saved", _rescued())
     out = out.withColumn("_r", F.when(c("_saved").isNotNull() & adds_up(c("_saved")), c("_saved")).otherwise(c("_r")))
-    return out.select(*kept, locked_from_hint(c("_r"), whole, locked).alias("shp"))
+    return out.select(*kept, locked_from_hint(c("_r"), F.coalesce("text", F.lit("")), c("known_locked")).alias("shp"))
 
 
 def shp_shares(shp: str = "shp") -> list[Column]:

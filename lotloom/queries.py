@@ -202,10 +202,11 @@ def candidate_summary(spark: SparkSession, d: str) -> DataFrame:
     return counted.join(two, "unique_symbol")
 
 
-@query("""SELECT line, min(doc_id * 100000 + pos) AS first_at FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents) GROUP BY 1""")
+@query("""SELECT line, f.d AS first_doc, f.p::INT AS first_pos FROM (SELECT line, min({'d': doc_id, 'p': pos}) AS f FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents) GROUP BY 1)""")
 def distinct_lines(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    return rows.groupBy("line").agg(F.min(F.col("doc_id") * 100000 + F.col("pos")).alias("first_at"))
+    first = rows.groupBy("line").agg(F.min(F.struct("doc_id", "pos")).alias("f"))
+    return first.select("line", F.col("f.doc_id").alias("first_doc"), F.col("f.pos").alias("first_pos"))
 
 
 # Running sums and contiguous sums

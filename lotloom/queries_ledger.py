@@ -118,9 +118,8 @@ SELECT log.id, 'NSE:N''EW' AS unique_symbol, 'N''EW-CML' || log.id || '.pdf' AS
 def renamed_record(spark: SparkSession, d: str) -> DataFrame:
     """A record under another symbol, one with a quote in it, in key, file name and paths."""
     now = _versions(spark, d)
-    first = now.agg(F.min("id")).first()[0]
     master = spark.range(1).select(F.lit("n'ew").alias("nse_symbol"))
-    return ledger.renamed(now, master, first, "N'EW", _now()).select("id", "unique_symbol", "file_name", "lockin_pdf_path", "version")
+    return ledger.renamed(now, master, now.agg(F.min("id").alias("id")), "N'EW", _now()).select("id", "unique_symbol", "file_name", "lockin_pdf_path", "version")
 
 
 @query(f"""{LOG}, x AS (SELECT processing_log_id AS scrip_id, shares, lockin_date_to AS t, CASE WHEN shares % 2 = 0 THEN lockin_date_from END AS f, lockin_date_from + 10 AS a, lower(status) AS c FROM lots),
@@ -137,14 +136,6 @@ def legacy_saves(spark: SparkSession, d: str) -> DataFrame:
     return header.join(facts, "scrip_id").select("scrip_id", "version", "computed_total", "status", "unknown", "days", "anchor_90")
 
 
-@query(f"SELECT 2 AS statements, 0::BIGINT AS rows")
-def created_tables(spark: SparkSession, d: str) -> DataFrame:
-    """A script of tables, applied twice without harm."""
-    script = "CREATE TABLE IF NOT EXISTS lotloom_demo_lots (id BIGINT, shares BIGINT);\nCREATE TABLE IF NOT EXISTS lotloom_demo_log (id BIGINT) USING parquet;\n"
-    n = [ledger.create_tables(spark, script) for _ in range(2)][-1]
-    return spark.table("lotloom_demo_lots").agg(F.lit(n).alias("statements"), F.count("*").alias("rows"))
-
-
 # Masters, files and pairs
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotloom.functions import classify, dates, numbers, text
-from lotloom.operators import adapter, calendar, reports
+from lotloom.operators import adapter, calendar, places, reports
 from lotloom.registry import LOG, LOTS, query
 from lotloom.session import table
 
@@ -212,20 +212,16 @@ def bad_row_previews(spark: SparkSession, d: str) -> DataFrame:
 SELECT o_orderkey AS id, ['num', 'date', 'str'][1 + o_orderkey % 3] AS kind, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS n, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate END AS d, CASE WHEN o_orderkey % 5 <> 0 THEN 'b' || o_custkey ELSE '' END AS s FROM orders)""")
 def typed_sort(spark: SparkSession, d: str) -> DataFrame:
     """Texts sorted by what they are: numbers and dates falling, words rising, missing ones last or first."""
-    from pyspark.sql.window import Window
-
     rows = _orders(spark, d).withColumn("kind", _choice(F.col("id"), ("num", "date", "str")))
     shown = F.when(F.col("id") % 5 == 0, "-").when(F.col("kind") == "num", numbers.grouped(F.col("customer"))).when(F.col("kind") == "date", F.date_format("day", "yyyy-MM-dd")).otherwise(F.concat(F.lit("B"), F.col("customer").cast("string")))
-    order = Window.partitionBy("kind").orderBy(*reports.typed_order(shown, F.col("kind")), "id")
-    return rows.select("id", "kind", F.row_number().over(order).cast("long").alias("place"))
+    first, second = reports.typed_order(F.col("shown"), F.col("kind"))
+    return places.numbered(rows.select("id", "kind", shown.alias("shown")), [first, second, F.col("id")], within="kind").select("id", "kind", "place")
 
 
 @query("""SELECT exchange, name, row_number() OVER (ORDER BY exchange DESC, name) AS place FROM (SELECT CASE WHEN c_custkey % 2 = 0 THEN 'bse' ELSE 'nse' END AS exchange, c_name || '.txt' AS name FROM customer)""")
 def files_in_order(spark: SparkSession, d: str) -> DataFrame:
     """One exchange's files by name, then the other's."""
-    from pyspark.sql.window import Window
-
     folder = F.when(F.col("c_custkey") % 2 == 0, "bse").otherwise("nse")
     files = table(spark, d, "customer").select(F.concat(F.lit("/in/"), folder, F.lit("/"), "c_name", F.lit(".txt")).alias("path"))
     listed = reports.listing(files)
-    return listed.select(F.lower("exchange").alias("exchange"), "name", F.row_number().over(Window.orderBy("list", "name")).cast("long").alias("place"))
+    return places.numbered(listed, [F.col("list"), F.col("name")]).select(F.lower("exchange").alias("exchange"), "name", "place")

@@ -33,10 +33,10 @@ WIDE = """--- PAGE 1 ---
 """
 NSE = """Annexure I
 No. of Equity Shares   From   To   Lock in upto
-5390328   1   5390328   08-Oct-2026
-191662*   5390329   5581990   Free
-100.00   5581991   5582090
-5582090   Total
+3104220   1   3104220   17-Mar-2027
+87340*   3104221   3191560   Free
+250.00   3191561   3191810
+3191810   Total
 """
 
 
@@ -72,8 +72,8 @@ def test_hint_decides(found):
 
 def test_general(found):
     r = found["nse"]
-    assert [(x["shares"], x["is_free"], x["to_date"]) for x in r["lots"]] == [(5390328, False, "08-Oct-2026"), (191662, True, None), (100, True, None)]
-    assert r["declared_total"] == 5582090 and r["total_match"]
+    assert [(x["shares"], x["is_free"], x["to_date"]) for x in r["lots"]] == [(3104220, False, "17-Mar-2027"), (87340, True, None), (250, True, None)]
+    assert r["declared_total"] == 3191810 and r["total_match"]
 
 
 def test_other_strategies(found):
@@ -94,9 +94,9 @@ def test_lots_in_order(spark):
 
 
 def test_schedule(spark):
-    text = "Annexure II\nDetails of shares eligible to be traded\n08-Oct-2026   1,000\n07-Nov-2025   25\nAnnexure I\n01-Jan-2020   9"
+    text = "Annexure II\nDetails of shares eligible to be traded\n17-Mar-2027   1,000\n07-Nov-2025   25\nAnnexure I\n01-Jan-2020   9"
     got = spark.createDataFrame([(text.split("\n"),)], "l array<string>").select(lockin.unlock_schedule(F.col("l")).alias("s")).first()["s"]
-    assert [tuple(r) for r in got] == [("08-Oct-2026", 1000), ("07-Nov-2025", 25)]
+    assert [tuple(r) for r in got] == [("17-Mar-2027", 1000), ("07-Nov-2025", 25)]
 
 
 CLEAN = """Category   No of holders   Shares   Pct   Locked
@@ -125,3 +125,23 @@ def test_shareholding(spark):
     assert tuple(got["computed"])[:5] == whole
     assert got["conflict"]["total_shares"] == 10000000
     assert got["empty"]["total_shares"] is None and got["null"]["promoter_shares"] is None
+
+
+def test_registered_strategy(spark):
+    """A strategy of one's own wins by its priority, and only where it finds something; no plan is edited for it."""
+    def marked(x):
+        lot = lockin._lot(shares=F.lit(7).cast("bigint"), is_free=F.lit(False), security_type=F.lit("own"))
+        found = lockin._result(F.array(lot), lambda v: (F.lit(7), F.lit(True), F.lit("marked")))
+        return F.when(F.exists(x.lines, lambda l: l.contains("#own#")), found)
+
+    texts = ("1,000   1   1,000   Lock-in   01-Jan-2024   01-Jan-2027   Demat\n1,000   Total\n#own#", "1,000   1   1,000   Lock-in   01-Jan-2024   01-Jan-2027   Demat\n1,000   Total\n")
+    rows = [("a", "BSE", texts[0], None), ("b", "BSE", texts[1], None), ("c", "NSE", texts[0], None)]
+    before = {k: r["strategy"] for k, r in run(spark, *rows).items()}
+    lockin.register(lockin.Strategy("marked", 5, marked, rows=False))
+    try:
+        found = run(spark, *rows)
+    finally:
+        del lockin.STRATEGIES["marked"]
+    assert found["a"]["strategy"] == "marked" and found["a"]["computed_total"] == 7
+    assert {k: r["strategy"] for k, r in found.items() if k != "a"} == {k: v for k, v in before.items() if k != "a"}
+    assert {k: r["strategy"] for k, r in run(spark, *rows).items()} == before

@@ -122,7 +122,7 @@ def test_notice(value):
 
 
 @pytest.mark.parametrize("line, found", [
-    *((f"100 1 100 L {e} Demat", [e]) for _, e in dates.WRITTEN), ("5 1 5 L 1.2.24 3/4/2025 (Anchor 30) x", ["1.2.24", "3/4/2025 (Anchor 30)"]), ("x Free IPO Shares", ["Free IPO Shares"]), ("x N.A. y n/a", ["N.A.", "n/a"]), ("no date", []),
+    *((f"100 1 100 L {e} Demat", [e]) for e in ("28th November 2025", "15-12-2025 (Anchor)", "02-Sep-25", "November 28, 2025", "3 May, 2026", "1/Jan/2027")), ("5 1 5 L 1.2.24 3/4/2025 (Anchor 30) x", ["1.2.24", "3/4/2025 (Anchor 30)"]), ("x Free IPO Shares", ["Free IPO Shares"]), ("x N.A. y n/a", ["N.A.", "n/a"]), ("no date", []),
     ("Jan 5th 2024", ["Jan 5th 2024"]),
 ])
 def test_date_tokens(value, line, found):
@@ -137,3 +137,25 @@ def test_ipo_is_a_date_token_only_where_asked(value, ipo, want):
 @pytest.mark.parametrize("name, want", [("A & B (India) Pvt. Ltd.", {"a-and-b-india-ipo", "a_and_b_india_ipo", "a-b-india-ipo", "a_b_india_ipo"}), ("X Corp. Limited", {"x-corp-ipo", "x_corp_ipo"}), ("", {"-ipo", "_ipo"})])
 def test_slugs_from_rules(value, name, want):
     assert set(value(text.slugs(F.lit(name)))) == want
+
+
+@pytest.mark.parametrize("name,want", [("Acme Pvt. Ltd.", "Acme"), ("Acme Private Limited", "Acme"), ("Acme Corporation Limited", "Acme Corporation"), ("Acme Ltd", "Acme"), ("Acme Limited.", "Acme Limited."), ("Acme Ltd Inc ", "Acme"), ("Limited", "Limited"), ("Acme pvt LLP", "Acme"), ("Pvt Ltd", "Pvt")])
+def test_forms_of_companies(value, name, want):
+    assert value(text.without_form(F.lit(name))) == want
+
+
+def test_places(spark):
+    """Hot groups, ties, nulls and empty tables; places are those of a sort."""
+    from lotloom.operators.places import numbered
+
+    rows = [(None if i % 3 == 0 else "hot" if i % 3 == 1 else f"g{i % 7}", i * 7919 % 101, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v long, i long").repartition(9)
+    for within in ("g", None):
+        got = sorted((r["g"] if within else None, r["place"], r["v"], r["i"]) for r in numbered(df, [F.desc("v"), F.col("i")], within=within).collect() if r["g"] is not None or not within) if within else [(None, r["place"], r["v"], r["i"]) for r in numbered(df, [F.desc("v"), F.col("i")]).orderBy("place").collect()]
+        want = []
+        for g in sorted({r[0] for r in rows} - {None}) if within else [None]:
+            own = sorted((-v, i) for k, v, i in rows if not within or k == g)
+            want += [(g if within else None, n, -v, i) for n, (v, i) in enumerate(own, 1)]
+        assert got == want
+    assert sorted(r["place"] for r in numbered(df, [F.col("v")], within="g").where("g is null").collect()) == list(range(1, 1001))
+    assert numbered(df.limit(0), [F.col("v")]).count() == 0

@@ -39,10 +39,10 @@ def test_moves(spark):
 def test_rename(spark):
     log = log_of(spark, (1, "NSE:OLD", "NSE", "OLD-CML1.pdf", "NEW", 1, "/x/OLD-CML1.pdf"), (2, "NSE:B", "NSE", "TAKEN-CML1.pdf", "NEW", 1, ""))
     names = spark.createDataFrame([("1", "FRESH"), ("2", "taken")], "bse_script_code string, nse_symbol string")
-    got = ledger.renamed(log, names, 1, "FRESH", now()).first()
+    got = ledger.renamed(log, names, log.where("id = 1"), "FRESH", now()).first()
     assert (got["file_name"], got["lockin_pdf_path"], got["unique_symbol"], got["version"]) == ("FRESH-CML1.pdf", "/x/FRESH-CML1.pdf", "NSE:FRESH", 2)
-    assert ledger.renamed(log, names, 1, "UNKNOWN", now()).count() == 0
-    assert ledger.renamed(log, names, 1, "TAKEN", now()).count() == 0
+    assert ledger.renamed(log, names, log.where("id = 1"), "UNKNOWN", now()).count() == 0
+    assert ledger.renamed(log, names, log.where("id = 1"), "TAKEN", now()).count() == 0
 
 
 def test_verdicts_as_json(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lotloom import run
 from lotloom.operators import ledger
+from lotloom.operators.store import Store, parts, records
 from lotloom.sources import filings
 
 GOOD = "Annexure I of a company whose lots are all in order\nNo. of Equity Shares   From   To   Lock in upto\n6,000   1   6,000   08-Oct-2026\n4,000   6,001   10,000   Free\n10,000   Total\n"
@@ -42,12 +43,25 @@ def test_run_folder(spark, folder):
     assert (log["NSE:GOOD"]["computed_total"], log["NSE:GOOD"]["locked_total"], log["NSE:GOOD"]["shp_locked_shares"]) == (10000, 6000, 6000)
     assert '"_strategies"' in log["NSE:GOOD"]["validation_results"]
     assert spark.read.parquet(f"{out}/lots").count() == 4
+    store, work = Store(spark, out), lambda: len(Store(spark, f"{out}/stages").commits())
+    done = work()
     # finalized records are left alone until they are rolled back
     again = {r["finalized"]: r["n"] for r in run.run_folder(spark, str(folder / "in"), master, out, at(2)).collect()}
-    assert again == {False: 1}
+    assert again == {False: 1} and work() == done  # nothing was extracted anew
     assert run.roll_back(spark, out, "NSE:ODD", at(3)) == 1 and run.roll_back(spark, out, "NSE:ODD", at(4)) == 0
     once_more = {r["finalized"]: r["symbols"] for r in run.run_folder(spark, str(folder / "in"), master, out, at(5)).collect()}
-    assert once_more == {True: ["NSE:ODD"], False: ["NSE:EMPTY"]}
+    assert once_more == {True: ["NSE:ODD"], False: ["NSE:EMPTY"]} and work() == done
+    # versions follow each other, and each record has the lots of its newest reading only
+    now = {r["unique_symbol"]: (r["version"], r["status"]) for r in records(store).collect()}
+    assert now == {"NSE:GOOD": (1, "FINALIZED"), "NSE:ODD": (3, "FINALIZED"), "NSE:EMPTY": (3, "VALIDATING")}
+    assert parts(store, "lots", "processing_log_id").count() == 4 and parts(store, "verdicts", "id").groupBy("id", "rule_id").count().where("count > 1").isEmpty()
+    # back to the first run, lots and verdicts included; a dry run stores nothing
+    assert run.roll_back(spark, out, "NSE:ODD", at(6), as_of=1) == 1
+    assert records(store).where("unique_symbol = 'NSE:ODD'").select("version", "status", "parts_version").first() == (4, "FINALIZED", 1)
+    head = store.head()
+    run.run_folder(spark, str(folder / "in"), master, out, at(7), dry=True).collect()
+    assert store.head() == head and parts(store, "lots", "processing_log_id").count() == 4
+    assert run.roll_back(spark, str(folder / "none"), "NSE:ODD", at(8)) == 0
 
 
 def test_overrides_need_permission(spark, folder):
