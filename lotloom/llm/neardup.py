@@ -47,6 +47,8 @@ LEAST_ESTIMATE = 0.57
 BLOCK, BLOCK_BYTES = 2048, 8 << 20
 #: Ids (8 bytes each) up to which a set of them is broadcast; more are shuffled.
 BROADCAST_IDS = 100_000
+#: Pairs of one leader whose sets meet in one task.
+LEADER_PAIRS = 4096
 
 _RNG = np.random.default_rng(8128)
 _XOR = _RNG.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
@@ -157,10 +159,12 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
         mark, k = (total["n"], total["x"]), k + 1
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
+        # the hub of a component is the key of all its edges; minima are broadcast while they are few, else hubs are dealt
+        least = scratch.write(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{label}-least")
+        large = attach(both.where("v > u"), least, ["u"], ["v"], "inner", 24).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+        large = scratch.write(large, f"{label}-large")
+        least = scratch.write(large.groupBy("u").agg(F.min("v").alias("m")), f"{label}-below")
+        joined = attach(large, least, ["u"], ["v"], "inner", 24)
         star = joined.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         now = scratch.write(star.select("e.*").where("u > v").distinct(), f"{label}-{k}")
 
@@ -173,8 +177,15 @@ def _confirm(docs: DataFrame, pairs: DataFrame, scratch: Scratch, label: str, pe
     """Those of ``pairs`` (a, b) with 100 * intersection >= percent * union of full shingle sets."""
     pairs = scratch.write(pairs, f"{label}-pairs")
     sets = _texts_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), scratch, label)
-    left = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-    both = left.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
+    firsts, seconds = (sets.select(F.col("id").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
+    hot = pairs.groupBy("a").agg(F.ceil(F.count("*") / LEADER_PAIRS).cast("int").alias("salts")).where("salts > 1")
+    hot = scratch.write(hot, f"{label}-hot")
+    if hot.isEmpty():
+        both = pairs.join(seconds, "b").join(firsts, "a")
+    else:  # a leader's pairs are dealt before sets join them, and its set goes to each of its parts
+        dealt = pairs.join(hot, "a", "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("b"), F.col("salts")), F.lit(0)).cast("int").alias("salt"))
+        copies = firsts.join(hot, "a", "left").select("a", "sa", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+        both = dealt.join(seconds, "b").join(copies, ["a", "salt"])
     n, size = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb")
     links = scratch.write(both.where(100 * n >= percent * (size - n)).select("a", "b").distinct(), f"{label}-links")
     scratch.drop(f"{label}-sets", f"{label}-ids")
