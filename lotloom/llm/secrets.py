@@ -58,11 +58,12 @@ def find(texts: DataFrame) -> DataFrame:
     return kept.groupBy("blob").agg(F.sort_array(F.collect_list(span)).alias("spans"))
 
 
-def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, rule_version: str = RULE_VERSION) -> DataFrame:
+def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, rule_version: str = RULE_VERSION, version: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text) as doc_id, blob, spans (start, rank, kind, last).
 
-    ``ledger`` is a folder of two tables, scanned and findings, that grows with each scan;
-    without one a new ledger in the shared folder is used. A null text is the empty
+    ``ledger`` is a folder of three tables that grows with each scan: scanned, findings, and paths, which says for each
+    ``version`` of the table what blob each document was (``history`` joins them). A version is one above the newest where
+    none is given; one that is scanned again replaces its paths. Without a folder a new ledger in the shared folder is used. A null text is the empty
     blob. Rows that repeat, or share a text, have the same spans. Null ids stay null;
     further columns are ignored; an empty table gives no rows.
     """
@@ -70,7 +71,9 @@ def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, rule_v
     ledger = ledger or scratch.path("ledger")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     blob = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
-    paths = scratch.write(docs.select("doc_id", blob.alias("blob")), "paths")
+    version = 1 + _newest(spark, ledger) if version is None else version
+    docs.select("doc_id", blob.alias("blob")).write.mode("overwrite").parquet(f"{ledger}/paths/version={version}")
+    paths = spark.read.schema("doc_id long, blob binary").parquet(f"{ledger}/paths/version={version}")
     owners = paths.groupBy("blob").agg(F.min("doc_id").alias("owner"))
     known = _ledger(spark, ledger, "scanned", "blob binary, rule_version string").where(F.col("rule_version") == rule_version).select("blob").distinct()
     unseen = scratch.write(owners.join(known, "blob", "left_anti"), "unseen")
@@ -79,12 +82,38 @@ def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, rule_v
         texts = _of_owners(docs.withColumn("blob", blob), paths, unseen, n, total)
         find(texts).withColumn("rule_version", F.lit(rule_version)).write.mode("append").parquet(f"{ledger}/findings")
         unseen.select("blob", F.lit(rule_version).alias("rule_version")).write.mode("append").parquet(f"{ledger}/scanned")
+    return _with_findings(spark, paths, ledger, rule_version, scratch).select("doc_id", "blob", "spans")
+
+
+def _with_findings(spark: SparkSession, paths: DataFrame, ledger: str, rule_version: str, scratch: Scratch) -> DataFrame:
+    """Paths (doc_id, blob, ...) with the spans of their blobs; none is an empty array."""
     findings = _ledger(spark, ledger, "findings", f"blob binary, spans {SPANS}, rule_version string")
     # two scans at once may both have found a blob
     findings = scratch.write(findings.where(F.col("rule_version") == rule_version).groupBy("blob").agg(F.min("spans").alias("spans")), "found")
     spans = findings.agg(F.coalesce(F.avg(F.size("spans")), F.lit(0.0))).first()[0]
     found = attach(paths, findings, ["blob"], ["doc_id"], "left", ROW_BYTES + int(48 * spans))
-    return found.select("doc_id", "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
+    return found.withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
+
+
+def _newest(spark: SparkSession, ledger: str) -> int:
+    """The newest version whose paths the ledger holds, 0 if there is none: from the names of its folders, one a version."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ledger}/paths")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return max((int(s.getPath().getName().removeprefix("version=")) for s in fs.listStatus(path) if s.isDirectory()), default=0) if fs.exists(path) else 0
+
+
+def history(spark: SparkSession, ledger: str, rule_version: str = RULE_VERSION) -> DataFrame:
+    """All paths of all versions with the findings of their blobs: doc_id, version, blob, spans.
+
+    A secret that a later version of a document no longer has still shows under the version that had it. Blobs that
+    these rules haven't scanned have a null ``spans``; a ledger without scans gives no rows.
+    """
+    scanned = _ledger(spark, ledger, "scanned", "blob binary, rule_version string").where(F.col("rule_version") == rule_version).select("blob", F.lit(True).alias("seen")).distinct()
+    paths = _ledger(spark, ledger, "paths", "doc_id long, blob binary, version int")
+    scratch = Scratch(spark, "history")
+    known = attach(paths, scratch.write(scanned, "seen"), ["blob"], ["doc_id", "version"], "left", ROW_BYTES)
+    found = _with_findings(spark, known, ledger, rule_version, scratch)
+    return found.select("doc_id", "version", "blob", F.when(F.col("seen"), F.col("spans")).alias("spans"))
 
 
 def _of_owners(texts: DataFrame, paths: DataFrame, unseen: DataFrame, n: int, total: int) -> DataFrame:

@@ -703,3 +703,35 @@ def test_stages_keep_any_columns(spark, tmp_path):
     copies = ids(corpus_pipeline.drop_copies(spark, frame, str(tmp_path)))
     assert copies[20] == 2 and copies[21] == 0 and copies[None] == 1 and copies[1] == copies[2] == 1
     assert ids(corpus_pipeline.pack(spark, frame, str(tmp_path)))[20] == 2
+
+
+def test_secrets_of_earlier_versions(spark, tmp_path):
+    """A text changes between versions: its old secret shows under the old version, its new blob alone is scanned."""
+    ledger, key = str(tmp_path / "ledger"), "password = abcdefghijkl"
+    first = [(1, key), (2, "clean"), (3, None), (3, None), (None, key)]
+    second = [(1, "gone"), (2, "clean"), (3, key)]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string").withColumn("version", F.lit("x"))
+    assert secrets.history(spark, ledger).count() == 0
+    secrets.scan(spark, frame(first), ledger)
+    secrets.scan(spark, frame(second), ledger)
+    assert spark.read.parquet(f"{ledger}/scanned").count() == 4  # the key, clean, empty, gone
+    shown = lambda: collections.Counter((r["doc_id"], r["version"], len(r["spans"])) for r in secrets.history(spark, ledger).collect())
+    want = collections.Counter({(1, 1, 1): 1, (2, 1, 0): 1, (3, 1, 0): 2, (None, 1, 1): 1, (1, 2, 0): 1, (2, 2, 0): 1, (3, 2, 1): 1})
+    assert shown() == want
+    secrets.scan(spark, frame(second), ledger, version=2)  # again: no other rows
+    assert shown() == want
+    assert all(r["spans"] is None for r in secrets.history(spark, ledger, rule_version="2").collect())
+
+
+@pytest.mark.parametrize("percent", [75])
+def test_near_duplicates_of_one_leader(spark, monkeypatch, percent):
+    """The pairs and the edges of a leader of many near copies are dealt to several tasks, and the result stays the same."""
+    base = words_of(40, 3, 1000)
+    rows = [(i, " ".join([*base, f"x{i}"])) for i in range(600)] + [(1000 + i, " ".join(words_of(30, 100 + i, 5000))) for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(spark, frame).collect())
+    assert sum(not k for *_, k in want) == 599
+    monkeypatch.setattr(neardup, "LEADER_PAIRS", 20)
+    monkeypatch.setattr(joins, "HOT_ROWS", 20)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 64)
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(spark, frame).collect()) == want
