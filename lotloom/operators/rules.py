@@ -81,32 +81,57 @@ def rule5() -> Column:
     return _equal("RULE5", F.col("shp_total_shares"), parts, left, F.concat(F.lit("SHP Total ("), _n("shp_total_shares"), F.lit(")")))
 
 
+# What the rules over lots say.
+ANCHOR_BOTH, ANCHOR_MISSING = "Anchor letter URL exists and both anchor buckets found", "Anchor letter URL exists but missing required anchor bucket(s): "
+NO_ANCHOR, ANCHOR_ROWS = "No anchor letter URL and no anchor rows (correct)", "No anchor letter URL but %d anchor row(s) found"
+LOTS_SAY = {
+    "RULE7": ("locked_free_bucket", "All locked rows with lock-in dates have non-free buckets", "Found %d locked row(s) with lock-in date but bucket=free"),
+    "RULE8": ("negative_periods", "No negative lock-period rows found", "Found %d row(s) with negative lock period"),
+    "RULE10": ("locked_without_end", "All locked rows have valid lock-in upto dates", "Found %d locked row(s) with missing/invalid lock-in upto date"),
+}
+
+
 def rule6() -> Column:
     """An anchor letter asks for lots in both anchor buckets, its absence for none; old allotments are let off."""
     a, b = F.col("anchor_30_rows"), F.col("anchor_90_rows")
     letter = F.trim(F.coalesce("anchor_letter_url", F.lit(""))) != ""
     old = F.coalesce(F.upper("exchange").isin("NSE", "BSE") & (F.col("reference_date") <= F.lit(ANCHOR_CUTOFF).cast("date")), F.lit(False))
     good = F.when(letter, (a > 0) & (b > 0)).otherwise(a + b == 0)
-    say = F.when(letter & good, "Anchor letter and both anchor buckets").when(letter, "Anchor letter but an anchor bucket is missing").when(good, "No anchor letter and no anchor rows").otherwise("No anchor letter but anchor rows")
-    counts = F.concat(F.lit(" (anchor_30="), a.cast("string"), F.lit(", anchor_90="), b.cast("string"), F.lit(")"), F.when(~good & old, " (let off: old allotment)").otherwise(""))
-    return _verdict("RULE6", good | old, F.concat(say, counts), letter.cast("int"), a + b)
+    counts = F.format_string(" (anchor_30=%d, anchor_90=%d)", a, b)
+    legacy = F.format_string(f" (legacy %s exception: allotment_date %s <= {ANCHOR_CUTOFF})", F.upper("exchange"), F.col("reference_date").cast("string"))
+    missing = F.concat_ws(", ", F.when(a == 0, "anchor_30"), F.when(b == 0, "anchor_90"))
+    say = F.when(letter & good, F.concat(F.lit(ANCHOR_BOTH), counts)).when(letter, F.concat(F.lit(ANCHOR_MISSING), missing, counts, F.when(old, legacy).otherwise("")))
+    say = say.when(good, NO_ANCHOR).otherwise(F.concat(F.format_string(ANCHOR_ROWS, a + b), F.when(old, legacy).otherwise(" (unexpected)")))
+    return _verdict("RULE6", good | old, say, letter.cast("int"), a + b)
 
 
-def _none_of(rule: str, fact: str, what: str, can: bool = False) -> Column:
+def _none_of(rule: str, can: bool = False) -> Column:
+    """The lots' fact of a rule must be zero."""
+    fact, fine, found = LOTS_SAY[rule]
     n = F.col(fact)
-    return _verdict(rule, n == 0, F.when(n == 0, f"No {what}").otherwise(F.concat(F.lit("Found "), n.cast("string"), F.lit(f" {what}"))), F.lit(0), n, F.lit(can))
+    return _verdict(rule, n == 0, F.when(n == 0, fine).otherwise(F.format_string(found, n)), F.lit(0), n, F.lit(can))
 
 
 def rule7() -> Column:
-    return _none_of("RULE7", "locked_free_bucket", "locked rows with an end but bucket free")
+    return _none_of("RULE7")
 
 
 def rule8() -> Column:
-    return _none_of("RULE8", "negative_periods", "rows with a negative lock period", can=True)
+    return _none_of("RULE8", can=True)
 
 
 def rule10() -> Column:
-    return _none_of("RULE10", "locked_without_end", "locked rows without an end")
+    return _none_of("RULE10")
+
+
+def stored(records: DataFrame, lots: DataFrame) -> DataFrame:
+    """Stored records (id, allotment_date, ...) as the strict form judges them: missing figures count as zero, and the stored
+    allotment date alone is what lock periods and the anchor rule go by. Buckets and states count in any case."""
+    figures = [c for c in ("computed_total", "locked_total", "free_total", "declared_total", *(f"shp_{n}_shares" for n in ("total", "locked", "promoter", "public", "others"))) if c in records.columns]
+    rows = lots.withColumns({"bucket": F.lower(F.coalesce("bucket", F.lit(""))), "status": F.upper(F.coalesce("status", F.lit("")))})
+    found = facts(rows, records.select(F.col("id").alias("processing_log_id"), F.col("allotment_date").alias("reference_date")))
+    own = records.withColumns({**{c: F.coalesce(c, F.lit(0)) for c in figures}, "reference_date": F.col("allotment_date")}).drop(*FACTS)
+    return own.join(found.withColumnRenamed("processing_log_id", "id"), "id", "left").fillna(0, list(FACTS))
 
 
 def one(rule: str, strict: bool = False) -> Column:

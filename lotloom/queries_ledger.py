@@ -218,10 +218,55 @@ def feed_texts(spark: SparkSession, d: str) -> DataFrame:
 # What rules say
 
 
-@query(f"""{RULES_SQL} SELECT id, 'Locked (' || format('{{:,}}', locked_total) || ') + Free (' || format('{{:,}}', free_total) || ') = ' || format('{{:,}}', locked_total + free_total) || ' == Computed Total (' || format('{{:,}}', computed_total) || ')' AS rule1,
-    CASE WHEN neg = 0 THEN 'No rows with a negative lock period' ELSE 'Found ' || neg || ' rows with a negative lock period' END AS rule8 FROM r""")
+_N = "format('{{:,}}', {})"
+
+
+def _sum_said(left: str, right: str, passed: str) -> str:
+    return f"{left} || CASE WHEN {passed} THEN ' == ' ELSE ' != ' END || {right}"
+
+
+def _part(label: str, value: str) -> str:
+    return f"'{label} (' || {_N.format(value)} || ')'"
+
+
+_MESSAGES = f"""{RULES_SQL}, m AS (SELECT id,
+    {_sum_said(_part('Locked', 'locked_total') + " || ' + ' || " + _part('Free', 'f1') + " || ' = ' || " + _N.format('locked_total + f1'), _part('Computed Total', 'computed_total'), 'locked_total + f1 = computed_total')} AS rule1,
+    {_sum_said(_part('SHP Total', 'shp_total_shares'), _part('Lock-in Total', 'computed_total'), 'computed_total = shp_total_shares')} AS rule3,
+    {_sum_said(_part('SHP Locked', 'shp_locked_shares'), _part('Lock-in Locked', 'locked_total'), 'locked_total = shp_locked_shares')} AS rule4,
+    CASE WHEN anchor_letter_url IS NOT NULL AND a30 > 0 AND a90 > 0 THEN 'Anchor letter URL exists and both anchor buckets found (anchor_30=' || a30 || ', anchor_90=' || a90 || ')'
+        WHEN anchor_letter_url IS NOT NULL THEN 'Anchor letter URL exists but missing required anchor bucket(s): ' || concat_ws(', ', CASE WHEN a30 = 0 THEN 'anchor_30' END, CASE WHEN a90 = 0 THEN 'anchor_90' END) || ' (anchor_30=' || a30 || ', anchor_90=' || a90 || ')'
+            || CASE WHEN old THEN legacy ELSE '' END
+        WHEN a30 + a90 = 0 THEN 'No anchor letter URL and no anchor rows (correct)' ELSE 'No anchor letter URL but ' || (a30 + a90) || ' anchor row(s) found' || CASE WHEN old THEN legacy ELSE ' (unexpected)' END END AS rule6,
+    CASE WHEN lf = 0 THEN 'All locked rows with lock-in dates have non-free buckets' ELSE 'Found ' || lf || ' locked row(s) with lock-in date but bucket=free' END AS rule7,
+    CASE WHEN neg = 0 THEN 'No negative lock-period rows found' ELSE 'Found ' || neg || ' row(s) with negative lock period' END AS rule8,
+    CASE WHEN noend = 0 THEN 'All locked rows have valid lock-in upto dates' ELSE 'Found ' || noend || ' locked row(s) with missing/invalid lock-in upto date' END AS rule10
+    FROM (SELECT *, free_total + CASE WHEN id % 7 = 0 THEN 3 ELSE 0 END AS f1, processed_at::DATE <= DATE '1994-12-31' AS old,
+        ' (legacy ' || exchange || ' exception: allotment_date ' || (DATE '2024-12-02' + (processed_at::DATE - DATE '1994-12-31')::INT) || ' <= 2024-12-02)' AS legacy FROM r))"""
+
+
+@query(f"{_MESSAGES} SELECT * FROM m")
 def rule_messages(spark: SparkSession, d: str) -> DataFrame:
-    return _rule_records(spark, d).select("id", rules.one("RULE1")["message"].alias("rule1"), rules.one("RULE8")["message"].alias("rule8"))
+    """What the rules say, both when they pass and when they fail; a seventh of the records has free shares that don't add up."""
+    records = _rule_records(spark, d).withColumn("free_total", F.col("free_total") + F.when(F.col("id") % 7 == 0, 3).otherwise(0))
+    return records.select("id", *(rules.one(r)["message"].alias(r.lower()) for r in ("RULE1", "RULE3", "RULE4", "RULE6", "RULE7", "RULE8", "RULE10")))
+
+
+@query(f"""{LOG}, p AS (SELECT *, CASE WHEN id % 4 > 0 THEN DATE '2024-12-02' + (processed_at::DATE - DATE '1994-12-31')::INT + CASE WHEN id % 8 = 5 THEN 4000 ELSE 0 END END AS allotment, CASE WHEN id % 3 > 0 THEN 'u' END AS url, CASE WHEN id % 5 > 0 THEN computed_total END AS declared FROM log),
+l AS (SELECT processing_log_id AS id, lower(bucket) AS bucket, status, lockin_date_to AS t, CASE WHEN row_order % 2 = 0 THEN lockin_date_from END AS f FROM lots),
+c AS (SELECT p.id, count(*) FILTER (bucket = 'anchor_30') AS a, count(*) FILTER (bucket = 'anchor_90') AS b, count(*) FILTER (l.status = 'LOCKED' AND t < coalesce(f, allotment)) AS neg FROM p JOIN l ON l.id = p.id GROUP BY 1)
+SELECT id, coalesce(declared, 0) = computed_total AS rule2, CASE WHEN url IS NOT NULL THEN a > 0 AND b > 0 ELSE a + b = 0 END OR coalesce(allotment <= DATE '2024-12-02', false) AS rule6, neg = 0 AS rule8, neg AS negative
+FROM (SELECT p.id, url, allotment, declared, coalesce(computed_total, 0) AS computed_total, coalesce(a, 0) AS a, coalesce(b, 0) AS b, coalesce(neg, 0) AS neg FROM p LEFT JOIN c ON c.id = p.id)""")
+def strict_rules(spark: SparkSession, d: str) -> DataFrame:
+    """The strict form: the stored allotment date, which some records lack, decides lock periods and the anchor rule; a missing declared total is zero."""
+    log, lots = adapter.log(spark, d), adapter.lots(spark, d)
+    moved = F.date_add(F.lit(rules.ANCHOR_CUTOFF).cast("date"), F.date_diff(F.col("processed_at").cast("date"), F.lit("1994-12-31").cast("date")) + F.when(F.col("id") % 8 == 5, 4000).otherwise(0))
+    records = log.withColumns({
+        "allotment_date": F.when(F.col("id") % 4 > 0, moved), "anchor_letter_url": F.when(F.col("id") % 3 > 0, "u"), "declared_total": F.when(F.col("id") % 5 > 0, F.col("computed_total")), "text_total": F.col("computed_total"), "shp_locked_shares": F.col("locked_total"),
+    })
+    own = lots.withColumns({"bucket": F.upper("bucket"), "lockin_date_from": F.when(F.col("row_order") % 2 == 0, F.col("lockin_date_from"))})
+    ready = rules.stored(records, own)
+    passed = lambda r: rules.one(r, strict=True)["passed"].alias(r.lower())
+    return ready.select("id", passed("RULE2"), passed("RULE6"), passed("RULE8"), F.col("negative_periods").alias("negative"))
 
 
 # Streams, in batch

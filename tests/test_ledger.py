@@ -129,3 +129,19 @@ def test_windows(spark, tmp_path):
     q = feed.windowed(events).writeStream.format("memory").queryName("w").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r["n"] for r in spark.table("w").collect()) == [3, 3]
+
+
+def test_strict_form(spark):
+    """Missing figures are zero; only the stored allotment date counts, whatever reference date a record has."""
+    from lotloom.operators import rules
+
+    kind = "id long, exchange string, computed_total long, locked_total long, free_total long, declared_total long, text_total long, shp_total_shares long, shp_locked_shares long, shp_promoter_shares long, shp_public_shares long, shp_others_shares long, allotment_date date, reference_date date, anchor_letter_url string"
+    day = datetime.date
+    rows = [(1, "NSE", 0, 0, 0, None, None, None, None, None, None, None, day(2024, 1, 1), day(2026, 1, 1), "u"), (2, "NSE", 5, 5, 0, 5, None, 5, 5, 5, 0, 0, None, day(2020, 1, 1), "u"), (3, "BSE", 5, 5, 0, 6, 5, 5, 5, 5, 0, 0, day(2026, 1, 1), None, None)]
+    lots = [(2, 5, "locked", "ANCHOR_30", None, day(2019, 1, 1), 1, 5), (3, 5, "LOCKED", None, None, day(2025, 1, 1), 1, 5)]
+    records = spark.createDataFrame(rows, kind)
+    lots = spark.createDataFrame(lots, "processing_log_id long, shares long, status string, bucket string, lockin_date_from date, lockin_date_to date, distinctive_from long, distinctive_to long")
+    got = {r["id"]: r["failed_rules"] for r in rules.counted(rules.stored(records, lots), strict=True).collect()}
+    assert got == {1: "", 2: "RULE6", 3: "RULE2,RULE8"}
+    say = {r["id"]: r["m"] for r in rules.stored(records, lots).select("id", rules.one("RULE6")["message"].alias("m")).collect()}
+    assert say[1].endswith("(legacy NSE exception: allotment_date 2024-01-01 <= 2024-12-02)") and "anchor_90" in say[2] and say[3] == "No anchor letter URL and no anchor rows (correct)"
