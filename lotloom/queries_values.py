@@ -164,6 +164,15 @@ def date_kinds(spark: SparkSession, d: str) -> DataFrame:
     return _orders(spark, d).select("id", dates.date_value(shown, F.lit("dmy")).alias("day"))
 
 
+@query("""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 6 = 5 THEN NULL WHEN o_orderkey % 6 = 3 THEN make_date(1998, month(o_orderdate)::INT, day(o_orderdate)::INT) WHEN o_orderkey % 6 = 4 THEN date_trunc('month', o_orderdate)::DATE + 14 ELSE o_orderdate::DATE END AS day FROM (
+SELECT o_orderkey, CASE WHEN month(o_orderdate) = 2 AND day(o_orderdate) = 29 THEN o_orderdate - INTERVAL 1 DAY ELSE o_orderdate END AS o_orderdate FROM orders)""")
+def free_form_dates(spark: SparkSession, d: str) -> DataFrame:
+    """Dates with days of the week and filling words, in unusual orders, without a year, without a day, and with a word that is none of these."""
+    rows = _orders(spark, d).withColumn("day", F.when(F.date_format("day", "MM-dd") == "02-29", F.date_sub("day", 1)).otherwise(F.col("day")))
+    shapes = (F.date_format("day", "'on' EEEE, d 'of' MMMM yyyy"), F.date_format("day", "yyyy MMM d"), F.date_format("day", "MMM yyyy dd"), F.date_format("day", "d MMMM"), F.date_format("day", "MMMM yyyy"), F.concat(F.date_format("day", "d MMMM yyyy"), F.lit(" noon")))
+    return rows.select("id", dates.date_value(_choice(F.col("id"), shapes), F.lit("dmy"), F.lit("1998-01-15").cast("date")).alias("day"))
+
+
 _CLASSES = (("Anchor 30 days", "01-Jan-2027", "anchor"), ("L", "05-Feb-2027 (Anchor)", "anchor"), ("IPO Lock", "FREE", "free"), ("Fully Paid", "N/A", "free"), ("L", "01-Jan-2027", "locked"), ("Lock-in", "FREE", "locked"), ("Market Maker", "01-Jan-2027", "free"), ("IPO", "01-Jan-2027", "locked"), ("F & L", "", "locked"), ("", "", "free"))
 
 

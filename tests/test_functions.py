@@ -159,3 +159,20 @@ def test_places(spark):
         assert got == want
     assert sorted(r["place"] for r in numbered(df, [F.col("v")], within="g").where("g is null").collect()) == list(range(1, 1001))
     assert numbered(df.limit(0), [F.col("v")]).count() == 0
+
+
+@pytest.mark.parametrize("raw,order,want", [
+    ("Monday, 3rd of March 2025", None, "2025-03-03"), ("on 3 Sept 2025", None, "2025-09-03"), ("March 2025", None, "2025-03-15"), ("3 March", None, "2026-03-03"), ("Mar 2025 3", None, "2025-03-03"), ("2025 Mar 3", None, "2025-03-03"),
+    ("7 8 2025", None, "2025-08-07"), ("7 8 2025", "mdy", "2025-07-08"), ("13 8 2025", "mdy", "2025-08-13"), ("8 13 2025", None, "2025-08-13"), ("2025 8 13", None, "2025-08-13"), ("2025 3 4", None, "2025-04-03"), ("2025 3 4", "mdy", "2025-03-04"),
+    ("5 Feb '31", None, "2031-02-05"), ("5 Feb 80", None, "1980-02-05"), ("5/2/75", "x", "1975-02-05"), ("Feb", None, "2026-02-15"), ("2024", None, "2024-05-15"), ("9", None, "2026-05-09"), ("31 Feb 2025", None, None), ("3 Foo 2025", None, None),
+    ("March April 2025", None, None), ("1 2 3 4", None, None), ("3 March 2025 10:30", None, None), ("", None, None), ("Friday", None, None), ("free 3 March", None, None), ("12345", None, None), ("29 Feb 2024", None, "2024-02-29"),
+])
+def test_free_form_dates(value, raw, order, want):
+    """Order, noise words, missing parts."""
+    found = value(dates.date_value(F.lit(raw), F.lit(order).cast("string"), F.lit("2026-05-15").cast("date")))
+    assert found == (datetime.date.fromisoformat(want) if want else None)
+
+
+def test_free_form_needs_a_day_for_what_is_missing(value):
+    assert value(dates.date_value(F.lit("3 March"), F.lit("dmy"))) is None and value(dates.date_value(F.lit("Tue 3 March 2026"), F.lit("dmy"))) == datetime.date(2026, 3, 3)
+    assert value(dates.date_value(F.lit("Feb 2025"), F.lit("dmy"), F.lit("2026-05-31").cast("date"))) == datetime.date(2025, 2, 28)
