@@ -1,6 +1,7 @@
 """Sharding by a k-d tree of weighted medians (operator 4). DataFrame operations only.
 
-Every document has three coordinates of metadata: size (logarithm), source and language. The
+Every document has three coordinates of metadata: size (logarithm), and the places of its source and its language
+among all names in order. The
 tree starts with all documents and the number of shards; a node of m shards is split along its
 widest dimension where the bytes below reach floor(m / 2) parts of m, until a node is one
 shard. Its target is the mean of all shards' bytes. Within equal coordinates a hash of the
@@ -21,7 +22,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotloom.llm.joins import attach
 from lotloom.llm.numbering import gapless
+from lotloom.operators.places import numbered
 from lotloom.session import Scratch, small_table
 
 BINS_LOG = 12
@@ -33,14 +36,25 @@ TOLERANCE = 0.0025
 DIMENSIONS = ("size", "source", "lang", "content")  # the last only where the others have no width
 
 
+def _with_place(units: DataFrame, rows: DataFrame, column: str, scratch: Scratch) -> DataFrame:
+    """``units`` with the place of a name among all different names of ``rows`` in order, as a share of 2**COORDINATE.
+
+    So a node is as wide in names as the part of all names that lies between its first and its last one.
+    """
+    names = scratch.write(rows.select(column).distinct(), f"{column}-names")
+    n = max(names.count(), 1)
+    at = F.floor((F.col("place") - 1) * (1 << COORDINATE) / n).alias(f"{column}_at")
+    places = scratch.write(numbered(names, [F.col(column)]).select(column, at), f"{column}-places")
+    return attach(units, places, [column], ["group", "chunk"], "left", 96)
+
+
 def _coordinates(units: DataFrame) -> DataFrame:
     """group, chunk, bytes, the coordinates as an array, and what follows them in a key."""
     top = 1 << COORDINATE
     size = F.least(F.floor(F.log2(F.col("size").cast("double")) / 40 * top), F.lit(top - 1))
-    text = lambda c: F.shiftright(F.crc32(F.coalesce(c, F.lit("")).cast("binary")), 32 - COORDINATE)
     content = F.pmod(F.xxhash64("group"), F.lit(1 << HASH))
     below = F.shiftleft(content, CHUNK) + F.col("chunk")
-    coordinates = F.array(*(c.cast("long") for c in (size, text("source"), text("lang"), F.shiftright(content, HASH - COORDINATE))))
+    coordinates = F.array(*(c.cast("long") for c in (size, F.col("source_at"), F.col("lang_at"), F.shiftright(content, HASH - COORDINATE))))
     return units.select("group", "chunk", "bytes", coordinates.alias("at"), below.alias("below"))
 
 
@@ -115,7 +129,7 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = 24, tolerance: flo
     doc_id, text, source and lang are ignored, and source and lang may be missing. An empty table gives no rows.
     """
     scratch = Scratch(spark, "sharding")
-    extra = [F.col(c).cast("string").alias(c) if c in docs.columns else F.lit("").alias(c) for c in ("source", "lang")]
+    extra = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in docs.columns else F.lit("").alias(c) for c in ("source", "lang")]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("group"), *extra)
     rows = scratch.write(rows, "rows")
@@ -128,9 +142,12 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = 24, tolerance: flo
     chunk = F.coalesce(F.pmod(F.xxhash64("doc_id", "source", "lang"), F.col("chunks")), F.lit(0)).cast("int")
     dealt = rows.join(hot, "group", "left").withColumns({"chunk": chunk, "source": F.coalesce("s", "source"), "lang": F.coalesce("l", "lang")})
     facts = [F.sum("size").alias("bytes"), F.max("size").alias("size"), F.min("source").alias("source"), F.min("lang").alias("lang")]
-    units = _coordinates(dealt.groupBy("group", "chunk").agg(*facts))
+    units = dealt.groupBy("group", "chunk").agg(*facts)
+    for name in ("source", "lang"):
+        units = _with_place(units, rows, name, scratch)
+    units = _coordinates(units)
     placed = grow(spark, units, shards, most, scratch).select("group", "chunk", F.col("node").alias("shard"))
     out = scratch.write(dealt.join(placed, ["group", "chunk"]).select("doc_id", "size", "text_crc32", "shard"), "sharded")
     counts = {r["shard"]: r["n"] for r in out.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-    numbered = gapless(out.withColumn("place", F.col("shard").cast("long")), "place", counts, ["doc_id", "text_crc32", "size"], "slot")
-    return numbered.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    slotted = gapless(out.withColumn("place", F.col("shard").cast("long")), "place", counts, ["doc_id", "text_crc32", "size"], "slot")
+    return slotted.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -207,8 +207,8 @@ def test_toxicity(spark):
 
 
 def _check_tree(frame, got):
-    """The upper split parts sizes, sources or languages: along one of these, all of the first shards lie at or below the others."""
-    facts = {(r["doc_id"], zlib.crc32((r["text"] or "").encode())): (len((r["text"] or "").encode()) + 8, *(zlib.crc32((r[c] or "").encode()) for c in ("source", "lang"))) for r in frame.collect()}
+    """The upper split parts sizes, or sources or languages by name: along one of these, all of the first shards lie at or below the others."""
+    facts = {(r["doc_id"], zlib.crc32((r["text"] or "").encode())): (len((r["text"] or "").encode()) + 8, *(r[c] or "" for c in ("source", "lang"))) for r in frame.collect()}
     sides = [[facts[r["doc_id"], r["text_crc32"]] for r in got if (r["shard"] < 12) == low and r["text_crc32"] != zlib.crc32(b"the same text again")] for low in (True, False)]
     assert any(max(x[d] for x in sides[0]) <= min(x[d] for x in sides[1]) for d in range(3))
 
@@ -735,3 +735,12 @@ def test_near_duplicates_of_one_leader(spark, monkeypatch, percent):
     monkeypatch.setattr(joins, "HOT_ROWS", 20)
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 64)
     assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(spark, frame).collect()) == want
+
+
+def test_shards_follow_names_in_order(spark):
+    """Names far more numerous than sizes and languages are what a tree splits by, in their order and not by their hashes."""
+    rows = [(i, f"text {i:04d}", "en", f"site{i // 10:03d}") for i in range(1000)]
+    got = {r["doc_id"]: r["shard"] for r in sharding.shard(spark, spark.createDataFrame(rows, DOCS), 4).collect()}
+    assert [got[i] for i in range(1000)] == sorted(got.values())
+    sizes = collections.Counter(got.values())
+    assert len(sizes) == 4 and max(sizes.values()) - min(sizes.values()) <= 10
