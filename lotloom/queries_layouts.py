@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from lotloom.functions import numbers, text
 from lotloom.operators import adapter, ledger, reports
+from lotloom.plans import cells as plan_cells
 from lotloom.plans import lockin, shp
 from lotloom.registry import LOG, LOTS, query
 from lotloom.session import table
@@ -262,3 +263,25 @@ def aligned_columns(spark: SparkSession, d: str) -> DataFrame:
         "id", F.lit("AAAA    BB  CC").alias("line"), F.transform(columns, lambda c: c["first"]).alias("starts"), F.transform(columns, lambda c: c["last"]).alias("ends"),
         numbers.number_between(row, F.lit(0), end).alias("largest"), numbers.number_between(row, F.lit(0), end, F.lit(1000)).alias("limited"),
     )
+
+
+@query(f"""{LOTS}, x AS (SELECT processing_log_id AS id, row_order, shares, lockin_date_to FROM lots WHERE shares >= 10)
+SELECT id, count(*) AS lots, sum(shares * 10)::BIGINT AS shares, count(*) FILTER (lockin_date_to IS NULL) AS free, count(*) FILTER (lockin_date_to IS NOT NULL) AS locked, max(strftime(lockin_date_to, '%d-%b-%Y')) AS last_text FROM x GROUP BY 1""")
+def cell_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Lots of tables of cells whose columns stand in four orders, below headers of one or two rows, among blank rows and counts."""
+    rows = adapter.lots(spark, d).select(F.col("processing_log_id").alias("id"), "row_order", "shares", "lockin_date_to")
+    k, text_of = F.col("id") % 4, lambda c: c.cast("string")
+    shares, end = numbers.grouped(F.col("shares") * 10), F.coalesce(F.date_format("lockin_date_to", "dd-MMM-yyyy"), F.lit("Free"))
+    other = text_of(F.col("row_order"))
+
+    def ordered(a: Column, b: Column, c: Column, e: Column) -> Column:
+        return F.when(k == 0, F.array(a, b, c, e)).when(k == 1, F.array(b, c, a, e)).when(k == 2, F.array(e, c, b, a)).otherwise(F.array(b, e, a, c))
+
+    lit, none = F.lit, F.lit(None).cast("string")
+    cells = F.collect_list(F.struct("row_order", "shares", "lockin_date_to", ordered(shares, other, other, end).alias("cells")))
+    head = F.when(F.col("id") % 3 == 0, F.array(ordered(lit("No. of equity"), none, lit(""), lit("Lock in")), ordered(lit("shares"), lit("From"), lit("To"), lit("up to")))).otherwise(F.array(ordered(lit("Securities"), lit("FROM"), lit("to"), lit("Date"))))
+    tables = rows.groupBy("id").agg(F.concat(F.any_value(head), F.array(ordered(none, lit(""), none, none)), F.transform(F.sort_array(cells), lambda r: r["cells"]), F.array(F.any_value(ordered(lit("99"), lit("1"), lit("1"), lit("Total"))))).alias("table"))
+    found = tables.select("id", plan_cells.lots(F.col("table")).alias("lots")).where(F.size("lots") > 0)
+    total = F.aggregate("lots", F.lit(0).cast("long"), lambda s, r: s + r["shares"])
+    count = lambda c: F.size(F.filter("lots", lambda r: r["row_class"] == c)).cast("long").alias(c)
+    return found.select("id", F.size("lots").cast("long").alias("lots"), total.alias("shares"), count("free"), count("locked"), F.array_max(F.transform("lots", lambda r: r["lockin_date"])).alias("last_text"))

@@ -145,3 +145,16 @@ def test_registered_strategy(spark):
     assert found["a"]["strategy"] == "marked" and found["a"]["computed_total"] == 7
     assert {k: r["strategy"] for k, r in found.items() if k != "a"} == {k: v for k, v in before.items() if k != "a"}
     assert {k: r["strategy"] for k, r in run(spark, *rows).items()} == before
+
+
+@pytest.mark.parametrize("table,want", [
+    (None, []), ([], []), ([["From", "To", "Shares"]], []),
+    ([["x"], ["From", "To", "No. of shares", "Lock-in upto"], [None, "", None, None], ["1", "500", "5,00", " 01-Jan-2027 "], ["1", "99", "99", "01-Jan-2027"], ["1", "200", "200"], None, ["1", "2", "300", "FREE"]], [(500, "01-Jan-2027", False, "locked"), (200, None, True, "free"), (300, None, True, "free")]),
+    ([["Date", "Securities", "Lock"], ["02-Feb-2026", "1,000", "x"]], [(1000, "02-Feb-2026", False, "locked")]),
+    ([["no", "header"], ["700", "01-Jan-2027"]], [(700, None, True, "free")]),
+])
+def test_cell_tables(spark, table, want):
+    from lotloom.plans import cells
+
+    row = spark.createDataFrame([(table,)], "t array<array<string>>").select(cells.lots(F.col("t")).alias("l")).first()
+    assert [tuple(x) for x in row["l"]] == want
