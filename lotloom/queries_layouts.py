@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -49,37 +51,67 @@ def _facts_sql(strategy: str, having: str = "", spoilt: int = 0) -> str:
     return f"""{_ROWS_SQL} SELECT id, '{strategy}' AS strategy, sum(shares)::BIGINT AS computed_total, coalesce(sum(shares) FILTER (status = 'LOCKED'), 0)::BIGINT AS locked_shares, count(*)::INT AS rows_count, list(last + {spoilt} ORDER BY n) AS to_numbers FROM x GROUP BY id {having}"""
 
 
+def _without_total(rows: DataFrame) -> DataFrame:
+    """No total in the text, so that nothing can be read from it upward."""
+    return _documents(rows, _line("   "), "Number of Securities   From   To", None)
+
+
+def _close_columns(rows: DataFrame) -> DataFrame:
+    """Columns one space apart, which a mender of numbers joins; the known total tells."""
+    return _documents(rows, _line(" "), "Number of Securities From To", numbers.grouped(F.col("t"))).withColumn("known_total", F.col("t"))
+
+
+def _ranges_only(rows: DataFrame) -> DataFrame:
+    """Distinctive numbers only; shares follow from them."""
+    return _documents(rows, _line("  ", dates="dd/MM/yyyy", own=False, shares=False), "From To Type Date", None)
+
+
+def _spoilt_ranges(rows: DataFrame) -> DataFrame:
+    """Distinctive numbers that disagree with the shares in every row; the shares make up the total."""
+    return _documents(rows, _line("  ", spoilt=5), "Securities  From  To", F.concat(F.lit("Total "), numbers.grouped(F.col("t"))))
+
+
+def _stray_hint(rows: DataFrame) -> DataFrame:
+    """A hint that is on the page but is no total: only the strategy that doesn't ask for it accepts, and only where some shares are locked."""
+    docs = _documents(rows, _line("   "), "Securities   From   To", F.concat(F.lit("Total "), numbers.grouped(F.col("t"))))
+    return docs.where("locked_rows > 0").withColumn("declared_hint", F.lit(1).cast("bigint"))
+
+
+#: Layouts by the strategy that reads them.
+_LAYOUTS = (("line_by_line", _without_total), ("no_malformed_cleanup", _close_columns), ("range_calculation", _ranges_only), ("sum_first_soft_labels", _spoilt_ranges), ("two_dates_fallback", _stray_hint))
+
+
 @query(_facts_sql("line_by_line"))
 def layout_line_by_line(spark: SparkSession, d: str) -> DataFrame:
-    """No total in the text, so that nothing can be read from it upward."""
-    return _facts(_documents(_rows(spark, d), _line("   "), "Number of Securities   From   To", None))
+    return _facts(_without_total(_rows(spark, d)))
 
 
 @query(_facts_sql("no_malformed_cleanup"))
 def layout_close_columns(spark: SparkSession, d: str) -> DataFrame:
-    """Columns one space apart, which a mender of numbers joins; the known total tells."""
-    docs = _documents(_rows(spark, d), _line(" "), "Number of Securities From To", numbers.grouped(F.col("t")))
-    return _facts(docs.withColumn("known_total", F.col("t")))
+    return _facts(_close_columns(_rows(spark, d)))
 
 
 @query(_facts_sql("range_calculation"))
 def layout_ranges(spark: SparkSession, d: str) -> DataFrame:
-    """Distinctive numbers only; shares follow from them."""
-    return _facts(_documents(_rows(spark, d), _line("  ", dates="dd/MM/yyyy", own=False, shares=False), "From To Type Date", None))
+    return _facts(_ranges_only(_rows(spark, d)))
 
 
 @query(_facts_sql("sum_first_soft_labels", spoilt=5))
 def layout_spoilt_ranges(spark: SparkSession, d: str) -> DataFrame:
-    """Distinctive numbers that disagree with the shares in every row; the shares make up the total."""
-    total = F.concat(F.lit("Total "), numbers.grouped(F.col("t")))
-    return _facts(_documents(_rows(spark, d), _line("  ", spoilt=5), "Securities  From  To", total))
+    return _facts(_spoilt_ranges(_rows(spark, d)))
 
 
 @query(_facts_sql("two_dates_fallback", "HAVING count(*) FILTER (status = 'LOCKED') > 0"))
 def layout_two_dates(spark: SparkSession, d: str) -> DataFrame:
-    """A hint that is on the page but is no total: only the strategy that doesn't ask for it accepts."""
-    docs = _documents(_rows(spark, d), _line("   "), "Securities   From   To", F.concat(F.lit("Total "), numbers.grouped(F.col("t"))))
-    return _facts(docs.where("locked_rows > 0").withColumn("declared_hint", F.lit(1).cast("bigint")))
+    return _facts(_stray_hint(_rows(spark, d)))
+
+
+@query(f"""{_ROWS_SQL} SELECT id, {[name for name, _ in _LAYOUTS]}[1 + id % 5] AS strategy, sum(shares)::BIGINT AS computed_total, coalesce(sum(shares) FILTER (status = 'LOCKED'), 0)::BIGINT AS locked_shares, count(*)::INT AS rows_count,
+    list(last + CASE WHEN id % 5 = 3 THEN 5 ELSE 0 END ORDER BY n) AS to_numbers FROM x GROUP BY id HAVING id % 5 < 4 OR count(*) FILTER (status = 'LOCKED') > 0""")
+def mixed_layouts(spark: SparkSession, d: str) -> DataFrame:
+    """Filings in all layouts in one extraction, each left to the strategy that reads its layout."""
+    docs = [make(_rows(spark, d).where(f"id % {len(_LAYOUTS)} = {i}")) for i, (_, make) in enumerate(_LAYOUTS)]
+    return _facts(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), docs))
 
 
 @query("""SELECT o_orderkey AS id, 'sum_first_soft_labels' AS strategy, 12 * (o_orderkey % 90 + 10) AS computed_total, 2 AS rows_count FROM orders""")

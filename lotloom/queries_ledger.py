@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from lotloom.operators import adapter, calendar, ledger, reports, rules
 from lotloom.operators import master as issuers
+from lotloom.operators.store import Store, records
 from lotloom.queries import RULES_SQL, _events, _events_sql, _rule_records
 from lotloom.registry import ALL, LOG, LOTS, query
-from lotloom.session import table
+from lotloom.session import Scratch, table
 from lotloom.sources import filings
 from lotloom.streaming import feed
 
@@ -82,10 +83,12 @@ def failed_record(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"{LOG} SELECT id, version, status FROM (SELECT id, 1 AS version, status FROM log WHERE exchange = 'NSE' AND NOT (id % 2 = 0 AND status <> 'FAILED') UNION ALL SELECT id, 2, 'VALIDATING' FROM log WHERE exchange = 'NSE' AND id % 2 = 0 AND status <> 'FAILED')")
 def appended_versions(spark: SparkSession, d: str) -> DataFrame:
-    """A batch of new versions is appended as a whole; readers see the newest of each record and its lots."""
-    now = _versions(spark, d).select("id", "exchange", "file_name", "status", "version", "finalized_at", "processed_at")
+    """A batch of new versions is appended as one commit; readers see the newest of each record."""
+    store, now = Store(spark, Scratch(spark, "versions").path("ledger")), _versions(spark, d).select("id", "exchange", "file_name", "status", "version", "finalized_at", "processed_at")
     moved = ledger.moved(now, "VALIDATING", _now(), F.col("id") % 2 == 0).drop("updated_at")
-    return ledger.record_versions(now.unionByName(moved)).select("id", "version", "status")
+    store.commit({"log": now}, 0, "first")
+    store.commit({"log": moved}, 1, "moved")
+    return records(store).select("id", "version", "status")
 
 
 @query(f"{LOG} SELECT processing_log_id, count(*) AS n FROM lots JOIN log ON processing_log_id = id WHERE exchange = 'NSE' GROUP BY 1")
