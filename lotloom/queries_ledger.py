@@ -176,6 +176,14 @@ def paired_documents(spark: SparkSession, d: str) -> DataFrame:
     return issuers.paired(rows, shps).select("id", "shp_path")
 
 
+@query("""SELECT doc_id, n = 0 AS needed, n > 0 AND n < 100 AS doubtful FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR text IS NULL THEN 0 WHEN doc_id % 5 = 0 THEN least(len(text), 60) WHEN doc_id % 7 = 0 THEN 0 ELSE len(text) END AS n FROM documents)""")
+def texts_needed(spark: SparkSession, d: str) -> DataFrame:
+    """Which documents still lack a text, and which have next to none: some texts are missing, some empty, some cut short."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    kept = F.when(F.col("doc_id") % 5 == 0, F.substring("text", 1, 60)).when(F.col("doc_id") % 7 == 0, "").otherwise(F.col("text"))
+    return filings.text_states(docs.select("doc_id"), docs.where("doc_id % 3 > 0").select("doc_id", kept.alias("text")), "doc_id")
+
+
 @query("""SELECT c_custkey::VARCHAR AS code, CASE WHEN c_custkey % 4 > 0 THEN 'first ' || c_custkey END AS notice_text FROM customer""")
 def first_notices(spark: SparkSession, d: str) -> DataFrame:
     codes = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("code"))

@@ -80,6 +80,18 @@ def read_database(spark: SparkSession, url: str, name: str, column: str | None =
     return reader.load()
 
 
+#: A text of fewer characters is doubtful.
+FEW_CHARS = 100
+
+
+def text_states(found: DataFrame, texts: DataFrame, key: str) -> DataFrame:
+    """``found`` (key) with what is to be done for its text: ``needed`` where there is none or an empty one, and ``doubtful`` where a text is there
+    but has next to no characters. Of several texts of a key the longest counts; a null key has no text."""
+    longest = texts.groupBy(key).agg(F.max(F.length("text")).alias("_n"))
+    n = F.coalesce("_n", F.lit(0))
+    return found.join(longest, key, "left").withColumns({"needed": n == 0, "doubtful": (n > 0) & (n < FEW_CHARS)}).drop("_n")
+
+
 def first_notice(codes: DataFrame, notices: DataFrame) -> DataFrame:
     """For each code the text of its first notice by path (file names start with the code)."""
     rows = notices.withColumn("code", F.regexp_extract(F.substring_index("path", "/", -1), r"^(\d+)-", 1))
