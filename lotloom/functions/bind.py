@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once. An expression is a tree, so a value that a
-    body mentions several times would otherwise be copied, and copies of copies multiply."""
-    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+    body mentions several times would otherwise be copied, and copies of copies multiply.
+
+    It is the start of an aggregation over nothing, whose end is the body: unlike the only element of a transformed array,
+    this neither copies the result nor asks for the type of the whole body at each row.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda v, _: v, lambda v: body(v))
 
 
 def built_once(build: Callable[..., Column]) -> Callable[..., Column]:

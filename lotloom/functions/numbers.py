@@ -8,10 +8,21 @@ from pyspark.sql import functions as F
 from lotloom.functions.bind import let
 
 
+#: A date as one word: day, month as a number or a short name, year, with marks between.
+DATE_WORD = r"(?<!\S)\d{1,2}[-/.](?:\d{1,2}|[A-Za-z]{3})[-/.]\d{2,4}(?!\w)"
+
+
+def _whole(kept: Column) -> Column:
+    """Digits and points as a whole number. A cast that fails costs far more than one that succeeds, so only what is a number is cast."""
+    large = lambda k: F.floor(k.try_cast("double")).try_cast("bigint")
+    other = lambda k: F.when(k.rlike(r"^\d+$"), F.coalesce(k.try_cast("bigint"), large(k))).when(k.rlike(r"^(?:\d+\.\d*|\.\d+)$"), large(k))
+    plain = ~kept.contains(".") & (F.length(kept) < 19)
+    return F.when(plain, F.when(kept != "", kept.try_cast("bigint"))).otherwise(let(F.regexp_replace(kept, r"\.0+$", ""), other))
+
+
 def clean_number(text: Column) -> Column:
     """Digits and points of a token as a whole number; several points (a date) give null."""
-    kept = F.regexp_replace(F.regexp_replace(text, "[^0-9.]", ""), r"\.0+$", "")
-    return let(kept, lambda k: F.coalesce(k.try_cast("bigint"), F.floor(k.try_cast("double")).try_cast("bigint")))
+    return let(F.regexp_replace(text, "[^0-9.]", ""), _whole)
 
 
 def line_numbers(line: Column) -> Column:
@@ -20,9 +31,10 @@ def line_numbers(line: Column) -> Column:
     return F.filter(F.transform(tokens, lambda t: F.replace(t, F.lit(","), F.lit("")).try_cast("bigint")), lambda n: n.isNotNull())
 
 
-def token_numbers(line: Column) -> Column:
-    """``clean_number`` of each token between white space, in order."""
-    return F.filter(F.transform(F.split(line, r"\s+"), clean_number), lambda n: n.isNotNull())
+def token_numbers(line: Column, dates: bool = True) -> Column:
+    """``clean_number`` of each token between white space, in order; without ``dates`` a date is no number."""
+    kept = F.regexp_replace(line, r"[^0-9.\s]" if dates else rf"{DATE_WORD}|[^0-9.\s]", "")
+    return F.filter(F.transform(F.regexp_extract_all(kept, F.lit(r"([0-9.]+)"), F.lit(1)), _whole), lambda n: n.isNotNull())
 
 
 def guarded_numbers(line: Column) -> Column:

@@ -97,7 +97,7 @@ def column_ranges(line: Column) -> Column:
 
 def security_type(line: Column, between: bool = True) -> Column:
     """The first known type in a line; else, with ``between``, the text after the third number, at most 30 characters."""
-    known = F.coalesce(*(F.nullif(squeeze(F.regexp_extract(line, f"(?i)({p})", 1)), F.lit("")) for p in TYPES))
+    known = squeeze(F.when(line.rlike(f"(?i){'|'.join(TYPES)}"), F.coalesce(*(F.nullif(F.regexp_extract(line, f"(?i)({p})", 1), F.lit("")) for p in TYPES))))
     if not between:
         return F.coalesce(known, F.lit(""))
     parts = F.filter(F.transform(F.slice(F.split(line, r"\d[\d,\s]*", -1), 4, 1000), squeeze), lambda p: F.length(p) > 2)

@@ -34,6 +34,10 @@ def _any(line: Column, words: tuple[str, ...]) -> Column:
     return out
 
 
+def _says_total(line: Column) -> Column:
+    return line.rlike("(?i)total")
+
+
 def _no_lots() -> Column:
     return F.array().cast(LOTS)
 
@@ -69,12 +73,12 @@ def _kept(lines: Column) -> Column:
 
 
 def body(lines: Column) -> Column:
-    """Lines above the first footer, each with its numbers and whether it says total."""
+    """Lines above the first footer, each with its numbers (a date, which may fit by chance, is none) and whether it says total."""
     def above(kept: Column) -> Column:
         at = F.array_position(F.transform(kept, lambda l: l.rlike(text.FOOTER)), True)
         return let(at, lambda p: F.when(p > 0, F.slice(kept, F.lit(1), F.greatest(p - 1, F.lit(0)).cast("int"))).otherwise(kept))
 
-    return F.transform(let(_kept(lines), above), lambda l: F.struct(l.alias("line"), numbers.token_numbers(l).alias("nums"), F.lower(l).contains("total").alias("total")))
+    return F.transform(let(_kept(lines), above), lambda l: F.struct(l.alias("line"), numbers.token_numbers(l).alias("nums"), _says_total(l).alias("total")))
 
 
 def _last_total(rows: Column) -> Column:
@@ -137,10 +141,10 @@ def general(x: Inputs, compat: bool = False) -> Column:
     cleaned = F.transform(x.every_line, lambda l: text.without_toll_free(l))
     found = F.filter(cleaned, lambda l: (l != "") & ~_any(l, ("Distinctive", "Lock in", "Equity")) & l.rlike(row))
     parts = F.transform(found, lambda l: F.struct(*(number(F.regexp_extract(l, row, i)).alias(n) for i, n in ((1, "a"), (2, "b"), (3, "c"))), F.trim(F.regexp_extract(l, row, 4)).alias("rest")))
-    parts = F.filter(parts, lambda p: ~F.lower(p["rest"]).contains("total") & p["a"].isNotNull() & p["b"].isNotNull() & p["c"].isNotNull())
+    parts = F.filter(parts, lambda p: ~_says_total(p["rest"]) & p["a"].isNotNull() & p["b"].isNotNull() & p["c"].isNotNull())
 
     def lot(p: Column) -> Column:
-        free = (p["rest"] == "") | F.lower(p["rest"]).contains("free")
+        free = (p["rest"] == "") | p["rest"].rlike("(?i)free")
         date = F.coalesce(*(F.nullif(F.regexp_extract(p["rest"], d, 0), F.lit("")) for d in (r"\d{1,2}-[A-Za-z]{3}-\d{2,4}", r"\d{1,2}[-/\.]\d{1,2}[-/\.]\d{4}")))
         make = lambda f, d: _lot(shares=p["a"], from_no=p["b"], to_no=p["c"], to_date=d, raw_lockin=p["rest"], is_free=f, row_class=classify.coarse_class(d, f))
         return let(free, lambda f: let(F.when(~f, date), lambda d: make(f, d)))
@@ -152,7 +156,7 @@ def general(x: Inputs, compat: bool = False) -> Column:
 
 def declared_total(lines: Column) -> Column:
     """The largest number of the first line that says total and has a number."""
-    hits = F.filter(lines, lambda l: F.lower(l).contains("total") & l.rlike(r"\d"))
+    hits = F.filter(lines, lambda l: _says_total(l) & l.rlike(r"\d"))
     return F.array_max(numbers.line_numbers(F.get(hits, F.lit(0))))
 
 
@@ -188,7 +192,7 @@ def unlock_schedule(lines: Column) -> Column:
 def reverse_from_total(x: Inputs) -> Column:
     """From the bottom total line upward until the lots make up the total exactly."""
     up = F.transform(F.reverse(_kept(x.lines)), lambda l: F.struct(l.alias("line"), numbers.line_numbers(l).alias("nums")))
-    says = lambda r: ((F.size(r["nums"]) == 1) & (F.get(r["nums"], F.lit(0)) > 1_000_000)) | (F.lower(r["line"]).contains("total") & (F.size(r["nums"]) > 0))
+    says = lambda r: ((F.size(r["nums"]) == 1) & (F.get(r["nums"], F.lit(0)) > 1_000_000)) | ((F.size(r["nums"]) > 0) & _says_total(r["line"]))
     ends = lambda r: ((F.size(r["nums"]) < 3) & _any(r["line"], REVERSE_HEADERS)) | (r["line"].contains("Limited") & (F.size(r["nums"]) == 0))
 
     def mend(r: Column) -> Column:
@@ -256,8 +260,7 @@ def range_only(x: Inputs) -> Column:
 def sum_first(x: Inputs) -> Column:
     """Any lines with a lock-in signal; then all, or a greedy, or a contiguous part of them that makes up a total."""
     def signal(r: Column) -> Column:
-        low = F.lower(r["line"])
-        return (dates.line_dates(r["line"])["last"] != "") | low.rlike("demat|physical") | low.contains("free") | low.contains("n/a")
+        return r["line"].rlike("(?i)demat|physical|free|n/a") | (dates.line_dates(r["line"])["last"] != "")
 
     found = F.transform(_three(x.rows, lambda r: _positive(r) & signal(r)), lambda r: _dated(r, dates.WITH_IPO, text.security_type(r["line"]), soft=True))
     on_rows = F.flatten(F.transform(x.rows, lambda r: r["nums"]))
@@ -361,7 +364,7 @@ def _column(name: str) -> Column:
     lines = text.lines(F.coalesce("text", F.lit("")))
     return {
         "_lines": lambda: lines, "_every": lambda: text.lines(F.coalesce("text", F.lit("")), every_break=True), "_page": lambda: F.flatten(F.transform("_lines", numbers.line_numbers)),
-        "_rows": lambda: body(F.col("_lines")), "_mended": lambda: body(F.transform("_lines", lambda l: numbers.repair_numbers(l))),
+        "_rows": lambda: body(F.col("_lines")), "_mended": lambda: let(F.transform("_lines", lambda l: numbers.repair_numbers(l)), lambda mended: F.when(mended == F.col("_lines"), F.col("_rows")).otherwise(body(mended))),
     }[name]()
 
 
@@ -408,18 +411,20 @@ def extract(filings: DataFrame, compat: bool = False, skip_blank: bool = False)
     kept, tried = filings.columns, cascade()
     live = ~text.is_blank(F.col("text")) if skip_blank else F.lit(True)
     # a filter on the result isn't pushed below a column that isn't deterministic; it would evaluate the strategies again, for each mention
-    out = filings.withColumns({"_lines": _column("_lines"), "_every": _column("_every"), "_live": live, "_other": F.coalesce(F.col("exchange") != "NSE", F.lit(False)), "_barrier": F.monotonically_increasing_id() >= 0})
+    out = filings.withColumns({"_lines": _column("_lines"), "_live": live, "_other": F.coalesce(F.col("exchange") != "NSE", F.lit(False)), "_barrier": F.monotonically_increasing_id() >= 0})
     out = out.withColumns({"_page": _column("_page"), "_rows": F.lit(None), "_mended": F.lit(None)})
     found: Column | None = None
     made = False
     for i, strategy in enumerate(tried):
         waits = F.col("_live") & F.col("_other") & (found.isNull() if found is not None else F.lit(True))
         if strategy.rows and not made:
-            out, made = out.withColumns({c: F.when(waits, _column(c)) for c in ("_rows", "_mended")}), True
+            out, made = out.withColumn("_rows", F.when(waits, _column("_rows"))).withColumn("_mended", F.when(waits, _column("_mended"))), True
         result = F.when(waits, _result_of(strategy))
         out = out.withColumn(f"_f{i}", result if found is None else F.coalesce(found, result))
         found = F.col(f"_f{i}")
-    plain = F.when(F.col("_live") & (F.lit(True) if found is None else found.isNull()), _general(compat))
+    last = F.col("_live") & (F.lit(True) if found is None else found.isNull())
+    out = out.withColumn("_every", F.when(last, _column("_every")))
+    plain = F.when(last, _general(compat))
     picked = F.coalesce(plain if found is None else F.coalesce(found, plain), F.when(F.col("_live") & F.col("_other"), _failed()))
     out = out.withColumns({"_picked": picked, "_order": dates.date_order(F.coalesce("text", F.lit("")))})
     return out.where("_barrier").select(*kept, _finished().alias("lockin"))

@@ -13,7 +13,7 @@ from lotloom.operators import adapter, ledger, reports
 from lotloom.plans import cells as plan_cells
 from lotloom.plans import lockin, shp
 from lotloom.registry import LOG, LOTS, query
-from lotloom.session import table
+from lotloom.session import spread, table
 
 #: Lots of positive size by record, numbered from 1, with running distinctive numbers; shares in thousands. The same in SQL.
 _ROWS_SQL = f"""{LOTS}, x AS (SELECT processing_log_id AS id, row_number() OVER w AS n, shares * 1000 AS shares, (sum(shares) OVER (w ROWS UNBOUNDED PRECEDING) * 1000)::BIGINT AS last, lockin_date_from, lockin_date_to, status FROM lots WHERE shares > 0
@@ -120,7 +120,7 @@ def layout_contiguous_part(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey") % 90 + 10
     line = lambda m: F.concat_ws("  ", (k * m).cast("string"), F.lit("1"), (k * m + 5).cast("string"), F.lit("L"), F.lit("01-Jan-2027"), F.lit("Demat"))
     doc = F.concat_ws("\n", F.lit("Securities  From  To"), line(5), line(7), line(10), F.concat(F.lit("Total "), (k * 12).cast("string")))
-    docs = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.lit("BSE").alias("exchange"), doc.alias("text"))
+    docs = spread(table(spark, d, "orders").select("o_orderkey"), "o_orderkey").select(F.col("o_orderkey").alias("id"), F.lit("BSE").alias("exchange"), doc.alias("text"))
     return lockin.extract(docs).select("id", "lockin.strategy", "lockin.computed_total", "lockin.rows_count")
 
 

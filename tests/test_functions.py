@@ -176,3 +176,12 @@ def test_free_form_dates(value, raw, order, want):
 def test_free_form_needs_a_day_for_what_is_missing(value):
     assert value(dates.date_value(F.lit("3 March"), F.lit("dmy"))) is None and value(dates.date_value(F.lit("Tue 3 March 2026"), F.lit("dmy"))) == datetime.date(2026, 3, 3)
     assert value(dates.date_value(F.lit("Feb 2025"), F.lit("dmy"), F.lit("2026-05-31").cast("date"))) == datetime.date(2025, 2, 28)
+
+
+def test_numbers_and_dates_by_short_paths(value):
+    shown = lambda *words: value(numbers.token_numbers(F.lit(" ".join(words))))
+    assert shown("x", "1.5.2", ".", "..", "12.", ".5", "7.00", ".00", "1234567890123456789", "12345678901234567890123") == [12, 0, 7, 1234567890123456789, 9223372036854775807]
+    assert value(numbers.token_numbers(F.lit("5 14-Jul-1999 1/2/24, 23.05.2025 7-8"), dates=False)) == [5, 78]
+    days = ("14-jul-1999", "4-FEB-2024", "30-Feb-2024", "01-Xyz-2024", "01-Jan-0000")
+    assert [value(dates.date_text(F.lit(d))) for d in days] == ["1999-07-14", "2024-02-04", "30-Feb-2024", "01-Xyz-2024", "0000-01-01"]
+    assert [value(dates.date_value(F.lit(d), F.lit(None).cast("string"))) for d in ("2024-02-04", "2024-02-30")] == [datetime.date(2024, 2, 4), None]
