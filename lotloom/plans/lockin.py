@@ -78,7 +78,7 @@ def body(lines: Column) -> Column:
         at = F.array_position(F.transform(kept, lambda l: l.rlike(text.FOOTER)), True)
         return let(at, lambda p: F.when(p > 0, F.slice(kept, F.lit(1), F.greatest(p - 1, F.lit(0)).cast("int"))).otherwise(kept))
 
-    return F.transform(let(_kept(lines), above), lambda l: F.struct(l.alias("line"), numbers.token_numbers(l).alias("nums"), _says_total(l).alias("total")))
+    return F.transform(let(_kept(lines), above), lambda l: F.struct(l.alias("line"), numbers.token_numbers(l, dates=False).alias("nums"), _says_total(l).alias("total")))
 
 
 def _last_total(rows: Column) -> Column:

@@ -158,3 +158,10 @@ def test_cell_tables(spark, table, want):
 
     row = spark.createDataFrame([(table,)], "t array<array<string>>").select(cells.lots(F.col("t")).alias("l")).first()
     assert [tuple(x) for x in row["l"]] == want
+
+
+def test_a_date_that_fits_by_chance_is_no_number(spark):
+    """The mender joins 1 and 21,000; 121,000 and 14-Jul-1999, its digits taken as 141,999, would then make 21,000 shares."""
+    text = "Number of Securities From To\n21,000 1 21,000 Lock-in 14-Jul-1999 14-Jul-1999 Demat\n21,000"
+    r = run(spark, ("chance", "BSE", text, 21000))["chance"]
+    assert (r["strategy"], r["computed_total"], [x["to_no"] for x in r["lots"]]) == ("no_malformed_cleanup", 21000, [21000])
