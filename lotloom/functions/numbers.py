@@ -25,10 +25,15 @@ def clean_number(text: Column) -> Column:
     return let(F.regexp_replace(text, "[^0-9.]", ""), _whole)
 
 
-def line_numbers(line: Column) -> Column:
-    """All runs of digits and commas, in order; ``33,000.00`` gives 33000 and 0."""
+def number_runs(line: Column) -> Column:
+    """All runs of digits and commas, in order; ``33,000.00`` gives 33000 and 0. A run beyond 64 bits is null in its place."""
     tokens = F.regexp_extract_all(line, F.lit(r"(\d[\d,]*)"), F.lit(1))
-    return F.filter(F.transform(tokens, lambda t: F.replace(t, F.lit(","), F.lit("")).try_cast("bigint")), lambda n: n.isNotNull())
+    return F.transform(tokens, lambda t: F.replace(t, F.lit(","), F.lit("")).try_cast("bigint"))
+
+
+def line_numbers(line: Column) -> Column:
+    """``number_runs`` without those beyond 64 bits."""
+    return F.filter(number_runs(line), lambda n: n.isNotNull())
 
 
 def token_numbers(line: Column, dates: bool = True) -> Column:

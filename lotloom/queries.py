@@ -372,7 +372,7 @@ def line_explode(spark: SparkSession, d: str) -> DataFrame:
 
 @query(r"SELECT doc_id, list_transform(regexp_extract_all(text, '[0-9][0-9,]*'), lambda x: try_cast(replace(x, ',', '') AS BIGINT)) AS nums FROM documents WHERE regexp_matches(text, '[0-9]')")
 def number_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").where(F.col("text").rlike("[0-9]")).select("doc_id", numbers.line_numbers(F.col("text")).alias("nums"))
+    return table(spark, d, "documents").where(F.col("text").rlike("[0-9]")).select("doc_id", numbers.number_runs(F.col("text")).alias("nums"))
 
 
 @query("SELECT doc_id, replace(replace(lower(text), ' ', ''), '-', '') AS bare FROM documents")

@@ -185,3 +185,8 @@ def test_numbers_and_dates_by_short_paths(value):
     days = ("14-jul-1999", "4-FEB-2024", "30-Feb-2024", "01-Xyz-2024", "01-Jan-0000")
     assert [value(dates.date_text(F.lit(d))) for d in days] == ["1999-07-14", "2024-02-04", "30-Feb-2024", "01-Xyz-2024", "0000-01-01"]
     assert [value(dates.date_value(F.lit(d), F.lit(None).cast("string"))) for d in ("2024-02-04", "2024-02-30")] == [datetime.date(2024, 2, 4), None]
+
+
+def test_a_run_beyond_64_bits_keeps_its_place(value):
+    line = F.lit("7 x 99999999999999999999,9 y 1,234")
+    assert value(numbers.number_runs(line)) == [7, None, 1234] and value(numbers.line_numbers(line)) == [7, 1234]
