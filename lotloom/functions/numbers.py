@@ -82,9 +82,10 @@ def grouped(number: Column) -> Column:
     return F.format_number(number, 0)
 
 
-def grouped_indian(number: Column) -> Column:
-    """The last three digits, then pairs, set off by commas."""
+def grouped_indian(number: Column, whole_crores: bool = False) -> Column:
+    """The last three digits, then pairs, set off by commas; with ``whole_crores`` no comma parts the number of crores (100,00,00,000)."""
     digits = F.abs(number).cast("string")
-    head = F.regexp_replace(F.substring(digits, F.lit(1), F.greatest(F.length(digits) - 3, F.lit(0))), r"(?<=\d)(?=(\d\d)+$)", ",")
+    pairs = r"(?<=\d)(?=\d\d$|\d{4}$)" if whole_crores else r"(?<=\d)(?=(\d\d)+$)"
+    head = F.regexp_replace(F.substring(digits, F.lit(1), F.greatest(F.length(digits) - 3, F.lit(0))), pairs, ",")
     tail = F.right(digits, F.lit(3))
     return F.concat(F.when(number < 0, "-").otherwise(""), F.when(F.length(digits) > 3, F.concat(head, F.lit(","), tail)).otherwise(tail))

@@ -190,3 +190,9 @@ def test_numbers_and_dates_by_short_paths(value):
 def test_a_run_beyond_64_bits_keeps_its_place(value):
     line = F.lit("7 x 99999999999999999999,9 y 1,234")
     assert value(numbers.number_runs(line)) == [7, None, 1234] and value(numbers.line_numbers(line)) == [7, 1234]
+
+
+def test_crores_as_one_number(value):
+    shown = [value(numbers.grouped_indian(F.lit(n), whole_crores=True)) for n in (7, 123456, 12345678, -1000000234, 987654321012)]
+    assert shown == ["7", "1,23,456", "1,23,45,678", "-100,00,00,234", "98765,43,21,012"]
+    assert value(numbers.grouped_indian(F.lit(1000000234))) == "1,00,00,00,234"
