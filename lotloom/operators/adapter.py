@@ -6,12 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotloom.functions.classify import bucket
-from lotloom.session import table
+from lotloom.session import table, tasks
+
+#: Lines of a task. Lots and records are dealt by the record's key to as many tasks as the lines need, so that a task holds
+#: no more on larger tables; joins and groups by that key keep the deal.
+TASK_LINES = 50_000
+
+
+def _dealt(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Order lines and orders, dealt alike."""
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    n = tasks(lines, TASK_LINES)
+    return lines.repartition(n, "l_orderkey"), orders.repartition(n, "o_orderkey")
 
 
 def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines, orders = _dealt(spark, sf_dir)
+    rows = lines.join(orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
     start, end = F.col("o_orderdate").cast("date"), F.when(F.col("l_linestatus") == "O", F.col("l_shipdate").cast("date"))
     return rows.select(
         F.col("l_orderkey").alias("processing_log_id"), F.col("l_linenumber").alias("row_order"), F.col("l_quantity").cast("bigint").alias("shares"), F.col("l_partkey").alias("distinctive_from"),
@@ -22,7 +33,7 @@ def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with the totals of their lots and a shareholding split by return flag."""
-    orders = table(spark, sf_dir, "orders")
+    _, orders = _dealt(spark, sf_dir)
     sums = lots(spark, sf_dir).groupBy("processing_log_id").agg(
         F.sum("shares").alias("computed_total"), F.sum(F.when(F.col("status") == "LOCKED", F.col("shares")).otherwise(0)).alias("locked_total"), F.sum(F.when(F.col("status") == "FREE", F.col("shares")).otherwise(0)).alias("free_total"),
         *(F.sum(F.when(F.col("security_type") == f, F.col("shares")).otherwise(0)).alias(f"shp_{n}_shares") for f, n in (("A", "promoter"), ("N", "public"), ("R", "others"))),

@@ -37,12 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame, key: str, most: int = 20_000) -> DataFrame:
-    """A table dealt by its key to tasks of about ``most`` rows. Files are split by bytes; where each short row is much work, a few tasks would do it all.
+def tasks(rows: DataFrame, most: int) -> int:
+    """Into how many tasks of about ``most`` rows a table goes. Counting a table's rows reads no more than the footers of its files."""
+    return max(1, -(-rows.count() // most))
 
-    Counting a table's rows reads no more than the footers of its files.
-    """
-    return rows.repartition(max(1, -(-rows.count() // most)), key)
+
+def spread(rows: DataFrame, key: str, most: int = 20_000) -> DataFrame:
+    """A table dealt by its key to tasks of about ``most`` rows. Files are split by bytes; where each short row is much work, a few tasks would do it all."""
+    return rows.repartition(tasks(rows, most), key)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -145,3 +145,12 @@ def test_strict_form(spark):
     assert got == {1: "", 2: "RULE6", 3: "RULE2,RULE8"}
     say = {r["id"]: r["m"] for r in rules.stored(records, lots).select("id", rules.one("RULE6")["message"].alias("m")).collect()}
     assert say[1].endswith("(legacy NSE exception: allotment_date 2024-01-01 <= 2024-12-02)") and "anchor_90" in say[2] and say[3] == "No anchor letter URL and no anchor rows (correct)"
+
+
+def test_lots_and_records_are_dealt_to_bounded_tasks(spark, monkeypatch):
+    """More lines make more tasks, whatever the session's number of partitions, and each record is in one of them."""
+    from lotloom.operators import adapter
+
+    monkeypatch.setattr(adapter, "TASK_LINES", 500)
+    lots, log = adapter.lots(spark, "/root/testdata/sf0.001"), adapter.log(spark, "/root/testdata/sf0.001")
+    assert lots.rdd.getNumPartitions() == log.rdd.getNumPartitions() == -(-lots.count() // 500) > 8
