@@ -10,6 +10,8 @@ from lotloom.functions.bind import let
 
 #: A date as one word: day, month as a number or a short name, year, with marks between.
 DATE_WORD = r"(?<!\S)\d{1,2}[-/.](?:\d{1,2}|[A-Za-z]{3})[-/.]\d{2,4}(?!\w)"
+#: All but digits, points and white space, which is spelt out: the same class with \\s in it takes eight times as long.
+_OTHER = r"[^0-9. \t\n\x0b\f\r]+"
 
 
 def _whole(kept: Column) -> Column:
@@ -38,7 +40,7 @@ def line_numbers(line: Column) -> Column:
 
 def token_numbers(line: Column, dates: bool = True) -> Column:
     """``clean_number`` of each token between white space, in order; without ``dates`` a date is no number."""
-    kept = F.regexp_replace(line, r"[^0-9.\s]" if dates else rf"{DATE_WORD}|[^0-9.\s]", "")
+    kept = F.regexp_replace(line, _OTHER if dates else rf"{_OTHER}|{DATE_WORD}", "")
     return F.filter(F.transform(F.regexp_extract_all(kept, F.lit(r"([0-9.]+)"), F.lit(1)), _whole), lambda n: n.isNotNull())
 
 
@@ -66,9 +68,10 @@ def best_effort_int(text: Column) -> Column:
 
 # A typist's gap is one space between two characters of a number. What may follow it tells a gap from the
 # space between two numbers: a comma or a point, after at most two digits, belongs to the same number anywhere; two
-# digits at the end of a column do only where the number has just begun, or after a comma.
+# digits at the end of a column do only where the number has just begun, or after a comma. What follows is looked at
+# first, for looking back over blanks costs most.
 _LAST = r"\d{1,2}(?=\s{2,}|$)"
-GAP = rf" (?<=\d )(?=\d{{0,2}}[,.])| (?<=(?:,\d{{1,2}}|^\s{{0,99}}\d) )(?={_LAST})"
+GAP = rf" (?=\d{{0,2}}[,.])(?<=\d )| (?={_LAST})(?<=(?:,\d{{1,2}}|^\s{{0,99}}\d) )"
 EAGER_GAP = rf" (?<=\d )(?=\d{{0,2}}[,.]|{_LAST})"
 
 

@@ -105,14 +105,16 @@ def _positive(r: Column) -> Column:
 def _dated(r: Column, pattern: str, kind: Column, form: bool = True, parsed: bool = True, soft: bool = False) -> Column:
     """The lot of a numbered line. ``parsed``: dates as dates where possible; ``soft``: with the range's difference."""
     shares, first, last = (F.get(r["nums"], F.lit(i)) for i in range(3))
-    read = dates.date_text if parsed else (lambda c: c)
+    start, end = (lambda day: F.get(day, F.lit(0))), (lambda day: F.get(day, F.lit(1)))
 
     def lot(day: Column, kind: Column, raw: Column, cls: Column) -> Column:
         diff = F.when((first > 0) & (last > 0), shares - (last - first + 1)) if soft else None
-        return _lot(shares=shares, from_no=first, to_no=last, security_type=kind, from_date=day["first"], to_date=day["last"], raw_lockin=raw, share_form=text.share_form(r["line"]) if form else None, is_free=cls == "free", row_class=cls, range_diff=diff)
+        return _lot(shares=shares, from_no=first, to_no=last, security_type=kind, from_date=start(day), to_date=end(day), raw_lockin=raw, share_form=text.share_form(r["line"]) if form else None, is_free=cls == "free", row_class=cls, range_diff=diff)
 
-    read_days = let(dates.line_dates(r["line"], pattern), lambda d: F.struct(read(d["first"]).alias("first"), read(d["last"]).alias("last")))
-    raw_of = lambda day: F.when(day["last"] != "", day["last"]).otherwise(day["first"])
+    # both dates by one expression: a task builds its code from all of them
+    both = let(dates.line_dates(r["line"], pattern), lambda d: F.array(d["first"], d["last"]))
+    read_days = F.transform(both, dates.date_text) if parsed else both
+    raw_of = lambda day: F.when(end(day) != "", end(day)).otherwise(start(day))
     return let(read_days, lambda day: let(kind, lambda k: let(raw_of(day), lambda raw: let(classify.row_class(k, raw), lambda cls: lot(day, k, raw, cls)))))
 
 
@@ -199,8 +201,8 @@ def reverse_from_total(x: Inputs) -> Column:
         return let(numbers.repair_numbers(r["line"], eager=True), lambda l: F.struct(l.alias("line"), numbers.line_numbers(l).alias("nums")))
 
     def judged(r: Column) -> Column:
-        lot = F.when(F.size(r["nums"]) >= 3, _dated(r, dates.WITH_IPO, F.lit(""), form=False))
-        return F.struct(lot.alias("lot"), ends(r).alias("ends"), F.coalesce((F.size(r["nums"]) >= 3) & _fits(r), F.lit(False)).alias("usable"))
+        usable = F.coalesce((F.size(r["nums"]) >= 3) & _fits(r), F.lit(False))
+        return let(usable, lambda u: F.struct(F.when(u, _dated(r, dates.WITH_IPO, F.lit(""), form=False)).alias("lot"), ends(r).alias("ends"), u.alias("usable")))
 
     def fold(rows: Column, target: Column) -> Column:
         def step(acc: Column, r: Column) -> Column:
@@ -388,9 +390,14 @@ def _failed() -> Column:
 def _finished() -> Column:
     """The picked result with dates, status and bucket for each lot."""
     def finished(r: Column) -> Column:
-        start, to = dates.date_value(r["from_date"], F.col("_order")), dates.date_value(r["to_date"], F.col("_order"))
-        extra = (start.alias("lockin_date_from"), to.alias("lockin_date_to"), classify.status(r["is_free"]).alias("status"), classify.bucket(F.coalesce(start, F.col("reference_date")), to).alias("bucket"))
-        return F.struct(*(r[n].alias(n) for n in _NAMES), *extra)
+        # one expression for both dates, each read once: a bucket mentions its days at each of its bounds
+        def of(days: Column, start: Column) -> Column:
+            to = F.get(days, F.lit(1))
+            extra = (F.get(days, F.lit(0)).alias("lockin_date_from"), to.alias("lockin_date_to"), classify.status(r["is_free"]).alias("status"), classify.bucket(start, to).alias("bucket"))
+            return F.struct(*(r[n].alias(n) for n in _NAMES), *extra)
+
+        days = F.transform(F.array(r["from_date"], r["to_date"]), lambda t: dates.date_value(t, F.col("_order")))
+        return let(days, lambda days: let(F.coalesce(F.get(days, F.lit(0)), F.col("reference_date")), lambda start: of(days, start)))
 
     return F.when(F.col("_picked").isNotNull(), F.col("_picked").withField("lots", F.transform("_picked.lots", finished)))
 

@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from lotloom.functions import classify, dates
 from lotloom.plans import lockin, shp
 
 #: Columns one space apart, dates with points. Invented, as all filings here.
@@ -165,3 +166,10 @@ def test_a_date_that_fits_by_chance_is_no_number(spark):
     text = "Number of Securities From To\n21,000 1 21,000 Lock-in 14-Jul-1999 14-Jul-1999 Demat\n21,000"
     r = run(spark, ("chance", "BSE", text, 21000))["chance"]
     assert (r["strategy"], r["computed_total"], [x["to_no"] for x in r["lots"]]) == ("no_malformed_cleanup", 21000, [21000])
+
+
+def test_dates_of_lots_are_read_once(spark):
+    size = lambda c: len(str(c._jc.toString()))
+    dated = lockin._dated(F.col("r"), dates.WITH_IPO, F.lit(""))
+    assert size(lockin._finished()) < 2 * size(dates.date_value(F.col("t"), F.col("o")))
+    assert size(dated) < 2 * size(dates.date_text(F.col("t"))) + size(classify.row_class(F.col("k"), F.col("d")))

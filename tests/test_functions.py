@@ -196,3 +196,10 @@ def test_crores_as_one_number(value):
     shown = [value(numbers.grouped_indian(F.lit(n), whole_crores=True)) for n in (7, 123456, 12345678, -1000000234, 987654321012)]
     assert shown == ["7", "1,23,456", "1,23,45,678", "-100,00,00,234", "98765,43,21,012"]
     assert value(numbers.grouped_indian(F.lit(1000000234))) == "1,00,00,00,234"
+
+
+def test_numbers_among_every_blank(value):
+    line = F.lit("1,000\t2.5 x3x\x0b4\x0c5\r6 01-Jan-2027 7..8  9")
+    assert value(numbers.token_numbers(line)) == [1000, 2, 3, 4, 5, 6, 12027, 9]
+    assert value(numbers.token_numbers(line, dates=False)) == [1000, 2, 3, 4, 5, 6, 9]
+    assert value(numbers.repair_numbers(F.lit("1 2,345   3 4   5,6 78"))) == "12,345   3 4   5,678"
