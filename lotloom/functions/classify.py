@@ -25,9 +25,9 @@ def is_locked_type(kind: Column) -> Column:
 def row_class(kind: Column, raw: Column) -> Column:
     """anchor, free or locked from a security type and a raw lock-in date; the order of the tests matters."""
     def of(t: Column, d: Column, free: Column) -> Column:
-        ipo, lock = t.rlike(r"\bipo\b"), t.contains("lock")
+        ipo, lock = t.contains("ipo") & t.rlike(r"\bipo\b"), t.contains("lock")
         return (
-            F.when(t.contains("anchor") | t.contains("30 day") | t.contains("90 day") | d.rlike(r"(?i)\(anchor"), "anchor")
+            F.when(t.contains("anchor") | t.contains("30 day") | t.contains("90 day") | (d.contains("(") & d.rlike(r"(?i)\(anchor")), "anchor")
             .when(ipo & lock & free, "free").when(free & ~is_locked_type(t), "free")
             .when(t.contains("free") | t.contains("not under lock") | t.contains("market maker") | (t.contains("offer for sale") & ~lock), "free")
             .when(ipo & ~lock, F.when(free, "free").otherwise("locked")).when(is_locked_type(t), "locked").when((d != "") & ~free, "locked").otherwise("free")

@@ -9,7 +9,7 @@ from lotloom.functions.bind import let
 
 
 #: A date as one word: day, month as a number or a short name, year, with marks between.
-DATE_WORD = r"(?<!\S)\d{1,2}[-/.](?:\d{1,2}|[A-Za-z]{3})[-/.]\d{2,4}(?!\w)"
+DATE_WORD = r"(?=\d)(?<!\S)\d{1,2}[-/.](?:\d{1,2}|[A-Za-z]{3})[-/.]\d{2,4}(?!\w)"
 #: All but digits, points and white space, which is spelt out: the same class with \\s in it takes eight times as long.
 _OTHER = r"[^0-9. \t\n\x0b\f\r]+"
 
@@ -75,6 +75,11 @@ GAP = rf" (?=\d{{0,2}}[,.])(?<=\d )| (?={_LAST})(?<=(?:,\d{{1,2}}|^\s{{0,99}}\d)
 EAGER_GAP = rf" (?<=\d )(?=\d{{0,2}}[,.]|{_LAST})"
 
 
+def may_have_gaps(text: Column) -> Column:
+    """Whether a text has a space that ``repair_numbers`` may close in one of its lines."""
+    return text.rlike(r"\d [\d,.]")
+
+
 def repair_numbers(line: Column, eager: bool = False) -> Column:
     """Close single spaces inside numbers. ``eager`` also joins any digit and a short last number."""
     return F.regexp_replace(line, EAGER_GAP if eager else GAP, "")

@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lotloom.functions.bind import let
 from lotloom.functions.dates import NOTICE_FORMATS, by_formats
 
 #: Breaks besides line feed at which a line ends for the general parser.
-ALL_BREAKS = "\n|\r|\x0b|\x0c|\x1c|\x1d|\x1e|\x85| | "
+ALL_BREAKS = "[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+#: What a pattern with (?U) takes for white space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 TOLL_FREE = "1800 266 0058"
 # Security types in the order of precedence, and the lines that end a table.
 TYPES = (r"F\s*&\s*L", r"Fully\s+Paid", r"F\s*-?\s*Fully", r"Partly\s+Paid", r"Lock[- ]in", r"IPO", r"Anchor")
+# What lower-case text holds where a type, in that order, or a footer may stand. Looking for words costs a tenth of a pattern.
+TYPE_WORDS = ("&", "fully", "fully", "partly", "lock", "ipo", "anchor")
+FOOTER_WORDS = ("name", "designation", "place", "limited", "company secretary", "membership no.", "note", "the distinctive numbers are for", "year", "sd/-")
 FOOTER = (
     r"(?i)(^\s*Name\s*:|^\s*Designation\s*:|^\s*Place\s*:|\bFor\s+\w+.*Limited|Company Secretary|Membership No\.|^\s*Notes?:|The Distinctive Numbers are for the purpose"
     r"|DEMAT\s*-\s*\d+\s*YEAR|^\s*For\s+.*\s+Limited\s*$|^\s*Sd/-)"
@@ -22,11 +30,11 @@ FOOTER = (
 
 def plain_breaks(text: Column) -> Column:
     """Carriage returns folded into line feeds."""
-    return F.regexp_replace(text, "\r\n?", "\n")
+    return F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.trim(text, F.lit(WHITE))
 
 
 def squeeze(text: Column) -> Column:
@@ -95,9 +103,18 @@ def column_ranges(line: Column) -> Column:
     return F.when(F.size(found) >= 2, found)
 
 
+def may_have_footer(text: Column) -> Column:
+    """Whether a text holds a footer's word, in any case; without one, ``FOOTER`` matches none of its lines."""
+    return let(F.lower(text), lambda low: reduce(or_, (low.contains(w) for w in FOOTER_WORDS)))
+
+
 def security_type(line: Column, between: bool = True) -> Column:
     """The first known type in a line; else, with ``between``, the text after the third number, at most 30 characters."""
-    known = squeeze(F.when(line.rlike(f"(?i){'|'.join(TYPES)}"), F.coalesce(*(F.nullif(F.regexp_extract(line, f"(?i)({p})", 1), F.lit("")) for p in TYPES))))
+    def one(low: Column, word: str, pattern: str) -> Column:
+        found = F.nullif(F.regexp_extract(line, f"(?i)({pattern})", 1), F.lit(""))
+        return F.when(low.contains(word), squeeze(found) if r"\s" in pattern else found)
+
+    known = let(F.lower(line), lambda low: F.coalesce(*(one(low, w, p) for w, p in zip(TYPE_WORDS, TYPES))))
     if not between:
         return F.coalesce(known, F.lit(""))
     parts = F.filter(F.transform(F.slice(F.split(line, r"\d[\d,\s]*", -1), 4, 1000), squeeze), lambda p: F.length(p) > 2)

@@ -35,7 +35,7 @@ def _any(line: Column, words: tuple[str, ...]) -> Column:
 
 
 def _says_total(line: Column) -> Column:
-    return line.rlike("(?i)total")
+    return F.lower(line).contains("total")
 
 
 def _no_lots() -> Column:
@@ -69,16 +69,27 @@ def _result(lots: Column, facts: Callable[[Column], tuple[Column, Column, Column
 
 def _kept(lines: Column) -> Column:
     """Lines but empty ones, page markers and rules."""
-    return F.filter(lines, lambda l: (l != "") & ~l.startswith("---") & ~l.startswith("####"))
+    return F.filter(lines, _is_kept)
 
 
-def body(lines: Column) -> Column:
-    """Lines above the first footer, each with its numbers (a date, which may fit by chance, is none) and whether it says total."""
+def _is_kept(line: Column) -> Column:
+    return (line != "") & ~line.startswith("---") & ~line.startswith("####")
+
+
+def _numbered(line: Column) -> Column:
+    """A line with its numbers."""
+    return F.struct(line.alias("line"), numbers.line_numbers(line).alias("nums"))
+
+
+def body(lines: Column, footer: Column | None = None) -> Column:
+    """Lines above the first footer, each with its numbers (a date, which may fit by chance, is none) and whether it says total.
+    Where ``footer`` is false none is looked for."""
     def above(kept: Column) -> Column:
-        at = F.array_position(F.transform(kept, lambda l: l.rlike(text.FOOTER)), True)
+        at = F.array_position(F.transform(kept, lambda l: text.may_have_footer(l) & l.rlike(text.FOOTER)), True)
         return let(at, lambda p: F.when(p > 0, F.slice(kept, F.lit(1), F.greatest(p - 1, F.lit(0)).cast("int"))).otherwise(kept))
 
-    return F.transform(let(_kept(lines), above), lambda l: F.struct(l.alias("line"), numbers.token_numbers(l, dates=False).alias("nums"), _says_total(l).alias("total")))
+    found = let(_kept(lines), above)
+    return F.transform(found if footer is None else F.when(footer, found).otherwise(_kept(lines)), lambda l: F.struct(l.alias("line"), numbers.token_numbers(l, dates=False).alias("nums"), _says_total(l).alias("total")))
 
 
 def _last_total(rows: Column) -> Column:
@@ -121,7 +132,8 @@ def _dated(r: Column, pattern: str, kind: Column, form: bool = True, parsed: boo
 @dataclass(frozen=True)
 class Inputs:
     """What strategies look at, as columns: lines of the document, rows above the footer as they
-    stand and with numbers mended, numbers on the page, and totals known beforehand (null if not)."""
+    stand and with numbers mended, numbers on the page (null where no total is known), totals known beforehand (null if not),
+    the document's lines with their numbers, and whether numbers may have gaps."""
 
     lines: Column
     every_line: Column
@@ -131,6 +143,8 @@ class Inputs:
     known: Column
     declared: Column
     computed: Column
+    numbered: Column
+    gaps: Column
 
 
 def general(x: Inputs, compat: bool = False) -> Column:
@@ -152,8 +166,8 @@ def general(x: Inputs, compat: bool = False) -> Column:
         return let(free, lambda f: let(F.when(~f, date), lambda d: make(f, d)))
 
     none = F.lit(None)
-    same = lambda lots: F.coalesce(declared_total(x.every_line) == _sum(lots), F.lit(False)) & (F.size(lots) > 0)
-    return _result(F.transform(parts, lot), lambda lots: (declared_total(x.every_line), same(lots), none))
+    same = lambda lots, total: F.coalesce(total == _sum(lots), F.lit(False)) & (F.size(lots) > 0)
+    return let(declared_total(x.every_line), lambda total: _result(F.transform(parts, lot), lambda lots: (total, same(lots, total), none)))
 
 
 def declared_total(lines: Column) -> Column:
@@ -193,12 +207,13 @@ def unlock_schedule(lines: Column) -> Column:
 
 def reverse_from_total(x: Inputs) -> Column:
     """From the bottom total line upward until the lots make up the total exactly."""
-    up = F.transform(F.reverse(_kept(x.lines)), lambda l: F.struct(l.alias("line"), numbers.line_numbers(l).alias("nums")))
+    up = F.reverse(F.filter(x.numbered, lambda r: _is_kept(r["line"])))
     says = lambda r: ((F.size(r["nums"]) == 1) & (F.get(r["nums"], F.lit(0)) > 1_000_000)) | ((F.size(r["nums"]) > 0) & _says_total(r["line"]))
     ends = lambda r: ((F.size(r["nums"]) < 3) & _any(r["line"], REVERSE_HEADERS)) | (r["line"].contains("Limited") & (F.size(r["nums"]) == 0))
 
     def mend(r: Column) -> Column:
-        return let(numbers.repair_numbers(r["line"], eager=True), lambda l: F.struct(l.alias("line"), numbers.line_numbers(l).alias("nums")))
+        whole = lambda l: F.when(l == r["line"], r).otherwise(_numbered(l))
+        return F.when(x.gaps, let(numbers.repair_numbers(r["line"], eager=True), whole)).otherwise(r)
 
     def judged(r: Column) -> Column:
         usable = F.coalesce((F.size(r["nums"]) >= 3) & _fits(r), F.lit(False))
@@ -246,17 +261,18 @@ def unrepaired(x: Inputs) -> Column:
 def range_only(x: Inputs) -> Column:
     """Lines with two numbers besides dates: first and last; shares follow from them."""
     def two(l: Column) -> Column:
-        tokens = F.filter(F.split(l, r"\s+"), lambda t: ~((F.length(F.regexp_replace(t, r"[/\-.]", "")) >= 7) & t.rlike(r"[/\-.]")))
+        # only tokens with a digit may be numbers
+        marked = lambda t: t.contains("/") | t.contains("-") | t.contains(".")
+        tokens = F.filter(F.regexp_extract_all(l, F.lit(r"(?<!\S)[^\d\s]*+\d\S*"), F.lit(0)), lambda t: ~(marked(t) & (F.length(F.translate(t, "/-.", "")) >= 7)))
         return F.filter(F.transform(tokens, numbers.clean_number), lambda n: n.isNotNull())
 
     first, last = (lambda r: F.get(r["nums"], F.lit(0))), (lambda r: F.get(r["nums"], F.lit(1)))
     rows = F.filter(F.transform(x.rows, lambda r: F.struct(r["line"].alias("line"), two(r["line"]).alias("nums"))), lambda r: (F.size(r["nums"]) == 2) & (first(r) < last(r)))
     widened = F.transform(rows, lambda r: F.struct(r["line"].alias("line"), F.array(last(r) - first(r) + 1, first(r), last(r)).alias("nums")))
     lots = F.transform(widened, lambda r: _dated(r, dates.WITHOUT_IPO, text.security_type(r["line"], between=False), form=False, parsed=False))
-    total = declared_total(x.lines)
-    facts = lambda lots: (total, total.isNull() | (total == _sum(lots)), F.lit("range_calculation"))
+    facts = lambda total: lambda lots: (total, total.isNull() | (total == _sum(lots)), F.lit("range_calculation"))
     off = lambda out: (x.known > 0) & (F.abs(out["computed_total"] - x.known) > 100)
-    return let(_result(lots, facts), lambda out: F.when((out["rows_count"] > 0) & ~F.coalesce(off(out), F.lit(False)), out))
+    return let(let(declared_total(x.lines), lambda total: _result(lots, facts(total))), lambda out: F.when((out["rows_count"] > 0) & ~F.coalesce(off(out), F.lit(False)), out))
 
 
 def sum_first(x: Inputs) -> Column:
@@ -357,16 +373,17 @@ def _acceptable(x: Inputs, result: Column, anchored: bool) -> Column:
 
 
 def _inputs() -> Inputs:
-    return Inputs(*map(F.col, ("_lines", "_every", "_rows", "_mended", "_page", "known_total", "declared_hint", "computed_hint")))
+    return Inputs(*map(F.col, ("_lines", "_every", "_rows", "_mended", "_page", "known_total", "declared_hint", "computed_hint", "_numbered", "_gaps")))
 
 
 @built_once
 def _column(name: str) -> Column:
     """What strategies look at, from the text: its lines by either kind of break, its numbers, its rows above the footer, mended ones."""
     lines = text.lines(F.coalesce("text", F.lit("")))
+    mend = lambda: let(F.transform("_lines", lambda l: numbers.repair_numbers(l)), lambda mended: F.when(mended == F.col("_lines"), F.col("_rows")).otherwise(body(mended, F.col("_footer"))))
     return {
-        "_lines": lambda: lines, "_every": lambda: text.lines(F.coalesce("text", F.lit("")), every_break=True), "_page": lambda: F.flatten(F.transform("_lines", numbers.line_numbers)),
-        "_rows": lambda: body(F.col("_lines")), "_mended": lambda: let(F.transform("_lines", lambda l: numbers.repair_numbers(l)), lambda mended: F.when(mended == F.col("_lines"), F.col("_rows")).otherwise(body(mended))),
+        "_lines": lambda: lines, "_numbered": lambda: F.transform("_lines", _numbered), "_gaps": lambda: numbers.may_have_gaps(F.col("text")), "_footer": lambda: text.may_have_footer(F.col("text")), "_every": lambda: text.lines(F.coalesce("text", F.lit("")), every_break=True), "_page": lambda: F.when(F.greatest("known_total", "declared_hint", "computed_hint") > 0, F.flatten(F.transform("_numbered", lambda r: r["nums"]))),
+        "_rows": lambda: body(F.col("_lines"), F.col("_footer")), "_mended": lambda: F.when(F.col("_gaps"), mend()).otherwise(F.col("_rows")),
     }[name]()
 
 
@@ -418,14 +435,18 @@ def extract(filings: DataFrame, compat: bool = False, skip_blank: bool = False)
     kept, tried = filings.columns, cascade()
     live = ~text.is_blank(F.col("text")) if skip_blank else F.lit(True)
     # a filter on the result isn't pushed below a column that isn't deterministic; it would evaluate the strategies again, for each mention
-    out = filings.withColumns({"_lines": _column("_lines"), "_live": live, "_other": F.coalesce(F.col("exchange") != "NSE", F.lit(False)), "_barrier": F.monotonically_increasing_id() >= 0})
-    out = out.withColumns({"_page": _column("_page"), "_rows": F.lit(None), "_mended": F.lit(None)})
+    out = filings.withColumns({"_live": live, "_other": F.coalesce(F.col("exchange") != "NSE", F.lit(False)), "_barrier": F.monotonically_increasing_id() >= 0})
+    tries = F.col("_live") & F.col("_other")
+    out = out.withColumns({c: F.when(tries, _column(c)) for c in ("_lines", "_gaps")}).withColumn("_numbered", F.when(tries, _column("_numbered")))
+    out = out.withColumns({"_page": F.when(tries, _column("_page")), "_footer": F.lit(None), "_rows": F.lit(None), "_mended": F.lit(None)})
     found: Column | None = None
     made = False
     for i, strategy in enumerate(tried):
         waits = F.col("_live") & F.col("_other") & (found.isNull() if found is not None else F.lit(True))
         if strategy.rows and not made:
-            out, made = out.withColumn("_rows", F.when(waits, _column("_rows"))).withColumn("_mended", F.when(waits, _column("_mended"))), True
+            for c in ("_footer", "_rows", "_mended"):
+                out = out.withColumn(c, F.when(waits, _column(c)))
+            made = True
         result = F.when(waits, _result_of(strategy))
         out = out.withColumn(f"_f{i}", result if found is None else F.coalesce(found, result))
         found = F.col(f"_f{i}")
@@ -433,7 +454,8 @@ def extract(filings: DataFrame, compat: bool = False, skip_blank: bool = False)
     out = out.withColumn("_every", F.when(last, _column("_every")))
     plain = F.when(last, _general(compat))
     picked = F.coalesce(plain if found is None else F.coalesce(found, plain), F.when(F.col("_live") & F.col("_other"), _failed()))
-    out = out.withColumns({"_picked": picked, "_order": dates.date_order(F.coalesce("text", F.lit("")))})
+    unsure = F.exists("_picked.lots", lambda r: dates.needs_order(r["from_date"]) | dates.needs_order(r["to_date"]))
+    out = out.withColumn("_picked", picked).withColumn("_order", F.when(unsure, dates.date_order(F.coalesce("text", F.lit("")))))
     return out.where("_barrier").select(*kept, _finished().alias("lockin"))
 
 

@@ -203,3 +203,31 @@ def test_numbers_among_every_blank(value):
     assert value(numbers.token_numbers(line)) == [1000, 2, 3, 4, 5, 6, 12027, 9]
     assert value(numbers.token_numbers(line, dates=False)) == [1000, 2, 3, 4, 5, 6, 9]
     assert value(numbers.repair_numbers(F.lit("1 2,345   3 4   5,6 78"))) == "12,345   3 4   5,678"
+
+
+def test_looking_for_words_first_loses_nothing(spark):
+    """A line without a footer's word has no footer, one without the end of a loose date has none, one without a gap isn't mended; the quick readings of dates are those of all formats."""
+    rows = [
+        "Name : A", "DESIGNATION: b", " place:", "For Alpha Beta Limited", "COMPANY Secretary", "Membership No. 7", "Notes:", "The Distinctive Numbers are for the purpose of", "Demat - 2 Years", "Sd/-", "1,000   1   1,000   Lock-in   01-Jan-2027   Demat", "Sd", "Demat",
+        "5th March 2027", "March 5, 2027", "1 may,  2027 ipo shares", "3 1 2027", "x 5 2027", "N/A 2027", "N.A. free  Shares 1/2/27 (x)", "1 2,345 7", "1 2", "12 ,5", "7  8",
+    ]
+    lines = spark.createDataFrame([(r,) for r in rows], "l string")
+    lost = lines.where(F.col("l").rlike(text.FOOTER) & ~text.may_have_footer(F.col("l")) | (numbers.repair_numbers(F.col("l"), eager=True) != F.col("l")) & ~numbers.may_have_gaps(F.col("l")))
+    assert lost.count() == 0 and lines.where(text.may_have_footer(F.col("l"))).count() == 10
+    for ipo in (True, False):
+        raw = F.regexp_extract_all("l", F.lit(dates.date_token(ipo)), F.lit(1))
+        last = F.coalesce(F.get(raw, F.least(F.size(raw), F.lit(2)) - 1), F.lit(""))
+        assert lines.where(dates.line_dates(F.col("l"), dates.date_token(ipo))["last"] != last).count() == 0
+        assert dates.date_token(ipo) in dates._TIGHT_ONLY
+    days = [f"{a}{m}{b}{m}{y}" for a in (1, 9, 12, 13, 31, 32) for b in ("2", "02", 12, 30, "Feb", "dec", "Xyz") for m in "-/." for y in ("2024", "0999", "24")] + ["2024-13-05", "2024-02-30", "2024-05-13", "FREE", "", "1-2/2024"]
+    frame = spark.createDataFrame([(d, o) for d in days for o in ("dmy", "mdy", None)], "d string, o string")
+    formats = dates.BASE_FORMATS + dates.DMY_FORMATS + dates.MDY_FORMATS + dates.LOOSE_FORMATS
+    whole = F.when((F.col("d") != "") & (F.col("d") != "FREE"), F.coalesce(dates.by_formats(F.col("d"), formats, F.col("o")), dates.free_date(F.col("d"), F.col("o"))))
+    assert frame.where(~whole.eqNullSafe(dates.date_value(F.col("d"), F.col("o")))).collect() == []
+    unsure = frame.groupBy("d").agg(F.count_distinct(F.coalesce(dates.date_value(F.col("d"), F.col("o")).cast("string"), F.lit("none"))).alias("n")).where("n > 1")
+    assert unsure.count() > 0 and unsure.where(~dates.needs_order(F.col("d"))).count() == 0
+
+
+def test_strip_takes_all_white_space(value):
+    assert value(text.strip(F.lit(f"{text.WHITE}a b{text.WHITE}"))) == "a b"
+    assert all(value(F.regexp_replace(F.lit(c), r"(?U)\s", "")) == "" for c in (text.WHITE,)) and value(text.plain_breaks(F.lit("a\r\r\nb\rc\n"))) == "a\n\nb\nc\n"
