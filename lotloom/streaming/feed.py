@@ -91,29 +91,32 @@ class _Newest(StatefulProcessor):
         self.handle = handle
         self.kept = handle.getValueState("newest", "id long, status string, processed_at timestamp")
 
-    def _row(self, key: tuple, settled: bool) -> pd.DataFrame:
-        id_, status, at = self.kept.get()
+    def _row(self, key: tuple, kept: tuple, settled: bool) -> pd.DataFrame:
+        id_, status, at = kept
         return pd.DataFrame({"unique_symbol": [key[0]], "id": [id_], "status": [status], "processed_at": [at], "settled": [settled]})
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best = self.kept.get() if self.kept.exists() else None
-        before = best
+        # a symbol has few rows, and each call of the state or of pandas costs more than comparing them
+        before = self.kept.get()
+        # of equal ids the later one counts, then the larger state, so that order doesn't matter
+        order = lambda r: (r[0], pd.Timestamp(r[2]), r[1] or "")
+        best = before
         for part in rows:
-            # of equal ids the later one counts, then the larger state, so that order doesn't matter
-            for row in part[["id", "processed_at", "status"]].sort_values(["id", "processed_at", "status"]).tail(1).itertuples(index=False):
-                if best is None or (row.id, row.processed_at, row.status or "") > (best[0], pd.Timestamp(best[2]), best[1] or ""):
-                    best = (int(row.id), row.status, row.processed_at)
-        if best is not before and best is not None:
+            last = max(zip(part["id"].tolist(), part["status"].tolist(), part["processed_at"].tolist()), key=order, default=None)
+            if last is not None and (best is None or order(last) > order(best)):
+                best = last
+        if best is not before:
             self.kept.update(best)
-            for timer in list(self.handle.listTimers()):
+            for timer in list(self.handle.listTimers()) if before is not None else ():
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(int(pd.Timestamp(best[2]).tz_localize("UTC").timestamp() * 1000) + self.quiet_ms)
-            yield self._row(key, False)
+            yield self._row(key, best, False)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """The symbol was quiet for so long that its record counts as settled. It stays in the state, for a late record may have a smaller id."""
-        if self.kept.exists():
-            yield self._row(key, True)
+        kept = self.kept.get()
+        if kept is not None:
+            yield self._row(key, kept, True)
 
     def close(self) -> None:
         pass

@@ -2,6 +2,7 @@
 
 import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,3 +173,26 @@ def test_newest_as_state(spark, tmp_path, order):
     source = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
     feed.newest_state(source, late="60 days").writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "c")).foreachBatch(keep).trigger(availableNow=True).start().awaitTermination()
     assert out == {f"NSE:{k}": (27 + k, "NEW" if (27 + k) % 2 else "FINALIZED") for k in range(3)}
+
+
+def test_newest_as_state_asks_for_little():
+    """A symbol that comes for the first time costs one reading and one writing of its state and no list of timers; of equal ids and times the larger state counts, none being the smallest."""
+    calls = []
+
+    class Kept:
+        def get(self):
+            calls.append("get")
+
+        def update(self, value):
+            calls.append("update")
+
+    class Handle:
+        def registerTimer(self, at):
+            calls.append("timer")
+
+    at = pd.Timestamp("2026-01-01")
+    one = feed._Newest(0)
+    one.kept, one.handle = Kept(), Handle()
+    rows = pd.DataFrame({"id": [1, 2, 2], "status": ["X", "NEW", None], "processed_at": [at, at, at]})
+    out = pd.concat(one.handleInputRows(("NSE:1",), iter([rows]), None))
+    assert calls == ["get", "update", "timer"] and out[["id", "status", "settled"]].values.tolist() == [[2, "NEW", False]]
