@@ -38,6 +38,13 @@ def line_numbers(line: Column) -> Column:
     return F.filter(number_runs(line), lambda n: n.isNotNull())
 
 
+def numbers_by_line(text: Column) -> Column:
+    """``line_numbers`` of each line of a text that line feeds part. Commas go before the text is parted, and all tokens are cast at once."""
+    bare = F.when(text.contains(","), F.regexp_replace(text, "(?<=[0-9]),+", "")).otherwise(text)
+    found = F.transform(F.split(bare, "\n", -1), lambda l: F.regexp_extract_all(l, F.lit("[0-9]+"), F.lit(0))).try_cast("array<array<bigint>>")
+    return F.when(bare.rlike("[0-9]{19}"), F.transform(found, F.array_compact)).otherwise(found)
+
+
 def token_numbers(line: Column, dates: bool = True) -> Column:
     """``clean_number`` of each token between white space, in order; without ``dates`` a date is no number."""
     kept = F.regexp_replace(line, _OTHER if dates else rf"{_OTHER}|{DATE_WORD}", "")

@@ -16,6 +16,8 @@ from lotloom.functions.dates import NOTICE_FORMATS, by_formats
 ALL_BREAKS = "[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 #: What a pattern with (?U) takes for white space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: White space and breaks but blanks and line feeds.
+ODD_WHITE = r"[\t\x0b\f\r\x1c-\x1e\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 TOLL_FREE = "1800 266 0058"
 # Security types in the order of precedence, and the lines that end a table.
 TYPES = (r"F\s*&\s*L", r"Fully\s+Paid", r"F\s*-?\s*Fully", r"Partly\s+Paid", r"Lock[- ]in", r"IPO", r"Anchor")

@@ -21,18 +21,17 @@ OTHER = ("totalnonpromoter", "(c)nonpromoternonpublic", "(c)nonpromoternonepubli
 #: Words of header lines, lines that may be missed before a table ends, rows of a table at most.
 HEADER_WORDS, MOST_MISSES, MOST_ROWS = ("shareholding", "equity", "no."), 3, 10
 
-ROWS = "array<array<bigint>>"
-
-
 @dataclass(frozen=True)
 class Inputs:
-    """Lines of the document with their numbers, the label lines, and totals known beforehand (null if not)."""
+    """The document in lower case, its lines and their numbers, those of the label lines, and totals known beforehand (null if not)."""
 
-    rows: Column  # array of (line, low, nums)
+    whole: Column
+    low: Column  # array of lines
+    nums: Column  # array of arrays of numbers, one for each line
     promoter: Column  # numbers of the label lines, null where there is none
     public: Column
     other: Column
-    total: Column  # the grand total's (line, low, nums), null if there is none
+    total: Column  # the grand total's (line, nums), null if there is none
     total_hint: Column
     locked_hint: Column
     computed_hint: Column
@@ -43,15 +42,14 @@ def _result(promoter: Column, public: Column, other: Column, total: Column, lock
     return F.struct(*(v.cast("bigint").alias(n) for v, n in values), found.cast("boolean").alias("all_found"), F.lit(strategy).alias("strategy"))
 
 
-def labelled(rows: Column, labels: tuple[str, ...]) -> Column:
-    """The first line that bears one of the labels, with its numbers."""
-    def has(r: Column) -> Column:
-        out = F.lit(False)
-        for label in labels:
-            out = out | r["bare"].contains(label)
-        return out
+def labelled(bare: Column, labels: tuple[str, ...]) -> Column:
+    """Where the first of the labels stands in a text without spaces and hyphens, null if none does."""
+    return F.least(*(F.nullif(F.instr(bare, label), F.lit(0)) for label in labels))
 
-    return F.get(F.filter(rows, has), F.lit(0))
+
+def line_of(bare: Column, at: Column) -> Column:
+    """Number of the line, from 0, that holds the character at a place from 1."""
+    return F.size(F.split(F.substring(bare, F.lit(1), at - 1), "\n", -1)) - 1
 
 
 def matched_label(line: Column, labels: tuple[str, ...]) -> Column:
@@ -59,9 +57,17 @@ def matched_label(line: Column, labels: tuple[str, ...]) -> Column:
     return F.coalesce(*(F.when(text.pattern_text(line).contains(label), label) for label in labels))
 
 
-def grand_total(rows: Column) -> Column:
-    """The first line that starts with total, isn't a category's and has two numbers."""
-    return F.get(F.filter(rows, lambda r: r["low"].rlike(r"^total\b") & ~r["low"].contains("shareholding of promoters") & ~r["low"].contains("public shareholding") & (F.size(r["nums"]) >= 2)), F.lit(0))
+def _first(tests: Column) -> Column:
+    """Place (from 1) of the first that holds; 0 if none."""
+    return F.coalesce(F.array_position(tests, True), F.lit(0)).cast("int")
+
+
+def grand_total(whole: Column, low: Column, nums: Column) -> Column:
+    """Place (from 1) of the first line that starts with total, isn't a category's and has two numbers; 0 or null if none."""
+    def is_total(l: Column, n: Column) -> Column:
+        return (F.size(n) >= 2) & l.rlike(r"^total\b") & ~l.contains("shareholding of promoters") & ~l.contains("public shareholding")
+
+    return F.when(whole.contains("total"), _first(F.zip_with(low, nums, is_total)))
 
 
 def _at(nums: Column, value: Column) -> Column:
@@ -84,40 +90,36 @@ def spatial(x: Inputs) -> Column:
 
 def _total_row(x: Inputs, hint: Column, with_word: bool = False, with_locked: bool = True) -> Column:
     """Place (from 1) of the first line that holds the total (and the locked shares, if known); 0 if none."""
-    def holds(r: Column) -> Column:
-        ok = F.array_contains(r["nums"], hint)
-        if with_locked:
-            ok = ok & (x.locked_hint.isNull() | F.array_contains(r["nums"], x.locked_hint))
-        return F.coalesce(ok & r["low"].contains("total") if with_word else ok, F.lit(False))
+    def holds(n: Column) -> Column:
+        ok = F.array_contains(n, hint)
+        return F.coalesce(ok & (x.locked_hint.isNull() | F.array_contains(n, x.locked_hint)) if with_locked else ok, F.lit(False))
 
-    return F.coalesce(F.array_position(F.transform(x.rows, holds), True), F.lit(0)).cast("int")
+    if not with_word:
+        return _first(F.transform(x.nums, holds))
+    return F.when(x.whole.contains("total"), _first(F.zip_with(x.low, x.nums, lambda l, n: l.contains("total") & holds(n)))).otherwise(0)
 
 
-def _above(x: Inputs, at: Column) -> Column:
+def _above(lines: Column, at: Column) -> Column:
     """Lines above the one at place ``at`` (from 1)."""
-    return F.slice(x.rows, F.lit(1), F.greatest(at - 1, F.lit(0)))
+    return F.slice(lines, F.lit(1), F.greatest(at - 1, F.lit(0)))
 
 
-def position_from_total(x: Inputs) -> Column:
-    """First, second and last data line above the total line, at the total's place; the sum must be exact."""
-    def data(r: Column) -> Column:
-        ok = F.size(r["nums"]) >= 2
+def _data_above(x: Inputs, at: Column) -> Column:
+    """Numbers of the data lines above the total line."""
+    def data(l: Column, n: Column) -> Column:
+        ok = F.size(n) >= 2
         for w in HEADER_WORDS:
-            ok = ok & ~r["low"].contains(w)
-        return ok
-
-    def of(at: Column) -> Column:
-        lines = F.transform(F.filter(_above(x, at), data), lambda r: r["nums"])
-        i = _at(F.get(x.rows, at - 1)["nums"], x.total_hint)
+            ok = ok & ~l.contains(w)
+        return F.when(ok, n)
 
-        def values(lines: Column, i: Column) -> Column:
-            a, b = F.get(F.get(lines, F.lit(0)), i), F.get(F.get(lines, F.lit(1)), i)
-            c = F.when(F.size(lines) == 2, F.lit(0).cast("bigint")).otherwise(F.get(F.try_element_at(lines, F.lit(-1)), i))
-            return F.when((F.size(lines) >= 2) & (a + b + c == x.total_hint), _result(a, b, c, x.total_hint, x.locked_hint, F.lit(None), "position_based"))
+    return F.when(at > 0, F.array_compact(F.zip_with(_above(x.low, at), _above(x.nums, at), data)))
 
-        return F.when(at > 0, let(lines, lambda lines: let(i, lambda i: values(lines, i))))
 
-    return F.when(x.total_hint != 0, let(_total_row(x, x.total_hint, with_word=True), of))
+def position_from_total(x: Inputs, lines: Column, i: Column) -> Column:
+    """First, second and last data line above the total line, at the total's place; the sum must be exact."""
+    a, b = F.get(F.get(lines, F.lit(0)), i), F.get(F.get(lines, F.lit(1)), i)
+    c = F.when(F.size(lines) == 2, F.lit(0).cast("bigint")).otherwise(F.get(F.try_element_at(lines, F.lit(-1)), i))
+    return F.when((F.size(lines) >= 2) & (a + b + c == x.total_hint), _result(a, b, c, x.total_hint, x.locked_hint, F.lit(None), "position_based"))
 
 
 def total_columns(nums: Column, hint: Column) -> Column:
@@ -136,15 +138,12 @@ def total_columns(nums: Column, hint: Column) -> Column:
     return F.when(F.size(nums) > 0, let(F.coalesce(_at(nums, hint), _at(nums, F.array_max(nums))), of))
 
 
-def sequential(x: Inputs) -> Column:
-    """Label lines at the total line's column of shares; what it finds, complete or not."""
-    def of(c: Column) -> Column:
-        total = F.coalesce(c["total"], x.total_hint)
-        pick = lambda v: F.when(total.isNull() | (F.get(v, c["share"]) <= total), F.get(v, c["share"]))
-        a, b, o = pick(x.promoter), pick(x.public), pick(x.other)
-        return _result(a, b, o, total, c["locked"], a.isNotNull() & b.isNotNull() & o.isNotNull(), "sequential")
-
-    return let(total_columns(x.total["nums"], x.total_hint), of)
+def sequential(x: Inputs, c: Column) -> Column:
+    """Label lines at the total line's column of shares (``total_columns``); what it finds, complete or not."""
+    total = F.coalesce(c["total"], x.total_hint)
+    pick = lambda v: F.when(total.isNull() | (F.get(v, c["share"]) <= total), F.get(v, c["share"]))
+    a, b, o = pick(x.promoter), pick(x.public), pick(x.other)
+    return _result(a, b, o, total, c["locked"], a.isNotNull() & b.isNotNull() & o.isNotNull(), "sequential")
 
 
 def _complete(r: Column, x: Inputs) -> Column:
@@ -153,80 +152,92 @@ def _complete(r: Column, x: Inputs) -> Column:
     return F.coalesce(r["all_found"] & (r["total_shares"] != 0) & (total == x.total_hint) & (total == r["total_shares"]), F.lit(False))
 
 
-def _upward(lines: Column, is_data) -> Column:
-    """Number arrays of the data lines going up, until too many lines in a row aren't data; top first."""
-    def step(acc: Column, r: Column) -> Column:
-        data = (r["line"] != "") & is_data(r)
-        full = F.size(acc["rows"]) >= MOST_ROWS
-        live = ~acc["stop"] & ~full
-        misses = F.when(data, 0).otherwise(acc["misses"] + 1)
-        rows = F.when(live & data, F.concat(F.array(r["nums"]), acc["rows"])).otherwise(acc["rows"]).cast(ROWS)
-        return F.struct(rows.alias("rows"), F.when(live, misses).otherwise(acc["misses"]).alias("misses"), (acc["stop"] | (live & (misses >= MOST_MISSES))).alias("stop"))
+def _as_long(x: Inputs, at: Column, least: Column) -> Column:
+    """Numbers of the lines above that have at least so many, null for others; blank lines never count."""
+    lines = _above(x.nums, at)
+    any_ = F.zip_with(_above(x.low, at), lines, lambda l, n: F.when((l != "") & (F.size(n) >= least), n))
+    return F.when(least > 0, F.transform(lines, lambda n: F.when(F.size(n) >= least, n))).otherwise(any_)
 
-    start = F.struct(F.array().cast(ROWS).alias("rows"), F.lit(0).alias("misses"), F.lit(False).alias("stop"))
-    return F.aggregate(F.reverse(lines), start, step, lambda acc: acc["rows"])
 
+def _last(data: Column) -> Column:
+    return F.slice(data, F.greatest(F.size(data) - MOST_ROWS + 1, F.lit(1)), F.lit(MOST_ROWS))
 
-def _by_place(x: Inputs, lines: Column, total_nums: Column, hint: Column, name: str, strict: bool = False) -> Column:
-    """Values of the first three number arrays at the total's place; the sum must be exact."""
-    def values(v: Column, i: Column) -> Column:
-        a, b = F.get(F.get(v, F.lit(0)), i), F.get(F.get(v, F.lit(1)), i)
-        c = F.when(F.size(v) >= 3, F.get(F.get(v, F.lit(2)), i)).otherwise(F.lit(0).cast("bigint"))
-        ok = (F.size(v) >= 2) & (a + b + F.coalesce(c, F.lit(0)) == hint)
-        locked = F.when(F.array_contains(total_nums, x.locked_hint), x.locked_hint) if strict else _hinted_locked(x, total_nums)
-        found = F.lit(True) if strict else c.isNotNull() & locked.isNotNull()
-        return F.when(ok & (a != 0) & (b != 0) if strict else ok, _result(a, b, c, hint, locked, found, name))
 
-    return let(lines, lambda v: let(_at(total_nums, hint), lambda i: values(v, i)))
+def _upward(lines: Column, data: Column) -> Column:
+    """Data (``data``: those of ``lines`` that are) going up, until too many lines in a row aren't any; top first."""
+    marks = F.array_join(F.transform(F.reverse(lines), lambda n: F.when(n.isNull(), "0").otherwise("1")), "")
+    live = F.length(F.substring_index(marks, "0" * MOST_MISSES, 1))
+    near = F.array_compact(F.slice(lines, F.size(lines) - live + 1, live))
+    return _last(F.when(F.size(lines) - F.size(data) < MOST_MISSES, data).otherwise(near))
 
 
-def boundary(x: Inputs) -> Column:
-    """Up from the total line while lines look like shares (a number above 10,000, or all at most 100)."""
-    is_data = lambda r: (F.size(r["nums"]) >= 3) & (F.exists(r["nums"], lambda n: n > 10_000) | (F.array_max(r["nums"]) <= 100))
+def _by_place(x: Inputs, v: Column, total_nums: Column, i: Column, hint: Column, name: str, strict: bool = False) -> Column:
+    """Values of the first three number arrays at the total's place ``i``; the sum must be exact."""
+    a, b = F.get(F.get(v, F.lit(0)), i), F.get(F.get(v, F.lit(1)), i)
+    c = F.when(F.size(v) >= 3, F.get(F.get(v, F.lit(2)), i)).otherwise(F.lit(0).cast("bigint"))
+    ok = (F.size(v) >= 2) & (a + b + F.coalesce(c, F.lit(0)) == hint)
+    locked = F.when(F.array_contains(total_nums, x.locked_hint), x.locked_hint) if strict else _hinted_locked(x, total_nums)
+    found = F.lit(True) if strict else c.isNotNull() & locked.isNotNull()
+    return F.when(ok & (a != 0) & (b != 0) if strict else ok, _result(a, b, c, hint, locked, found, name))
 
-    def of(p: Column) -> Column:
-        return F.when(p["at"] > 0, _by_place(x, _upward(_above(x, p["at"]), is_data), F.get(x.rows, p["at"] - 1)["nums"], p["hint"], "boundary_detection"))
 
-    place = lambda hint: F.when(hint != 0, _total_row(x, hint, with_locked=False))
-    tries = F.array(F.struct(place(x.total_hint).alias("at"), x.total_hint.alias("hint")), F.struct(place(x.computed_hint).alias("at"), x.computed_hint.alias("hint")))
-    return let(F.get(F.filter(tries, lambda p: p["at"] > 0), F.lit(0)), of)
+def _like_shares(x: Inputs, at: Column) -> Column:
+    """Numbers of the lines above with a number above 10,000, or all at most 100, null for others."""
+    return F.transform(_above(x.nums, at), lambda n: F.when((F.size(n) >= 3) & ((F.array_max(n) > 10_000) | (F.array_max(n) <= 100)), n))
 
 
-def column_count(x: Inputs) -> Column:
-    """Up from the total line while lines have nearly as many numbers as it."""
-    hint = F.coalesce(F.nullif(x.total_hint, F.lit(0)), x.computed_hint)
-
-    def of(at: Column) -> Column:
-        nums = F.get(x.rows, at - 1)["nums"]
-        return F.when(at > 0, _by_place(x, _upward(_above(x, at), lambda r: F.size(r["nums"]) >= F.size(nums) - 5), nums, hint, "column_count_validation"))
+def _last_of_window(x: Inputs, at: Column) -> Column:
+    """Numbers of the lines with three of them within twenty lines above the total line."""
+    window = F.slice(x.nums, F.greatest(at - 19, F.lit(2)), F.greatest(F.least(at - 2, F.lit(19)), F.lit(0)))
+    return F.filter(window, lambda n: F.size(n) >= 3)
 
-    return F.when(hint != 0, let(_total_row(x, hint), of))
 
+@built_once
+def _steps(name: str, first: str, second: str, live: str | None) -> tuple[dict[str, Column], ...]:
+    """The cascade as columns, each step on those before it, so that only what looks at single lines is a lambda, and only where
+    nothing was found. ``first`` and ``second`` name the known totals; rows without ``live`` have null.
 
-def simple_position(x: Inputs) -> Column:
-    """The last lines with three numbers, at most ten, within twenty lines above the total line."""
+    The order: spatial columns, position from the total, the sequential result if it is complete, then up from the line of a known
+    total while lines look like shares, while they have nearly as many numbers as it, the last ones with three numbers; the sequential result is also what is left at the end.
+    """
+    c = F.col
+    x = Inputs(*map(F.col, ("_whole", "_low", "_nums", "_a", "_b", "_c", "_t", first, "known_locked", second)))
+    one, none = c(name), c(name).isNull() if live is None else c(name).isNull() & c(live)
+    wanted = lambda v: v if live is None else F.when(c(live), v)
     hint = F.coalesce(F.nullif(x.total_hint, F.lit(0)), x.computed_hint)
-
-    def of(at: Column) -> Column:
-        window = F.slice(x.rows, F.greatest(at - 19, F.lit(2)), F.greatest(F.least(at - 2, F.lit(19)), F.lit(0)))
-        data = F.transform(F.filter(window, lambda r: F.size(r["nums"]) >= 3), lambda r: r["nums"])
-        last = let(data, lambda d: F.slice(d, F.greatest(F.size(d) - MOST_ROWS + 1, F.lit(1)), F.lit(MOST_ROWS)))
-        return F.when(at > 0, _by_place(x, last, F.get(x.rows, at - 1)["nums"], hint, "simple_position", strict=True))
-
-    return F.when(hint != 0, let(_total_row(x, hint), of))
-
-
-#: Strategies in the order in which they are tried; sequential is also what is left at the end.
-CASCADE = (("spatial_columns", spatial), ("position_based", position_from_total), ("sequential", sequential), ("boundary_detection", boundary), ("column_count_validation", column_count), ("simple_position", simple_position))
-
-
-def cascade(x: Inputs) -> Column:
-    last = sequential(x)
-
-    def of(seq: Column) -> Column:
-        return F.coalesce(spatial(x), position_from_total(x), F.when(_complete(seq, x), seq), boundary(x), column_count(x), simple_position(x), seq)
-
-    return let(last, of)
+    place = lambda h, **how: F.when(none & (h != 0), _total_row(x, h, **how))
+    own, tried = F.when(c("_at") > 0, F.get(x.nums, c("_at") - 1)), none & (c("_at") > 0)
+    by_place = lambda lines, h, strategy, **how: F.coalesce(one, F.when(c("_at") > 0, _by_place(x, lines, c("_own"), c("_i"), h, strategy, **how)))
+    upward = F.when(tried, _upward(c("_lines"), c("_data")))
+    return (
+        {name: wanted(spatial(x)), "_k": wanted(total_columns(x.total["nums"], x.total_hint))},
+        {"_q": wanted(sequential(x, c("_k"))), "_at": place(x.total_hint, with_word=True)},
+        {"_data": _data_above(x, c("_at")), "_i": _at(own, x.total_hint)},
+        {name: F.coalesce(one, F.when(c("_at") > 0, position_from_total(x, c("_data"), c("_i"))), F.when(_complete(c("_q"), x), c("_q")))},
+        {"_at": place(x.total_hint, with_locked=False)},
+        {"_at": F.when(c("_at") > 0, c("_at")).otherwise(place(x.computed_hint, with_locked=False)), "_h": F.when(c("_at") > 0, x.total_hint).otherwise(x.computed_hint)},
+        {"_own": own, "_lines": F.when(tried, _like_shares(x, c("_at")))},
+        {"_i": _at(c("_own"), c("_h")), "_data": F.array_compact("_lines")},
+        {"_data": upward},
+        {name: by_place(c("_data"), c("_h"), "boundary_detection")},
+        {"_at": place(hint)},
+        {"_own": own},
+        {"_i": _at(c("_own"), hint), "_n": F.size("_own") - 5},
+        {"_lines": F.when(tried, _as_long(x, c("_at"), c("_n")))},
+        {"_data": F.array_compact("_lines")},
+        {"_data": upward},
+        {name: by_place(c("_data"), hint, "column_count_validation")},
+        {"_data": F.when(tried, _last_of_window(x, c("_at")))},
+        {"_data": _last(c("_data"))},
+        {name: F.coalesce(by_place(c("_data"), hint, "simple_position", strict=True), c("_q"))},
+    )
+
+
+def cascade(rows: DataFrame, name: str, first: str, second: str, live: str | None = None) -> DataFrame:
+    """Rows (_whole, _low, _nums, _a, _b, _c, _t, known_locked and the known totals) with the first acceptable result as column ``name``; null where ``live``, a column, isn't true."""
+    for step in _steps(name, first, second, live):
+        rows = rows.withColumns(step)
+    return rows.drop("_k", "_q", "_at", "_h", "_own", "_i", "_n", "_lines", "_data")
 
 
 def adds_up(r: Column) -> Column:
@@ -251,12 +262,12 @@ def implausible(r: Column, total_hint: Column, locked_hint: Column) -> Column:
     return tiny | F.coalesce(off, F.lit(False)) | ~adds_up(r)
 
 
-def recovered(r: Column, rows: Column, whole: Column, total_hint: Column, locked_hint: Column) -> Column:
+def recovered(r: Column, low: Column, whole: Column, total_hint: Column, locked_hint: Column) -> Column:
     """Promoter and public from the lines marked (A) and (B), other as the rest; null if that fails."""
-    first = lambda test: F.get(F.filter(rows, test), F.lit(0))["line"]
+    first = lambda test: F.get(F.filter(low, test), F.lit(0))
     largest = lambda line: F.array_max(numbers.guarded_numbers(line))
-    a, b = first(lambda l: l["low"].contains("(a)") & l["low"].contains("promoter")), first(lambda l: l["low"].contains("(b)") & l["low"].contains("public"))
-    total_line = first(lambda l: l["low"].rlike(r"total\s*a\+b") | l["low"].rlike(r"^total\b"))
+    a, b = first(lambda l: l.contains("(a)") & l.contains("promoter")), first(lambda l: l.contains("(b)") & l.contains("public"))
+    total_line = first(lambda l: l.rlike(r"total\s*a\+b") | l.rlike(r"^total\b"))
     total = F.coalesce(r["total_shares"], total_hint)
     locked = F.when(numbers.contains_number(whole, locked_hint), locked_hint).otherwise(F.coalesce(largest(total_line), r["locked_shares"]))
 
@@ -300,26 +311,19 @@ def coverage(rows: Column, labels: tuple[str, ...]) -> Column:
 
 
 @built_once
-def _read(swapped: bool) -> Column:
-    """The cascade's result by the known total, or, swapped, by the computed one."""
-    first, second = ("computed_total", "known_total") if swapped else ("known_total", "computed_total")
-    return cascade(Inputs(*map(F.col, ("_rows", "_a", "_b", "_c", "_t", first, "known_locked", second))))
-
-
-@built_once
-def _lines() -> Column:
-    line = lambda l: F.struct(l.alias("line"), F.lower(l).alias("low"), text.pattern_text(l).alias("bare"), numbers.line_numbers(l).alias("nums"))
-    return F.transform(text.lines(F.coalesce("text", F.lit("")), every_break=True), line)
-
-
-@built_once
-def _rows_of(labels: tuple[str, ...] | None) -> Column:
-    return grand_total(F.col("_rows")) if labels is None else labelled(F.col("_rows"), labels)["nums"]
-
-
-@built_once
-def _reread() -> Column:
-    return let(_read(True), reconciled)
+def _read() -> tuple[dict[str, Column], ...]:
+    """The document as lines and their numbers. What can be is done on the whole text, since what is done to each line is interpreted;
+    sets of characters are looked at only where a text has any white space but blanks and line feeds."""
+    c, labels = F.col, {"_a": PROMOTER, "_b": PUBLIC, "_c": OTHER}
+    parts = F.split("_whole", "\n", -1)
+    return (
+        {"_whole": F.lower(text.plain_breaks(F.coalesce("text", F.lit(""))))},
+        {"_odd": c("_whole").rlike(text.ODD_WHITE)},
+        {"_whole": F.when(c("_odd"), F.regexp_replace("_whole", text.ALL_BREAKS, "\n")).otherwise(c("_whole"))},
+        {"_low": F.when(c("_odd"), F.transform(parts, text.strip)).otherwise(F.transform(parts, lambda l: F.trim(l))), "_nums": numbers.numbers_by_line(c("_whole")), "_bare": F.replace(F.replace("_whole", F.lit(" "), F.lit("")), F.lit("-"), F.lit(""))},
+        {**{n: labelled(c("_bare"), ls) for n, ls in labels.items()}, "_t": grand_total(c("_whole"), c("_low"), c("_nums"))},
+        {**{n: F.when(c(n).isNotNull(), F.get("_nums", line_of(c("_bare"), c(n)))) for n in labels}, "_t": F.when(c("_t") > 0, F.struct(F.get("_low", c("_t") - 1).alias("line"), F.get("_nums", c("_t") - 1).alias("nums")))},
+    )
 
 
 @built_once
@@ -334,7 +338,7 @@ def _rescued() -> Column:
     """What the hints recover where a result contradicts them, else null."""
     whole, known, locked = F.coalesce("text", F.lit("")), F.col("known_total"), F.col("known_locked")
     gate = numbers.contains_number(whole, known) & numbers.contains_number(whole, locked) & implausible(F.col("_r"), known, locked)
-    return F.when(known.isNotNull() & locked.isNotNull() & gate, recovered(F.col("_r"), F.col("_rows"), whole, known, locked))
+    return F.when(known.isNotNull() & locked.isNotNull() & gate, recovered(F.col("_r"), F.col("_low"), whole, known, locked))
 
 
 def extract(documents: DataFrame) -> DataFrame:
@@ -342,15 +346,22 @@ def extract(documents: DataFrame) -> DataFrame:
 
     A null text is empty. Values that no strategy finds are null; ``shp_shares`` turns them into 0.
     """
+    both = {"known_total", "computed_total"} <= set(documents.columns)
     for name in ("known_total", "computed_total", "known_locked"):
         if name not in documents.columns:
             documents = documents.withColumn(name, F.lit(None).cast("bigint"))
     kept, c = documents.columns, F.col
-    out = documents.withColumn("_rows", _lines())
-    out = out.withColumns({"_a": _rows_of(PROMOTER), "_b": _rows_of(PUBLIC), "_c": _rows_of(OTHER), "_t": _rows_of(None)})
-    out = out.withColumn("_one", _read(False))
-    conflict = (c("exchange") == "BSE") & (c("known_total") != c("computed_total")) & (c("_one.total_shares") == c("known_total"))
-    out = out.withColumn("_two", F.when(conflict, _reread())).withColumn("_r", _checked()).withColumn("_saved", _rescued())
+    out = documents
+    for step in _read():
+        out = out.withColumns(step)
+    out = cascade(out.drop("_bare", "_odd"), "_one", "known_total", "computed_total")
+    if both:  # else nothing can disagree
+        conflict = (c("exchange") == "BSE") & (c("known_total") != c("computed_total")) & (c("_one.total_shares") == c("known_total"))
+        out = cascade(out.withColumn("_conflict", F.coalesce(conflict, F.lit(False))), "_two", "computed_total", "known_total", "_conflict")
+        out = out.withColumn("_two", F.when(c("_conflict"), reconciled(c("_two"))))
+    else:
+        out = out.withColumn("_two", F.when(F.lit(False), c("_one")))
+    out = out.withColumn("_r", _checked()).withColumn("_saved", _rescued())
     out = out.withColumn("_r", F.when(c("_saved").isNotNull() & adds_up(c("_saved")), c("_saved")).otherwise(c("_r")))
     return out.select(*kept, locked_from_hint(c("_r"), F.coalesce("text", F.lit("")), c("known_locked")).alias("shp"))
 

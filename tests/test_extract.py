@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from lotloom.functions import classify, dates
+from lotloom.functions import classify, dates, numbers
 from lotloom.plans import lockin, shp
 
 #: Columns one space apart, dates with points. Invented, as all filings here.
@@ -173,3 +173,23 @@ def test_dates_of_lots_are_read_once(spark):
     dated = lockin._dated(F.col("r"), dates.WITH_IPO, F.lit(""))
     assert size(lockin._finished()) < 2 * size(dates.date_value(F.col("t"), F.col("o")))
     assert size(dated) < 2 * size(dates.date_text(F.col("t"))) + size(classify.row_class(F.col("k"), F.col("d")))
+
+
+def test_numbers_by_line(spark):
+    texts = ["a 1 2,000\n,5 6,,7, 8\n\nx", "12345678901234567890 3\n9223372036854775807 1", "", "-1.50\n \n1,\n,2", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    lines = F.split("t", "\n", -1)
+    got = frame.select(numbers.numbers_by_line(F.col("t")).alias("new"), F.transform(lines, numbers.line_numbers).alias("each")).collect()
+    assert [r["new"] for r in got] == [r["each"] for r in got] and got[0]["new"] == [[1, 2000], [5, 67, 8], [], []] and got[1]["new"] == [[3], [9223372036854775807, 1]]
+
+
+def test_shareholding_steps_are_columns(spark):
+    """The last strategy stands in no lambda, and nothing is read a second time where no other total is known; odd white space changes nothing."""
+    doc = "as of\xa0today\x0bSponsors 3 200 10\n\tOutsiders 90 300 10\r\nRest 1 400 10\u2028Sum 94 900 1 2 3 4 5 6 7"
+    frame = spark.createDataFrame([(1, "BSE", doc, 900), (2, "NSE", doc.replace("\x0b", "\n").replace("\t", "").replace("\u2028", "\n"), 900)], "id long, exchange string, text string, known_total long")
+    out = shp.extract(frame)
+    assert [tuple(r["shp"])[:4] + (r["shp"]["strategy"],) for r in out.collect()] == [(200, 300, 400, 900, "simple_position")] * 2
+    steps = [line for line in out._jdf.queryExecution().optimizedPlan().toString().split("Project [") if "simple_position" in line]
+    assert len(steps) == 1 and "aggregate(" not in steps[0]
+    hinted = spark.createDataFrame([("NSE", "(A) Promoter 75 8500000\n(B) Public 1500000 11\nSum 10000000 locked 5000", 10000000, 5000)], "exchange string, text string, known_total long, known_locked long")
+    assert tuple(shp.extract(hinted).first()["shp"])[:3] == (8500000, 1500000, 0)
