@@ -10,6 +10,11 @@ from lotloom.functions.bind import let
 
 #: A date as one word: day, month as a number or a short name, year, with marks between.
 DATE_WORD = r"(?=\d)(?<!\S)\d{1,2}[-/.](?:\d{1,2}|[A-Za-z]{3})[-/.]\d{2,4}(?!\w)"
+#: A mark in a word with a digit that is no ``d-MMM-yyyy``, or far inside any word. Marks are few, so they are looked for before what stands around them.
+ODD_MARK = (
+    r"[-/.](?!(?<=(?<!\S)\d{1,2}-)[A-Za-z]{3}-\d{4}(?!\S))(?!(?<=(?<!\S)\d{1,2}-[A-Za-z]{3}-)\d{4}(?!\S))"
+    r"(?!(?<=(?<!\S)[^\s\d]{1,12})[^\s\d]*+(?!\S))"
+)
 #: All but digits, points and white space, which is spelt out: the same class with \\s in it takes eight times as long.
 _OTHER = r"[^0-9. \t\n\x0b\f\r]+"
 

@@ -22,6 +22,8 @@ LOT = (
 )
 LOTS = f"array<struct<{LOT.replace(' bigint', ':bigint').replace(' string', ':string').replace(' boolean', ':boolean')}>>"
 _NAMES = [f.split()[0] for f in LOT.split(", ")]
+#: Rows above the footer, as ``body`` makes them.
+ROWS = "array<struct<line:string,nums:array<bigint>,total:boolean>>"
 
 # Words that mark a header line.
 REVERSE_HEADERS = ("Number of Securities", "Type of Security")
@@ -53,6 +55,11 @@ def _sum(lots: Column, test: Callable[[Column], Column] | None = None) -> Column
     return F.aggregate(kept, F.lit(0).cast("bigint"), lambda s, r: s + r["shares"])
 
 
+def _shares(rows: Column) -> Column:
+    """The sum of the first numbers of rows, which is their lots' sum of shares."""
+    return F.aggregate(rows, F.lit(0).cast("bigint"), lambda s, r: s + F.get(r["nums"], F.lit(0)))
+
+
 def _result(lots: Column, facts: Callable[[Column], tuple[Column, Column, Column]]) -> Column:
     """The struct of a strategy; ``facts`` gives declared total, match and name from the lots."""
     def of(v: Column) -> Column:
@@ -133,7 +140,10 @@ def _dated(r: Column, pattern: str, kind: Column, form: bool = True, parsed: boo
 class Inputs:
     """What strategies look at, as columns: lines of the document, rows above the footer as they
     stand and with numbers mended, numbers on the page (null where no total is known), totals known beforehand (null if not),
-    the document's lines with their numbers, and whether numbers may have gaps."""
+    the document's lines with their numbers, whether numbers may have gaps, and those of the totals that are on the page (none for a strategy that isn't anchored).
+
+    A strategy tells from numbers alone whether its total is allowed, and reads dates and types only of lots that it yields.
+    """
 
     lines: Column
     every_line: Column
@@ -145,6 +155,11 @@ class Inputs:
     computed: Column
     numbered: Column
     gaps: Column
+    hints: Column
+
+    def allows(self, total: Column) -> Column:
+        """Whether a total is one of the hints, if there are any."""
+        return (F.size(self.hints) == 0) | F.array_contains(self.hints, total)
 
 
 def general(x: Inputs, compat: bool = False) -> Column:
@@ -217,84 +232,95 @@ def reverse_from_total(x: Inputs) -> Column:
 
     def judged(r: Column) -> Column:
         usable = F.coalesce((F.size(r["nums"]) >= 3) & _fits(r), F.lit(False))
-        return let(usable, lambda u: F.struct(F.when(u, _dated(r, dates.WITH_IPO, F.lit(""), form=False)).alias("lot"), ends(r).alias("ends"), u.alias("usable")))
+        return F.struct(r["line"].alias("line"), r["nums"].alias("nums"), ends(r).alias("ends"), usable.alias("usable"))
 
     def fold(rows: Column, target: Column) -> Column:
         def step(acc: Column, r: Column) -> Column:
             def of(after: Column) -> Column:
                 stop = acc["stop"] | r["ends"] | (r["usable"] & (after > target))
                 take = r["usable"] & ~stop
-                done = take & (after == target) & (r["lot"]["to_no"] == target)
-                return F.struct(F.when(take, after).otherwise(acc["sum"]).alias("sum"), F.when(take, F.concat(F.array(r["lot"]), acc["lots"])).otherwise(acc["lots"]).cast(LOTS).alias("lots"), (stop | done).alias("stop"))
+                done = take & (after == target) & (F.get(r["nums"], F.lit(2)) == target)
+                return F.struct(F.when(take, after).otherwise(acc["sum"]).alias("sum"), F.when(take, acc["taken"] + 1).otherwise(acc["taken"]).alias("taken"), (stop | done).alias("stop"))
 
-            return let(acc["sum"] + F.coalesce(r["lot"]["shares"], F.lit(0)), of)
+            return let(acc["sum"] + F.when(r["usable"], F.get(r["nums"], F.lit(0))).otherwise(0), of)
 
+        # what is taken are the first usable rows; their dates are read when they make up the total
         name = F.when(x.known.isNotNull() & (x.known != 0), "total_validation").otherwise("reverse_from_total")
-        whole = lambda s: F.when((s["sum"] == target) & (F.size(s["lots"]) > 0), _result(s["lots"], lambda lots: (target, F.lit(True), name)))
-        return let(F.aggregate(rows, F.struct(F.lit(0).cast("bigint").alias("sum"), _no_lots().alias("lots"), F.lit(False).alias("stop")), step), whole)
+        taken = lambda n: F.reverse(F.slice(F.filter(rows, lambda r: r["usable"]), F.lit(1), n))
+        lots = lambda n: F.transform(taken(n), lambda r: _dated(r, dates.WITH_IPO, F.lit(""), form=False))
+        whole = lambda s: F.when((s["sum"] == target) & (s["taken"] > 0), _result(lots(s["taken"]), lambda lots: (target, F.lit(True), name)))
+        return let(F.aggregate(rows, F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(0).alias("taken"), F.lit(False).alias("stop")), step), whole)
 
     def from_line(up: Column, at: Column) -> Column:
         above = F.slice(up, (at + 1).cast("int"), F.greatest(F.size(up), F.lit(1)))
         rows = F.transform(F.transform(above, mend), judged)
         target = F.coalesce(F.nullif(x.known, F.lit(0)), F.array_max(F.get(up, (at - 1).cast("int"))["nums"]))
-        return F.when(at > 0, let(rows, lambda rows: let(target, lambda target: fold(rows, target))))
+        return F.when(at > 0, let(target, lambda target: F.when(x.allows(target), let(rows, lambda rows: fold(rows, target)))))
 
     return let(up, lambda up: let(F.array_position(F.transform(up, says), True), lambda at: from_line(up, at)))
 
 
-def _by_line(rows: Column, name: str) -> Column:
-    lots = F.transform(_three(rows, _fits), lambda r: _dated(r, dates.WITHOUT_IPO, text.security_type(r["line"])))
-    return _result(lots, lambda lots: (F.coalesce(_last_total(rows), F.nullif(_sum(lots), F.lit(0))), F.lit(True), F.lit(name)))
+def _by_line(x: Inputs, rows: Column, name: str) -> Column:
+    def of(found: Column) -> Column:
+        lots = F.transform(found, lambda r: _dated(r, dates.WITHOUT_IPO, text.security_type(r["line"])))
+        return F.when(x.allows(_shares(found)), _result(lots, lambda lots: (F.coalesce(_last_total(rows), F.nullif(_sum(lots), F.lit(0))), F.lit(True), F.lit(name))))
+
+    return let(_three(rows, _fits), of)
 
 
 def line_by_line(x: Inputs) -> Column:
     """Each line above the footer, stray spaces inside numbers closed."""
-    return _by_line(x.mended, "line_by_line")
+    return _by_line(x, x.mended, "line_by_line")
 
 
 def unrepaired(x: Inputs) -> Column:
     """As line by line, numbers as they stand; fails beyond 100 off a known total."""
     off = lambda out: (x.known > 0) & (out["computed_total"] > 0) & (F.abs(out["computed_total"] - x.known) > 100)
-    return let(_by_line(x.rows, "no_malformed_cleanup"), lambda out: F.when(~F.coalesce(off(out), F.lit(False)), out))
+    return let(_by_line(x, x.rows, "no_malformed_cleanup"), lambda out: F.when(~F.coalesce(off(out), F.lit(False)), out))
 
 
 def range_only(x: Inputs) -> Column:
     """Lines with two numbers besides dates: first and last; shares follow from them."""
     def two(l: Column) -> Column:
-        # only tokens with a digit may be numbers
+        # only tokens with a digit may be numbers; without an odd mark these are the row's own
         marked = lambda t: t.contains("/") | t.contains("-") | t.contains(".")
         tokens = F.filter(F.regexp_extract_all(l, F.lit(r"(?<!\S)[^\d\s]*+\d\S*"), F.lit(0)), lambda t: ~(marked(t) & (F.length(F.translate(t, "/-.", "")) >= 7)))
         return F.filter(F.transform(tokens, numbers.clean_number), lambda n: n.isNotNull())
 
     first, last = (lambda r: F.get(r["nums"], F.lit(0))), (lambda r: F.get(r["nums"], F.lit(1)))
-    rows = F.filter(F.transform(x.rows, lambda r: F.struct(r["line"].alias("line"), two(r["line"]).alias("nums"))), lambda r: (F.size(r["nums"]) == 2) & (first(r) < last(r)))
+    rows = F.filter(F.transform(x.rows, lambda r: F.struct(r["line"].alias("line"), F.when(r["line"].rlike(numbers.ODD_MARK), two(r["line"])).otherwise(r["nums"]).alias("nums"))), lambda r: (F.size(r["nums"]) == 2) & (first(r) < last(r)))
     widened = F.transform(rows, lambda r: F.struct(r["line"].alias("line"), F.array(last(r) - first(r) + 1, first(r), last(r)).alias("nums")))
-    lots = F.transform(widened, lambda r: _dated(r, dates.WITHOUT_IPO, text.security_type(r["line"], between=False), form=False, parsed=False))
+    lots = lambda found: F.transform(found, lambda r: _dated(r, dates.WITHOUT_IPO, text.security_type(r["line"], between=False), form=False, parsed=False))
     facts = lambda total: lambda lots: (total, total.isNull() | (total == _sum(lots)), F.lit("range_calculation"))
     off = lambda out: (x.known > 0) & (F.abs(out["computed_total"] - x.known) > 100)
-    return let(let(declared_total(x.lines), lambda total: _result(lots, facts(total))), lambda out: F.when((out["rows_count"] > 0) & ~F.coalesce(off(out), F.lit(False)), out))
+    made = lambda found: let(declared_total(x.lines), lambda total: _result(lots(found), facts(total)))
+    return let(let(widened, lambda found: F.when((F.size(found) > 0) & x.allows(_shares(found)), made(found))), lambda out: F.when(~F.coalesce(off(out), F.lit(False)), out))
 
 
 def sum_first(x: Inputs) -> Column:
     """Any lines with a lock-in signal; then all, or a greedy, or a contiguous part of them that makes up a total."""
     def signal(r: Column) -> Column:
-        return r["line"].rlike("(?i)demat|physical|free|n/a") | (dates.line_dates(r["line"])["last"] != "")
+        return let(F.lower(r["line"]), lambda low: _any(low, ("demat", "physical", "free", "n/a"))) | (dates.line_dates(r["line"])["last"] != "")
 
-    found = F.transform(_three(x.rows, lambda r: _positive(r) & signal(r)), lambda r: _dated(r, dates.WITH_IPO, text.security_type(r["line"]), soft=True))
+    found = _three(x.rows, lambda r: _positive(r) & signal(r))
+    lots = lambda rows: F.transform(rows, lambda r: _dated(r, dates.WITH_IPO, text.security_type(r["line"]), soft=True))
     on_rows = F.flatten(F.transform(x.rows, lambda r: r["nums"]))
     hints = let(on_rows, lambda seen: F.filter(F.array(x.known, x.declared, x.computed), lambda h: (h > 0) & F.array_contains(seen, h)))
     targets = F.array_distinct(F.filter(F.concat(hints, F.array(_last_total(x.rows))), lambda h: h > 0))
 
     def greedy(found: Column, target: Column) -> Column:
         def step(acc: Column, r: Column) -> Column:
-            take = (acc["sum"] < target) & (acc["sum"] + r["shares"] <= target)
-            return F.struct(F.when(take, acc["sum"] + r["shares"]).otherwise(acc["sum"]).alias("sum"), F.when(take, F.concat(F.array(r), acc["lots"])).otherwise(acc["lots"]).cast(LOTS).alias("lots"))
+            def of(after: Column) -> Column:
+                take = (acc["sum"] < target) & (after <= target)
+                return F.struct(F.when(take, after).otherwise(acc["sum"]).alias("sum"), F.when(take, F.concat(F.array(r), acc["rows"])).otherwise(acc["rows"]).cast(ROWS).alias("rows"))
+
+            return let(acc["sum"] + F.get(r["nums"], F.lit(0)), of)
 
-        out = F.aggregate(F.reverse(found), F.struct(F.lit(0).cast("bigint").alias("sum"), _no_lots().alias("lots")), step)
-        return let(out, lambda o: F.when(o["sum"] == target, o["lots"]))
+        out = F.aggregate(F.reverse(found), F.struct(F.lit(0).cast("bigint").alias("sum"), F.array().cast(ROWS).alias("rows")), step)
+        return let(out, lambda o: F.when(o["sum"] == target, o["rows"]))
 
     def contiguous(found: Column, target: Column) -> Column:
-        ends = F.transform(F.sequence(F.lit(0), F.size(found)), lambda i: _sum(F.slice(found, F.lit(1), i)))
+        ends = F.transform(F.sequence(F.lit(0), F.size(found)), lambda i: _shares(F.slice(found, F.lit(1), i)))
 
         def part(ends: Column) -> Column:
             spans = F.transform(F.sequence(F.lit(1), F.size(found)), lambda i: F.struct(i.alias("first"), F.array_position(ends, F.get(ends, i - 1) + target).cast("int").alias("end")))
@@ -304,7 +330,7 @@ def sum_first(x: Inputs) -> Column:
 
     def chosen(found: Column, targets: Column) -> Column:
         first_of = lambda pick: F.get(F.filter(F.transform(targets, lambda t: pick(found, t)), lambda l: l.isNotNull()), F.lit(0))
-        return F.when((F.size(targets) == 0) | F.array_contains(targets, _sum(found)), found).otherwise(F.coalesce(first_of(greedy), first_of(contiguous)))
+        return F.when((F.size(targets) == 0) | F.array_contains(targets, _shares(found)), found).otherwise(F.coalesce(first_of(greedy), first_of(contiguous)))
 
     def facts(targets: Column):
         def of(lots: Column) -> tuple[Column, Column, Column]:
@@ -314,17 +340,22 @@ def sum_first(x: Inputs) -> Column:
         return of
 
     def pick(found: Column, targets: Column) -> Column:
-        return let(chosen(found, targets), lambda lots: F.when(lots.isNotNull(), _result(lots, facts(targets))))
+        return let(chosen(found, targets), lambda rows: F.when(rows.isNotNull() & x.allows(_shares(rows)), _result(lots(rows), facts(targets))))
 
     return let(found, lambda found: F.when(F.size(found) > 0, let(targets, lambda targets: pick(found, targets))))
 
 
 def two_dates(x: Inputs) -> Column:
     """Lots where at least one bears both dates; they must make up the text's total, else the known one."""
-    lots = F.transform(_three(x.rows, lambda r: _positive(r) & _fits(r)), lambda r: _dated(r, dates.WITH_IPO, text.security_type(r["line"], between=False)))
-    facts = lambda lots: (F.coalesce(_last_total(x.rows), x.known, _sum(lots)), F.lit(True), F.lit("two_dates_fallback"))
+    lots = lambda rows: F.transform(rows, lambda r: _dated(r, dates.WITH_IPO, text.security_type(r["line"], between=False)))
     both = lambda lots: F.exists(lots, lambda r: (r["from_date"] != "") & (r["to_date"] != "") & (r["to_date"] != "FREE"))
-    return let(_result(lots, facts), lambda out: F.when(both(out["lots"]) & (out["declared_total"] == out["computed_total"]), out))
+
+    def of(rows: Column, total: Column) -> Column:
+        declared = F.coalesce(_last_total(x.rows), x.known, total)
+        found = _result(lots(rows), lambda _: (total, F.lit(True), F.lit("two_dates_fallback")))
+        return F.when(declared == total, let(found, lambda out: F.when(both(out["lots"]), out)))
+
+    return let(_three(x.rows, lambda r: _positive(r) & _fits(r)), lambda rows: let(_shares(rows), lambda total: of(rows, total)))
 
 
 @dataclass(frozen=True)
@@ -367,13 +398,13 @@ def _acceptable(x: Inputs, result: Column, anchored: bool) -> Column:
     """Whether a strategy's result has lots and, where it must be, a total that is one of the hints on the page."""
     ok = result.isNotNull() & (F.size(result["lots"]) > 0)
     if anchored:
-        hints = F.filter(F.array(x.known, x.declared, x.computed), lambda h: (h > 0) & F.array_contains(x.on_page, h))
-        ok = ok & let(hints, lambda h: (F.size(h) == 0) | F.array_contains(h, result["computed_total"]))
+        ok = ok & x.allows(result["computed_total"])
     return F.coalesce(ok, F.lit(False))
 
 
-def _inputs() -> Inputs:
-    return Inputs(*map(F.col, ("_lines", "_every", "_rows", "_mended", "_page", "known_total", "declared_hint", "computed_hint", "_numbered", "_gaps")))
+def _inputs(anchored: bool = True) -> Inputs:
+    named = map(F.col, ("_lines", "_every", "_rows", "_mended", "_page", "known_total", "declared_hint", "computed_hint", "_numbered", "_gaps"))
+    return Inputs(*named, F.col("_hints") if anchored else F.array().cast("array<bigint>"))
 
 
 @built_once
@@ -383,6 +414,7 @@ def _column(name: str) -> Column:
     mend = lambda: let(F.transform("_lines", lambda l: numbers.repair_numbers(l)), lambda mended: F.when(mended == F.col("_lines"), F.col("_rows")).otherwise(body(mended, F.col("_footer"))))
     return {
         "_lines": lambda: lines, "_numbered": lambda: F.transform("_lines", _numbered), "_gaps": lambda: numbers.may_have_gaps(F.col("text")), "_footer": lambda: text.may_have_footer(F.col("text")), "_every": lambda: text.lines(F.coalesce("text", F.lit("")), every_break=True), "_page": lambda: F.when(F.greatest("known_total", "declared_hint", "computed_hint") > 0, F.flatten(F.transform("_numbered", lambda r: r["nums"]))),
+        "_hints": lambda: let(F.col("_page"), lambda page: F.filter(F.array("known_total", "declared_hint", "computed_hint"), lambda h: h.isNotNull() & (h > 0) & F.array_contains(page, h))),
         "_rows": lambda: body(F.col("_lines"), F.col("_footer")), "_mended": lambda: F.when(F.col("_gaps"), mend()).otherwise(F.col("_rows")),
     }[name]()
 
@@ -390,7 +422,8 @@ def _column(name: str) -> Column:
 @built_once
 def _result_of(strategy: Strategy) -> Column:
     """The strategy's result where it is acceptable, else null."""
-    return let(strategy.build(_inputs()), lambda r: F.when(_acceptable(_inputs(), r, strategy.anchored), r))
+    x = _inputs(strategy.anchored)
+    return let(strategy.build(x), lambda r: F.when(_acceptable(x, r, strategy.anchored), r))
 
 
 @built_once
@@ -438,7 +471,7 @@ def extract(filings: DataFrame, compat: bool = False, skip_blank: bool = False)
     out = filings.withColumns({"_live": live, "_other": F.coalesce(F.col("exchange") != "NSE", F.lit(False)), "_barrier": F.monotonically_increasing_id() >= 0})
     tries = F.col("_live") & F.col("_other")
     out = out.withColumns({c: F.when(tries, _column(c)) for c in ("_lines", "_gaps")}).withColumn("_numbered", F.when(tries, _column("_numbered")))
-    out = out.withColumns({"_page": F.when(tries, _column("_page")), "_footer": F.lit(None), "_rows": F.lit(None), "_mended": F.lit(None)})
+    out = out.withColumn("_page", F.when(tries, _column("_page"))).withColumns({"_hints": F.when(tries, _column("_hints")), "_footer": F.lit(None), "_rows": F.lit(None), "_mended": F.lit(None)})
     found: Column | None = None
     made = False
     for i, strategy in enumerate(tried):

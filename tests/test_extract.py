@@ -175,6 +175,29 @@ def test_dates_of_lots_are_read_once(spark):
     assert size(dated) < 2 * size(dates.date_text(F.col("t"))) + size(classify.row_class(F.col("k"), F.col("d")))
 
 
+def test_dates_are_read_of_lots_that_count_only(spark, monkeypatch):
+    """Strategies tell by numbers that their total isn't the hint on the page, or not the text's; nothing is dated for it."""
+    line = "{0}   {1}   {2}   Lock-in   01-Jan-2024   01-Feb-2027   Demat\n"
+    three, ranges = line.format("100", "1", "100") + line.format("200", "101", "300"), "1 100 L 01-Jan-2027\n101 300 L 01-Jan-2027\n"
+    docs = [("hint", three + "Total 300", 1), ("ranges", ranges, 1), ("off", three + "Total 301", None)]
+    kinds = {"known_total": "bigint", "computed_hint": "bigint", "_every": "array<string>"}
+    frame = spark.createDataFrame(docs, "id string, text string, declared_hint bigint").withColumns({c: F.lit(None).cast(k) for c, k in kinds.items()})
+    for c in ("_lines", "_gaps", "_numbered", "_page", "_hints", "_footer", "_rows", "_mended"):
+        frame = frame.withColumn(c, lockin._column(c))
+    lot = lockin.LOTS.removeprefix("array<").removesuffix(">")
+    monkeypatch.setattr(lockin, "_dated", lambda *_, **__: F.raise_error(F.lit("dated")).cast(lot))
+    tried = {s.name: s.build(lockin._inputs()).alias(s.name) for s in lockin.cascade()}
+    two = tried.pop("two_dates_fallback")
+    assert [tuple(r) for r in frame.where("id <> 'off'").select(*tried.values()).collect()] == [(None,) * 5] * 2
+    assert frame.where("id = 'off'").select(two).first()[0] is None
+
+
+def test_marks_of_dates_are_not_odd(spark):
+    lines = {"1 500 Lock-in 1-Jan-2027 N/A x.y": False, "1 5.00": True, "1/2 5": True, "1 5 01-Jan-27": True, "1 5 01-Jan-2027*": True, "A-1 5": True, "5 (1-Jan-2027": True, "5 7": False}
+    got = spark.createDataFrame([(l,) for l in lines], "l string").select("l", F.col("l").rlike(numbers.ODD_MARK).alias("odd")).collect()
+    assert {r["l"]: r["odd"] for r in got} == lines
+
+
 def test_numbers_by_line(spark):
     texts = ["a 1 2,000\n,5 6,,7, 8\n\nx", "12345678901234567890 3\n9223372036854775807 1", "", "-1.50\n \n1,\n,2", None]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
