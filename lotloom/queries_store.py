@@ -11,7 +11,7 @@ from lotloom.operators import adapter, changes, ledger, stages
 from lotloom.operators.store import Store, parts, records, rolled_back, saved
 from lotloom.queries import _events_sql
 from lotloom.registry import LOG, LOTS, query
-from lotloom.session import Scratch, table
+from lotloom.session import Scratch, table, tasks
 from lotloom.streaming import feed
 
 
@@ -95,13 +95,13 @@ def newest_by_state(spark: SparkSession, d: str) -> DataFrame:
     """The newest record of each symbol from a stream of all records, kept as state; the stream's changes, last one a symbol."""
     scratch, provider = Scratch(spark, "newest"), "spark.sql.streaming.stateStore.providerClass"
     log = adapter.log(spark, d).select("unique_symbol", "id", "status", "processed_at")
-    scratch.write(log, "log")
+    cells = tasks(scratch.write(log, "log"), feed.CELL_ROWS)
     source = spark.readStream.schema(log.schema).parquet(scratch.path("log"))
     before = spark.conf.get(provider, None)
     spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
         put = lambda batch, n: batch.withColumn("batch", F.lit(n)).write.mode("overwrite").parquet(f"{scratch.path('changes')}/n={n}")
-        stream = feed.newest_state(source, late="10000 days").writeStream.outputMode("update").option("checkpointLocation", scratch.path("checkpoint"))
+        stream = feed.newest_state(source, late="10000 days", cells=cells).writeStream.outputMode("update").option("checkpointLocation", scratch.path("checkpoint"))
         stream.foreachBatch(put).trigger(availableNow=True).start().awaitTermination()
     finally:
         spark.conf.unset(provider) if before is None else spark.conf.set(provider, before)

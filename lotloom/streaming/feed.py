@@ -122,15 +122,85 @@ class _Newest(StatefulProcessor):
         pass
 
 
-def newest_state(log: DataFrame, late: str = "1 day", quiet: str = "7 days") -> DataFrame:
+class _NewestOfCell(StatefulProcessor):
+    """The same for all symbols of a cell at once: their records are one list, which is read and written as a whole, and one timer is set for the first that becomes due.
+
+    Times are microseconds in the state, so that they needn't be converted one by one.
+    """
+
+    STATE = "unique_symbol string, id long, status string, at long, settled boolean"
+    NAMES = ["unique_symbol", "id", "status", "at", "settled"]
+
+    def __init__(self, quiet_ms: int) -> None:
+        self.quiet_us = quiet_ms * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.kept = handle.getListState("newest", self.STATE)
+
+    def _read(self) -> pd.DataFrame:
+        held = pd.DataFrame(list(self.kept.get()), columns=self.NAMES)
+        return held.astype({"unique_symbol": object, "id": "int64", "status": object, "at": "int64", "settled": bool})
+
+    def _write(self, held: pd.DataFrame) -> None:
+        self.kept.put(list(zip(*(held[c].tolist() for c in self.NAMES))))
+        waiting = held["at"][~held["settled"]]
+        if len(waiting):
+            self.handle.registerTimer((int(waiting.min()) + self.quiet_us) // 1000)
+
+    @staticmethod
+    def _rows(held: pd.DataFrame) -> pd.DataFrame:
+        return held[["unique_symbol", "id", "status", "settled"]].assign(processed_at=pd.to_datetime(held["at"], unit="us"))[["unique_symbol", "id", "status", "processed_at", "settled"]]
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        before = self._read()
+        best = before.assign(fresh=False)
+        for part in rows:
+            at = part["processed_at"].astype("datetime64[us]").astype("int64")
+            more = pd.DataFrame({"unique_symbol": part["unique_symbol"].astype(object), "id": part["id"], "status": part["status"].astype(object).where(part["status"].notna(), None), "at": at, "settled": False, "fresh": True})
+            # what was there comes last, so that of equal rows it stays
+            both = pd.concat([more, best], ignore_index=True) if len(best) else more
+            rank = both.assign(status=both["status"].fillna("")).sort_values(["id", "at", "status"], kind="stable")
+            best = both.loc[rank.drop_duplicates("unique_symbol", keep="last").index]
+        fresh = best[best["fresh"]]
+        if len(fresh):
+            for timer in list(self.handle.listTimers()) if len(before) else ():
+                self.handle.deleteTimer(timer)
+            self._write(best)
+            yield self._rows(fresh)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """All symbols of the cell that were quiet for so long count as settled, and stay in the state."""
+        held = self._read()
+        due = ~held["settled"] & ((held["at"] + self.quiet_us) // 1000 <= timerValues.getCurrentWatermarkInMs())
+        if due.any():
+            held.loc[due, "settled"] = True
+            self._write(held)
+            yield self._rows(held[due])
+
+    def close(self) -> None:
+        pass
+
+
+#: Rows for which a cell is reckoned where a whole table comes at once.
+CELL_ROWS = 5_000
+
+
+def newest_state(log: DataFrame, late: str = "1 day", quiet: str = "7 days", cells: int | None = None) -> DataFrame:
     """The record with the largest id of each symbol (unique_symbol, id, status, processed_at), as a stream of changes.
 
     Each row replaces the one of its symbol before it. A row comes when a larger id does, and once more, ``settled``,
     when the watermark (``late`` behind the newest time) is ``quiet`` past the record's time. State is one
     record a symbol, in the state store, which must be RocksDB. The last row of each symbol is the same for any
     order of arrival. Rows without symbol, id or time are left out.
+
+    Each symbol is a call of Python and of the state, which suits batches of few symbols. With ``cells`` symbols are dealt by their hash to so
+    many groups, each one call; a batch rewrites the records of all cells it touches, which suits batches of many symbols. The number must stay the same for a checkpoint.
     """
     quiet_ms = int(pd.Timedelta(quiet).total_seconds() * 1000)
     rows = log.where("unique_symbol is not null and id is not null and processed_at is not null").select("unique_symbol", F.col("id").cast("long").alias("id"), "status", F.col("processed_at").cast("timestamp").alias("processed_at"))
-    keyed = rows.withWatermark("processed_at", late).groupBy("unique_symbol")
-    return keyed.transformWithStateInPandas(_Newest(quiet_ms), NEWEST, "update", "eventTime")
+    keyed = rows.withWatermark("processed_at", late)
+    if cells is None:
+        return keyed.groupBy("unique_symbol").transformWithStateInPandas(_Newest(quiet_ms), NEWEST, "update", "eventTime")
+    dealt = keyed.withColumn("cell", F.pmod(F.xxhash64("unique_symbol"), F.lit(cells)))
+    return dealt.groupBy("cell").transformWithStateInPandas(_NewestOfCell(quiet_ms), NEWEST, "update", "eventTime")

@@ -196,3 +196,62 @@ def test_newest_as_state_asks_for_little():
     rows = pd.DataFrame({"id": [1, 2, 2], "status": ["X", "NEW", None], "processed_at": [at, at, at]})
     out = pd.concat(one.handleInputRows(("NSE:1",), iter([rows]), None))
     assert calls == ["get", "update", "timer"] and out[["id", "status", "settled"]].values.tolist() == [[2, "NEW", False]]
+
+
+def test_newest_of_cells_is_that_of_symbols(spark, tmp_path):
+    """Symbols kept together give the changes of symbols kept alone, batch by batch: ties, equal rows again, late rows, quiet ones, and newer ones after those."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    base, kind = datetime.datetime(2026, 1, 1), "unique_symbol string, id long, status string, processed_at timestamp_ntz"
+    at = lambda minutes: base + datetime.timedelta(minutes=minutes)
+    batches = [
+        [("A", 1, "NEW", at(0)), ("A", 1, "OLD", at(5)), ("B", 7, None, at(1)), ("B", 7, "X", at(1)), ("C", 3, None, at(2)), ("D", 9, "NEW", at(400)), (None, 1, "x", at(1)), ("E", None, "x", at(1))],
+        [("A", 2, "NEW", at(390)), ("B", 7, "X", at(1)), ("B", 7, "X", at(395)), ("D", 8, "y", at(402))],
+        [("F", 1, "z", at(900)), ("C", 2, "w", at(899)), ("C", 4, "LATE", at(3))],
+        [("A", 5, "q", at(905)), ("C", 3, None, at(905))],
+    ]
+    # files are taken by their time of change
+    for n, part in enumerate(batches):
+        spark.createDataFrame(part, kind).coalesce(1).write.parquet(str(tmp_path / f"in/{n}"))
+    source = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+
+    def changes_of(cells):
+        out = []
+        keep = lambda batch, n: out.extend((n, *r) for r in batch.collect())
+        stream = feed.newest_state(source, late="1 hour", quiet="2 hours", cells=cells).writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / f"c{cells}"))
+        stream.foreachBatch(keep).trigger(availableNow=True).start().awaitTermination()
+        return sorted(out, key=str)
+
+    alone = changes_of(None)
+    assert {r[1] for r in alone if r[-1]} == {"B", "C", "D"} and not any(r[3] == "LATE" for r in alone)
+    assert changes_of(2) == alone
+
+
+def test_newest_of_a_cell_asks_for_little():
+    """However many symbols a cell has, its state is read and written once and one timer is set; without anything newer nothing is written."""
+    calls, state = [], []
+
+    class Kept:
+        def get(self):
+            calls.append("get")
+            return iter(state)
+
+        def put(self, rows):
+            calls.append("put")
+            state[:] = rows
+
+    class Handle:
+        def listTimers(self):
+            return iter([5])
+
+        def deleteTimer(self, at):
+            calls.append("delete")
+
+        def registerTimer(self, at):
+            calls.append(at)
+
+    cell = feed._NewestOfCell(1000)
+    cell.kept, cell.handle = Kept(), Handle()
+    rows = pd.DataFrame({"unique_symbol": [f"S{i}" for i in range(500)] * 2, "id": range(1000), "status": [None, "NEW"] * 500, "processed_at": pd.Timestamp("1970-01-01 00:00:02")})
+    out = pd.concat(cell.handleInputRows((0,), iter([rows[:600], rows[600:]]), None))
+    assert calls == ["get", "put", 3000] and len(out) == 500 and sorted(out["id"]) == list(range(500, 1000))
+    assert state[0][0].startswith("S") and list(cell.handleInputRows((0,), iter([rows]), None)) == [] and calls[3:] == ["get"]
